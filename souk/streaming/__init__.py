@@ -1,0 +1,7 @@
+"""Streaming.
+
+The analytics this package reproduces are batch only: raw tables are loaded,
+cleaned and turned into marts by batch jobs, and nothing in them consumes an
+unbounded source or keeps state across micro-batches.  No streaming operator
+is therefore provided; see README.md ("What is not built").
+"""
