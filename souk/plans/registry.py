@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from souk.plans import sales
+from souk.plans import cohort, delivery, kpis, payments, rfm, sales
 from souk.plans.base import Warehouse
 
 Builder = Callable[[Warehouse], DataFrame]
@@ -21,6 +21,18 @@ MARTS: dict[str, tuple[str, Builder]] = {
     "monthly_revenue_trend": ("M01", sales.monthly_revenue_trend),
     "revenue_by_category": ("M02", sales.revenue_by_category),
     "revenue_by_state": ("M03", sales.revenue_by_state),
+    "rfm_customers": ("M04", rfm.rfm_customers),
+    "rfm_segment_summary": ("M05", rfm.rfm_segment_summary),
+    "cohort_retention_matrix": ("M06", cohort.cohort_retention_matrix),
+    "cohort_sizes": ("M07", cohort.cohort_sizes),
+    "delivery_rate_overall": ("M08", delivery.delivery_rate_overall),
+    "delivery_delay_by_state": ("M09", delivery.delivery_delay_by_state),
+    "review_score_by_delivery": ("M10", delivery.review_score_by_delivery),
+    "payment_type_mix": ("M11", payments.payment_type_mix),
+    "installment_distribution": ("M12", payments.installment_distribution),
+    "avg_payment_value_by_installments": ("M13", payments.avg_payment_value_by_installments),
+    "credit_card_installments_by_category": ("M14", payments.credit_card_installments_by_category),
+    "summary_kpis": ("M15", kpis.summary_kpis),
 }
 
 
@@ -31,4 +43,8 @@ def mart_queries() -> dict[str, Builder]:
 def all_builders() -> dict[str, Builder]:
     """Every registered query: marts, then the other operator families."""
     out = dict(mart_queries())
+    out["W5_rfm_scores"] = rfm.rfm_scores
+    out["A9_having_min_payments_800"] = lambda wh: payments.credit_card_installments_by_category(
+        wh, min_payments=800
+    )
     return out
