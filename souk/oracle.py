@@ -404,3 +404,472 @@ ORACLES.update({
     "W5_rfm_scores": W5,
     "A9_having_min_payments_800": A9,
 })
+
+# ---------------------------------------------------------------------------
+# Exploration, views, quality, cleaning, statistics
+# ---------------------------------------------------------------------------
+
+from souk.sources.schemas import DATE_RANGE_CHECKS, KEY_CHECKS, LOAD_ORDER, TABLES  # noqa: E402
+
+CTE = {
+    "product_category_translation": "w_translation",
+    "customers": "w_customers",
+    "sellers": "w_sellers",
+    "geolocation": "w_geolocation",
+    "products": "w_products",
+    "orders": "w_orders",
+    "order_items": "w_items",
+    "order_payments": "w_payments",
+    "order_reviews": "w_reviews",
+}
+RAW_CTE = dict(CTE, product_category_translation="w_translation_raw", orders="w_orders_raw")
+Q = PRELUDE + "noop AS (SELECT 1 AS one)\n"
+
+
+def _title(expr: str) -> str:
+    return (
+        f"array_to_string(list_transform(string_split(replace({expr}, '_', ' '), ' '), "
+        "lambda w: upper(substr(w, 1, 1)) || lower(substr(w, 2))), ' ')"
+    )
+
+
+def _counts(tables) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {CTE[t]}" for t in tables
+    )
+
+
+E1 = Q + _counts(LOAD_ORDER) + "\nORDER BY row_count DESC, table_name"
+
+E2 = Q + """
+SELECT CAST(SUM(CASE WHEN order_approved_at IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_approved_at,
+       CAST(SUM(CASE WHEN order_delivered_carrier_date IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_carrier_date,
+       CAST(SUM(CASE WHEN order_delivered_customer_date IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_delivered_date,
+       CAST(SUM(CASE WHEN delivery_delay_days IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_delivery_delay,
+       COUNT(*) AS total_orders
+FROM w_orders
+"""
+
+E3 = Q + """
+SELECT order_status, COUNT(*) AS n_orders FROM w_orders
+WHERE order_delivered_customer_date IS NULL
+GROUP BY order_status ORDER BY n_orders DESC, order_status
+"""
+
+E4 = Q + """
+SELECT CAST(SUM(CASE WHEN review_comment_title IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_title,
+       CAST(SUM(CASE WHEN review_comment_message IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_message,
+       COUNT(*) AS total_reviews
+FROM w_reviews
+"""
+
+E5 = Q + """
+SELECT CAST(SUM(CASE WHEN product_category_name IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_category,
+       CAST(SUM(CASE WHEN product_weight_g IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_weight,
+       COUNT(*) AS total_products
+FROM w_products
+"""
+
+E6 = Q + """
+SELECT order_status, COUNT(*) AS n_orders FROM w_orders GROUP BY order_status ORDER BY n_orders DESC, order_status
+"""
+
+E7 = Q + """
+SELECT review_score, COUNT(*) AS n_reviews FROM w_reviews GROUP BY review_score ORDER BY review_score
+"""
+
+_TOP_CAT = _CATEGORY_ALL + """,
+top_cat AS (SELECT * FROM cat ORDER BY total_revenue DESC, category LIMIT 15)
+"""
+
+E8_REV = _TOP_CAT + "SELECT * FROM top_cat ORDER BY total_revenue DESC, category LIMIT 15"
+E8_VOL = _TOP_CAT + "SELECT * FROM top_cat ORDER BY line_items DESC, category LIMIT 15"
+
+_STATES = M03.replace("ORDER BY total_revenue DESC, customer_state", "")
+E9_10 = f"SELECT * FROM ({_STATES}) s ORDER BY total_revenue DESC, customer_state LIMIT 10"
+E9_15 = f"SELECT * FROM ({_STATES}) s ORDER BY total_revenue DESC, customer_state LIMIT 15"
+
+D2 = f"SELECT * FROM ({M01}) m WHERE order_count >= 5 ORDER BY order_purchase_month"
+
+D3_CAT = _TOP_CAT + f"""
+SELECT category, {_title('category')} AS category_label, total_revenue
+FROM top_cat ORDER BY total_revenue DESC, category LIMIT 1
+"""
+
+D3_STATE = f"""
+SELECT customer_state, total_revenue, order_count
+FROM ({_STATES}) s ORDER BY total_revenue DESC, customer_state LIMIT 1
+"""
+
+D3_BARS = f"""
+SELECT customer_state, total_revenue FROM (
+    SELECT * FROM ({_STATES}) s ORDER BY total_revenue DESC, customer_state LIMIT 15
+) t
+"""
+
+_SEG_DEF = """
+CASE segment
+    WHEN 'Champions' THEN 'Bought recently, buy often, spend the most'
+    WHEN 'Loyal Customers' THEN 'Buy regularly with good recency/frequency'
+    WHEN 'New Customers' THEN 'Bought recently but low frequency so far'
+    WHEN 'Big Spenders' THEN 'Spend a lot, decent recency, low frequency'
+    WHEN 'At Risk' THEN 'Used to buy often, haven''t purchased recently'
+    WHEN 'Cant Lose Them' THEN 'High spend historically, gone quiet'
+    WHEN 'Hibernating' THEN 'Low recency, frequency, and monetary — inactive'
+    WHEN 'Needs Attention' THEN 'Below-average across the board'
+    ELSE ''
+END
+"""
+
+D4_TABLE = f"""
+SELECT segment, {_SEG_DEF} AS definition, customer_count, total_revenue, avg_revenue_per_customer
+FROM ({M05}) s
+"""
+
+D4_TOP = f"""
+SELECT segment, total_revenue, customer_count FROM ({M05}) s
+ORDER BY total_revenue DESC, segment LIMIT 1
+"""
+
+D5 = f"""
+SELECT CAST(cohort_month AS VARCHAR) AS cohort_month,
+       {", ".join(f"MAX(CASE WHEN months_since_first = {k} THEN retention_pct END) AS m{k}" for k in range(12))}
+FROM ({M06}) m
+WHERE months_since_first <= 11
+GROUP BY cohort_month
+"""
+
+D6 = f"""
+SELECT ROUND(AVG(retention_pct), 2) AS avg_m1_retention FROM ({M06}) m WHERE months_since_first = 1
+"""
+
+D7 = f"""
+WITH rate AS ({M08}), rev AS ({M10}),
+r AS (
+    SELECT MAX(CASE WHEN delivery_status = 'on_time' THEN pct_of_orders END) AS on_time_pct,
+           MAX(CASE WHEN delivery_status = 'late' THEN pct_of_orders END) AS late_pct
+    FROM rate
+),
+v AS (
+    SELECT MAX(CASE WHEN delivery_status = 'on_time' THEN avg_review_score END) AS score_on_time,
+           MAX(CASE WHEN delivery_status = 'late' THEN avg_review_score END) AS score_late,
+           MAX(CASE WHEN delivery_status = 'on_time' THEN pct_bad_reviews END) AS bad_on_time,
+           MAX(CASE WHEN delivery_status = 'late' THEN pct_bad_reviews END) AS bad_late
+    FROM rev
+)
+SELECT on_time_pct, late_pct, score_on_time, score_late, ROUND(score_late - score_on_time, 2) AS score_gap,
+       bad_on_time, bad_late
+FROM r CROSS JOIN v
+"""
+
+_BY_STATE = M09.replace("ORDER BY late_pct DESC, c.customer_state", "")
+D8 = f"""
+WITH s AS ({_BY_STATE}),
+w AS (SELECT customer_state AS worst_state, late_pct AS worst_late_pct FROM s
+      ORDER BY late_pct DESC, customer_state LIMIT 1),
+b AS (SELECT customer_state AS best_state, late_pct AS best_late_pct FROM s
+      ORDER BY late_pct ASC, customer_state LIMIT 1)
+SELECT * FROM w CROSS JOIN b
+"""
+
+D9 = f"""
+SELECT payment_type, {_title('payment_type')} AS payment_label, pct_of_revenue
+FROM ({M11}) m ORDER BY total_revenue DESC, payment_type LIMIT 1
+"""
+
+D10 = f"""
+SELECT MAX(CASE WHEN payment_installments = 1 THEN pct_of_payments END) AS pct_single_installment
+FROM ({M12}) m
+"""
+
+D11 = f"""
+SELECT category, {_title('category')} AS category_label, avg_installments
+FROM ({M14}) m ORDER BY avg_installments DESC, category LIMIT 1
+"""
+
+Q1 = E1
+
+
+def _q2() -> str:
+    parts = []
+    for t in LOAD_ORDER:
+        for c in TABLES[t].column_names:
+            parts.append(
+                f"SELECT '{t}' AS table_name, '{c}' AS column_name, "
+                f"ROUND(100.0 * COUNT_IF({c} IS NULL) / COUNT(*), 1) AS null_pct "
+                f"FROM {CTE[t]} HAVING COUNT(*) > 0"
+            )
+    return Q + "SELECT * FROM (\n" + "\nUNION ALL\n".join(parts) + "\n) x WHERE null_pct > 0"
+
+
+def _q3() -> str:
+    parts = []
+    for t, key in KEY_CHECKS.items():
+        k = ", ".join(key)
+        parts.append(
+            f"SELECT '{t}' AS table_name, '{k}' AS key_columns, COUNT(*) AS duplicate_groups "
+            f"FROM (SELECT {k} FROM {CTE[t]} GROUP BY {k} HAVING COUNT(*) > 1) d"
+        )
+    return Q + "\nUNION ALL\n".join(parts)
+
+
+def _q4() -> str:
+    return Q + "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, MIN({c}) AS min_value, MAX({c}) AS max_value "
+        f"FROM {CTE[t]}"
+        for t, c in DATE_RANGE_CHECKS.items()
+    )
+
+
+Q5 = Q + """
+SELECT COUNT(*) AS orphan_orders
+FROM w_orders o LEFT JOIN w_customers c ON c.customer_id = o.customer_id
+WHERE c.customer_id IS NULL
+"""
+
+
+def _q6() -> str:
+    parts = []
+    for t in LOAD_ORDER:
+        spec, src = TABLES[t], CTE[t]
+        if spec.primary_key:
+            k = ", ".join(spec.key)
+            any_null = " OR ".join(f"{c} IS NULL" for c in spec.key)
+            no_null = " AND ".join(f"{c} IS NOT NULL" for c in spec.key)
+            parts.append(
+                f"SELECT '{t}' AS table_name, 'PRIMARY KEY' AS check_type, '{k}' AS columns, "
+                f"CAST((SELECT COUNT(*) FROM (SELECT {k} FROM {src} WHERE {no_null} GROUP BY {k} "
+                f"HAVING COUNT(*) > 1) d) + (SELECT COUNT(*) FROM {src} WHERE {any_null}) AS BIGINT) AS violations"
+            )
+        for c in spec.not_null:
+            parts.append(
+                f"SELECT '{t}', 'NOT NULL', '{c}', COUNT_IF({c} IS NULL) FROM {src}"
+            )
+        for cols, target, tcols in spec.foreign_keys:
+            label = f"{', '.join(cols)} -> {target}({', '.join(tcols)})"
+            on = " AND ".join(f"r.{tc} = s.{c}" for c, tc in zip(cols, tcols))
+            nn = " AND ".join(f"s.{c} IS NOT NULL" for c in cols)
+            parts.append(
+                f"SELECT '{t}', 'FOREIGN KEY', '{label}', COUNT(*) FROM {src} s "
+                f"WHERE {nn} AND NOT EXISTS (SELECT 1 FROM {CTE[target]} r WHERE {on})"
+            )
+    return Q + "SELECT * FROM (\n" + "\nUNION ALL\n".join(parts) + "\n) x"
+
+
+_STRING_COLS_CUSTOMERS = ["customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state"]
+C1 = Q + "SELECT customer_id, " + ", ".join(
+    f"regexp_replace({c}, '^\\s+|\\s+$', '', 'g') AS {c}" for c in _STRING_COLS_CUSTOMERS
+) + " FROM w_customers"
+
+
+def _c2() -> str:
+    parts = []
+    for t in LOAD_ORDER:
+        src = RAW_CTE[t]
+        cols = "*"
+        if t == "products":
+            cols = "* EXCLUDE (product_category_name_english)"
+        parts.append(
+            f"SELECT '{t}' AS table_name, (SELECT COUNT(*) FROM {src}) AS rows_before, "
+            f"(SELECT COUNT(*) FROM (SELECT DISTINCT {cols} FROM {src}) d) AS rows_after"
+        )
+    return Q + "SELECT table_name, rows_before, rows_after, rows_before - rows_after AS removed_rows FROM (\n" + (
+        "\nUNION ALL\n".join(parts)
+    ) + "\n) x"
+
+
+C4 = Q + "SELECT product_id, product_category_name, product_category_name_english FROM w_products"
+C4_UNTRANSLATED = Q + """
+SELECT COUNT(*) AS untranslated_products
+FROM part p LEFT JOIN w_translation_raw t ON t.product_category_name = p.p_brand
+WHERE p.p_brand IS NOT NULL AND t.product_category_name_english IS NULL
+"""
+C5 = Q + "SELECT product_category_name, product_category_name_english FROM w_translation"
+C6 = Q + "SELECT order_id, delivery_delay_days FROM w_orders"
+C7 = Q + "SELECT order_id, order_purchase_month FROM w_orders"
+
+_SAMPLE1 = PRELUDE + """
+s AS (
+    SELECT o.order_id, o.delivery_delay_days,
+           CASE WHEN o.delivery_delay_days > 0 THEN 'late' ELSE 'on_time_or_early' END AS delivery_group,
+           r.review_score
+    FROM w_orders o JOIN w_reviews r ON r.order_id = o.order_id
+    WHERE o.delivery_delay_days IS NOT NULL
+)
+"""
+
+T1 = _SAMPLE1 + "SELECT * FROM s"
+
+T2 = _SAMPLE1 + """
+SELECT delivery_group, COUNT(*) AS n,
+       ROUND(AVG(review_score), 6) AS mean,
+       ROUND(median(review_score), 6) AS median,
+       ROUND(stddev_samp(review_score), 6) AS std
+FROM s GROUP BY delivery_group
+"""
+
+_MWU = _SAMPLE1 + """,
+h AS (
+    SELECT review_score AS v, COUNT(*) AS t, COUNT_IF(delivery_group = 'late') AS tl
+    FROM s GROUP BY review_score
+),
+rk AS (
+    SELECT *, COALESCE(SUM(t) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+              + (t + 1) / 2.0 AS avg_rank
+    FROM h
+),
+a AS (
+    SELECT CAST(SUM(tl) AS DOUBLE) AS n1, CAST(SUM(t) - SUM(tl) AS DOUBLE) AS n2,
+           SUM(tl * CAST(avg_rank AS DOUBLE)) AS r1,
+           SUM(CAST(t AS DOUBLE) * t * t - t) AS tie
+    FROM rk
+),
+u AS (SELECT n1, n2, r1 - n1 * (n1 + 1) / 2 AS u1, tie FROM a)
+"""
+
+T3 = _MWU + """
+SELECT CAST(n1 AS BIGINT) AS n_late, CAST(n2 AS BIGINT) AS n_on_time,
+       ROUND(u1, 6) AS u_statistic, ROUND(tie, 6) AS tie_term,
+       ROUND((greatest(u1, n1 * n2 - u1) - n1 * n2 / 2 - 0.5)
+             / sqrt(n1 * n2 / 12 * ((n1 + n2 + 1) - tie / ((n1 + n2) * (n1 + n2 - 1)))), 6) AS z
+FROM u
+"""
+
+T4 = _SAMPLE1 + """,
+g AS (
+    SELECT CAST(COUNT_IF(delivery_group = 'late') AS DOUBLE) AS n1,
+           AVG(CASE WHEN delivery_group = 'late' THEN review_score END) AS m1,
+           VAR_SAMP(CASE WHEN delivery_group = 'late' THEN review_score END) AS v1,
+           CAST(COUNT_IF(delivery_group = 'on_time_or_early') AS DOUBLE) AS n2,
+           AVG(CASE WHEN delivery_group = 'on_time_or_early' THEN review_score END) AS m2,
+           VAR_SAMP(CASE WHEN delivery_group = 'on_time_or_early' THEN review_score END) AS v2
+    FROM s
+),
+q AS (SELECT m1, m2, n1, n2, v1 / n1 AS a, v2 / n2 AS b FROM g)
+SELECT ROUND((m1 - m2) / sqrt(a + b), 6) AS t_statistic,
+       ROUND((a + b) * (a + b) / (a * a / (n1 - 1) + b * b / (n2 - 1)), 6) AS df
+FROM q
+"""
+
+T5 = _MWU + """
+SELECT CAST(n1 AS BIGINT) AS n_late, CAST(n2 AS BIGINT) AS n_on_time, ROUND(u1, 6) AS u_statistic,
+       ROUND(1.0 - 2 * u1 / (n1 * n2), 6) AS rank_biserial
+FROM u
+"""
+
+T6 = _MWU + """,
+r AS (SELECT ROUND(1.0 - 2 * u1 / (n1 * n2), 6) AS rank_biserial FROM u)
+SELECT rank_biserial,
+       CASE WHEN abs(rank_biserial) < 0.11 THEN 'negligible'
+            WHEN abs(rank_biserial) < 0.28 THEN 'small'
+            WHEN abs(rank_biserial) < 0.43 THEN 'medium'
+            ELSE 'large' END AS effect_size
+FROM r
+"""
+
+_SAMPLE2 = PRELUDE + """
+s2 AS (
+    SELECT p.order_id, MAX(p.payment_installments) AS installments, r.review_score
+    FROM w_payments p JOIN w_reviews r ON r.order_id = p.order_id
+    WHERE p.payment_installments > 0
+    GROUP BY p.order_id, r.review_score
+)
+"""
+
+T7 = _SAMPLE2 + "SELECT * FROM s2"
+
+
+def _describe(c: str) -> str:
+    return (
+        f"SELECT '{c}' AS variable, COUNT({c}) AS count, ROUND(AVG({c}), 6) AS mean, "
+        f"ROUND(stddev_samp({c}), 6) AS std, CAST(MIN({c}) AS DOUBLE) AS min, "
+        f"ROUND(quantile_cont({c}, 0.25), 6) AS p25, ROUND(quantile_cont({c}, 0.5), 6) AS p50, "
+        f"ROUND(quantile_cont({c}, 0.75), 6) AS p75, CAST(MAX({c}) AS DOUBLE) AS max FROM s2"
+    )
+
+
+T8 = _SAMPLE2 + _describe("installments") + "\nUNION ALL\n" + _describe("review_score")
+
+T9 = _SAMPLE2 + """,
+hx AS (SELECT installments AS v, COUNT(*) AS t FROM s2 GROUP BY installments),
+rx AS (SELECT v, COALESCE(SUM(t) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                 + (t + 1) / 2.0 AS rk FROM hx),
+hy AS (SELECT review_score AS v, COUNT(*) AS t FROM s2 GROUP BY review_score),
+ry AS (SELECT v, COALESCE(SUM(t) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                 + (t + 1) / 2.0 AS rk FROM hy)
+SELECT COUNT(*) AS n, ROUND(corr(CAST(rx.rk AS DOUBLE), CAST(ry.rk AS DOUBLE)), 6) AS rho
+FROM s2 JOIN rx ON rx.v = s2.installments JOIN ry ON ry.v = s2.review_score
+"""
+
+T10 = _SAMPLE2 + """
+SELECT installments, ROUND(AVG(review_score), 6) AS mean_review_score
+FROM s2 GROUP BY installments HAVING installments <= 18 ORDER BY installments
+"""
+
+T11 = _SAMPLE1 + """
+SELECT delivery_group, CAST(FLOOR(review_score + 0.5) AS BIGINT) AS score_bin, COUNT(*) AS n
+FROM s GROUP BY delivery_group, score_bin
+"""
+
+W6 = _SAMPLE1 + """,
+h AS (SELECT review_score, COUNT(*) AS n FROM s GROUP BY review_score)
+SELECT review_score, n,
+       CAST(COALESCE(SUM(n) OVER (ORDER BY review_score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+            AS BIGINT) AS rank_before,
+       CAST(COALESCE(SUM(n) OVER (ORDER BY review_score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+            AS DOUBLE) + (n + 1) / 2.0 AS avg_rank
+FROM h
+"""
+
+ORACLES.update({
+    "W6_review_score_avg_rank": W6,
+    "E1_table_row_counts": E1,
+    "E2_missing_in_orders": E2,
+    "E3_undelivered_status": E3,
+    "E4_missing_in_reviews": E4,
+    "E5_missing_in_products": E5,
+    "E6_status_funnel": E6,
+    "E7_review_distribution": E7,
+    "E8_top_categories_by_revenue": E8_REV,
+    "E8_top_categories_by_volume": E8_VOL,
+    "E9_top10_states_by_revenue": E9_10,
+    "E9_top15_states_by_revenue": E9_15,
+    "D1_kpi_row": M15,
+    "D2_monthly_trend_view": D2,
+    "D3_top_category": D3_CAT,
+    "D3_top_state": D3_STATE,
+    "D3_state_revenue_bars": D3_BARS,
+    "D4_segment_table": D4_TABLE,
+    "D4_top_segment": D4_TOP,
+    "D5_retention_wide": D5,
+    "D6_month1_retention": D6,
+    "D7_late_vs_on_time": D7,
+    "D8_worst_best_state": D8,
+    "D9_dominant_payment": D9,
+    "D10_single_installment_share": D10,
+    "D11_most_installments_category": D11,
+    "Q1_row_counts": Q1,
+    "Q2_null_percent": _q2(),
+    "Q3_duplicate_keys": _q3(),
+    "Q4_date_ranges": _q4(),
+    "Q5_orphan_orders": Q5,
+    "Q6_declared_constraints": _q6(),
+    "C1_trim_strings": C1,
+    "C2_dedupe_counts": _c2(),
+    "C4_translated_products": C4,
+    "C4_untranslated_count": C4_UNTRANSLATED,
+    "C5_category_translation": C5,
+    "C6_delivery_delay": C6,
+    "C7_purchase_month": C7,
+    "T1_late_review_sample": T1,
+    "T2_group_descriptives": T2,
+    "T3_mann_whitney_u": T3,
+    "T4_welch_t": T4,
+    "T5_rank_biserial": T5,
+    "T6_effect_size": T6,
+    "T7_installment_review_sample": T7,
+    "T8_installment_review_describe": T8,
+    "T9_spearman": T9,
+    "T10_mean_score_by_installments": T10,
+    "T11_score_histogram": T11,
+})
