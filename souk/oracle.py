@@ -643,7 +643,7 @@ def _q6() -> str:
             )
         for c in spec.not_null:
             parts.append(
-                f"SELECT '{t}', 'NOT NULL', '{c}', COUNT_IF({c} IS NULL) FROM {src}"
+                f"SELECT '{t}', 'NOT NULL', '{c}', CAST(COUNT_IF({c} IS NULL) AS BIGINT) FROM {src}"
             )
         for cols, target, tcols in spec.foreign_keys:
             label = f"{', '.join(cols)} -> {target}({', '.join(tcols)})"
