@@ -81,37 +81,43 @@ def declared_constraints(wh) -> DataFrame:
     (table_name, check_type, columns, violations): PRIMARY KEY -> duplicate
     key groups plus rows with a NULL key part; NOT NULL -> NULL rows;
     FOREIGN KEY -> rows whose non-NULL reference has no target row.
+    Per table, all NULL counts come from one aggregation pass; duplicate
+    keys from one map-side combined group-by; each reference from one anti
+    join.
     """
     parts = []
     for t in LOAD_ORDER:
         spec, df = TABLES[t], wh[t]
+        nn = [c for c in spec.not_null if c in df.columns]
+        null_key = None
         if spec.primary_key:
-            key = list(spec.key)
-            null_key = None
-            for k in key:
+            for k in spec.key:
                 null_key = F.col(k).isNull() if null_key is None else (null_key | F.col(k).isNull())
+        counts = df.agg(
+            *[F.count_if(F.col(c).isNull()).alias(c) for c in nn],
+            *([F.count_if(null_key).alias("_null_key")] if null_key is not None else []),
+        )
+        if nn:
+            parts.append(
+                counts.unpivot([], nn, "columns", "violations").select(
+                    F.lit(t).alias("table_name"), F.lit("NOT NULL").alias("check_type"), "columns", "violations"
+                )
+            )
+        if spec.primary_key:
+            key = list(spec.key)
             dups = (
                 df.where(~null_key)
                 .groupBy(*key)
                 .count()
                 .where(F.col("count") > 1)
-                .agg(F.count(F.lit(1)).alias("v"))
+                .agg(F.count(F.lit(1)).alias("_dups"))
             )
-            nulls = df.agg(F.count_if(null_key).alias("v"))
             parts.append(
-                dups.crossJoin(nulls.withColumnRenamed("v", "n")).select(
+                dups.crossJoin(counts.select("_null_key")).select(
                     F.lit(t).alias("table_name"),
                     F.lit("PRIMARY KEY").alias("check_type"),
                     F.lit(", ".join(key)).alias("columns"),
-                    (F.col("v") + F.col("n")).alias("violations"),
-                )
-            )
-        nn = [c for c in spec.not_null if c in df.columns]
-        if nn:
-            counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in nn])
-            parts.append(
-                counts.unpivot([], nn, "columns", "violations").select(
-                    F.lit(t).alias("table_name"), F.lit("NOT NULL").alias("check_type"), "columns", "violations"
+                    (F.col("_dups") + F.col("_null_key")).alias("violations"),
                 )
             )
         for cols, target, tcols in spec.foreign_keys:

@@ -47,32 +47,39 @@ def ntile_many(
     ``specs`` maps an output name to (numeric key, ascending).  Ties are
     broken by ``id_col`` ascending, which must be unique.  NULL keys sort
     first for ascending and last for descending orderings (Spark/SQL
-    defaults).  Returns ``df`` with one bigint column per spec.
+    defaults).  Returns the rows of ``df`` (other columns must be numeric,
+    they are carried through a hash aggregate) with one bigint column per
+    spec.
+
+    Each input row is expanded into one row per ordering (``explode``), so
+    the input is read once; the other columns ride along on the first
+    ordering's row and are gathered back by the final group-by on the id.
     """
     spark = df.sparkSession
     num_partitions = num_partitions or shuffle_partitions(spark)
-    # the input is read twice (to rank, then to attach the scores): keep one copy
-    df = reliable_checkpoint(df)
     names = list(specs)
-    parts = []
+    payload = [c for c in df.columns if c != id_col]
+    entries = []
     for i, name in enumerate(names):
         key, asc = specs[name]
-        key = F.col(key) if isinstance(key, str) else key
-        key = key.cast("double")
-        parts.append(
-            df.select(
-                F.col(id_col).alias("_id"),
+        key = (F.col(key) if isinstance(key, str) else key).cast("double")
+        entries.append(
+            F.struct(
                 F.lit(i).alias("_which"),
                 # NULLs first when ascending, last when descending
-                (F.when(key.isNull(), F.lit(0 if asc else 1)).otherwise(F.lit(1 if asc else 0))).alias(
-                    "_nulls"
-                ),
+                F.when(key.isNull(), F.lit(0 if asc else 1)).otherwise(F.lit(1 if asc else 0)).alias("_nulls"),
                 (key if asc else -key).alias("_key"),
             )
         )
-    stacked = parts[0]
-    for p in parts[1:]:
-        stacked = stacked.unionByName(p)
+    stacked = df.select(
+        F.col(id_col).alias("_id"), *[F.col(c) for c in payload], F.explode(F.array(*entries)).alias("_s")
+    ).select(
+        "_id",
+        *[F.when(F.col("_s._which") == 0, F.col(c)).alias(c) for c in payload],
+        "_s._which",
+        "_s._nulls",
+        "_s._key",
+    )
 
     pos = _numbered(stacked, ["_which", "_nulls", "_key", "_id"], num_partitions)
     stats = pos.groupBy("_which", "_pid").agg(
@@ -83,17 +90,13 @@ def ntile_many(
         "_n", F.sum("_cnt").over(Window.partitionBy("_which"))
     )
     # stats has at most len(specs) * num_partitions rows: safe to broadcast.
-    ranked = pos.join(F.broadcast(stats), ["_which", "_pid"]).select(
-        "_id",
-        "_which",
-        (F.col("_off") + F.col("_pos") - F.col("_first") + 1).alias("_rn"),
-        "_n",
+    ranked = pos.join(F.broadcast(stats), ["_which", "_pid"]).withColumn(
+        "_bucket", ntile_bucket(F.col("_off") + F.col("_pos") - F.col("_first") + 1, F.col("_n"), k)
     )
-    bucket = ntile_bucket(F.col("_rn"), F.col("_n"), k)
-    scores = ranked.groupBy("_id").agg(
-        *[F.max(F.when(F.col("_which") == i, bucket)).alias(name) for i, name in enumerate(names)]
+    return ranked.groupBy(F.col("_id").alias(id_col)).agg(
+        *[F.max(c).alias(c) for c in payload],
+        *[F.max(F.when(F.col("_which") == i, F.col("_bucket"))).alias(name) for i, name in enumerate(names)],
     )
-    return df.join(scores.withColumnRenamed("_id", id_col), id_col)
 
 
 def ntile_bucket(rn: Column, n: Column, k: int) -> Column:

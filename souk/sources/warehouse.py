@@ -21,11 +21,20 @@ def from_driver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return transform_all(raw_tables(spark, sf_dir), trim_and_dedupe=False)
 
 
-def write_tables(tables: dict[str, DataFrame], root: str) -> None:
-    """(re)create each table as parquet under root/<table>, replacing old files."""
-    for name in LOAD_ORDER:
+def write_tables(tables: dict[str, DataFrame], root: str, parallelism: int = 4) -> None:
+    """(re)create each table as parquet under root/<table>, replacing old files.
+
+    The nine writes are independent jobs, submitted concurrently.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    def write(name: str) -> None:
         tables[name].write.mode("overwrite").parquet(f"{root}/{name}")
 
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        for f in [pool.submit(write, n) for n in LOAD_ORDER]:
+            f.result()
+
 
 def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """Open the warehouse written by ``write_tables``."""
