@@ -67,11 +67,9 @@ def date_ranges(wh, checks: dict[str, str] | None = None) -> DataFrame:
 
 def orphan_orders(wh) -> DataFrame:
     """Q5: orders whose customer_id has no customer row."""
-    return (
-        wh["orders"]
-        .select("customer_id")
-        .join(wh["customers"].select("customer_id"), "customer_id", "left_anti")
-        .agg(F.count(F.lit(1)).alias("orphan_orders"))
+    per_customer = wh["orders"].groupBy("customer_id").agg(F.count(F.lit(1)).alias("_rows"))
+    return per_customer.join(wh["customers"].select("customer_id"), "customer_id", "left_anti").agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("orphan_orders")
     )
 
 
@@ -125,7 +123,11 @@ def declared_constraints(wh) -> DataFrame:
             for c in cols:
                 src = src.where(F.col(c).isNotNull())
             tgt = wh[target].select(*[F.col(tc).alias(c) for c, tc in zip(cols, tcols)])
-            orphans = src.join(tgt, list(cols), "left_anti").agg(F.count(F.lit(1)).alias("violations"))
+            # count rows per referenced key first: the anti join sees each key once
+            per_key = src.groupBy(*cols).agg(F.count(F.lit(1)).alias("_rows"))
+            orphans = per_key.join(tgt, list(cols), "left_anti").agg(
+                F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("violations")
+            )
             parts.append(
                 orphans.select(
                     F.lit(t).alias("table_name"),

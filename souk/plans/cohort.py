@@ -16,12 +16,18 @@ from souk.plans.base import Warehouse, delivered_orders
 
 
 def person_months(wh: Warehouse) -> DataFrame:
-    """Distinct (customer_unique_id, order_month) of delivered orders."""
+    """Distinct (customer_unique_id, order_month) of delivered orders.
+
+    Orders are first reduced to distinct (customer_id, month) — at most one
+    row per calendar month for any customer id — before the person lookup.
+    """
     people = wh["customers"].select("customer_id", "customer_unique_id")
     return (
         delivered_orders(wh, "customer_id", "order_purchase_timestamp")
+        .select("customer_id", month_trunc("order_purchase_timestamp").alias("order_month"))
+        .distinct()
         .join(people, "customer_id")
-        .select("customer_unique_id", month_trunc("order_purchase_timestamp").alias("order_month"))
+        .select("customer_unique_id", "order_month")
         .distinct()
     )
 
@@ -62,9 +68,11 @@ def cohort_sizes(wh: Warehouse) -> DataFrame:
     people = wh["customers"].select("customer_id", "customer_unique_id")
     first = (
         delivered_orders(wh, "customer_id", "order_purchase_timestamp")
+        .groupBy("customer_id")
+        .agg(F.min(month_trunc("order_purchase_timestamp")).alias("first_month"))
         .join(people, "customer_id")
         .groupBy("customer_unique_id")
-        .agg(F.min(month_trunc("order_purchase_timestamp")).alias("cohort_month"))
+        .agg(F.min("first_month").alias("cohort_month"))
     )
     return (
         first.groupBy("cohort_month")

@@ -43,26 +43,37 @@ def segment_of(r: str = "r_score", f: str = "f_score", m: str = "m_score") -> Co
 def customer_rfm(wh: Warehouse) -> DataFrame:
     """(customer_unique_id, recency_days, frequency, monetary_cents) over delivered, paid orders.
 
-    The snapshot date is the latest purchase among those orders (a one-row
-    aggregate, broadcast to every customer).
+    Orders are reduced to one row per customer_id before the person lookup
+    (a customer id with very many orders is combined map-side), then merged
+    per person.  The snapshot date is the latest purchase among those
+    orders (a one-row aggregate, broadcast to every person).
     """
     people = wh["customers"].select("customer_id", "customer_unique_id")
-    orders = (
+    per_customer = (
         delivered_orders(wh, "customer_id", "order_purchase_timestamp")
         .join(order_revenue_cents(wh), "order_id")
-        .join(people, "customer_id")
+        .groupBy("customer_id")
+        .agg(
+            F.max("order_purchase_timestamp").alias("last_ts"),
+            F.count(F.lit(1)).alias("n"),
+            F.sum("revenue_cents").alias("cents"),
+        )
     )
-    snapshot = orders.agg(F.max("order_purchase_timestamp").alias("snapshot_ts"))
-    per_person = orders.groupBy("customer_unique_id").agg(
-        F.max("order_purchase_timestamp").alias("last_ts"),
-        F.count(F.lit(1)).alias("frequency"),
-        F.sum("revenue_cents").alias("monetary_cents"),
+    snapshot = per_customer.agg(F.max("last_ts").alias("snapshot_ts"))
+    per_person = (
+        per_customer.join(people, "customer_id")
+        .groupBy("customer_unique_id")
+        .agg(
+            F.max("last_ts").alias("last_ts"),
+            F.sum("n").alias("frequency"),
+            F.sum("cents").alias("monetary_cents"),
+        )
     )
     return per_person.crossJoin(F.broadcast(snapshot)).select(
         "customer_unique_id",
         day_diff("last_ts", "snapshot_ts").alias("recency_days"),
         F.col("frequency").cast("long").alias("frequency"),
-        "monetary_cents",
+        F.col("monetary_cents").cast("long").alias("monetary_cents"),
     )
 
 
