@@ -75,9 +75,10 @@ def test_rfm_person_level(wh):
     assert got["p1"].frequency == 2  # two customer ids, one person
     assert got["p1"].monetary == 195.5
     assert got["p2"].frequency == 2
-    scores = sorted(r.m_score for r in got.values())
-    # 6 persons in 5 buckets: bucket 1 holds two
-    assert scores == [1, 1, 2, 3, 4, 5]
+    # p4 (cancelled order) and p5 (unpaid order) have no delivered, paid order
+    assert set(got) == {"p1", "p2", "p3", "p6"}
+    # 4 persons in 5 buckets: one person per bucket, bucket 5 stays empty
+    assert sorted(r.m_score for r in got.values()) == [1, 2, 3, 4]
 
 
 def test_cohort_year_boundary(wh):
