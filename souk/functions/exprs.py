@@ -64,12 +64,19 @@ def year_month(ts: str | Column) -> Column:
     return F.date_format(col(ts), "yyyy-MM")
 
 
+# Every code point Python's str.strip() removes (str.isspace), derived by rule.
+WHITESPACE = "".join(chr(i) for i in range(0x110000) if chr(i).isspace())
+
+
 def strip(c: str | Column) -> Column:
-    """Remove leading and trailing Unicode whitespace (tab, no-break space, ...).
+    """Remove leading and trailing whitespace as Python's ``str.strip()`` does
+    (tab, newline, no-break space, ideographic space, ...).
 
-    ``trim`` only removes blanks.  An all-blank text becomes '' (not NULL).
+    Spark's ``trim`` without a set only removes blanks; ``btrim`` with the
+    explicit set is a plain scan, no regular expression.  An all-blank text
+    becomes '' (not NULL).
     """
-    return F.regexp_replace(col(c), r"^[\s\p{Z}\x{FEFF}]+|[\s\p{Z}\x{FEFF}]+$", "")
+    return F.btrim(col(c), F.lit(WHITESPACE))
 
 
 def label_text(c: str | Column) -> Column:

@@ -94,13 +94,27 @@ def derive_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def transform_all(raw: Mapping[str, DataFrame], trim_and_dedupe: bool = True) -> dict[str, DataFrame]:
+ORDER_KEYED = ("orders", "order_items", "order_payments", "order_reviews")
+
+
+def transform_all(
+    raw: Mapping[str, DataFrame], trim_and_dedupe: bool = True, order_partitions: int | None = None
+) -> dict[str, DataFrame]:
     """The whole cleaning step, dict of raw tables -> dict of clean tables.
 
     ``trim_and_dedupe=False`` skips C1/C2 for inputs already known clean
     (the driver adapter); derivations and the translation always run.
+    ``order_partitions`` hash-partitions the order-keyed tables by order_id
+    first: exact duplicates share their order_id, so the dedupe aggregate
+    reuses that partitioning, and a bucketed write by order_id needs no
+    further shuffle.
     """
     clean = generic_clean if trim_and_dedupe else (lambda df: df)
+
+    def keyed(name: str) -> DataFrame:
+        df = raw[name]
+        return df.repartition(order_partitions, "order_id") if order_partitions else df
+
     translation = complete_translation(clean(raw["product_category_translation"]), raw["products"])
     out = {
         "product_category_translation": translation,
@@ -108,9 +122,9 @@ def transform_all(raw: Mapping[str, DataFrame], trim_and_dedupe: bool = True) ->
         "customers": clean(raw["customers"]),
         "sellers": clean(raw["sellers"]),
         "geolocation": clean(raw["geolocation"]),
-        "orders": derive_orders(clean(raw["orders"])),
-        "order_items": clean(raw["order_items"]),
-        "order_payments": clean(raw["order_payments"]),
-        "order_reviews": clean(raw["order_reviews"]),
+        "orders": derive_orders(clean(keyed("orders"))),
+        "order_items": clean(keyed("order_items")),
+        "order_payments": clean(keyed("order_payments")),
+        "order_reviews": clean(keyed("order_reviews")),
     }
     return out

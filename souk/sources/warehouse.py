@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from souk.operators.clean import transform_all
+from souk.operators.clean import ORDER_KEYED, transform_all
 from souk.sources.driver import raw_tables
 from souk.sources.schemas import LOAD_ORDER
 
@@ -39,3 +39,48 @@ def write_tables(tables: dict[str, DataFrame], root: str, parallelism: int = 4)
 def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """Open the warehouse written by ``write_tables``."""
     return {name: spark.read.parquet(f"{root}/{name}") for name in LOAD_ORDER}
+
+
+def save_catalog_tables(
+    tables: dict[str, DataFrame],
+    database: str,
+    buckets: int,
+    parallelism: int = 4,
+    prepartitioned: bool = False,
+) -> None:
+    """S4/S5 as catalog tables: the four order-keyed tables are bucketed (and
+    sorted) by order_id into the same number of buckets, so per-order
+    aggregates and order-to-order joins read co-partitioned data and need no
+    shuffle.  Each bucket is written by one task (the data is hash
+    partitioned by the bucket key into ``buckets`` partitions first, here or
+    — ``prepartitioned=True`` — by ``transform_all(order_partitions=...)``),
+    giving one file per bucket.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    spark = next(iter(tables.values())).sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+
+    def write(name: str) -> None:
+        df = tables[name]
+        if name in ORDER_KEYED:
+            if not prepartitioned:
+                df = df.repartition(buckets, "order_id")
+            (
+                df.write.mode("overwrite")
+                .format("parquet")
+                .bucketBy(buckets, "order_id")
+                .sortBy("order_id")
+                .saveAsTable(f"{database}.{name}")
+            )
+        else:
+            df.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}")
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        for f in [pool.submit(write, n) for n in LOAD_ORDER]:
+            f.result()
+
+
+def read_catalog_tables(spark: SparkSession, database: str) -> dict[str, DataFrame]:
+    """The warehouse as catalog tables (bucketing metadata included)."""
+    return {name: spark.table(f"{database}.{name}") for name in LOAD_ORDER}

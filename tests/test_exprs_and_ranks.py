@@ -96,3 +96,17 @@ def test_average_ranks_match_pandas(spark):
     ranks = pd.Series(vals).rank(method="average")
     want = dict(zip(vals, ranks))
     assert got == want
+
+
+@settings(max_examples=5, deadline=None)
+@given(
+    st.lists(
+        st.text(alphabet=st.sampled_from(list("ab é\t\n\r\x0b\x0c\xa0 　﻿\x1c")), max_size=8),
+        min_size=1,
+        max_size=30,
+    )
+)
+def test_strip_equals_python_strip(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    got = [r.s for r in df.select(strip("s").alias("s")).collect()]
+    assert got == [t.strip() for t in texts]

@@ -124,3 +124,26 @@ def test_load_and_export_roundtrip(spark):
     kpi = pipeline.load_mart(spark, f"{out}/marts", "summary_kpis").first()
     assert kpi.total_orders == 6
     assert "orders" in pipeline.register_views(wh)
+
+
+def test_bucketed_warehouse_joins_without_order_shuffle(spark):
+    import contextlib
+    import io
+
+    from souk.plans import kpis
+
+    wh = pipeline.load_bucketed_warehouse(raw_fixture(spark), "souk_test_wh", buckets=4, parallelism=2)
+    assert wh["customers"].count() == 8
+    assert kpis.summary_kpis(wh).first().total_orders == 6
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            kpis.summary_kpis(wh).explain()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+    plan = buf.getvalue()
+    assert "SortMergeJoin" in plan
+    assert "Exchange hashpartitioning(order_id" not in plan  # co-partitioned by the buckets
