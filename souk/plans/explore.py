@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from souk.plans import sales
 from souk.plans.base import Warehouse
+from souk.plans.views import mart
 from souk.sources.schemas import LOAD_ORDER
 
 
@@ -94,7 +94,7 @@ def review_distribution(wh: Warehouse) -> DataFrame:
 def top_categories_by_revenue(wh: Warehouse, k: int = 15) -> DataFrame:
     """The category mart's top k by revenue."""
     return (
-        sales.revenue_by_category(wh)
+        mart(wh, "revenue_by_category")
         .orderBy(F.col("total_revenue").desc_nulls_last(), "category")
         .limit(k)
     )
@@ -102,13 +102,13 @@ def top_categories_by_revenue(wh: Warehouse, k: int = 15) -> DataFrame:
 
 def top_categories_by_volume(wh: Warehouse, k: int = 15) -> DataFrame:
     """The category mart re-ranked by line items."""
-    return sales.revenue_by_category(wh).orderBy(F.col("line_items").desc(), "category").limit(k)
+    return mart(wh, "revenue_by_category").orderBy(F.col("line_items").desc(), "category").limit(k)
 
 
 def top_states_by_revenue(wh: Warehouse, k: int) -> DataFrame:
     """The state mart's top k by revenue."""
     return (
-        sales.revenue_by_state(wh)
+        mart(wh, "revenue_by_state")
         .orderBy(F.col("total_revenue").desc_nulls_last(), "customer_state")
         .limit(k)
     )

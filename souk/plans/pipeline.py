@@ -116,6 +116,15 @@ def load_mart(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{out_dir}/{name}").cache()
 
 
+def stored_marts(spark: SparkSession, out_dir: str, names: Iterable[str] | None = None) -> dict[str, DataFrame]:
+    """S9 for every mart: name -> cached DataFrame of the stored mart.
+
+    Pass the result to the view builders (``souk.plans.views``) to shape the
+    stored marts, as the dashboard does, instead of recomputing them.
+    """
+    return {n: load_mart(spark, out_dir, n) for n in (names or MARTS)}
+
+
 def register_views(wh: dict[str, DataFrame]) -> list[str]:
     """Expose the warehouse tables to SQL and list what the catalog sees."""
     for name, df in wh.items():

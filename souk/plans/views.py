@@ -1,7 +1,9 @@
 """Report-ready shapes read by the dashboard pages.
 
-Each view is computed from the mart builders, so it grows with the data
-like the marts do; only the final handful of rows reaches a client.
+Each view shapes one or two marts.  ``wh`` may hold the stored marts (see
+``pipeline.stored_marts``), which the views then read as the dashboard
+does; otherwise the marts are computed from the warehouse tables.  Only
+the final handful of rows reaches a client.
 """
 
 from __future__ import annotations
@@ -10,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from souk.functions.exprs import label_text, r2
-from souk.plans import cohort, delivery, kpis, payments, rfm, sales
 from souk.plans.base import Warehouse
 
 MIN_MONTH_ORDERS = 5
@@ -29,15 +30,25 @@ SEGMENT_DEFINITIONS = {
 }
 
 
+def mart(wh: Warehouse, name: str) -> DataFrame:
+    """The named mart: read from ``wh`` when it holds the stored mart (as
+    written by the export job), otherwise computed from the warehouse tables."""
+    if name in wh:
+        return wh[name]
+    from souk.plans.registry import MARTS
+
+    return MARTS[name][1](wh)
+
+
 def kpi_row(wh: Warehouse) -> DataFrame:
     """The headline indicators."""
-    return kpis.summary_kpis(wh)
+    return mart(wh, "summary_kpis")
 
 
 def monthly_trend_view(wh: Warehouse, min_orders: int = MIN_MONTH_ORDERS) -> DataFrame:
     """Monthly trend without thin months, in month order."""
     return (
-        sales.monthly_revenue_trend(wh)
+        mart(wh, "monthly_revenue_trend")
         .where(F.col("order_count") >= min_orders)
         .orderBy("order_purchase_month")
     )
@@ -46,7 +57,7 @@ def monthly_trend_view(wh: Warehouse, min_orders: int = MIN_MONTH_ORDERS) -> Dat
 def top_category(wh: Warehouse) -> DataFrame:
     """D3: the single biggest category by revenue, with a display label."""
     return (
-        sales.revenue_by_category(wh)
+        mart(wh, "revenue_by_category")
         .orderBy(F.col("total_revenue").desc_nulls_last(), "category")
         .limit(1)
         .select("category", label_text("category").alias("category_label"), "total_revenue")
@@ -56,7 +67,7 @@ def top_category(wh: Warehouse) -> DataFrame:
 def top_state(wh: Warehouse) -> DataFrame:
     """D3: the state with the most revenue, its revenue and orders."""
     return (
-        sales.revenue_by_state(wh)
+        mart(wh, "revenue_by_state")
         .orderBy(F.col("total_revenue").desc_nulls_last(), "customer_state")
         .limit(1)
         .select("customer_state", "total_revenue", "order_count")
@@ -66,7 +77,7 @@ def top_state(wh: Warehouse) -> DataFrame:
 def state_revenue_bars(wh: Warehouse, k: int = 15) -> DataFrame:
     """D3: the k states with most revenue, smallest first (bar order)."""
     top = (
-        sales.revenue_by_state(wh)
+        mart(wh, "revenue_by_state")
         .orderBy(F.col("total_revenue").desc_nulls_last(), "customer_state")
         .limit(k)
         .select("customer_state", "total_revenue")
@@ -77,7 +88,7 @@ def state_revenue_bars(wh: Warehouse, k: int = 15) -> DataFrame:
 def segment_table(wh: Warehouse) -> DataFrame:
     """Segment summary with its definition ('' for an unknown segment)."""
     defs = F.create_map(*[F.lit(x) for kv in SEGMENT_DEFINITIONS.items() for x in kv])
-    return rfm.rfm_segment_summary(wh).select(
+    return mart(wh, "rfm_segment_summary").select(
         "segment",
         F.coalesce(defs[F.col("segment")], F.lit("")).alias("definition"),
         "customer_count",
@@ -89,7 +100,7 @@ def segment_table(wh: Warehouse) -> DataFrame:
 def top_segment(wh: Warehouse) -> DataFrame:
     """The segment with most revenue."""
     return (
-        rfm.rfm_segment_summary(wh)
+        mart(wh, "rfm_segment_summary")
         .orderBy(F.col("total_revenue").desc_nulls_last(), "segment")
         .limit(1)
         .select("segment", "total_revenue", "customer_count")
@@ -98,7 +109,7 @@ def top_segment(wh: Warehouse) -> DataFrame:
 
 def retention_wide(wh: Warehouse) -> DataFrame:
     """Cohort x month-offset matrix of retention, offsets 0..11 as columns m0..m11."""
-    m = cohort.cohort_retention_matrix(wh).where(F.col("months_since_first") <= RETENTION_OFFSETS[-1])
+    m = mart(wh, "cohort_retention_matrix").where(F.col("months_since_first") <= RETENTION_OFFSETS[-1])
     wide = m.groupBy("cohort_month").pivot("months_since_first", RETENTION_OFFSETS).agg(
         F.first("retention_pct")
     )
@@ -111,7 +122,7 @@ def retention_wide(wh: Warehouse) -> DataFrame:
 def month1_retention(wh: Warehouse) -> DataFrame:
     """Unweighted mean month-1 retention over cohorts having a month-1 cell (NULL if none)."""
     return (
-        cohort.cohort_retention_matrix(wh)
+        mart(wh, "cohort_retention_matrix")
         .where(F.col("months_since_first") == 1)
         .agg(r2(F.avg("retention_pct")).alias("avg_m1_retention"))
     )
@@ -119,11 +130,11 @@ def month1_retention(wh: Warehouse) -> DataFrame:
 
 def late_vs_on_time(wh: Warehouse) -> DataFrame:
     """Rates, mean scores, score gap and bad-review shares side by side."""
-    rate = delivery.delivery_rate_overall(wh).agg(
+    rate = mart(wh, "delivery_rate_overall").agg(
         F.max(F.when(F.col("delivery_status") == "on_time", F.col("pct_of_orders"))).alias("on_time_pct"),
         F.max(F.when(F.col("delivery_status") == "late", F.col("pct_of_orders"))).alias("late_pct"),
     )
-    rev = delivery.review_score_by_delivery(wh).agg(
+    rev = mart(wh, "review_score_by_delivery").agg(
         F.max(F.when(F.col("delivery_status") == "on_time", F.col("avg_review_score"))).alias("score_on_time"),
         F.max(F.when(F.col("delivery_status") == "late", F.col("avg_review_score"))).alias("score_late"),
         F.max(F.when(F.col("delivery_status") == "on_time", F.col("pct_bad_reviews"))).alias("bad_on_time"),
@@ -142,7 +153,7 @@ def late_vs_on_time(wh: Warehouse) -> DataFrame:
 
 def worst_best_state(wh: Warehouse) -> DataFrame:
     """Highest and lowest late share (ties: alphabetically first state)."""
-    by_state = delivery.delivery_delay_by_state(wh)
+    by_state = mart(wh, "delivery_delay_by_state")
     worst = by_state.orderBy(F.col("late_pct").desc_nulls_last(), "customer_state").limit(1).select(
         F.col("customer_state").alias("worst_state"), F.col("late_pct").alias("worst_late_pct")
     )
@@ -155,7 +166,7 @@ def worst_best_state(wh: Warehouse) -> DataFrame:
 def dominant_payment(wh: Warehouse) -> DataFrame:
     """Payment type with most revenue, display label and revenue share."""
     return (
-        payments.payment_type_mix(wh)
+        mart(wh, "payment_type_mix")
         .orderBy(F.col("total_revenue").desc_nulls_last(), "payment_type")
         .limit(1)
         .select("payment_type", label_text("payment_type").alias("payment_label"), "pct_of_revenue")
@@ -164,7 +175,7 @@ def dominant_payment(wh: Warehouse) -> DataFrame:
 
 def single_installment_share(wh: Warehouse) -> DataFrame:
     """Share of payments made in one instalment (NULL when there are none)."""
-    return payments.installment_distribution(wh).agg(
+    return mart(wh, "installment_distribution").agg(
         F.max(F.when(F.col("payment_installments") == 1, F.col("pct_of_payments"))).alias(
             "pct_single_installment"
         )
@@ -174,7 +185,7 @@ def single_installment_share(wh: Warehouse) -> DataFrame:
 def most_installments_category(wh: Warehouse) -> DataFrame:
     """Category with the highest mean credit-card instalments."""
     return (
-        payments.credit_card_installments_by_category(wh)
+        mart(wh, "credit_card_installments_by_category")
         .orderBy(F.col("avg_installments").desc_nulls_last(), "category")
         .limit(1)
         .select("category", label_text("category").alias("category_label"), "avg_installments")

@@ -147,3 +147,16 @@ def test_bucketed_warehouse_joins_without_order_shuffle(spark):
     plan = buf.getvalue()
     assert "SortMergeJoin" in plan
     assert "Exchange hashpartitioning(order_id" not in plan  # co-partitioned by the buckets
+
+
+def test_views_on_stored_marts_equal_views_on_tables(spark):
+    from souk.plans import views
+    from tests.helpers import same_rows
+
+    out = tempfile.mkdtemp(prefix="souk-marts-")
+    wh = clean.transform_all(raw_fixture(spark), trim_and_dedupe=True)
+    pipeline.export_marts(wh, out)
+    stored = pipeline.stored_marts(spark, out)
+    for view in (views.top_category, views.retention_wide, views.late_vs_on_time, views.segment_table,
+                 views.worst_best_state, views.dominant_payment, views.single_installment_share):
+        assert same_rows(view(stored).toPandas(), view(wh).toPandas()), view.__name__
