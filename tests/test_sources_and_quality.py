@@ -160,3 +160,26 @@ def test_views_on_stored_marts_equal_views_on_tables(spark):
     for view in (views.top_category, views.retention_wide, views.late_vs_on_time, views.segment_table,
                  views.worst_best_state, views.dominant_payment, views.single_installment_share):
         assert same_rows(view(stored).toPandas(), view(wh).toPandas()), view.__name__
+
+
+def test_run_pipeline_from_csv_files(spark):
+    from souk.plans import sales
+    from souk.sources.schemas import LOAD_ORDER
+
+    raw_dir = tempfile.mkdtemp(prefix="souk-rawcsv-")
+    for name, df in raw_fixture(spark).items():
+        pdf = df.toPandas()
+        pdf.to_csv(os.path.join(raw_dir, TABLES[name].raw_file), index=False, date_format="%Y-%m-%d %H:%M:%S")
+    out = tempfile.mkdtemp(prefix="souk-whcsv-")
+    assert pipeline.run_pipeline(spark, raw_dir, out) == 0
+    from souk.sources import warehouse
+
+    wh = warehouse.read_tables(spark, out)
+    counts = {t: wh[t].count() for t in LOAD_ORDER}
+    assert counts["customers"] == 8 and counts["geolocation"] == 2 and counts["order_reviews"] == 8
+    assert counts["product_category_translation"] == 4
+    direct = clean.transform_all(raw_fixture(spark), trim_and_dedupe=True)
+    from tests.helpers import same_rows
+
+    assert same_rows(sales.monthly_revenue_trend(wh).toPandas(), sales.monthly_revenue_trend(direct).toPandas())
+    assert same_rows(wh["orders"].toPandas(), direct["orders"].toPandas())
