@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from souk.operators import quality
 from souk.operators.clean import transform_all
-from souk.plans import explore
+from souk.plans import explore, rfm
 from souk.plans.registry import MARTS, SUITES
 from souk.sources import warehouse
 from souk.sources.csv_source import MissingSourceError, extract_all
@@ -96,13 +96,19 @@ def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str, strict: bool =
 
 
 def export_marts(
-    wh, out_dir: str, names: Iterable[str] | None = None, parallelism: int = 4
+    wh, out_dir: str, names: Iterable[str] | None = None, parallelism: int = 8
 ) -> list[tuple[str, int, int]]:
-    """Write each named mart to ``out_dir/<name>`` and report (name, rows, columns)."""
+    """Write each named mart to ``out_dir/<name>`` and report (name, rows, columns).
+
+    The RFM scoring shared by the two RFM marts runs once per export.
+    """
     names = list(names or [n for suite in sorted(SUITES) for n in SUITES[suite]])
     unknown = [n for n in names if n not in MARTS]
     if unknown:
         raise KeyError(f"unknown marts: {unknown}")
+    if {"rfm_customers", "rfm_segment_summary"} <= set(names):
+        wh = dict(wh)
+        wh[rfm.SCORED_KEY] = rfm.scored_customers(wh)
     results = _run_all(
         [lambda n=n: write_counted(MARTS[n][1](wh), f"{out_dir}/{n}", n) for n in names], parallelism
     )

@@ -77,8 +77,15 @@ def customer_rfm(wh: Warehouse) -> DataFrame:
     )
 
 
+# Key under which a job may hand an already scored table to the builders
+# (the export job scores once for both RFM marts).
+SCORED_KEY = "rfm_scored_customers"
+
+
 def scored_customers(wh: Warehouse) -> DataFrame:
     """customer_rfm plus r/f/m scores (ties broken by customer_unique_id)."""
+    if SCORED_KEY in wh:
+        return wh[SCORED_KEY]
     return ntile_many(
         customer_rfm(wh),
         "customer_unique_id",
