@@ -54,16 +54,35 @@ def load_warehouse(
     return warehouse.read_tables(raw[LOAD_ORDER[0]].sparkSession, out_dir)
 
 
+MAX_BUCKET_SKEW = 4.0
+
+
 def load_bucketed_warehouse(
-    raw: dict[str, DataFrame], database: str, buckets: int, trim_and_dedupe: bool = True, parallelism: int = 4
+    raw: dict[str, DataFrame],
+    database: str,
+    buckets: int,
+    trim_and_dedupe: bool = True,
+    parallelism: int = 4,
+    max_skew: float = MAX_BUCKET_SKEW,
 ) -> dict[str, DataFrame]:
     """Load job writing catalog tables; order-keyed tables bucketed by order_id.
 
     The order tables are hash partitioned by order_id once, before the
-    dedupe; that single shuffle also lays out the buckets.
+    dedupe; that single shuffle also lays out the buckets.  A bucket is read
+    by one task and cannot be split at run time, so the layout is only used
+    when no bucket holds more than ``max_skew`` times the mean (measured
+    first, ``buckets`` numbers); otherwise the tables are written unbucketed,
+    where scans split by size and partial aggregation absorbs a hot order.
     """
-    clean = transform_all(raw, trim_and_dedupe=trim_and_dedupe, order_partitions=buckets)
-    warehouse.save_catalog_tables(clean, database, buckets, parallelism=parallelism, prepartitioned=True)
+    skew = warehouse.bucket_skew(raw, buckets)
+    bucketed = skew <= max_skew
+    log.info("order_id bucket skew %.2f: %s", skew, "bucketed" if bucketed else "unbucketed (skewed)")
+    clean = transform_all(
+        raw, trim_and_dedupe=trim_and_dedupe, order_partitions=buckets if bucketed else None
+    )
+    warehouse.save_catalog_tables(
+        clean, database, buckets if bucketed else None, parallelism=parallelism, prepartitioned=bucketed
+    )
     return warehouse.read_catalog_tables(raw[LOAD_ORDER[0]].sparkSession, database)
 
 

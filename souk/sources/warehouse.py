@@ -4,6 +4,7 @@ from parquet files written by the load step."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from souk.operators.clean import ORDER_KEYED, transform_all
 from souk.sources.driver import raw_tables
@@ -41,10 +42,29 @@ def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(f"{root}/{name}") for name in LOAD_ORDER}
 
 
+def bucket_skew(tables: dict[str, DataFrame], buckets: int) -> float:
+    """Rows of the heaviest order_id bucket divided by the mean bucket, over
+    the order-keyed tables (1.0 = perfectly even).
+
+    The bucket id is Spark's own (murmur3 hash of the key, modulo the bucket
+    count); the per-bucket counts are map-side combined, and only ``buckets``
+    numbers come back.
+    """
+    from functools import reduce
+
+    ids = [
+        tables[t].select(F.pmod(F.hash("order_id"), F.lit(buckets)).alias("bucket"))
+        for t in ORDER_KEYED
+    ]
+    per_bucket = reduce(DataFrame.unionByName, ids).groupBy("bucket").count()
+    top, total = per_bucket.agg(F.max("count"), F.sum("count")).first()
+    return 1.0 if not total else top * buckets / total
+
+
 def save_catalog_tables(
     tables: dict[str, DataFrame],
     database: str,
-    buckets: int,
+    buckets: int | None,
     parallelism: int = 4,
     prepartitioned: bool = False,
 ) -> None:
@@ -63,7 +83,7 @@ def save_catalog_tables(
 
     def write(name: str) -> None:
         df = tables[name]
-        if name in ORDER_KEYED:
+        if buckets and name in ORDER_KEYED:
             if not prepartitioned:
                 df = df.repartition(buckets, "order_id")
             (

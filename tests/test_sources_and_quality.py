@@ -183,3 +183,22 @@ def test_run_pipeline_from_csv_files(spark):
 
     assert same_rows(sales.monthly_revenue_trend(wh).toPandas(), sales.monthly_revenue_trend(direct).toPandas())
     assert same_rows(wh["orders"].toPandas(), direct["orders"].toPandas())
+
+
+def test_skewed_orders_are_not_bucketed(spark):
+    from souk.sources import warehouse
+
+    raw = raw_fixture(spark)
+    even = warehouse.bucket_skew(raw, 2)
+    hot = dict(raw)
+    o1_items = raw["order_items"].where(F.col("order_id") == "o1")
+    many = o1_items
+    for i in range(6):  # o1 gets far more lines than any other order
+        many = many.unionByName(o1_items.withColumn("order_item_id", F.col("order_item_id") + 10 * (i + 1)))
+    hot["order_items"] = raw["order_items"].unionByName(many)
+    assert warehouse.bucket_skew(hot, 4) > warehouse.bucket_skew(raw, 4)
+    assert even >= 1.0
+    wh = pipeline.load_bucketed_warehouse(hot, "souk_skew_wh", buckets=4, parallelism=2, max_skew=1.5)
+    meta = spark.sql("DESCRIBE TABLE EXTENDED souk_skew_wh.order_items").collect()
+    assert not any(r.col_name == "Num Buckets" for r in meta)  # fell back to an unbucketed table
+    assert wh["order_items"].count() == 11 + 12
