@@ -118,6 +118,10 @@ CLEAN_BUILDERS: dict[str, Builder] = {
     "T9_spearman": stats.spearman,
     "T10_mean_score_by_installments": stats.mean_score_by_installments,
     "T11_score_histogram": stats.score_histogram,
+    # p-values: no SQL engine oracle (Student t / normal tails); unit-tested
+    "T3p_mann_whitney_p": stats.mann_whitney_p,
+    "T4p_welch_p": stats.welch_p,
+    "T9p_spearman_p": stats.spearman_p,
 }
 
 

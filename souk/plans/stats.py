@@ -2,14 +2,15 @@
 
 The two samples are built with joins; ranking works on value histograms
 (``average_ranks``), so pairing, ranking and counting all run distributed
-and each test statistic ends as arithmetic on a one-row aggregate.  Only
-the tail probabilities (``souk.functions.dist``) run on the driver, on
-that single row.
+and each test statistic ends as arithmetic on a one-row aggregate.  The
+tail probabilities (``souk.functions.dist``) are applied to that one row by
+a scalar pandas UDF, inside the plan.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from souk.functions import dist
@@ -208,30 +209,73 @@ def mean_score_by_installments(wh: Warehouse, max_installments: int = MAX_INSTAL
     )
 
 
-# -- test results with p-values (one row reaches the driver) -----------------
+# -- test results with p-values ----------------------------------------------
+
+
+def _norm_p(z: pd.Series) -> pd.Series:
+    return z.map(lambda v: None if pd.isna(v) else dist.two_sided_norm(float(v))).astype("float64")
+
+
+def _t_p(t: pd.Series, df: pd.Series) -> pd.Series:
+    out = [
+        None if pd.isna(a) or pd.isna(b) or b <= 0 else dist.two_sided_t(float(a), float(b))
+        for a, b in zip(t, df)
+    ]
+    return pd.Series(out, dtype="float64")
+
+
+_UDFS: dict = {}
+
+
+def _udf(fn):
+    # created on first use: a pandas UDF needs an active session
+    if fn not in _UDFS:
+        _UDFS[fn] = F.pandas_udf(fn, "double")
+    return _UDFS[fn]
+
+
+def two_sided_norm_p(z) -> Column:
+    """Two-sided normal tail of z, as a Column (Arrow-batched; used on one-row aggregates)."""
+    return _udf(_norm_p)(z)
+
+
+def two_sided_t_p(t, df) -> Column:
+    """Two-sided Student-t tail of t with df degrees of freedom, as a Column."""
+    return _udf(_t_p)(t, df)
+
+
+def mann_whitney_p(wh: Warehouse) -> DataFrame:
+    """T3 with its two-sided p (normal approximation, tie and continuity corrected)."""
+    return _mann_whitney_row(wh).select(
+        "n_late", "n_on_time", "u_statistic", two_sided_norm_p("z").alias("p_value")
+    )
+
+
+def welch_p(wh: Warehouse) -> DataFrame:
+    """T4 with its two-sided p (Student t with Welch–Satterthwaite df)."""
+    return welch_t(wh).select("t_statistic", "df", two_sided_t_p("t_statistic", "df").alias("p_value"))
+
+
+def spearman_p(wh: Warehouse) -> DataFrame:
+    """T9 with its two-sided p (t = rho sqrt((n-2)/(1-rho^2)), n-2 df)."""
+    r = _spearman_row(wh)
+    rho, n = F.col("rho"), F.col("n")
+    t = rho * F.sqrt((n - 2) / (F.lit(1.0) - rho * rho))
+    p = (
+        F.when(n < 3, F.lit(None).cast("double"))
+        .when(F.abs(rho) >= 1, F.lit(0.0))
+        .otherwise(two_sided_t_p(t, (n - 2).cast("double")))
+    )
+    return r.select("n", "rho", p.alias("p_value"))
 
 
 def mann_whitney_test(wh: Warehouse) -> dict:
-    row = _mann_whitney_row(wh).first()
-    return {
-        "u_statistic": row.u_statistic,
-        "p_value": dist.two_sided_norm(row.z),
-        "n_late": row.n_late,
-        "n_on_time": row.n_on_time,
-    }
+    return mann_whitney_p(wh).first().asDict()
 
 
 def welch_test(wh: Warehouse) -> dict:
-    row = welch_t(wh).first()
-    return {"t_statistic": row.t_statistic, "df": row.df, "p_value": dist.two_sided_t(row.t_statistic, row.df)}
+    return welch_p(wh).first().asDict()
 
 
 def spearman_test(wh: Warehouse) -> dict:
-    row = _spearman_row(wh).first()
-    n, rho = row.n, row.rho
-    if rho is None or n < 3:
-        return {"rho": rho, "p_value": None, "n": n}
-    if abs(rho) >= 1.0:
-        return {"rho": rho, "p_value": 0.0, "n": n}
-    t = rho * ((n - 2) / (1 - rho * rho)) ** 0.5
-    return {"rho": rho, "p_value": dist.two_sided_t(t, n - 2), "n": n}
+    return spearman_p(wh).first().asDict()

@@ -40,6 +40,8 @@ def test_mann_whitney_equals_pair_counting(spark):
     assert math.isclose(rb, round(1 - 2 * u_brute / (len(late) * len(ok)), 6), abs_tol=1e-9)
     test = stats.mann_whitney_test(wh)
     assert 0.0 <= test["p_value"] <= 1.0
+    z = stats._mann_whitney_row(wh).first().z
+    assert math.isclose(test["p_value"], dist.two_sided_norm(z), rel_tol=1e-12)
 
 
 def test_welch_and_spearman_against_numpy(spark):
@@ -53,7 +55,11 @@ def test_welch_and_spearman_against_numpy(spark):
     rho = s2["installments"].rank().corr(s2["review_score"].rank())
     got = stats.spearman_test(wh)
     assert math.isclose(got["rho"], rho, abs_tol=1e-9)
-    assert 0.0 <= got["p_value"] <= 1.0
+    n = len(s2)
+    t_rho = rho * math.sqrt((n - 2) / (1 - rho * rho))
+    assert math.isclose(got["p_value"], dist.two_sided_t(t_rho, n - 2), rel_tol=1e-6)
+    w = stats.welch_test(wh)
+    assert math.isclose(w["p_value"], dist.two_sided_t(w["t_statistic"], w["df"]), rel_tol=1e-9)
 
 
 def test_entry_contract(spark):
@@ -64,4 +70,5 @@ def test_entry_contract(spark):
     assert df.columns == ["order_purchase_month", "order_count", "total_revenue", "avg_order_value"]
     qs, orc = e.queries(), e.oracle_sql()
     assert set(orc) <= set(qs)
-    assert len(orc) == len(qs)  # every registered query has an oracle
+    # only the p-value queries lack an oracle (no t / normal tail in SQL)
+    assert set(qs) - set(orc) == {"T3p_mann_whitney_p", "T4p_welch_p", "T9p_spearman_p"}
