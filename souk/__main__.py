@@ -3,6 +3,7 @@
     python -m souk load   RAW_DIR WAREHOUSE_DIR [--strict]
     python -m souk export WAREHOUSE_DIR MARTS_DIR [--mart NAME ...]
     python -m souk report WAREHOUSE_DIR
+    python -m souk stats  WAREHOUSE_DIR
 
 On a cluster, submit with spark-submit and set spark.checkpoint.dir to a
 shared folder.
@@ -32,6 +33,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--mart", action="append", help="only these marts (repeatable)")
     p = sub.add_parser("report", help="print the data-quality report of a warehouse")
     p.add_argument("warehouse_dir")
+    p = sub.add_parser("stats", help="late delivery vs review score; instalments vs review score")
+    p.add_argument("warehouse_dir")
     args = ap.parse_args(argv)
 
     logging.basicConfig(level=logging.INFO, format="%(asctime)s [%(levelname)s] %(message)s")
@@ -42,6 +45,19 @@ def main(argv: list[str] | None = None) -> int:
         wh = warehouse.read_tables(spark, args.warehouse_dir)
         if args.cmd == "export":
             pipeline.export_marts(wh, args.marts_dir, args.mart)
+        elif args.cmd == "stats":
+            from souk.plans import stats
+
+            for title, df in (
+                ("descriptives", stats.group_descriptives(wh)),
+                ("mann-whitney U (late vs on time)", stats.mann_whitney_p(wh)),
+                ("welch t", stats.welch_p(wh)),
+                ("rank-biserial effect", stats.effect_size(wh)),
+                ("spearman (instalments, score)", stats.spearman_p(wh)),
+                ("mean score by instalments", stats.mean_score_by_installments(wh)),
+            ):
+                print(f"== {title}")
+                df.show(50, truncate=False)
         else:
             for name, df in pipeline.quality_report(wh).items():
                 print(f"== {name}")
