@@ -110,3 +110,27 @@ def test_strip_equals_python_strip(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "s string")
     got = [r.s for r in df.select(strip("s").alias("s")).collect()]
     assert got == [t.strip() for t in texts]
+
+
+def test_ntile_null_keys_follow_sql_order(spark):
+    # ascending: NULLs first; descending: NULLs last (Spark and SQL defaults)
+    rows = [("a", None), ("b", 1), ("c", 2), ("d", None), ("e", 3)]
+    df = spark.createDataFrame(rows, "id string, v long")
+    got = {r.id: (r.up, r.down) for r in ntile_many(df, "id", {"up": ("v", True), "down": ("v", False)}, k=5).collect()}
+    assert [got[i][0] for i in "adbce"] == [1, 2, 3, 4, 5]
+    assert [got[i][1] for i in "ecbad"] == [1, 2, 3, 4, 5]
+    want = spark.createDataFrame(rows, "id string, v long").selectExpr(
+        "id", "ntile(5) OVER (ORDER BY v ASC, id) AS up", "ntile(5) OVER (ORDER BY v DESC, id) AS down"
+    )
+    assert {r.id: (r.up, r.down) for r in want.collect()} == got
+
+
+def test_average_ranks_across_many_partitions(spark):
+    rnd = random.Random(11)
+    vals = [rnd.randint(0, 199) for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in vals], "v long")
+    got = {r.v: (r.n, r.avg_rank) for r in average_ranks(df, "v", num_partitions=9).collect()}
+    s = pd.Series(vals)
+    ranks = s.rank(method="average")
+    want = {v: (int((s == v).sum()), float(ranks[s == v].iloc[0])) for v in set(vals)}
+    assert got == want
