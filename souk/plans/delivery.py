@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from souk.functions.exprs import pct, r2
+from souk.operators.totals import with_grand_totals
 from souk.plans.base import Warehouse, delay_status, delivered_with_date
 
 
@@ -17,10 +18,8 @@ def delivery_rate_overall(wh: Warehouse) -> DataFrame:
         .groupBy("delivery_status")
         .agg(F.count(F.lit(1)).alias("order_count"), F.avg("delivery_delay_days").alias("_avg"))
     )
-    # grand total: a one-row aggregate of the grouped rows, broadcast
-    total = grouped.agg(F.sum("order_count").alias("_all"))
     return (
-        grouped.crossJoin(F.broadcast(total))
+        with_grand_totals(grouped, {"_all": "order_count"})
         .select(
             "delivery_status",
             "order_count",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from souk.functions.exprs import pct, r2
+from souk.operators.totals import with_grand_totals
 from souk.plans.base import CREDIT_CARD, Warehouse, category_of
 
 MIN_CATEGORY_PAYMENTS = 30
@@ -17,9 +18,8 @@ def payment_type_mix(wh: Warehouse) -> DataFrame:
     g = wh["order_payments"].groupBy("payment_type").agg(
         F.count(F.lit(1)).alias("payment_count"), F.sum("payment_value").alias("_value")
     )
-    total = g.agg(F.sum("payment_count").alias("_n_all"), F.sum("_value").alias("_v_all"))
     return (
-        g.crossJoin(F.broadcast(total))
+        with_grand_totals(g, {"_n_all": "payment_count", "_v_all": "_value"})
         .select(
             "payment_type",
             "payment_count",
@@ -36,9 +36,8 @@ def installment_distribution(wh: Warehouse) -> DataFrame:
     g = wh["order_payments"].groupBy("payment_installments").agg(
         F.count(F.lit(1)).alias("payment_count"), F.sum("payment_value").alias("_value")
     )
-    total = g.agg(F.sum("payment_count").alias("_n_all"))
     return (
-        g.crossJoin(F.broadcast(total))
+        with_grand_totals(g, {"_n_all": "payment_count"})
         .select(
             "payment_installments",
             "payment_count",

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from souk.functions.exprs import day_diff, r2
+from souk.functions.exprs import r2
 from souk.operators.ranks import ntile_many
 from souk.plans.base import Warehouse, delivered_orders, order_revenue_cents
 
@@ -41,12 +41,12 @@ def segment_of(r: str = "r_score", f: str = "f_score", m: str = "m_score") -> Co
 
 
 def customer_rfm(wh: Warehouse) -> DataFrame:
-    """(customer_unique_id, recency_days, frequency, monetary_cents) over delivered, paid orders.
+    """(customer_unique_id, last_day, frequency, monetary_cents) over delivered, paid orders.
 
-    Orders are reduced to one row per customer_id before the person lookup
-    (a customer id with very many orders is combined map-side), then merged
-    per person.  The snapshot date is the latest purchase among those
-    orders (a one-row aggregate, broadcast to every person).
+    ``last_day`` is the day of the person's latest purchase as days since
+    1970-01-01.  Orders are reduced to one row per customer_id before the
+    person lookup (a customer id with very many orders is combined
+    map-side), then merged per person.
     """
     people = wh["customers"].select("customer_id", "customer_unique_id")
     per_customer = (
@@ -59,22 +59,15 @@ def customer_rfm(wh: Warehouse) -> DataFrame:
             F.sum("revenue_cents").alias("cents"),
         )
     )
-    snapshot = per_customer.agg(F.max("last_ts").alias("snapshot_ts"))
-    per_person = (
+    return (
         per_customer.join(people, "customer_id")
         .groupBy("customer_unique_id")
         .agg(
-            F.max("last_ts").alias("last_ts"),
-            F.sum("n").alias("frequency"),
-            F.sum("cents").alias("monetary_cents"),
+            F.unix_date(F.to_date(F.max("last_ts"))).alias("last_day"),
+            F.sum("n").cast("long").alias("frequency"),
+            F.sum("cents").cast("long").alias("monetary_cents"),
         )
     )
-    return per_person.crossJoin(F.broadcast(snapshot)).select(
-        "customer_unique_id",
-        day_diff("last_ts", "snapshot_ts").alias("recency_days"),
-        F.col("frequency").cast("long").alias("frequency"),
-        F.col("monetary_cents").cast("long").alias("monetary_cents"),
-    )
 
 
 # Key under which a job may hand an already scored table to the builders
@@ -83,14 +76,21 @@ SCORED_KEY = "rfm_scored_customers"
 
 
 def scored_customers(wh: Warehouse) -> DataFrame:
-    """customer_rfm plus r/f/m scores (ties broken by customer_unique_id)."""
+    """customer_rfm plus r/f/m scores (ties broken by customer_unique_id).
+
+    Recency is days from the last purchase day to the snapshot day (the
+    latest purchase day of all), so ordering by recency descending is
+    ordering by last purchase day ascending, with the same ties; the scores
+    are computed on that, and the snapshot is taken afterwards from the
+    scored (checkpointed) rows instead of a second pass over the orders.
+    """
     if SCORED_KEY in wh:
         return wh[SCORED_KEY]
     return ntile_many(
         customer_rfm(wh),
         "customer_unique_id",
         {
-            "r_score": ("recency_days", False),  # fewer days = better = higher score
+            "r_score": ("last_day", True),  # older last purchase = larger recency = lower score
             "f_score": ("frequency", True),
             "m_score": ("monetary_cents", True),
         },
@@ -101,9 +101,10 @@ def scored_customers(wh: Warehouse) -> DataFrame:
 def rfm_customers(wh: Warehouse) -> DataFrame:
     """One row per person with scores and segment."""
     s = scored_customers(wh)
-    return s.select(
+    snapshot = s.agg(F.max("last_day").alias("snapshot_day"))  # one row
+    return s.crossJoin(F.broadcast(snapshot)).select(
         "customer_unique_id",
-        "recency_days",
+        (F.col("snapshot_day") - F.col("last_day")).cast("long").alias("recency_days"),
         "frequency",
         r2(F.col("monetary_cents") / F.lit(100.0)).alias("monetary"),
         "r_score",
