@@ -12,24 +12,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from souk.functions.exprs import r2
+from souk.functions.exprs import r2, safe_div
 from souk.plans.base import Warehouse, delivered_orders, order_revenue
 
 
 def summary_kpis(wh: Warehouse) -> DataFrame:
-    sales = (
-        delivered_orders(wh)
-        .join(order_revenue(wh), "order_id")
-        .agg(F.count(F.lit(1)).alias("total_orders"), F.sum("order_revenue").alias("_rev"))
+    """One row.  Delivered orders are read once: each carries its payment
+    total and its review count and score sum (both pre-aggregated per order,
+    joined on order_id), and a single global aggregate produces all four
+    figures."""
+    reviews = wh["order_reviews"].groupBy("order_id").agg(
+        F.count("review_score").alias("_reviews"), F.sum("review_score").alias("_score_sum")
     )
-    reviews = (
+    per_order = (
         delivered_orders(wh)
-        .join(wh["order_reviews"].select("order_id", "review_score"), "order_id")
-        .agg(F.avg("review_score").alias("_score"))
+        .select("order_id")
+        .join(order_revenue(wh), "order_id", "left")
+        .join(reviews, "order_id", "left")
+    )
+    g = per_order.agg(
+        F.count("order_revenue").alias("total_orders"),  # delivered orders with a payment
+        F.sum("order_revenue").alias("_rev"),
+        F.sum("_reviews").alias("_reviews"),
+        F.sum("_score_sum").alias("_score_sum"),
     )
-    return sales.crossJoin(reviews).select(
+    return g.select(
         r2("_rev").alias("total_revenue"),
         "total_orders",
-        r2(F.col("_rev") / F.col("total_orders")).alias("avg_order_value"),
-        r2("_score").alias("avg_review_score"),
+        r2(safe_div("_rev", "total_orders")).alias("avg_order_value"),
+        r2(safe_div("_score_sum", "_reviews")).alias("avg_review_score"),
     )
