@@ -28,8 +28,9 @@ def r2(c: str | Column, digits: int = 2) -> Column:
 
 
 def pct(num: str | Column, den: str | Column) -> Column:
-    """100 * num / den in double precision (a SQL ``100.0`` literal is decimal in Spark)."""
-    return F.lit(100.0) * col(num).cast("double") / col(den).cast("double")
+    """100 * num / den in double precision (a SQL ``100.0`` literal is decimal in
+    Spark); NULL when den is 0 (ANSI mode would raise)."""
+    return F.lit(100.0) * col(num).cast("double") / F.nullif(col(den).cast("double"), F.lit(0.0))
 
 
 def safe_div(num: str | Column, den: str | Column) -> Column:

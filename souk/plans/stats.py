@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from souk.functions import dist
-from souk.functions.exprs import r2
+from souk.functions.exprs import r2, safe_div
 from souk.operators.ranks import average_ranks
 from souk.plans.base import Warehouse
 
@@ -98,7 +98,7 @@ def _mann_whitney_row(wh: Warehouse) -> DataFrame:
         n2.cast("long").alias("n_on_time"),
         u1.alias("u_statistic"),
         F.col("tie_term"),
-        ((u_big - n1 * n2 / 2 - 0.5) / sd).alias("z"),
+        safe_div(u_big - n1 * n2 / 2 - 0.5, sd).alias("z"),
     )
 
 
@@ -123,9 +123,9 @@ def welch_t(wh: Warehouse) -> DataFrame:
             )
         ]
     )
-    a, b = F.col("v1") / F.col("n1"), F.col("v2") / F.col("n2")
-    t = (F.col("m1") - F.col("m2")) / F.sqrt(a + b)
-    df = (a + b) * (a + b) / (a * a / (F.col("n1") - 1) + b * b / (F.col("n2") - 1))
+    a, b = safe_div("v1", "n1"), safe_div("v2", "n2")
+    t = safe_div(F.col("m1") - F.col("m2"), F.sqrt(a + b))
+    df = safe_div((a + b) * (a + b), safe_div(a * a, F.col("n1") - 1) + safe_div(b * b, F.col("n2") - 1))
     return g.select(r6(t).alias("t_statistic"), r6(df).alias("df"))
 
 
@@ -140,7 +140,7 @@ def _effect_label(r):
 def rank_biserial(wh: Warehouse) -> DataFrame:
     """T5: r = 1 - 2U/(n1 n2), U of the late group."""
     m = _mann_whitney_row(wh)
-    r = F.lit(1.0) - 2 * F.col("u_statistic") / (F.col("n_late") * F.col("n_on_time"))
+    r = F.lit(1.0) - 2 * safe_div("u_statistic", F.col("n_late") * F.col("n_on_time"))
     return m.select("n_late", "n_on_time", r6("u_statistic").alias("u_statistic"), r6(r).alias("rank_biserial"))
 
 
@@ -260,7 +260,7 @@ def spearman_p(wh: Warehouse) -> DataFrame:
     """T9 with its two-sided p (t = rho sqrt((n-2)/(1-rho^2)), n-2 df)."""
     r = _spearman_row(wh)
     rho, n = F.col("rho"), F.col("n")
-    t = rho * F.sqrt((n - 2) / (F.lit(1.0) - rho * rho))
+    t = rho * F.sqrt(safe_div(n - 2, F.lit(1.0) - rho * rho))
     p = (
         F.when(n < 3, F.lit(None).cast("double"))
         .when(F.abs(rho) >= 1, F.lit(0.0))
