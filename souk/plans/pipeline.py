@@ -42,7 +42,7 @@ def write_counted(df: DataFrame, path: str, name: str) -> tuple[str, int, int]:
 
 
 def load_warehouse(
-    raw: dict[str, DataFrame], out_dir: str, trim_and_dedupe: bool = True, parallelism: int = 4
+    raw: dict[str, DataFrame], out_dir: str, trim_and_dedupe: bool = True, parallelism: int = 8
 ) -> dict[str, DataFrame]:
     """S4/S5 + C10: clean the raw tables and (re)create every warehouse table."""
     clean = transform_all(raw, trim_and_dedupe=trim_and_dedupe)
@@ -62,7 +62,7 @@ def load_bucketed_warehouse(
     database: str,
     buckets: int,
     trim_and_dedupe: bool = True,
-    parallelism: int = 4,
+    parallelism: int = 8,
     max_skew: float = MAX_BUCKET_SKEW,
 ) -> dict[str, DataFrame]:
     """Load job writing catalog tables; order-keyed tables bucketed by order_id.
