@@ -32,10 +32,17 @@ def dedupe(df: DataFrame) -> DataFrame:
 
 
 def dedupe_report(df: DataFrame, table: str) -> DataFrame:
-    """One row (table_name, rows_before, rows_after, removed_rows)."""
-    before = df.agg(F.count(F.lit(1)).alias("rows_before"))
-    after = df.dropDuplicates().agg(F.count(F.lit(1)).alias("rows_after"))
-    return before.crossJoin(after).select(
+    """One row (table_name, rows_before, rows_after, removed_rows).
+
+    One pass: rows are grouped on all columns (map-side combined); the
+    number of groups is the count after de-duplication, the sum of their
+    sizes the count before.
+    """
+    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    return groups.agg(
+        F.coalesce(F.sum("_copies"), F.lit(0)).cast("long").alias("rows_before"),
+        F.count(F.lit(1)).alias("rows_after"),
+    ).select(
         F.lit(table).alias("table_name"),
         "rows_before",
         "rows_after",
