@@ -49,7 +49,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     only invented (under the machine's temp folder) for local masters, as in
     tests.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
