@@ -47,11 +47,13 @@ def cohort_retention_matrix(wh: Warehouse) -> DataFrame:
     cells = cohort_activity(wh).groupBy("cohort_month", "months_since_first").agg(
         F.count(F.lit(1)).alias("active_customers")
     )
-    sizes = cells.where(F.col("months_since_first") == 0).select(
-        "cohort_month", F.col("active_customers").alias("cohort_size")
-    )
+    # the month-0 cell of each cohort is its size; cells has one row per
+    # (cohort, offset), so this window sees at most a few hundred rows per
+    # cohort and the orders are read once
+    month0 = F.max(F.when(F.col("months_since_first") == 0, F.col("active_customers")))
     return (
-        cells.join(sizes, "cohort_month")
+        cells.withColumn("cohort_size", month0.over(Window.partitionBy("cohort_month")))
+        .where(F.col("cohort_size").isNotNull())  # inner join semantics: cohorts with a month-0 cell
         .select(
             "cohort_month",
             "months_since_first",
