@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from souk.functions import dist
 from souk.functions.exprs import r2, safe_div
 from souk.operators.ranks import average_ranks
-from souk.plans.base import Warehouse
+from souk.plans.base import Warehouse, delay_status
 
 LATE, ON_TIME = "late", "on_time_or_early"
 DIGITS = 6
@@ -40,7 +40,7 @@ def late_review_sample(wh: Warehouse) -> DataFrame:
     return o.join(wh["order_reviews"].select("order_id", "review_score"), "order_id").select(
         "order_id",
         "delivery_delay_days",
-        F.when(F.col("delivery_delay_days") > 0, F.lit(LATE)).otherwise(F.lit(ON_TIME)).alias("delivery_group"),
+        delay_status(late=LATE, other=ON_TIME).alias("delivery_group"),
         "review_score",
     )
 
