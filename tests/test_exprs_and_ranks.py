@@ -134,3 +134,28 @@ def test_average_ranks_across_many_partitions(spark):
     ranks = s.rank(method="average")
     want = {v: (int((s == v).sum()), float(ranks[s == v].iloc[0])) for v in set(vals)}
     assert got == want
+
+
+def test_wall_clock_results_do_not_depend_on_the_session_zone(spark):
+    from souk.functions.exprs import month_trunc
+
+    rows = [
+        (dt(2016, 10, 16, 0, 30), dt(2016, 10, 15, 23, 30)),  # around a DST change in Sao Paulo
+        (dt(2017, 2, 18, 23, 30), dt(2017, 2, 19, 0, 30)),
+        (dt(2017, 12, 31, 23, 59), dt(2018, 1, 1, 0, 1)),
+    ]
+    df = spark.createDataFrame(rows, "a timestamp_ntz, b timestamp_ntz")
+    exprs = [
+        floor_days("a", "b").alias("d"),
+        year_month("a").alias("ym"),
+        month_trunc("b").cast("string").alias("mt"),
+        month_diff("a", "b").alias("md"),
+        day_diff("a", "b").alias("dd"),
+    ]
+    utc = [tuple(r) for r in df.select(*exprs).collect()]
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        local = [tuple(r) for r in df.select(*exprs).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert local == utc
