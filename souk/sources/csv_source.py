@@ -1,8 +1,9 @@
 """Raw CSV extraction with the declared schema.
 
-Every column is read as text first so the missing-value words of the
-original reader (``NA``, ``N/A``, ``null``, empty, ...) become NULL in any
-column, then cast to its declared type.  Quoted fields may span lines and
+Every column is read as text, matched to the declared columns by its header
+name, so the missing-value words of the original reader (``NA``, ``N/A``,
+``null``, empty, ...) become NULL in any column; then it is cast to its
+declared type.  Quoted fields may span lines and
 escape quotes by doubling them.  Derived columns are not expected in the
 files.
 """
@@ -33,10 +34,11 @@ def read_csv_table(spark: SparkSession, table: str, raw_dir: str) -> DataFrame:
     spec = TABLES[table]
     path = f"{raw_dir.rstrip('/')}/{spec.raw_file}"
     cols = [c for c, _, _ in spec.columns if c not in spec.derived]
-    text_schema = T.StructType([T.StructField(c, T.StringType(), True) for c in cols])
+    # no schema and no inference: every column is text, named by the header,
+    # so columns are matched by name (a declared schema would match by position)
     reader = (
-        spark.read.schema(text_schema)
-        .option("header", True)
+        spark.read.option("header", True)
+        .option("inferSchema", False)
         .option("multiLine", True)
         .option("quote", '"')
         .option("escape", '"')
@@ -53,6 +55,9 @@ def read_csv_table(spark: SparkSession, table: str, raw_dir: str) -> DataFrame:
         if _is_missing(exc):
             raise MissingSourceError(f"missing raw data file for '{table}': {path}") from exc
         raise
+    missing = [c for c in cols if c not in raw.columns]
+    if missing:
+        raise ValueError(f"raw file for '{table}' lacks columns {missing}: {path}")
     types = {c: t for c, t, _ in spec.columns}
     out = []
     for c in cols:

@@ -202,3 +202,20 @@ def test_skewed_orders_are_not_bucketed(spark):
     meta = spark.sql("DESCRIBE TABLE EXTENDED souk_skew_wh.order_items").collect()
     assert not any(r.col_name == "Num Buckets" for r in meta)  # fell back to an unbucketed table
     assert wh["order_items"].count() == 11 + 12
+
+
+def test_csv_columns_are_matched_by_header_name(spark):
+    d = tempfile.mkdtemp(prefix="souk-csv-")
+    _write(
+        d,
+        "order_payments",
+        "payment_value,order_id,payment_type,payment_sequential,payment_installments\n"
+        "12.5,o1,credit_card,1,3\n",
+    )
+    r = read_csv_table(spark, "order_payments", d).first()
+    assert (r.order_id, r.payment_sequential, r.payment_type, r.payment_installments, r.payment_value) == (
+        "o1", 1, "credit_card", 3, 12.5
+    )
+    _write(d, "sellers", "seller_id,seller_city\ns1,rio\n")
+    with pytest.raises(ValueError):
+        read_csv_table(spark, "sellers", d)
