@@ -43,7 +43,7 @@ def summarise(plan: str) -> dict:
         if "FileScan parquet" not in line:
             continue
         cols = re.search(r"FileScan parquet \S*\[([^\]]*)\]", line)
-        pushed = re.search(r"PushedFilters: \[(.*?)\](, ReadSchema|$)", line)
+        pushed = re.search(r"PushedFilters: \[(.*?)(\](, ReadSchema|$)|\.\.\.)", line)
         loc = re.search(r"Location: [^\[]*\[[^\]]*?([A-Za-z_]+)\]", line)
         scans.append(
             (
@@ -92,7 +92,9 @@ def main() -> None:
         if s["window_group_limit"]:
             notes.append("WindowGroupLimit")
         if s["checkpoint_reads"]:
-            notes.append(f"{s['checkpoint_reads']} checkpoint reads")
+            notes.append(
+                f"{s['checkpoint_reads']} checkpoint reads (the table scans run once, in the checkpoint job of the NTILE)"
+            )
         if s["single_partition"]:
             notes.append(f"{s['single_partition']} SinglePartition exchange(s) (global aggregate of partials, or totals over grouped rows)")
         print(
