@@ -9,12 +9,12 @@ are never collected.
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from souk.jobs import run_concurrently
 from souk.operators import quality
 from souk.operators.clean import transform_all
 from souk.plans import explore, rfm
@@ -26,14 +26,6 @@ from souk.sources.schemas import LOAD_ORDER
 log = logging.getLogger("souk")
 
 
-def _run_all(jobs: Iterable[Callable[[], object]], parallelism: int) -> list:
-    jobs = list(jobs)
-    if parallelism <= 1:
-        return [j() for j in jobs]
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        return [f.result() for f in [pool.submit(j) for j in jobs]]
-
-
 def write_counted(df: DataFrame, path: str, name: str) -> tuple[str, int, int]:
     """Overwrite path with df as parquet; rows counted while writing (observe)."""
     obs = Observation(name)
@@ -46,7 +38,7 @@ def load_warehouse(
 ) -> dict[str, DataFrame]:
     """S4/S5 + C10: clean the raw tables and (re)create every warehouse table."""
     clean = transform_all(raw, trim_and_dedupe=trim_and_dedupe)
-    done = _run_all(
+    done = run_concurrently(
         [lambda t=t: write_counted(clean[t], f"{out_dir}/{t}", t) for t in LOAD_ORDER], parallelism
     )
     for name, rows, cols in done:
@@ -128,7 +120,7 @@ def export_marts(
     if {"rfm_customers", "rfm_segment_summary"} <= set(names):
         wh = dict(wh)
         wh[rfm.SCORED_KEY] = rfm.scored_customers(wh)
-    results = _run_all(
+    results = run_concurrently(
         [lambda n=n: write_counted(MARTS[n][1](wh), f"{out_dir}/{n}", n) for n in names], parallelism
     )
     for name, rows, cols in results:

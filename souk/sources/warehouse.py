@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from souk.jobs import run_concurrently
 from souk.operators.clean import ORDER_KEYED, transform_all
 from souk.sources.driver import raw_tables
 from souk.sources.schemas import LOAD_ORDER
@@ -27,14 +28,10 @@ def write_tables(tables: dict[str, DataFrame], root: str, parallelism: int = 4)
 
     The nine writes are independent jobs, submitted concurrently.
     """
-    from concurrent.futures import ThreadPoolExecutor
-
     def write(name: str) -> None:
         tables[name].write.mode("overwrite").parquet(f"{root}/{name}")
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        for f in [pool.submit(write, n) for n in LOAD_ORDER]:
-            f.result()
+    run_concurrently([lambda n=n: write(n) for n in LOAD_ORDER], parallelism)
 
 
 def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -78,8 +75,6 @@ def save_catalog_tables(
     — ``prepartitioned=True`` — by ``transform_all(order_partitions=...)``),
     giving one file per bucket.
     """
-    from concurrent.futures import ThreadPoolExecutor
-
     spark = next(iter(tables.values())).sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
@@ -98,9 +93,7 @@ def save_catalog_tables(
         else:
             df.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}")
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        for f in [pool.submit(write, n) for n in LOAD_ORDER]:
-            f.result()
+    run_concurrently([lambda n=n: write(n) for n in LOAD_ORDER], parallelism)
 
 
 def read_catalog_tables(spark: SparkSession, database: str) -> dict[str, DataFrame]:

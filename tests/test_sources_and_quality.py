@@ -219,3 +219,31 @@ def test_csv_columns_are_matched_by_header_name(spark):
     _write(d, "sellers", "seller_id,seller_city\ns1,rio\n")
     with pytest.raises(ValueError):
         read_csv_table(spark, "sellers", d)
+
+
+def test_concurrent_jobs_fail_fast():
+    import threading
+    import time
+
+    from souk.jobs import run_concurrently
+
+    started = []
+    lock = threading.Lock()
+
+    def job(i, fail=False, sleep=0.0):
+        def run():
+            with lock:
+                started.append(i)
+            time.sleep(sleep)
+            if fail:
+                raise RuntimeError(f"job {i} failed")
+            return i
+
+        return run
+
+    assert run_concurrently([job(i) for i in range(5)], 3) == [0, 1, 2, 3, 4]
+    started.clear()
+    jobs = [job(0, fail=True), job(1, sleep=0.2)] + [job(i, sleep=0.2) for i in range(2, 20)]
+    with pytest.raises(RuntimeError, match="job 0 failed"):
+        run_concurrently(jobs, 2)
+    assert len(started) < 20  # queued jobs were not started after the failure
