@@ -37,7 +37,7 @@ def load_warehouse(
     raw: dict[str, DataFrame], out_dir: str, trim_and_dedupe: bool = True, parallelism: int = 8
 ) -> dict[str, DataFrame]:
     """S4/S5 + C10: clean the raw tables and (re)create every warehouse table."""
-    clean = transform_all(raw, trim_and_dedupe=trim_and_dedupe)
+    clean = warehouse.conform_all(transform_all(raw, trim_and_dedupe=trim_and_dedupe))
     done = run_concurrently(
         [lambda t=t: write_counted(clean[t], f"{out_dir}/{t}", t) for t in LOAD_ORDER], parallelism
     )
@@ -69,8 +69,8 @@ def load_bucketed_warehouse(
     skew = warehouse.bucket_skew(raw, buckets)
     bucketed = skew <= max_skew
     log.info("order_id bucket skew %.2f: %s", skew, "bucketed" if bucketed else "unbucketed (skewed)")
-    clean = transform_all(
-        raw, trim_and_dedupe=trim_and_dedupe, order_partitions=buckets if bucketed else None
+    clean = warehouse.conform_all(
+        transform_all(raw, trim_and_dedupe=trim_and_dedupe, order_partitions=buckets if bucketed else None)
     )
     warehouse.save_catalog_tables(
         clean, database, buckets if bucketed else None, parallelism=parallelism, prepartitioned=bucketed

@@ -5,11 +5,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from souk.jobs import run_concurrently
 from souk.operators.clean import ORDER_KEYED, transform_all
 from souk.sources.driver import raw_tables
-from souk.sources.schemas import LOAD_ORDER
+from souk.sources.schemas import LOAD_ORDER, TABLES
+
+
+def conform(df: DataFrame, table: str) -> DataFrame:
+    """The table as declared — columns selected by name in DDL order and
+    cast to their declared types (missing columns are an error, extra ones
+    are dropped).  Integer-typed id columns (``*_id``) are kept as integers:
+    the builders join on them whatever their type, and integers are cheaper
+    to hash and shuffle than text.
+    """
+    spec = TABLES[table]
+    have = {f.name: f.dataType for f in df.schema.fields}
+    missing = [c for c in spec.column_names if c not in have]
+    if missing:
+        raise ValueError(f"table '{table}' lacks columns {missing}")
+    out = []
+    for c, t, _ in spec.columns:
+        keep = c.endswith("_id") and isinstance(have[c], T.IntegralType) and isinstance(t, T.StringType)
+        out.append(F.col(c) if keep or have[c] == t else F.col(c).cast(t).alias(c))
+    return df.select(*out)
+
+
+def conform_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {name: conform(df, name) for name, df in tables.items()}
 
 
 def from_driver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -247,3 +247,22 @@ def test_concurrent_jobs_fail_fast():
     with pytest.raises(RuntimeError, match="job 0 failed"):
         run_concurrently(jobs, 2)
     assert len(started) < 20  # queued jobs were not started after the failure
+
+
+def test_conform_selects_by_name_and_casts(spark):
+    from souk.sources.warehouse import conform
+
+    df = spark.createDataFrame(
+        [(3.0, "o1", "credit_card", 2, "x", 1)],
+        "payment_value double, order_id string, payment_type string, payment_installments long, "
+        "extra string, payment_sequential long",
+    )
+    out = conform(df, "order_payments")
+    assert out.columns == ["order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value"]
+    assert dict(out.dtypes)["payment_installments"] == "int" and dict(out.dtypes)["payment_sequential"] == "int"
+    ids = spark.createDataFrame([(7, 1)], "order_id bigint, x int")
+    with pytest.raises(ValueError):
+        conform(ids, "order_payments")
+    keep = spark.createDataFrame([(7, 1, "boleto", 1, 2.0)], "order_id bigint, payment_sequential int, "
+                                 "payment_type string, payment_installments int, payment_value double")
+    assert dict(conform(keep, "order_payments").dtypes)["order_id"] == "bigint"  # integer ids are kept
