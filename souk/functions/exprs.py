@@ -27,6 +27,26 @@ def r2(c: str | Column, digits: int = 2) -> Column:
     return F.round(col(c).cast("double") * F.lit(scale), 0) / F.lit(scale)
 
 
+def cents(c: str | Column) -> Column:
+    """Money as exact integer cents (values carry at most two decimals)."""
+    return F.round(col(c).cast("double") * F.lit(100.0), 0).cast("long")
+
+
+def money_avg(total_cents: str | Column, n: str | Column) -> Column:
+    """ROUND(total / n, 2) computed exactly: integer cents divided by a count,
+    rounded half away from zero, as money.
+
+    A ratio of two exact integers can sit exactly on a half cent; a double
+    sum whose value depends on the summation order would then round either
+    way.  (2|a| + n) div 2n is the half-up quotient; the division is done on
+    an exact multiple, so it is exact below 2^53.
+    """
+    a, m = col(total_cents).cast("long"), col(n).cast("long")
+    x = F.abs(a) * 2 + m
+    q = ((x - F.pmod(x, m * 2)) / (m * 2)).cast("long")
+    return F.when(m > 0, F.signum(a) * q / F.lit(100.0))
+
+
 def pct(num: str | Column, den: str | Column) -> Column:
     """100 * num / den in double precision (a SQL ``100.0`` literal is decimal in
     Spark); NULL when den is 0 (ANSI mode would raise)."""

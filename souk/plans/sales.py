@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from souk.functions.exprs import r2, safe_div
-from souk.plans.base import Warehouse, category_of, delivered_orders, order_revenue
+from souk.functions.exprs import money_avg, r2, safe_div
+from souk.plans.base import Warehouse, category_of, delivered_orders, order_revenue, order_revenue_cents
 
 CATEGORY_TOP_K = 15
 
@@ -17,14 +17,18 @@ def paid_delivered_orders(wh: Warehouse, *cols: str) -> DataFrame:
 
 
 def monthly_revenue_trend(wh: Warehouse) -> DataFrame:
-    """Orders, revenue and average order value per purchase month."""
-    per_order = paid_delivered_orders(wh, "order_purchase_month")
+    """Orders, revenue and average order value per purchase month
+    (money summed in exact cents, so the average rounds the same way on any
+    partitioning)."""
+    per_order = delivered_orders(wh, "order_purchase_month").join(order_revenue_cents(wh), "order_id")
     return (
         per_order.groupBy("order_purchase_month")
-        .agg(
-            F.count(F.lit(1)).alias("order_count"),
-            r2(F.sum("order_revenue")).alias("total_revenue"),
-            r2(F.avg("order_revenue")).alias("avg_order_value"),
+        .agg(F.count(F.lit(1)).alias("order_count"), F.sum("revenue_cents").alias("_cents"))
+        .select(
+            "order_purchase_month",
+            "order_count",
+            (F.col("_cents") / F.lit(100.0)).alias("total_revenue"),
+            money_avg("_cents", "order_count").alias("avg_order_value"),
         )
         .orderBy(F.col("order_purchase_month").asc_nulls_last())
     )
@@ -66,10 +70,10 @@ def revenue_by_category(wh: Warehouse, top_k: int = CATEGORY_TOP_K) -> DataFrame
 
 def revenue_by_state(wh: Warehouse) -> DataFrame:
     """Distinct delivered paid orders, revenue and AOV per customer state."""
-    per_order = paid_delivered_orders(wh, "customer_id")
+    per_order = delivered_orders(wh, "customer_id").join(order_revenue_cents(wh), "order_id")
     # pre-aggregate per customer: the customer lookup then joins one row per customer
     per_customer = per_order.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("orders"), F.sum("order_revenue").alias("revenue")
+        F.count(F.lit(1)).alias("orders"), F.sum("revenue_cents").alias("revenue")
     )
     states = wh["customers"].select("customer_id", "customer_state")
     return (
@@ -79,8 +83,8 @@ def revenue_by_state(wh: Warehouse) -> DataFrame:
         .select(
             "customer_state",
             F.col("_orders").cast("long").alias("order_count"),
-            r2("_revenue").alias("total_revenue"),
-            r2(F.col("_revenue") / F.col("_orders")).alias("avg_order_value"),
+            (F.col("_revenue") / F.lit(100.0)).alias("total_revenue"),
+            money_avg("_revenue", "_orders").alias("avg_order_value"),
         )
         .orderBy(F.col("total_revenue").desc_nulls_last(), F.col("customer_state").asc_nulls_last())
     )
