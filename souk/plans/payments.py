@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from souk.functions.exprs import pct, r2
+from souk.functions.exprs import cents, money_avg, pct, r2
 from souk.operators.totals import with_grand_totals
 from souk.plans.base import CREDIT_CARD, Warehouse, category_of
 
@@ -54,7 +54,8 @@ def avg_payment_value_by_installments(wh: Warehouse) -> DataFrame:
         wh["order_payments"]
         .where(F.col("payment_type") == CREDIT_CARD)
         .groupBy("payment_installments")
-        .agg(F.count(F.lit(1)).alias("payment_count"), r2(F.avg("payment_value")).alias("avg_payment_value"))
+        .agg(F.count(F.lit(1)).alias("payment_count"), F.sum(cents("payment_value")).alias("_cents"))
+        .select("payment_installments", "payment_count", money_avg("_cents", "payment_count").alias("avg_payment_value"))
         .orderBy("payment_installments")
     )
 
@@ -84,7 +85,7 @@ def credit_card_category_all(wh: Warehouse) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.sum("payment_installments").alias("inst_sum"),
-            F.sum("payment_value").alias("value_sum"),
+            F.sum(cents("payment_value")).alias("value_sum"),
         )
     )
     per_product = (
@@ -102,7 +103,7 @@ def credit_card_category_all(wh: Warehouse) -> DataFrame:
         "category",
         F.col("n").cast("long").alias("payment_count"),
         r2(F.col("inst_sum").cast("double") / F.col("n")).alias("avg_installments"),
-        r2(F.col("value_sum") / F.col("n")).alias("avg_payment_value"),
+        money_avg("value_sum", "n").alias("avg_payment_value"),
     )
 
 
