@@ -6,12 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from souk.llm import langid, line_dedup
+from souk.llm import html_blocks, langid, line_dedup, mixing, simhash, url_rules
 from souk.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_rules.judge(pages, url_rules.labelled_urls(pages, table(spark, sf_dir, "labels")))
+
+
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extract(table(spark, sf_dir, "pages"))
+
+
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
+def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.report(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_report(table(spark, sf_dir, "documents"), min_docs=10)
 
@@ -21,9 +38,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_url_filters": op1_url_filters,
+    "op2_html_extraction": op2_html_extraction,
+    "op3_source_mixing": op3_source_mixing,
+    "op7_simhash_dedup": op7_simhash_dedup,
     "op8_line_dedup": op8_line_dedup,
     "op10_language_id": op10_language_id,
 }
 ORACLES: dict[str, str] = {
+    "op3_source_mixing": mixing.ORACLE,
     "op8_line_dedup": line_dedup.ORACLE,
 }
