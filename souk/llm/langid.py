@@ -190,3 +190,11 @@ def identify(docs: DataFrame) -> DataFrame:
     model = fit(docs)
     p = predict(docs.select("doc_id", "text").withColumn("held_out", held_out(F.col("doc_id"))).select("doc_id", "held_out", "text"), model)
     return p.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def keep_identified(docs: DataFrame) -> DataFrame:
+    """The documents whose language can be told (not ``und``), by a model fitted on the same table; same columns."""
+    named = [f"__li_{c}" for c in docs.columns]  # so that no column clashes with the result's
+    text = named[docs.columns.index("text")]
+    p = predict(docs.toDF(*named), fit(docs), text).where(F.col("lang_pred") != "und")
+    return p.select(*(F.col(n).alias(c) for n, c in zip(named, docs.columns)))

@@ -24,13 +24,15 @@ and text are read; repeated rows get equal results.
 from __future__ import annotations
 
 import heapq
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -38,8 +40,10 @@ MARK = "▁"
 OWN_MARK = "\ud800"
 UNKNOWN = 10.0
 #: Words a task remembers before it starts anew, and characters a result batch covers.
-WORDS_KEPT = 200_000
+WORDS_KEPT = 400_000
 BATCH_CHARS = 2_000_000
+#: Longer words are segmented one by one.
+LONG_WORD = 48
 
 
 @dataclass
@@ -132,41 +136,150 @@ def n_best(ending: list, best: list[float], n: int) -> list[tuple[float, tuple[i
     return out
 
 
-class _Words(dict):
-    """Word -> row of the best segmentation's ids, score and loss of the second best, found on first use."""
-
-    def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
-        self.vocabulary = vocabulary
-        self.ids: list[tuple[int, ...]] = []
-        self.score: list[float] = []
-        self.loss: list[float] = []
-        self.ranked: dict[tuple[str, int], list[float]] = {}
-
-    def __missing__(self, word: str) -> int:
+class _Lookup:
+    """The vocabulary as an open-addressing table from the hash of a piece to its id, for arrays of hashes."""
+
+    BITS = 18
+    BASE = 0x9E3779B97F4A7C15  # fixed value: an odd 64-bit multiplier
+
+    def __init__(self, pieces: dict[str, tuple[int, float]]):
+        self.longest = max(map(len, pieces), default=1)
+        size, mask = 1 << max(self.BITS, len(pieces).bit_length() + 2), (1 << 64) - 1
+        keys, self.ids, self.scores = [0] * size, np.full(size, -1, np.int32), np.full(size, -np.inf)
+        self.shift, self.last = np.uint64(65 - size.bit_length()), size - 1
+        for piece, (i, score) in pieces.items():
+            h = 0
+            for c in piece:
+                h = (h * self.BASE + ord(c) + 1) & mask
+            at = int((h * self.BASE & mask) >> int(self.shift))
+            while keys[at]:
+                at = (at + 1) & self.last
+            keys[at], self.ids[at], self.scores[at] = h, i, score
+        self.keys = np.array(keys, np.uint64)
+
+    def step(self, h: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """Hashes of substrings one character longer."""
+        return h * np.uint64(self.BASE) + c + np.uint64(1)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Slot of each hash, or of a free slot (id -1, score -inf)."""
+        at = ((h * np.uint64(self.BASE)) >> self.shift).astype(np.int64)
+        todo = np.flatnonzero((self.keys[at] != h) & (self.keys[at] != 0))
+        while len(todo):
+            at[todo] = (at[todo] + 1) & self.last
+            key = self.keys[at[todo]]
+            todo = todo[(key != h[todo]) & (key != 0)]
+        return at
+
+
+class _Words:
+    """Best segmentation, score and loss of the second best of every word met, by the number of the word."""
+
+    def __init__(self, vocabulary: Vocabulary, lookup: _Lookup):
+        self.vocabulary, self.lookup = vocabulary, lookup
+        self.number: defaultdict[str, int] = defaultdict()
+        self.number.default_factory = self.number.__len__
+        self.start, self.count, self.score, self.loss = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), np.empty(0)
+        self.ids = np.empty(0, np.int32)
+        self.ranked: dict[str, list[float]] = {}
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """Numbers of the words; new ones are segmented."""
+        known = len(self.number)
+        out = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        new = list(islice(self.number, known, None))
+        if new:
+            ids, start, count, score, loss = self._segment(new)
+            self.start = np.concatenate([self.start, len(self.ids) + start])
+            self.ids = np.concatenate([self.ids, ids])
+            self.count, self.score, self.loss = (np.concatenate(x) for x in ((self.count, count), (self.score, score), (self.loss, loss)))
+        return out
+
+    def _segment(self, words: list[str]) -> tuple[np.ndarray, ...]:
+        """Ids of new words; where each word's begin, their number, score and loss: words of equal length together, the rest one by one."""
+        length = np.fromiter(map(len, words), np.int64, len(words))
+        flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        at = np.cumsum(length) - length
+        # a character without a piece: its one byte piece if it is ASCII, else the word goes alone
+        code, where = np.unique(flat, return_inverse=True)
+        alone = np.array([c > 127 and chr(c) not in self.vocabulary.pieces for c in code.tolist()], dtype=bool)[where]
+        single = (length > LONG_WORD) | (np.add.reduceat(alone, at) > 0)
+        ids, held = [], 0
+        start, count = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        score, loss = np.zeros(len(words)), np.zeros(len(words))
+        for n in np.unique(length[~single]):
+            rows = np.flatnonzero((length == n) & ~single)
+            for part in np.array_split(rows, -(-len(rows) * int(n) // 200_000)):
+                got, count[part], score[part], loss[part] = self._together(flat[at[part][:, None] + np.arange(n)])
+                start[part] = held + np.cumsum(count[part]) - count[part]
+                ids.append(got)
+                held += len(got)
+        for r in np.flatnonzero(single).tolist():
+            path, score[r], loss[r] = self._alone(words[r])
+            start[r], count[r] = held, len(path)
+            ids.append(np.array(path, np.int32))
+            held += len(path)
+        return np.concatenate(ids), start, count, score, loss
+
+    def _together(self, chars: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Forward Viterbi over the rows of a matrix of characters, all at once."""
+        m, n = chars.shape
+        top = min(n, self.lookup.longest)
+        best, second = np.full((n + 1, m), -np.inf), np.full((n + 1, m), -np.inf)
+        via = np.zeros((n + 1, m), np.int8)
+        best[0] = 0
+        c = chars.T.astype(np.uint64)
+        h, scores, ids = np.zeros((n, m), np.uint64), [], []
+        for size in range(1, top + 1):
+            h = self.lookup.step(h[: n - size + 1], c[size - 1 :])
+            slot = self.lookup.find(h.ravel()).reshape(h.shape)
+            scores.append(self.lookup.scores[slot])
+            ids.append(self.lookup.ids[slot])
+        none = ids[0] < 0
+        scores[0][none] = self.vocabulary.unknown
+        ids[0][none] = np.array(self.vocabulary.bytes_, np.int32)[c[none].astype(np.int64) & 255]
+        for j in range(1, n + 1):
+            for size in range(min(j, top), 0, -1):  # longest first: it stays where scores are equal
+                got = best[j - size] + scores[size - 1][j - size]
+                better = got > best[j]
+                second[j] = np.where(better, best[j], np.maximum(second[j], got))
+                best[j] = np.where(better, got, best[j])
+                via[j][better] = size
+        out = np.full((m, n), -1, np.int32)
+        loss, where = np.full(m, np.inf), np.full(m, n)
+        for k in range(n):
+            live = np.flatnonzero(where > 0)
+            if not len(live):
+                break
+            j = where[live]
+            # the second-best path leaves the best one at the node where that costs least
+            loss[live] = np.minimum(loss[live], best[j, live] - second[j, live])
+            size = via[j, live].astype(np.int64)
+            for s in np.unique(size):
+                of = size == s
+                out[live[of], n - 1 - k] = ids[s - 1][j[of] - s, live[of]]
+            where[live] = j - size
+        return out[out >= 0], (out >= 0).sum(axis=1), best[n], loss
+
+    def _alone(self, word: str) -> tuple[list[int], float, float]:
         ending = self.vocabulary.edges(word)
         best, via = forward(ending)
         at, path, loss = len(word), [], np.inf
         while at:
             into = ending[at]
             if len(into) > 1:
-                # the second-best path leaves the best one at the node where that costs least
                 loss = min(loss, min(best[at] - best[u] - s for n, (u, s, _) in enumerate(into) if n != via[at]))
             at, _, ids = into[via[at]]
             path.append(ids)
-        self[word] = row = len(self.ids)
-        self.ids.append(tuple(i for ids in reversed(path) for i in ids))
-        self.score.append(best[-1])
-        self.loss.append(loss)
-        return row
+        return [i for ids in reversed(path) for i in ids], best[-1], loss
 
     def losses(self, word: str, n: int) -> list[float]:
-        """What the second to n-th best segmentations of the word lose."""
-        if (word, n) not in self.ranked:
+        """What the n best segmentations of the word lose against the best."""
+        if word not in self.ranked:
             ending = self.vocabulary.edges(word)
             best, _ = forward(ending)
-            self.ranked[word, n] = [best[-1] - s for s, _ in n_best(ending, best, n)]
-        return self.ranked[word, n]
+            self.ranked[word] = [best[-1] - s for s, _ in n_best(ending, best, n)]
+        return self.ranked[word]
 
 
 def words_of(text: str) -> list[str]:
@@ -188,33 +301,42 @@ def words_of(text: str) -> list[str]:
 
 
 class Encoder:
-    """Encodes texts one after another, with the words it has met so far."""
+    """Encodes texts with the words met so far."""
 
     def __init__(self, vocabulary: Vocabulary, n: int):
-        self.n = n
-        self.vocabulary = vocabulary
-        self.table = _Words(vocabulary)
-
-    def encode(self, text: str | None) -> tuple[np.ndarray, list[float]]:
-        """The ids of the best segmentation and the scores of the n best."""
-        words = words_of(text or "")
-        if not words:
-            return np.empty(0, np.int32), [0.0]
-        if len(self.table) > WORDS_KEPT:
-            self.table = _Words(self.vocabulary)
-        t = self.table
-        rows = list(map(t.__getitem__, words))
-        ids = np.fromiter((i for r in rows for i in t.ids[r]), np.int32)
-        total = float(sum(map(t.score.__getitem__, rows)))
-        loss = np.fromiter(map(t.loss.__getitem__, rows), np.float64, len(rows))
-        few = np.argsort(loss, kind="stable")[: self.n - 1] if len(loss) <= 4 * self.n else self._least(loss)
-        sums = [0.0]
-        for at in few:
-            sums = heapq.nsmallest(self.n, (a + b for a in sums for b in t.losses(words[at], self.n)))
-        return ids, [total - x for x in sums]
-
-    def _least(self, loss: np.ndarray) -> np.ndarray:
-        return np.argpartition(loss, self.n - 1)[: self.n - 1] if self.n > 1 else np.empty(0, np.int64)
+        self.n, self.vocabulary, self.lookup = n, vocabulary, _Lookup(vocabulary.pieces)
+        self.table = _Words(vocabulary, self.lookup)
+        self.spelled = pa.array(vocabulary.spelled, pa.binary())
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[list[float]], list[bool]]:
+        """For the texts together: ids of the best segmentations and where each text's begin; scores of the n best; round trips."""
+        if len(self.table.number) > WORDS_KEPT:
+            self.table = _Words(self.vocabulary, self.lookup)
+        t, words, ends = self.table, [], [0]
+        for text in texts:
+            words += words_of(text or "")
+            ends.append(len(words))
+        rows = t.numbers(words)
+        if not len(rows):
+            return np.empty(0, np.int32), np.zeros(len(ends), np.int64), [[0.0]] * len(texts), [not x for x in texts]
+        count = t.count[rows]
+        upto = np.r_[0, np.cumsum(count)]
+        ids = t.ids[np.repeat(t.start[rows] - upto[:-1], count) + np.arange(upto[-1])]
+        score, loss = t.score[rows], t.loss[rows]
+        scores = []
+        for a, b in zip(ends, ends[1:]):
+            total, sums = float(score[a:b].sum()), [0.0]
+            few = np.argpartition(loss[a:b], self.n - 1)[: self.n - 1] if b - a >= self.n > 1 else range(b - a if self.n > 1 else 0)
+            for at in few:
+                sums = heapq.nsmallest(self.n, (x + y for x in sums for y in t.losses(words[a + at], self.n)))
+            scores.append([total - x for x in sums])
+        starts = upto[np.array(ends)]
+        said = self.spelled.take(pa.array(ids))
+        data, offsets = memoryview(said.buffers()[2]), np.frombuffer(said.buffers()[1], np.int32)[said.offset : said.offset + len(ids) + 1]
+        back = []
+        for text, a, b in zip(texts, offsets[starts[:-1]].tolist(), offsets[starts[1:]].tolist()):
+            back.append(bytes(data[a + 1 : b]) == (text or "").encode() and (b == a or data[a] == 32))
+        return ids, starts, scores, back
 
 
 def decode(ids, spelled: list[bytes]) -> str:
@@ -229,26 +351,15 @@ def encode(docs: DataFrame, n: int = 3, vocabulary: str = VOCABULARY) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocab, n)
-
-        def emit(rows: list) -> pa.RecordBatch:
-            lengths = [len(r[1]) for r in rows]
-            offsets = pa.array(np.r_[0, np.cumsum(lengths)].astype(np.int32))
-            ids = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([r[1] for r in rows]), pa.int32()))
-            cols = [pa.array([r[0] for r in rows], kind), ids, pa.array(lengths, pa.int64()), pa.array([r[2] for r in rows], pa.list_(pa.float64())), pa.array([r[3] for r in rows], pa.bool_())]
-            return pa.RecordBatch.from_arrays(cols, ["doc_id", "ids", "n_pieces", "scores", "round_trip"])
-
         for batch in batches:
-            kind, held, chars = batch["doc_id"].type, [], 0
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                text = text.as_py()
-                ids, scores = encoder.encode(text)
-                held.append((doc_id.as_py(), ids, scores, decode(ids.tolist(), vocab.spelled) == (text or "")))
-                chars += len(text or "")
-                if chars >= BATCH_CHARS:
-                    yield emit(held)
-                    held, chars = [], 0
-            if held:
-                yield emit(held)
+            chars = np.cumsum(pc.fill_null(pc.utf8_length(batch["text"]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            cuts = np.flatnonzero(np.diff(chars // BATCH_CHARS)) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(batch)]):
+                part = batch.slice(a, b - a)
+                ids, starts, scores, back = encoder.encode(part["text"].to_pylist())
+                column = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(ids, pa.int32()))
+                cols = [part["doc_id"], column, pa.array(np.diff(starts)), pa.array(scores, pa.list_(pa.float64())), pa.array(back, pa.bool_())]
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "ids", "n_pieces", "scores", "round_trip"])
 
     out = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids array<int>, n_pieces long, scores array<double>, round_trip boolean"
     return docs.select("doc_id", "text").mapInArrow(run, out)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from souk.llm import html_blocks, langid, line_dedup, mixing, simhash, url_rules
+from souk.llm import html_blocks, langid, line_dedup, mixing, pieces, simhash, url_rules
 from souk.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"), n=3)
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
@@ -41,6 +45,7 @@ QUERIES: dict[str, Query] = {
     "op1_url_filters": op1_url_filters,
     "op2_html_extraction": op2_html_extraction,
     "op3_source_mixing": op3_source_mixing,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_line_dedup": op8_line_dedup,
     "op10_language_id": op10_language_id,
