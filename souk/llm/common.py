@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from souk.session import ensure_checkpoint_dir
+
 # The white space of the contracts, and the ASCII capitals.
 WHITE = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -28,3 +32,10 @@ def union_columns(df: DataFrame, *names: str) -> list[str]:
     """The columns of df but for names (in any case of letters)."""
     taken = {n.lower() for n in names}
     return [c for c in df.columns if c.lower() not in taken]
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df written as Parquet in the shared checkpoint folder and read back: cuts the lineage of large tables, compressed."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

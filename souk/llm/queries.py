@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from souk.llm import html_blocks, langid, line_dedup, mixing, pieces, simhash, url_rules
+from souk.llm import html_blocks, langid, line_dedup, mixing, perm_index, pieces, pq_dedup, simhash, suffix_dedup, url_rules
 from souk.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,14 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perm_index.search(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"), n=3)
 
@@ -37,6 +45,10 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_report(table(spark, sf_dir, "documents"), min_docs=10)
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, sf_dir, "documents"), length=200)
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -45,9 +57,12 @@ QUERIES: dict[str, Query] = {
     "op1_url_filters": op1_url_filters,
     "op2_html_extraction": op2_html_extraction,
     "op3_source_mixing": op3_source_mixing,
+    "op4_embedding_dedup": op4_embedding_dedup,
+    "op5_nearest_neighbours": op5_nearest_neighbours,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_line_dedup": op8_line_dedup,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_language_id": op10_language_id,
 }
 ORACLES: dict[str, str] = {
