@@ -1,6 +1,6 @@
 """Command line: the two batch jobs and the quality report.
 
-    python -m souk load   RAW_DIR WAREHOUSE_DIR [--strict]
+    python -m souk load   RAW_DIR WAREHOUSE_DIR [--lenient]
     python -m souk export WAREHOUSE_DIR MARTS_DIR [--mart NAME ...]
     python -m souk report WAREHOUSE_DIR
     python -m souk stats  WAREHOUSE_DIR
@@ -26,7 +26,7 @@ def main(argv: list[str] | None = None) -> int:
     p = sub.add_parser("load", help="extract the raw CSVs, clean, write the warehouse, check it")
     p.add_argument("raw_dir")
     p.add_argument("warehouse_dir")
-    p.add_argument("--strict", action="store_true", help="fail on any declared-constraint violation")
+    p.add_argument("--lenient", action="store_true", help="load even if a declared constraint is violated")
     p = sub.add_parser("export", help="write every mart as parquet")
     p.add_argument("warehouse_dir")
     p.add_argument("marts_dir")
@@ -41,7 +41,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session(app_name=f"souk-{args.cmd}")
     try:
         if args.cmd == "load":
-            return pipeline.run_pipeline(spark, args.raw_dir, args.warehouse_dir, strict=args.strict)
+            return pipeline.run_pipeline(spark, args.raw_dir, args.warehouse_dir, strict=not args.lenient)
         wh = warehouse.read_tables(spark, args.warehouse_dir)
         if args.cmd == "export":
             pipeline.export_marts(wh, args.marts_dir, args.mart)
@@ -57,11 +57,11 @@ def main(argv: list[str] | None = None) -> int:
                 ("mean score by instalments", stats.mean_score_by_installments(wh)),
             ):
                 print(f"== {title}")
-                df.show(50, truncate=False)
+                df.show(df.count(), truncate=False)
         else:
             for name, df in pipeline.quality_report(wh).items():
                 print(f"== {name}")
-                df.show(200, truncate=False)
+                df.show(df.count(), truncate=False)
         return 0
     finally:
         spark.stop()

@@ -27,24 +27,30 @@ def r2(c: str | Column, digits: int = 2) -> Column:
     return F.round(col(c).cast("double") * F.lit(scale), 0) / F.lit(scale)
 
 
-def cents(c: str | Column) -> Column:
-    """Money as exact integer cents (values carry at most two decimals)."""
-    return F.round(col(c).cast("double") * F.lit(100.0), 0).cast("long")
+# Money keeps ten decimals of the raw value, so sums are exact whatever the order of adding.
+MONEY = "decimal(22,10)"
 
 
-def money_avg(total_cents: str | Column, n: str | Column) -> Column:
-    """ROUND(total / n, 2) computed exactly: integer cents divided by a count,
-    rounded half away from zero, as money.
+def money(c: str | Column) -> Column:
+    """The raw value as an exact decimal, ready to be summed."""
+    return col(c).cast("double").cast(MONEY)
 
-    A ratio of two exact integers can sit exactly on a half cent; a double
-    sum whose value depends on the summation order would then round either
-    way.  (2|a| + n) div 2n is the half-up quotient; the division is done on
-    an exact multiple, so it is exact below 2^53.
+
+def money_value(total: str | Column) -> Column:
+    """ROUND(total, 2) of an exact sum, half away from zero, as double."""
+    return F.round(col(total), 2).cast("double")
+
+
+def money_avg(total: str | Column, n: str | Column) -> Column:
+    """ROUND(total / n, 2) of an exact sum (at most decimal(32,10)), half away from zero, as double.
+
+    The half-up quotient is the integer (2 * 100 * |total| + n) div 2n, which
+    no intermediate rounding can move across a half cent; NULL for n = 0.
     """
-    a, m = col(total_cents).cast("long"), col(n).cast("long")
-    x = F.abs(a) * 2 + m
-    q = ((x - F.pmod(x, m * 2)) / (m * 2)).cast("long")
-    return F.when(m > 0, F.signum(a) * q / F.lit(100.0))
+    a, m = col(total).cast("decimal(32,10)"), col(n).cast("decimal(18,0)")
+    m = F.when(m > 0, m)
+    cents = F.call_function("div", F.abs(a) * F.lit(200).cast("decimal(3,0)") + m, m * F.lit(2).cast("decimal(1,0)"))
+    return F.signum(a.cast("double")) * cents / F.lit(100.0)
 
 
 def pct(num: str | Column, den: str | Column) -> Column:

@@ -104,19 +104,15 @@ def derive_orders(orders: DataFrame) -> DataFrame:
 ORDER_KEYED = ("orders", "order_items", "order_payments", "order_reviews")
 
 
-def transform_all(
-    raw: Mapping[str, DataFrame], trim_and_dedupe: bool = True, order_partitions: int | None = None
-) -> dict[str, DataFrame]:
+def transform_all(raw: Mapping[str, DataFrame], order_partitions: int | None = None) -> dict[str, DataFrame]:
     """The whole cleaning step, dict of raw tables -> dict of clean tables.
 
-    ``trim_and_dedupe=False`` skips C1/C2 for inputs already known clean
-    (the driver adapter); derivations and the translation always run.
     ``order_partitions`` hash-partitions the order-keyed tables by order_id
     first: exact duplicates share their order_id, so the dedupe aggregate
     reuses that partitioning, and a bucketed write by order_id needs no
     further shuffle.
     """
-    clean = generic_clean if trim_and_dedupe else (lambda df: df)
+    clean = generic_clean
 
     def keyed(name: str) -> DataFrame:
         df = raw[name]

@@ -110,32 +110,20 @@ def ntile_bucket(rn: Column, n: Column, k: int) -> Column:
     return F.when(rn <= big, first).otherwise(rest).cast("long")
 
 
-def average_ranks(df: DataFrame, value_col: str, num_partitions: int | None = None) -> DataFrame:
+def average_ranks(df: DataFrame, value_col: str) -> DataFrame:
     """Average rank (1-based, ties get the mean of their ranks) per distinct value.
 
     Returns (value_col, n, rank_before, avg_rank) where rank_before is the
-    number of rows with a smaller value.  Works on the value histogram, so
-    the cost is one aggregation plus a ranking of the distinct values.
+    number of rows with a smaller value.  Works on the value histogram: one
+    aggregation of the rows, then a window over one row per distinct value (the
+    ranked values are scores and instalment counts, a few dozen values).
     """
-    spark = df.sparkSession
-    num_partitions = num_partitions or shuffle_partitions(spark)
     hist = df.where(F.col(value_col).isNotNull()).groupBy(value_col).agg(F.count(F.lit(1)).alias("n"))
-    pos = _numbered(hist, [value_col], num_partitions)
-    per_part = pos.groupBy("_pid").agg(F.sum("n").alias("_pn"))
-    # at most num_partitions rows: a window over them is bounded
-    per_part = per_part.withColumn(
-        "_off",
-        F.coalesce(
-            F.sum("_pn").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ),
-    )
-    within = Window.partitionBy("_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
-    out = pos.join(F.broadcast(per_part.select("_pid", "_off")), "_pid").withColumn(
-        "rank_before", (F.col("_off") + F.coalesce(F.sum("n").over(within), F.lit(0))).cast("long")
-    )
-    return out.select(
-        value_col,
-        "n",
-        "rank_before",
-        (F.col("rank_before") + (F.col("n") + 1) / F.lit(2.0)).alias("avg_rank"),
-    )
+    return histogram_ranks(hist, value_col)
+
+
+def histogram_ranks(hist: DataFrame, value_col: str) -> DataFrame:
+    """average_ranks from (value_col, n, ...): adds rank_before and avg_rank."""
+    before = F.sum("n").over(Window.orderBy(value_col).rowsBetween(Window.unboundedPreceding, -1))
+    ranked = hist.withColumn("rank_before", F.coalesce(before, F.lit(0)).cast("long"))
+    return ranked.withColumn("avg_rank", F.col("rank_before") + (F.col("n") + 1) / F.lit(2.0))

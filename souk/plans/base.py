@@ -13,10 +13,13 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from souk.functions.exprs import money
+
 Warehouse = Mapping[str, DataFrame]
 
 DELIVERED = "delivered"
 CREDIT_CARD = "credit_card"
+TOTAL = "decimal(32,10)"  # of exact money sums
 
 
 def delivered_orders(wh: Warehouse, *cols: str) -> DataFrame:
@@ -36,10 +39,9 @@ def order_revenue(wh: Warehouse) -> DataFrame:
     return wh["order_payments"].groupBy("order_id").agg(F.sum("payment_value").alias("order_revenue"))
 
 
-def order_revenue_cents(wh: Warehouse) -> DataFrame:
-    """(order_id, revenue_cents): exact integer cents, for values that feed a ranking."""
-    cents = F.round(F.col("payment_value") * F.lit(100.0), 0).cast("long")
-    return wh["order_payments"].groupBy("order_id").agg(F.sum(cents).alias("revenue_cents"))
+def order_money(wh: Warehouse) -> DataFrame:
+    """(order_id, revenue): the exact decimal sum of each order's payments."""
+    return wh["order_payments"].groupBy("order_id").agg(F.sum(money("payment_value")).cast(TOTAL).alias("revenue"))
 
 
 def delay_status(c: str = "delivery_delay_days", late: str = "late", other: str = "on_time"):

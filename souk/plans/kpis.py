@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from souk.functions.exprs import money_avg, r2, safe_div
-from souk.plans.base import Warehouse, delivered_orders, order_revenue_cents
+from souk.functions.exprs import money_avg, money_value, r2, safe_div
+from souk.plans.base import TOTAL, Warehouse, delivered_orders, order_money
 
 
 def summary_kpis(wh: Warehouse) -> DataFrame:
@@ -27,18 +27,18 @@ def summary_kpis(wh: Warehouse) -> DataFrame:
     per_order = (
         delivered_orders(wh)
         .select("order_id")
-        .join(order_revenue_cents(wh), "order_id", "left")
+        .join(order_money(wh), "order_id", "left")
         .join(reviews, "order_id", "left")
     )
     g = per_order.agg(
-        F.count("revenue_cents").alias("total_orders"),  # delivered orders with a payment
-        F.sum("revenue_cents").alias("_cents"),
+        F.count("revenue").alias("total_orders"),  # delivered orders with a payment
+        F.sum("revenue").cast(TOTAL).alias("_total"),
         F.sum("_reviews").alias("_reviews"),
         F.sum("_score_sum").alias("_score_sum"),
     )
     return g.select(
-        (F.col("_cents") / F.lit(100.0)).alias("total_revenue"),
+        money_value("_total").alias("total_revenue"),
         "total_orders",
-        money_avg("_cents", "total_orders").alias("avg_order_value"),
+        money_avg("_total", "total_orders").alias("avg_order_value"),
         r2(safe_div("_score_sum", "_reviews")).alias("avg_review_score"),
     )

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from souk.functions.exprs import cents, money_avg, pct, r2
+from souk.functions.exprs import money, money_avg, pct, r2
 from souk.operators.totals import with_grand_totals
-from souk.plans.base import CREDIT_CARD, Warehouse, category_of
+from souk.plans.base import CREDIT_CARD, TOTAL, Warehouse, category_of
 
 MIN_CATEGORY_PAYMENTS = 30
 CATEGORY_TOP_K = 20
@@ -54,8 +54,8 @@ def avg_payment_value_by_installments(wh: Warehouse) -> DataFrame:
         wh["order_payments"]
         .where(F.col("payment_type") == CREDIT_CARD)
         .groupBy("payment_installments")
-        .agg(F.count(F.lit(1)).alias("payment_count"), F.sum(cents("payment_value")).alias("_cents"))
-        .select("payment_installments", "payment_count", money_avg("_cents", "payment_count").alias("avg_payment_value"))
+        .agg(F.count(F.lit(1)).alias("payment_count"), F.sum(money("payment_value")).cast(TOTAL).alias("_total"))
+        .select("payment_installments", "payment_count", money_avg("_total", "payment_count").alias("avg_payment_value"))
         .orderBy("payment_installments")
     )
 
@@ -85,19 +85,19 @@ def credit_card_category_all(wh: Warehouse) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.sum("payment_installments").alias("inst_sum"),
-            F.sum(cents("payment_value")).alias("value_sum"),
+            F.sum(money("payment_value")).cast(TOTAL).alias("value_sum"),
         )
     )
     per_product = (
         per_order.join(top_item_product(wh), "order_id")
         .groupBy("product_id")
-        .agg(F.sum("n").alias("n"), F.sum("inst_sum").alias("inst_sum"), F.sum("value_sum").alias("value_sum"))
+        .agg(F.sum("n").alias("n"), F.sum("inst_sum").alias("inst_sum"), F.sum("value_sum").cast(TOTAL).alias("value_sum"))
     )
     g = (
         per_product.join(category_of(wh["products"]), "product_id", "left")
         .select(F.coalesce(F.col("category"), F.lit("unknown")).alias("category"), "n", "inst_sum", "value_sum")
         .groupBy("category")
-        .agg(F.sum("n").alias("n"), F.sum("inst_sum").alias("inst_sum"), F.sum("value_sum").alias("value_sum"))
+        .agg(F.sum("n").alias("n"), F.sum("inst_sum").alias("inst_sum"), F.sum("value_sum").cast(TOTAL).alias("value_sum"))
     )
     return g.select(
         "category",

@@ -33,49 +33,61 @@ def write_counted(df: DataFrame, path: str, name: str) -> tuple[str, int, int]:
     return name, obs.get["rows"], len(df.columns)
 
 
-def load_warehouse(
-    raw: dict[str, DataFrame], out_dir: str, trim_and_dedupe: bool = True, parallelism: int = 8
-) -> dict[str, DataFrame]:
-    """S4/S5 + C10: clean the raw tables and (re)create every warehouse table."""
-    clean = warehouse.conform_all(transform_all(raw, trim_and_dedupe=trim_and_dedupe))
-    done = run_concurrently(
-        [lambda t=t: write_counted(clean[t], f"{out_dir}/{t}", t) for t in LOAD_ORDER], parallelism
-    )
-    for name, rows, cols in done:
-        log.info("loaded %-30s %10d rows, %2d cols", name, rows, cols)
-    return warehouse.read_tables(raw[LOAD_ORDER[0]].sparkSession, out_dir)
+def _counted(clean: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], dict[str, Observation]]:
+    """Clean tables that count, while they are written, what the cleaning found: rows of every table,
+    products without an English name (of those with a category), orders without a delivery delay."""
+    notes = {
+        "products": F.count_if(F.col("product_category_name").isNotNull() & F.col("product_category_name_english").isNull()).alias("untranslated"),
+        "orders": F.count_if(F.col("delivery_delay_days").isNull()).alias("without_delay"),
+    }
+    seen = {t: Observation(f"load-{t}") for t in clean}
+    return {
+        t: df.observe(seen[t], F.count(F.lit(1)).alias("rows"), *([notes[t]] if t in notes else [])) for t, df in clean.items()
+    }, seen
 
 
-MAX_BUCKET_SKEW = 4.0
+def load_warehouse(raw: dict[str, DataFrame], out_dir: str, strict: bool = True, parallelism: int = 8) -> dict[str, DataFrame]:
+    """S4/S5 + C10: clean the raw tables and (re)create every warehouse table.
+
+    The tables are written to ``out_dir/_staging`` and checked there; only
+    then do they replace the old ones, so a load that fails (strict: any
+    declared constraint violated) leaves the old tables as they were.
+    """
+    spark = raw[LOAD_ORDER[0]].sparkSession
+    before = {t: Observation(f"raw-{t}") for t in LOAD_ORDER}
+    counted = {t: raw[t].observe(before[t], F.count(F.lit(1)).alias("rows")) for t in LOAD_ORDER}
+    clean, after = _counted(warehouse.conform_all(transform_all(counted)))
+    staging = f"{out_dir}/_staging"
+    warehouse.write_tables(clean, staging, parallelism)
+    for t in LOAD_ORDER:
+        found = after[t].get
+        removed = before[t].get["rows"] - found["rows"] if t != "product_category_translation" else None
+        more = {k: v for k, v in found.items() if k != "rows"}
+        log.info("cleaned %-30s %10d rows, removed duplicates: %s %s", t, found["rows"], "-" if removed is None else removed, more or "")
+    if strict:
+        quality.enforce_constraints(warehouse.read_tables(spark, staging))
+    warehouse.swap_in(spark, staging, out_dir)
+    return warehouse.read_tables(spark, out_dir)
 
 
 def load_bucketed_warehouse(
-    raw: dict[str, DataFrame],
-    database: str,
-    buckets: int,
-    trim_and_dedupe: bool = True,
-    parallelism: int = 8,
-    max_skew: float = MAX_BUCKET_SKEW,
+    raw: dict[str, DataFrame], database: str, buckets: int | None, strict: bool = False, parallelism: int = 8
 ) -> dict[str, DataFrame]:
-    """Load job writing catalog tables; order-keyed tables bucketed by order_id.
-
-    The order tables are hash partitioned by order_id once, before the
-    dedupe; that single shuffle also lays out the buckets.  A bucket is read
-    by one task and cannot be split at run time, so the layout is only used
-    when no bucket holds more than ``max_skew`` times the mean (measured
-    first, ``buckets`` numbers); otherwise the tables are written unbucketed,
-    where scans split by size and partial aggregation absorbs a hot order.
+    """Load job writing catalog tables; ``buckets`` lays the order-keyed tables out by order_id.
+
+    With buckets the order tables are hash partitioned by order_id once,
+    before the dedupe; that single shuffle also lays out the buckets.  A
+    bucket is read by one task, so pass ``buckets=None`` for data where one
+    order may hold a large share of all lines: the tables are then written
+    unbucketed, scans split by size and partial aggregation absorbs a hot
+    order.  The layout is the caller's choice and never changes with the data.
     """
-    skew = warehouse.bucket_skew(raw, buckets)
-    bucketed = skew <= max_skew
-    log.info("order_id bucket skew %.2f: %s", skew, "bucketed" if bucketed else "unbucketed (skewed)")
-    clean = warehouse.conform_all(
-        transform_all(raw, trim_and_dedupe=trim_and_dedupe, order_partitions=buckets if bucketed else None)
-    )
-    warehouse.save_catalog_tables(
-        clean, database, buckets if bucketed else None, parallelism=parallelism, prepartitioned=bucketed
-    )
-    return warehouse.read_catalog_tables(raw[LOAD_ORDER[0]].sparkSession, database)
+    clean = warehouse.conform_all(transform_all(raw, order_partitions=buckets))
+    warehouse.save_catalog_tables(clean, database, buckets, parallelism=parallelism, prepartitioned=bool(buckets))
+    wh = warehouse.read_catalog_tables(raw[LOAD_ORDER[0]].sparkSession, database)
+    if strict:
+        quality.enforce_constraints(wh)
+    return wh
 
 
 def quality_report(wh) -> dict[str, DataFrame]:
@@ -90,16 +102,14 @@ def quality_report(wh) -> dict[str, DataFrame]:
     }
 
 
-def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str, strict: bool = False) -> int:
-    """Extract the raw CSVs, clean, load, check.  Returns 0, or 1 when sources are missing."""
+def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str, strict: bool = True) -> int:
+    """Extract the raw CSVs, clean, check, load, report.  Returns 0, or 1 when sources are missing."""
     try:
         raw = extract_all(spark, raw_dir)
     except MissingSourceError as exc:
         log.error("cannot run the pipeline, raw data not found: %s", exc)
         return 1
-    wh = load_warehouse(raw, out_dir)
-    if strict:
-        quality.enforce_constraints(wh)
+    wh = load_warehouse(raw, out_dir, strict=strict)
     for name, df in quality_report(wh).items():
         for row in df.collect():  # each report is a handful of rows
             log.info("%s: %s", name, row.asDict())
@@ -113,6 +123,7 @@ def export_marts(
 
     The RFM scoring shared by the two RFM marts runs once per export.
     """
+    spark = next(iter(wh.values())).sparkSession
     names = list(names or [n for suite in sorted(SUITES) for n in SUITES[suite]])
     unknown = [n for n in names if n not in MARTS]
     if unknown:
@@ -125,21 +136,24 @@ def export_marts(
     )
     for name, rows, cols in results:
         log.info("mart %-40s %8d rows, %2d cols", name, rows, cols)
+        written = preview(spark.read.parquet(f"{out_dir}/{name}"))
+        log.info("first rows:\n%s", written.to_string(index=False))
     return results
 
 
-def load_mart(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
-    """Read a mart written by ``export_marts`` (cached: the views read it repeatedly)."""
-    return spark.read.parquet(f"{out_dir}/{name}").cache()
+def load_mart(spark: SparkSession, out_dir: str, name: str, cache: bool = False) -> DataFrame:
+    """Read a mart written by ``export_marts``; cached on request (the caller then unpersists it)."""
+    df = spark.read.parquet(f"{out_dir}/{name}")
+    return df.cache() if cache else df
 
 
-def stored_marts(spark: SparkSession, out_dir: str, names: Iterable[str] | None = None) -> dict[str, DataFrame]:
-    """S9 for every mart: name -> cached DataFrame of the stored mart.
+def stored_marts(spark: SparkSession, out_dir: str, names: Iterable[str] | None = None, cache: bool = False) -> dict[str, DataFrame]:
+    """S9 for every mart: name -> DataFrame of the stored mart.
 
     Pass the result to the view builders (``souk.plans.views``) to shape the
     stored marts, as the dashboard does, instead of recomputing them.
     """
-    return {n: load_mart(spark, out_dir, n) for n in (names or MARTS)}
+    return {n: load_mart(spark, out_dir, n, cache) for n in (names or MARTS)}
 
 
 def register_views(wh: dict[str, DataFrame]) -> list[str]:

@@ -10,10 +10,12 @@ tables as extracted (before trimming, de-duplication and derivations).
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from souk.functions.exprs import strip
 from souk.operators import clean, quality
 from souk.plans import cohort, delivery, explore, kpis, payments, rfm, sales, stats, views
 from souk.plans.base import Warehouse
@@ -103,6 +105,7 @@ CLEAN_BUILDERS: dict[str, Builder] = {
     "C4_translated_products": lambda wh: wh["products"].select(
         "product_id", "product_category_name", "product_category_name_english"
     ),
+    "C4_untranslated_count": lambda wh: clean.untranslated_count(wh["products"]),
     "C5_category_translation": lambda wh: wh["product_category_translation"],
     "C6_delivery_delay": lambda wh: wh["orders"].select("order_id", "delivery_delay_days"),
     "C7_purchase_month": lambda wh: wh["orders"].select("order_id", "order_purchase_month"),
@@ -118,31 +121,47 @@ CLEAN_BUILDERS: dict[str, Builder] = {
     "T9_spearman": stats.spearman,
     "T10_mean_score_by_installments": stats.mean_score_by_installments,
     "T11_score_histogram": stats.score_histogram,
-    # p-values: no SQL engine oracle (Student t / normal tails); unit-tested
-    "T3p_mann_whitney_p": stats.mann_whitney_p,
-    "T4p_welch_p": stats.welch_p,
-    "T9p_spearman_p": stats.spearman_p,
+    # the same tests with their p-values
+    "T3p_mann_whitney_p": lambda wh: stats.rounded(stats.mann_whitney_p(wh)),
+    "T4p_welch_p": lambda wh: stats.rounded(stats.welch_p(wh)),
+    "T9p_spearman_p": lambda wh: stats.rounded(stats.spearman_p(wh)),
 }
 
 
 def dedupe_counts(raw: Warehouse) -> DataFrame:
-    """Rows before/after exact de-duplication of every raw table."""
-    parts = [clean.dedupe_report(raw[t], t) for t in LOAD_ORDER]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.orderBy("table_name")
+    """Rows before/after de-duplication of every raw table (after trimming, as the load does)."""
+    parts = [clean.dedupe_report(clean.trim_strings(raw[t]), t) for t in LOAD_ORDER]
+    return reduce(DataFrame.unionByName, parts).orderBy("table_name")
+
+
+def trim_counts(raw: Warehouse) -> DataFrame:
+    """Per text column of every raw table, rows that trimming changes and the characters left."""
+    parts = []
+    for t in LOAD_ORDER:
+        texts = [f.name for f in raw[t].schema.fields if f.dataType.simpleString() == "string"]
+        if not texts:
+            continue
+        after = {c: strip(c) for c in texts}
+        one = raw[t].agg(
+            F.array(
+                *(
+                    F.struct(
+                        F.lit(t).alias("table_name"),
+                        F.lit(c).alias("column_name"),
+                        F.count_if(F.col(c) != after[c]).alias("trimmed_rows"),
+                        F.coalesce(F.sum(F.length(after[c])), F.lit(0)).cast("long").alias("characters_left"),
+                    )
+                    for c in texts
+                )
+            ).alias("rows")
+        )
+        parts.append(one.select(F.explode("rows").alias("r")).select("r.*"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 RAW_BUILDERS: dict[str, Builder] = {
-    "C1_trim_strings": lambda raw: clean.trim_strings(raw["customers"]),
+    "C1_trim_strings": trim_counts,
     "C2_dedupe_counts": dedupe_counts,
-    "C4_untranslated_count": lambda raw: clean.untranslated_count(
-        clean.translate_products(
-            raw["products"].withColumn("product_category_name_english", F.lit(None).cast("string")),
-            raw["product_category_translation"],
-        )
-    ),
 }
 
 

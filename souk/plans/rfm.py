@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from souk.functions.exprs import r2
+from souk.functions.exprs import money_avg, money_value
 from souk.operators.ranks import ntile_many
-from souk.plans.base import Warehouse, delivered_orders, order_revenue_cents
+from souk.plans.base import TOTAL, Warehouse, delivered_orders, order_money
 
 # Segment rules, checked in this order (first match wins);
 # each rule is a list of (score, comparison, bound) that must all hold.
@@ -41,7 +41,7 @@ def segment_of(r: str = "r_score", f: str = "f_score", m: str = "m_score") -> Co
 
 
 def customer_rfm(wh: Warehouse) -> DataFrame:
-    """(customer_unique_id, last_day, frequency, monetary_cents) over delivered, paid orders.
+    """(customer_unique_id, last_day, frequency, monetary_exact) over delivered, paid orders.
 
     ``last_day`` is the day of the person's latest purchase as days since
     1970-01-01.  Orders are reduced to one row per customer_id before the
@@ -51,12 +51,12 @@ def customer_rfm(wh: Warehouse) -> DataFrame:
     people = wh["customers"].select("customer_id", "customer_unique_id")
     per_customer = (
         delivered_orders(wh, "customer_id", "order_purchase_timestamp")
-        .join(order_revenue_cents(wh), "order_id")
+        .join(order_money(wh), "order_id")
         .groupBy("customer_id")
         .agg(
             F.max("order_purchase_timestamp").alias("last_ts"),
             F.count(F.lit(1)).alias("n"),
-            F.sum("revenue_cents").alias("cents"),
+            F.sum("revenue").cast(TOTAL).alias("total"),
         )
     )
     return (
@@ -65,7 +65,7 @@ def customer_rfm(wh: Warehouse) -> DataFrame:
         .agg(
             F.unix_date(F.to_date(F.max("last_ts"))).alias("last_day"),
             F.sum("n").cast("long").alias("frequency"),
-            F.sum("cents").cast("long").alias("monetary_cents"),
+            F.sum("total").cast(TOTAL).alias("monetary_exact"),
         )
     )
 
@@ -92,7 +92,7 @@ def scored_customers(wh: Warehouse) -> DataFrame:
         {
             "r_score": ("last_day", True),  # older last purchase = larger recency = lower score
             "f_score": ("frequency", True),
-            "m_score": ("monetary_cents", True),
+            "m_score": ("monetary_exact", True),
         },
         k=5,
     )
@@ -106,7 +106,7 @@ def rfm_customers(wh: Warehouse) -> DataFrame:
         "customer_unique_id",
         (F.col("snapshot_day") - F.col("last_day")).cast("long").alias("recency_days"),
         "frequency",
-        r2(F.col("monetary_cents") / F.lit(100.0)).alias("monetary"),
+        money_value("monetary_exact").alias("monetary"),
         "r_score",
         "f_score",
         "m_score",
@@ -122,15 +122,15 @@ def rfm_scores(wh: Warehouse) -> DataFrame:
 
 def rfm_segment_summary(wh: Warehouse) -> DataFrame:
     """Persons and revenue per segment (sums the unrounded monetary value)."""
-    s = scored_customers(wh).select("monetary_cents", segment_of().alias("segment"))
+    s = scored_customers(wh).select("monetary_exact", segment_of().alias("segment"))
     return (
         s.groupBy("segment")
-        .agg(F.count(F.lit(1)).alias("customer_count"), F.sum("monetary_cents").alias("_cents"))
+        .agg(F.count(F.lit(1)).alias("customer_count"), F.sum("monetary_exact").cast(TOTAL).alias("_total"))
         .select(
             "segment",
             "customer_count",
-            r2(F.col("_cents") / F.lit(100.0)).alias("total_revenue"),
-            r2(F.col("_cents") / F.lit(100.0) / F.col("customer_count")).alias("avg_revenue_per_customer"),
+            money_value("_total").alias("total_revenue"),
+            money_avg("_total", "customer_count").alias("avg_revenue_per_customer"),
         )
         .orderBy(F.col("total_revenue").desc_nulls_last(), F.col("segment"))
     )

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from souk.functions.exprs import money_avg, r2, safe_div
-from souk.plans.base import Warehouse, category_of, delivered_orders, order_revenue, order_revenue_cents
+from souk.functions.exprs import money_avg, money_value, r2, safe_div
+from souk.plans.base import TOTAL, Warehouse, category_of, delivered_orders, order_money, order_revenue
 
 CATEGORY_TOP_K = 15
 
@@ -18,38 +18,50 @@ def paid_delivered_orders(wh: Warehouse, *cols: str) -> DataFrame:
 
 def monthly_revenue_trend(wh: Warehouse) -> DataFrame:
     """Orders, revenue and average order value per purchase month
-    (money summed in exact cents, so the average rounds the same way on any
-    partitioning)."""
-    per_order = delivered_orders(wh, "order_purchase_month").join(order_revenue_cents(wh), "order_id")
+    (money is summed as exact decimals, so the average rounds the same way on
+    any partitioning)."""
+    per_order = delivered_orders(wh, "order_purchase_month").join(order_money(wh), "order_id")
     return (
         per_order.groupBy("order_purchase_month")
-        .agg(F.count(F.lit(1)).alias("order_count"), F.sum("revenue_cents").alias("_cents"))
+        .agg(F.count(F.lit(1)).alias("order_count"), F.sum("revenue").cast(TOTAL).alias("_total"))
         .select(
             "order_purchase_month",
             "order_count",
-            (F.col("_cents") / F.lit(100.0)).alias("total_revenue"),
-            money_avg("_cents", "order_count").alias("avg_order_value"),
+            money_value("_total").alias("total_revenue"),
+            money_avg("_total", "order_count").alias("avg_order_value"),
         )
         .orderBy(F.col("order_purchase_month").asc_nulls_last())
     )
 
 
+SALTS = 16
+
+
+def salted_lines(wh: Warehouse) -> DataFrame:
+    """Item price and lines per (order, product), with the share an order's products are dealt to."""
+    lines = wh["order_items"].groupBy("order_id", "product_id").agg(F.sum("price").alias("price"), F.count(F.lit(1)).alias("lines"))
+    return lines.withColumn("_salt", F.pmod(F.hash("product_id"), F.lit(SALTS)))
+
+
 def category_revenue_all(wh: Warehouse) -> DataFrame:
     """Revenue of delivered orders allocated to items by price share, per category
-    (all categories, before the top-k cut)."""
-    items = wh["order_items"].select("order_id", "product_id", "price")
-    price_total = items.groupBy("order_id").agg(F.sum("price").alias("order_price"))
-    allocated = (
-        items.join(price_total, "order_id")
-        .join(paid_delivered_orders(wh), "order_id")
-        .select(
-            "product_id",
-            (safe_div("price", "order_price") * F.col("order_revenue")).alias("allocated_revenue"),
-        )
+    (all categories, before the top-k cut).
+
+    Items are summed per (order, product) first, so an order is as many rows
+    as it has distinct products; an order with very many of them is dealt by
+    product over SALTS shares, each of which meets a copy of the order's one
+    ratio (revenue per unit of price).
+    """
+    price_total = wh["order_items"].groupBy("order_id").agg(F.sum("price").alias("order_price"))
+    ratio = (
+        price_total.join(paid_delivered_orders(wh), "order_id")
+        .select("order_id", safe_div("order_revenue", "order_price").alias("ratio"))
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     )
+    allocated = salted_lines(wh).join(ratio, ["order_id", "_salt"])
     # pre-aggregate per product so the product lookup joins one row per product
     per_product = allocated.groupBy("product_id").agg(
-        F.sum("allocated_revenue").alias("revenue"), F.count(F.lit(1)).alias("lines")
+        F.sum(F.col("price") * F.col("ratio")).alias("revenue"), F.sum("lines").alias("lines")
     )
     with_cat = per_product.join(category_of(wh["products"]), "product_id", "left").select(
         F.coalesce(F.col("category"), F.lit("unknown")).alias("category"), "revenue", "lines"
@@ -70,20 +82,20 @@ def revenue_by_category(wh: Warehouse, top_k: int = CATEGORY_TOP_K) -> DataFrame
 
 def revenue_by_state(wh: Warehouse) -> DataFrame:
     """Distinct delivered paid orders, revenue and AOV per customer state."""
-    per_order = delivered_orders(wh, "customer_id").join(order_revenue_cents(wh), "order_id")
+    per_order = delivered_orders(wh, "customer_id").join(order_money(wh), "order_id")
     # pre-aggregate per customer: the customer lookup then joins one row per customer
     per_customer = per_order.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("orders"), F.sum("revenue_cents").alias("revenue")
+        F.count(F.lit(1)).alias("orders"), F.sum("revenue").cast(TOTAL).alias("revenue")
     )
     states = wh["customers"].select("customer_id", "customer_state")
     return (
         per_customer.join(states, "customer_id")
         .groupBy("customer_state")
-        .agg(F.sum("orders").alias("_orders"), F.sum("revenue").alias("_revenue"))
+        .agg(F.sum("orders").alias("_orders"), F.sum("revenue").cast(TOTAL).alias("_revenue"))
         .select(
             "customer_state",
             F.col("_orders").cast("long").alias("order_count"),
-            (F.col("_revenue") / F.lit(100.0)).alias("total_revenue"),
+            money_value("_revenue").alias("total_revenue"),
             money_avg("_revenue", "_orders").alias("avg_order_value"),
         )
         .orderBy(F.col("total_revenue").desc_nulls_last(), F.col("customer_state").asc_nulls_last())

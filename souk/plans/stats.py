@@ -1,21 +1,19 @@
 """Rank-based statistics on Spark.
 
 The two samples are built with joins; ranking works on value histograms
-(``average_ranks``), so pairing, ranking and counting all run distributed
-and each test statistic ends as arithmetic on a one-row aggregate.  The
-tail probabilities (``souk.functions.dist``) are applied to that one row by
-a scalar pandas UDF, inside the plan.
+(``histogram_ranks``), so pairing and counting run distributed and each test
+statistic ends as arithmetic on a one-row aggregate.  The tail probabilities
+(``souk.functions.dist``) are column expressions on that one row.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from souk.functions import dist
 from souk.functions.exprs import r2, safe_div
-from souk.operators.ranks import average_ranks
+from souk.operators.ranks import average_ranks, histogram_ranks
 from souk.plans.base import Warehouse, delay_status
 
 LATE, ON_TIME = "late", "on_time_or_early"
@@ -76,13 +74,18 @@ def review_score_ranks(wh: Warehouse) -> DataFrame:
 
 
 def _mann_whitney_row(wh: Warehouse) -> DataFrame:
-    """(n_late, n_on_time, u_statistic, tie_term, z): U of the late group, two-sided z."""
-    sample = late_review_sample(wh)
-    ranks = average_ranks(sample, "review_score").select("review_score", "n", "avg_rank")
-    per_value = sample.groupBy("review_score").agg(
-        F.count_if(F.col("delivery_group") == LATE).alias("n_late_v")
+    """(n_late, n_on_time, u_statistic, tie_term, z): U of the late group, two-sided z.
+
+    One pass over the sample makes the histogram of scores with the late
+    reviews of each; everything else happens on that.
+    """
+    hist = (
+        late_review_sample(wh)
+        .where(F.col("review_score").isNotNull())
+        .groupBy("review_score")
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("delivery_group") == LATE).alias("n_late_v"))
     )
-    a = per_value.join(ranks, "review_score").agg(
+    a = histogram_ranks(hist, "review_score").agg(
         F.sum("n_late_v").cast("double").alias("n1"),
         (F.sum("n") - F.sum("n_late_v")).cast("double").alias("n2"),
         F.sum(F.col("n_late_v") * F.col("avg_rank")).alias("r1"),
@@ -110,8 +113,7 @@ def mann_whitney(wh: Warehouse) -> DataFrame:
     )
 
 
-def welch_t(wh: Warehouse) -> DataFrame:
-    """T4: Welch's t of late minus on-time means, Welch–Satterthwaite df."""
+def _welch_row(wh: Warehouse) -> DataFrame:
     g = late_review_sample(wh).agg(
         *[
             x
@@ -126,7 +128,12 @@ def welch_t(wh: Warehouse) -> DataFrame:
     a, b = safe_div("v1", "n1"), safe_div("v2", "n2")
     t = safe_div(F.col("m1") - F.col("m2"), F.sqrt(a + b))
     df = safe_div((a + b) * (a + b), safe_div(a * a, F.col("n1") - 1) + safe_div(b * b, F.col("n2") - 1))
-    return g.select(r6(t).alias("t_statistic"), r6(df).alias("df"))
+    return g.select(t.alias("t_statistic"), df.alias("df"))
+
+
+def welch_t(wh: Warehouse) -> DataFrame:
+    """T4: Welch's t of late minus on-time means, Welch–Satterthwaite df."""
+    return _welch_row(wh).select(r6("t_statistic").alias("t_statistic"), r6("df").alias("df"))
 
 
 def _effect_label(r):
@@ -137,16 +144,23 @@ def _effect_label(r):
     return expr.otherwise(F.lit(LARGEST_EFFECT))
 
 
+def _rank_biserial_row(wh: Warehouse) -> DataFrame:
+    r = F.lit(1.0) - 2 * safe_div("u_statistic", F.col("n_late") * F.col("n_on_time"))
+    return _mann_whitney_row(wh).select("n_late", "n_on_time", "u_statistic", r.alias("rank_biserial"))
+
+
 def rank_biserial(wh: Warehouse) -> DataFrame:
     """T5: r = 1 - 2U/(n1 n2), U of the late group."""
-    m = _mann_whitney_row(wh)
-    r = F.lit(1.0) - 2 * safe_div("u_statistic", F.col("n_late") * F.col("n_on_time"))
-    return m.select("n_late", "n_on_time", r6("u_statistic").alias("u_statistic"), r6(r).alias("rank_biserial"))
+    return _rank_biserial_row(wh).select(
+        "n_late", "n_on_time", r6("u_statistic").alias("u_statistic"), r6("rank_biserial").alias("rank_biserial")
+    )
 
 
 def effect_size(wh: Warehouse) -> DataFrame:
-    """Rank-biserial r with its magnitude label."""
-    return rank_biserial(wh).select("rank_biserial", _effect_label(F.col("rank_biserial")).alias("effect_size"))
+    """Rank-biserial r with the magnitude label of its unrounded value."""
+    return _rank_biserial_row(wh).select(
+        r6("rank_biserial").alias("rank_biserial"), _effect_label(F.col("rank_biserial")).alias("effect_size")
+    )
 
 
 # -- sample 2: instalments vs review score -----------------------------------
@@ -162,35 +176,43 @@ def installment_review_sample(wh: Warehouse) -> DataFrame:
 
 
 def installment_review_describe(wh: Warehouse) -> DataFrame:
-    """Count, mean, std, min, quartiles (exact, linear interpolation) and max of both columns."""
-    s = installment_review_sample(wh)
-    parts = []
-    for c in ("installments", "review_score"):
-        x = F.col(c)
-        parts.append(
-            s.agg(
-                F.count(x).alias("count"),
-                r6(F.avg(x)).alias("mean"),
-                r6(F.stddev_samp(x)).alias("std"),
-                F.min(x).cast("double").alias("min"),
-                r6(F.percentile(x, 0.25)).alias("p25"),
-                r6(F.percentile(x, 0.5)).alias("p50"),
-                r6(F.percentile(x, 0.75)).alias("p75"),
-                F.max(x).cast("double").alias("max"),
-            ).select(F.lit(c).alias("variable"), "*")
-        )
-    return parts[0].unionByName(parts[1])
+    """Count, mean, std, min, quartiles (exact, linear interpolation) and max of both columns, in one pass."""
+    names = ("installments", "review_score")
+
+    def described(c: str) -> Column:
+        x, quarter = F.col(c), F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+        figures = {
+            "count": F.count(x), "mean": r6(F.avg(x)), "std": r6(F.stddev_samp(x)), "min": F.min(x).cast("double"),
+            "p25": r6(F.get(quarter, F.lit(0))), "p50": r6(F.get(quarter, F.lit(1))), "p75": r6(F.get(quarter, F.lit(2))),
+            "max": F.max(x).cast("double"),
+        }
+        return F.struct(F.lit(c).alias("variable"), *(v.alias(k) for k, v in figures.items()))
+
+    one = installment_review_sample(wh).agg(F.array(*(described(c) for c in names)).alias("rows"))
+    return one.select(F.explode("rows").alias("r")).select("r.*")
 
 
 def _spearman_row(wh: Warehouse) -> DataFrame:
-    s = installment_review_sample(wh)
-    rx = average_ranks(s, "installments").select("installments", F.col("avg_rank").alias("rx"))
-    ry = average_ranks(s, "review_score").select("review_score", F.col("avg_rank").alias("ry"))
-    return (
-        s.join(rx, "installments")
-        .join(ry, "review_score")
-        .agg(F.count(F.lit(1)).alias("n"), F.corr("rx", "ry").alias("rho"))
+    """(n, rho) from the joint histogram: one aggregate over the sample, ranks and products on its cells.
+
+    The mean of average ranks is (n + 1) / 2 for either variable.
+    """
+    joint = installment_review_sample(wh).groupBy("installments", "review_score").agg(F.count(F.lit(1)).alias("c"))
+
+    def ranks(c: str, name: str) -> DataFrame:
+        return histogram_ranks(joint.groupBy(c).agg(F.sum("c").alias("n")), c).select(c, F.col("avg_rank").alias(name))
+
+    cells = joint.join(ranks("installments", "rx"), "installments").join(ranks("review_score", "ry"), "review_score")
+    sums = cells.agg(
+        F.sum("c").cast("long").alias("n"),
+        F.sum(F.col("c") * F.col("rx") * F.col("ry")).alias("xy"),
+        F.sum(F.col("c") * F.col("rx") * F.col("rx")).alias("xx"),
+        F.sum(F.col("c") * F.col("ry") * F.col("ry")).alias("yy"),
     )
+    n = F.col("n").cast("double")
+    square = n * (n + 1) * (n + 1) / 4
+    rho = safe_div(F.col("xy") - square, F.sqrt((F.col("xx") - square) * (F.col("yy") - square)))
+    return sums.select("n", rho.alias("rho"))
 
 
 def spearman(wh: Warehouse) -> DataFrame:
@@ -212,61 +234,35 @@ def mean_score_by_installments(wh: Warehouse, max_installments: int = MAX_INSTAL
 # -- test results with p-values ----------------------------------------------
 
 
-def _norm_p(z: pd.Series) -> pd.Series:
-    return z.map(lambda v: None if pd.isna(v) else dist.two_sided_norm(float(v))).astype("float64")
-
-
-def _t_p(t: pd.Series, df: pd.Series) -> pd.Series:
-    out = [
-        None if pd.isna(a) or pd.isna(b) or b <= 0 else dist.two_sided_t(float(a), float(b))
-        for a, b in zip(t, df)
-    ]
-    return pd.Series(out, dtype="float64")
-
-
-_UDFS: dict = {}
-
-
-def _udf(fn):
-    # created on first use: a pandas UDF needs an active session
-    if fn not in _UDFS:
-        _UDFS[fn] = F.pandas_udf(fn, "double")
-    return _UDFS[fn]
-
-
-def two_sided_norm_p(z) -> Column:
-    """Two-sided normal tail of z, as a Column (Arrow-batched; used on one-row aggregates)."""
-    return _udf(_norm_p)(z)
-
-
-def two_sided_t_p(t, df) -> Column:
-    """Two-sided Student-t tail of t with df degrees of freedom, as a Column."""
-    return _udf(_t_p)(t, df)
-
-
 def mann_whitney_p(wh: Warehouse) -> DataFrame:
     """T3 with its two-sided p (normal approximation, tie and continuity corrected)."""
-    return _mann_whitney_row(wh).select(
-        "n_late", "n_on_time", "u_statistic", two_sided_norm_p("z").alias("p_value")
-    )
+    return _mann_whitney_row(wh).select("n_late", "n_on_time", "u_statistic", dist.two_sided_norm(F.col("z")).alias("p_value"))
 
 
 def welch_p(wh: Warehouse) -> DataFrame:
-    """T4 with its two-sided p (Student t with Welch–Satterthwaite df)."""
-    return welch_t(wh).select("t_statistic", "df", two_sided_t_p("t_statistic", "df").alias("p_value"))
+    """T4 with its two-sided p (Student t with Welch–Satterthwaite df, both unrounded)."""
+    return _welch_row(wh).withColumn("p_value", dist.two_sided_t(F.col("t_statistic"), F.col("df")))
 
 
 def spearman_p(wh: Warehouse) -> DataFrame:
     """T9 with its two-sided p (t = rho sqrt((n-2)/(1-rho^2)), n-2 df)."""
-    r = _spearman_row(wh)
     rho, n = F.col("rho"), F.col("n")
     t = rho * F.sqrt(safe_div(n - 2, F.lit(1.0) - rho * rho))
-    p = (
-        F.when(n < 3, F.lit(None).cast("double"))
-        .when(F.abs(rho) >= 1, F.lit(0.0))
-        .otherwise(two_sided_t_p(t, (n - 2).cast("double")))
+    p = F.when(n < 3, F.lit(None).cast("double")).when(F.abs(rho) >= 1, F.lit(0.0)).otherwise(dist.two_sided_t(t, n - 2))
+    return _spearman_row(wh).select("n", "rho", p.alias("p_value"))
+
+
+P_DIGITS = 9
+
+
+def rounded(test: DataFrame) -> DataFrame:
+    """A test's row for a report: statistics to six, p to P_DIGITS decimals (rounded last)."""
+    return test.select(
+        *(
+            r2(c, P_DIGITS).alias(c) if c == "p_value" else r6(c).alias(c) if t == "double" else F.col(c)
+            for c, t in test.dtypes
+        )
     )
-    return r.select("n", "rho", p.alias("p_value"))
 
 
 def mann_whitney_test(wh: Warehouse) -> dict:

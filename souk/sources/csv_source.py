@@ -29,17 +29,23 @@ def _is_missing(exc: AnalysisException) -> bool:
     return "PATH_NOT_FOUND" in (exc.getCondition() or "") or "PATH_NOT_FOUND" in str(exc)
 
 
-def read_csv_table(spark: SparkSession, table: str, raw_dir: str) -> DataFrame:
-    """One raw table with its declared types."""
+def read_csv_table(spark: SparkSession, table: str, raw_dir: str, path: str | None = None) -> DataFrame:
+    """One raw table with its declared types.
+
+    The table is the file ``raw_dir/<raw file>``, or a folder of that name
+    holding part files, or whatever ``path`` says (a glob, too).  Only tables
+    with free text are read with multi-line fields; the files of all others
+    are split like any text.
+    """
     spec = TABLES[table]
-    path = f"{raw_dir.rstrip('/')}/{spec.raw_file}"
+    path = path or f"{raw_dir.rstrip('/')}/{spec.raw_file}"
     cols = [c for c, _, _ in spec.columns if c not in spec.derived]
     # no schema and no inference: every column is text, named by the header,
     # so columns are matched by name (a declared schema would match by position)
     reader = (
         spark.read.option("header", True)
         .option("inferSchema", False)
-        .option("multiLine", True)
+        .option("multiLine", spec.free_text)
         .option("quote", '"')
         .option("escape", '"')
         .option("mode", "FAILFAST")

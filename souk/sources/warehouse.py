@@ -39,12 +39,9 @@ def conform_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 def from_driver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Clean warehouse tables derived lazily from the driver's parquet tables.
 
-    The driver tables hold no padded text and no duplicate rows (the C1/C2
-    queries verify this on the same data), so the trim/dedupe pass is left
-    to the load job; the translation completion and the derived order
-    columns always run.
+    The full cleaning step runs: trim, exact dedupe, translation, derived columns.
     """
-    return transform_all(raw_tables(spark, sf_dir), trim_and_dedupe=False)
+    return transform_all(raw_tables(spark, sf_dir))
 
 
 def write_tables(tables: dict[str, DataFrame], root: str, parallelism: int = 4) -> None:
@@ -58,32 +55,24 @@ def write_tables(tables: dict[str, DataFrame], root: str, parallelism: int = 4)
     run_concurrently([lambda n=n: write(n) for n in LOAD_ORDER], parallelism)
 
 
+def swap_in(spark: SparkSession, staging: str, root: str) -> None:
+    """Put every staged table in the place of root/<table> (the file system's rename)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for name in LOAD_ORDER:
+        if fs.exists(path(f"{root}/{name}")):
+            fs.delete(path(f"{root}/{name}"), True)
+        if not fs.rename(path(f"{staging}/{name}"), path(f"{root}/{name}")):
+            raise OSError(f"cannot move {staging}/{name} to {root}/{name}")
+    fs.delete(path(staging), True)
+
+
 def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """Open the warehouse written by ``write_tables``."""
     return {name: spark.read.parquet(f"{root}/{name}") for name in LOAD_ORDER}
 
 
-def bucket_skew(tables: dict[str, DataFrame], buckets: int) -> float:
-    """Rows of the heaviest order_id bucket divided by the mean bucket, over
-    the order-keyed tables that hold many rows per order (1.0 = perfectly
-    even; orders itself has one row per order_id).
-
-    The bucket id is Spark's own (murmur3 hash of the key, modulo the bucket
-    count); the per-bucket counts are map-side combined, and only ``buckets``
-    numbers come back.
-    """
-    from functools import reduce
-
-    ids = [
-        tables[t].select(F.pmod(F.hash("order_id"), F.lit(buckets)).alias("bucket"))
-        for t in ORDER_KEYED
-        if t != "orders"
-    ]
-    per_bucket = reduce(DataFrame.unionByName, ids).groupBy("bucket").count()
-    top, total = per_bucket.agg(F.max("count"), F.sum("count")).first()
-    return 1.0 if not total else top * buckets / total
-
-
 def save_catalog_tables(
     tables: dict[str, DataFrame],
     database: str,

@@ -53,4 +53,5 @@ def duck_on_tables(tables: dict[str, DataFrame]) -> duckdb.DuckDBPyConnection:
 
 def oracle_body(sql: str) -> str:
     """Oracle SQL without the driver mapping, to run on registered clean tables."""
-    return sql.replace(oracle.PRELUDE, "WITH ")
+    # a statement without CTEs of its own follows the prelude without its last comma
+    return sql.replace(oracle.PRELUDE, "WITH ").replace(oracle.Q, "")

@@ -6,7 +6,7 @@ from __future__ import annotations
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from souk.catalog import all_oracles, all_queries
 from tests.helpers import rows
 
 SF = "/root/testdata/sf0.001"
@@ -21,8 +21,8 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("key", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(all_oracles()))
 def test_query_matches_oracle_on_driver_tables(key, spark, duck):
-    got = entry.queries()[key](spark, SF).toPandas()
-    want = duck.execute(entry.oracle_sql()[key]).fetchdf()
+    got = all_queries()[key](spark, SF).toPandas()
+    want = duck.execute(all_oracles()[key]).fetchdf()
     assert rows(got) == rows(want), key

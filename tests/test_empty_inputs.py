@@ -11,7 +11,7 @@ from tests.fixture_tables import raw_fixture
 
 @pytest.fixture(scope="module")
 def empty_wh(spark):
-    clean = transform_all(raw_fixture(spark), trim_and_dedupe=True)
+    clean = transform_all(raw_fixture(spark))
     return {k: spark.createDataFrame([], v.schema) for k, v in clean.items()}
 
 

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from souk.functions.exprs import day_diff, floor_days, month_diff, r2, strip, year_month
+from souk.functions.exprs import day_diff, floor_days, money, money_avg, money_value, month_diff, r2, strip, year_month
 from souk.operators.ranks import average_ranks, ntile_many
 
 
@@ -92,7 +92,7 @@ def test_ntile_sizes_differ_by_at_most_one(spark):
 def test_average_ranks_match_pandas(spark):
     vals = [3, 1, 4, 1, 5, 9, 2, 6, 5, 3, 5]
     df = spark.createDataFrame([(v,) for v in vals], "v long")
-    got = {r.v: r.avg_rank for r in average_ranks(df, "v", num_partitions=3).collect()}
+    got = {r.v: r.avg_rank for r in average_ranks(df, "v").collect()}
     ranks = pd.Series(vals).rank(method="average")
     want = dict(zip(vals, ranks))
     assert got == want
@@ -129,7 +129,7 @@ def test_average_ranks_across_many_partitions(spark):
     rnd = random.Random(11)
     vals = [rnd.randint(0, 199) for _ in range(3000)]
     df = spark.createDataFrame([(v,) for v in vals], "v long")
-    got = {r.v: (r.n, r.avg_rank) for r in average_ranks(df, "v", num_partitions=9).collect()}
+    got = {r.v: (r.n, r.avg_rank) for r in average_ranks(df, "v").collect()}
     s = pd.Series(vals)
     ranks = s.rank(method="average")
     want = {v: (int((s == v).sum()), float(ranks[s == v].iloc[0])) for v in set(vals)}
@@ -159,3 +159,16 @@ def test_wall_clock_results_do_not_depend_on_the_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert local == utc
+
+
+def test_money_averages_are_exact_for_large_sums(spark):
+    n = 884_567_286_526
+    df = spark.sql(f"SELECT CAST(1959498 AS DECIMAL(20,0)) * {n} / 100 AS t, {n}L AS n, 0L AS none")
+    row = df.select(money_avg("t", "n").alias("a"), money_avg(-df["t"], "n").alias("b"), money_avg("t", "none").alias("c")).first()
+    assert (row.a, row.b, row.c) == (19594.98, -19594.98, None)
+
+
+def test_money_keeps_what_is_below_a_cent(spark):
+    df = spark.createDataFrame([(0.004,), (0.004,), (0.002,), (1.005,)], "v double")
+    row = df.agg(F.sum(money("v")).alias("t"), F.count("v").alias("n")).select(money_value("t").alias("t"), money_avg("t", "n").alias("a")).first()
+    assert (row.t, row.a) == (1.02, 0.25)  # 1.015 rounds half up, 0.25375 down

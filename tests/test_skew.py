@@ -40,7 +40,7 @@ def test_hot_person_reaches_the_cohort_window_once_per_month(spark):
     for c in base.columns[4:]:
         extra = extra.withColumn(c, F.lit(None).cast(base.schema[c].dataType))
     raw = dict(raw, orders=raw["orders"].unionByName(extra))
-    wh = transform_all(raw, trim_and_dedupe=True)
+    wh = transform_all(raw)
     pm = cohort.person_months(wh).where(F.col("customer_unique_id") == "p1")
     assert pm.count() == 4  # Dec 2017 + Jan, Feb, Mar 2018: one row per month, not 602
     m = {(str(r.cohort_month)[:7], r.months_since_first): r.active_customers
@@ -52,7 +52,7 @@ def test_per_order_revenue_is_combined_before_the_join(spark):
     import contextlib
     import io
 
-    wh = transform_all(raw_fixture(spark), trim_and_dedupe=True)
+    wh = transform_all(raw_fixture(spark))
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         sales.monthly_revenue_trend(wh).explain()
@@ -61,3 +61,16 @@ def test_per_order_revenue_is_combined_before_the_join(spark):
     joins = [i for i in (plan.find("BroadcastHashJoin"), plan.find("SortMergeJoin")) if i >= 0]
     below = plan[min(joins):] if joins else ""
     assert re.search(r"partial_sum\([^\n]*payment_value", below)
+
+
+def test_hot_order_is_spread_over_tasks(spark):
+    raw = raw_fixture(spark)
+    one = raw["order_items"].where(F.col("order_id") == "o1").limit(1)
+    many = spark.range(600).select(F.col("id").cast("int").alias("n")).crossJoin(one)
+    many = many.withColumn("order_item_id", F.col("n") + 100).withColumn("product_id", F.format_string("x%04d", "n")).drop("n")
+    wh = transform_all(dict(raw, order_items=raw["order_items"].unionByName(many.select(*raw["order_items"].columns))))
+    dealt = sales.salted_lines(wh).repartition(16, "order_id", "_salt").where(F.col("order_id") == "o1")
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 6 and max(sizes) < sum(sizes) / 3
+    plain = sales.category_revenue_all(transform_all(raw)).collect()
+    assert sum(r.line_items for r in sales.category_revenue_all(wh).collect()) == sum(r.line_items for r in plain) + 600
