@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from souk.functions.exprs import pct, r2
 from souk.operators.totals import with_grand_totals
-from souk.plans.base import Warehouse, delay_status, delivered_with_date
+from souk.plans.base import Warehouse, delay_status, delivered_with_date, reviewed_delivered_orders
 
 
 def delivery_rate_overall(wh: Warehouse) -> DataFrame:
@@ -63,19 +63,12 @@ def delivery_delay_by_state(wh: Warehouse) -> DataFrame:
 
 def review_score_by_delivery(wh: Warehouse) -> DataFrame:
     """Reviews (rows, not orders) per delivery status, mean score, share of score <= 2."""
-    per_order = wh["order_reviews"].groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("review_score").alias("score_sum"),
-        F.count("review_score").alias("score_n"),
-        F.count_if(F.col("review_score") <= 2).alias("bad_n"),
-    )
     g = (
-        delivered_with_date(wh, "delivery_delay_days")
-        .join(per_order, "order_id")
+        reviewed_delivered_orders(wh, "delivery_delay_days")
         .withColumn("delivery_status", delay_status())
         .groupBy("delivery_status")
         .agg(
-            F.sum("n").alias("n"),
+            F.sum("reviews").alias("n"),
             F.sum("score_sum").alias("score_sum"),
             F.sum("score_n").alias("score_n"),
             F.sum("bad_n").alias("bad_n"),

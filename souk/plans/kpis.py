@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from souk.functions.exprs import money_avg, money_value, r2, safe_div
-from souk.plans.base import TOTAL, Warehouse, delivered_orders, order_money
+from souk.plans.base import FACTS, TOTAL, Warehouse, order_facts
 
 
 def summary_kpis(wh: Warehouse) -> DataFrame:
@@ -21,20 +21,12 @@ def summary_kpis(wh: Warehouse) -> DataFrame:
     total and its review count and score sum (both pre-aggregated per order,
     joined on order_id), and a single global aggregate produces all four
     figures."""
-    reviews = wh["order_reviews"].groupBy("order_id").agg(
-        F.count("review_score").alias("_reviews"), F.sum("review_score").alias("_score_sum")
-    )
-    per_order = (
-        delivered_orders(wh)
-        .select("order_id")
-        .join(order_money(wh), "order_id", "left")
-        .join(reviews, "order_id", "left")
-    )
+    per_order = order_facts(wh) if FACTS not in wh else wh[FACTS]
     g = per_order.agg(
         F.count("revenue").alias("total_orders"),  # delivered orders with a payment
         F.sum("revenue").cast(TOTAL).alias("_total"),
-        F.sum("_reviews").alias("_reviews"),
-        F.sum("_score_sum").alias("_score_sum"),
+        F.sum("score_n").alias("_reviews"),
+        F.sum("score_sum").alias("_score_sum"),
     )
     return g.select(
         money_value("_total").alias("total_revenue"),

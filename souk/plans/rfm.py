@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from souk.functions.exprs import money_avg, money_value
 from souk.operators.ranks import ntile_many
-from souk.plans.base import TOTAL, Warehouse, delivered_orders, order_money
+from souk.plans.base import TOTAL, Warehouse, paid_delivered_orders
 
 # Segment rules, checked in this order (first match wins);
 # each rule is a list of (score, comparison, bound) that must all hold.
@@ -50,8 +50,7 @@ def customer_rfm(wh: Warehouse) -> DataFrame:
     """
     people = wh["customers"].select("customer_id", "customer_unique_id")
     per_customer = (
-        delivered_orders(wh, "customer_id", "order_purchase_timestamp")
-        .join(order_money(wh), "order_id")
+        paid_delivered_orders(wh, "customer_id", "order_purchase_timestamp")
         .groupBy("customer_id")
         .agg(
             F.max("order_purchase_timestamp").alias("last_ts"),

@@ -6,21 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from souk.functions.exprs import money_avg, money_value, r2, safe_div
-from souk.plans.base import TOTAL, Warehouse, category_of, delivered_orders, order_money, order_revenue
+from souk.plans.base import TOTAL, Warehouse, category_of, order_amounts, paid_delivered_orders
 
 CATEGORY_TOP_K = 15
 
 
-def paid_delivered_orders(wh: Warehouse, *cols: str) -> DataFrame:
-    """One row per delivered order that has at least one payment, with its revenue."""
-    return delivered_orders(wh, *cols).join(order_revenue(wh), "order_id")
-
-
 def monthly_revenue_trend(wh: Warehouse) -> DataFrame:
     """Orders, revenue and average order value per purchase month
     (money is summed as exact decimals, so the average rounds the same way on
     any partitioning)."""
-    per_order = delivered_orders(wh, "order_purchase_month").join(order_money(wh), "order_id")
+    per_order = paid_delivered_orders(wh, "order_purchase_month")
     return (
         per_order.groupBy("order_purchase_month")
         .agg(F.count(F.lit(1)).alias("order_count"), F.sum("revenue").cast(TOTAL).alias("_total"))
@@ -54,7 +49,7 @@ def category_revenue_all(wh: Warehouse) -> DataFrame:
     """
     price_total = wh["order_items"].groupBy("order_id").agg(F.sum("price").alias("order_price"))
     ratio = (
-        price_total.join(paid_delivered_orders(wh), "order_id")
+        price_total.join(order_amounts(wh), "order_id")
         .select("order_id", safe_div("order_revenue", "order_price").alias("ratio"))
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     )
@@ -82,7 +77,7 @@ def revenue_by_category(wh: Warehouse, top_k: int = CATEGORY_TOP_K) -> DataFrame
 
 def revenue_by_state(wh: Warehouse) -> DataFrame:
     """Distinct delivered paid orders, revenue and AOV per customer state."""
-    per_order = delivered_orders(wh, "customer_id").join(order_money(wh), "order_id")
+    per_order = paid_delivered_orders(wh, "customer_id")
     # pre-aggregate per customer: the customer lookup then joins one row per customer
     per_customer = per_order.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("orders"), F.sum("revenue").cast(TOTAL).alias("revenue")
