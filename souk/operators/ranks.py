@@ -41,6 +41,7 @@ def ntile_many(
     specs: dict[str, tuple[str | Column, bool]],
     k: int = 5,
     num_partitions: int | None = None,
+    maxima: dict[str, str] | None = None,
 ) -> DataFrame:
     """NTILE(k) of several numeric orderings in one distributed pass.
 
@@ -49,7 +50,9 @@ def ntile_many(
     first for ascending and last for descending orderings (Spark/SQL
     defaults).  Returns the rows of ``df`` (other columns must be numeric,
     they are carried through a hash aggregate) with one bigint column per
-    spec.
+    spec.  ``maxima`` (output name -> column) adds the largest value of a column
+    over all rows, taken from the per-partition counts that the ranking needs
+    anyway.
 
     Each input row is expanded into one row per ordering (``explode``), so
     the input is read once; the other columns ride along on the first
@@ -57,7 +60,7 @@ def ntile_many(
     """
     spark = df.sparkSession
     num_partitions = num_partitions or shuffle_partitions(spark)
-    names = list(specs)
+    names, maxima = list(specs), maxima or {}
     payload = [c for c in df.columns if c != id_col]
     entries = []
     for i, name in enumerate(names):
@@ -83,18 +86,20 @@ def ntile_many(
 
     pos = _numbered(stacked, ["_which", "_nulls", "_key", "_id"], num_partitions)
     stats = pos.groupBy("_which", "_pid").agg(
-        F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_first")
+        F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_first"), *[F.max(c).alias(name) for name, c in maxima.items()]
     )
     before = Window.partitionBy("_which").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0))).withColumn(
         "_n", F.sum("_cnt").over(Window.partitionBy("_which"))
     )
+    stats = stats.withColumns({name: F.max(name).over(Window.partitionBy()) for name in maxima})
     # stats has at most len(specs) * num_partitions rows: safe to broadcast.
     ranked = pos.join(F.broadcast(stats), ["_which", "_pid"]).withColumn(
         "_bucket", ntile_bucket(F.col("_off") + F.col("_pos") - F.col("_first") + 1, F.col("_n"), k)
     )
     return ranked.groupBy(F.col("_id").alias(id_col)).agg(
         *[F.max(c).alias(c) for c in payload],
+        *[F.max(name).alias(name) for name in maxima],
         *[F.max(F.when(F.col("_which") == i, F.col("_bucket"))).alias(name) for i, name in enumerate(names)],
     )
 

@@ -80,8 +80,8 @@ def scored_customers(wh: Warehouse) -> DataFrame:
     Recency is days from the last purchase day to the snapshot day (the
     latest purchase day of all), so ordering by recency descending is
     ordering by last purchase day ascending, with the same ties; the scores
-    are computed on that, and the snapshot is taken afterwards from the
-    scored (checkpointed) rows instead of a second pass over the orders.
+    are computed on that, and the snapshot comes with the ranking's
+    per-partition counts instead of a second pass.
     """
     if SCORED_KEY in wh:
         return wh[SCORED_KEY]
@@ -94,14 +94,13 @@ def scored_customers(wh: Warehouse) -> DataFrame:
             "m_score": ("monetary_exact", True),
         },
         k=5,
+        maxima={"snapshot_day": "last_day"},
     )
 
 
 def rfm_customers(wh: Warehouse) -> DataFrame:
     """One row per person with scores and segment."""
-    s = scored_customers(wh)
-    snapshot = s.agg(F.max("last_day").alias("snapshot_day"))  # one row
-    return s.crossJoin(F.broadcast(snapshot)).select(
+    return scored_customers(wh).select(
         "customer_unique_id",
         (F.col("snapshot_day") - F.col("last_day")).cast("long").alias("recency_days"),
         "frequency",
