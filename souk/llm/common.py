@@ -39,3 +39,12 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Up to so many rows a table is broadcast; a larger one is joined by a shuffle.
+BROADCAST_ROWS = 10_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A checkpointed table, marked for broadcasting if a count shows that it is small."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df

@@ -25,8 +25,8 @@ finds those that are in more than one shard.
 Hot anchors: occurrences of an anchor with more than HOT of them are dealt by a
 hash of the document; a context that is alone in its share is treated as an
 edge, which is compared exactly later, so dealing cannot lose or add a match.
-Tables of hot anchors are broadcast only below BROADCAST_ROWS rows and joined
-else.
+Tables of hot anchors are broadcast only while a count shows them small, and
+joined else.
 
 Defined results: a null or empty text has no bytes; nothing shorter than LENGTH
 is removed; repeated rows are different documents that repeat each other (a row
@@ -46,18 +46,17 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from souk.llm.common import partitions, stored
+from souk.llm.common import partitions, small, stored
 from souk.session import reliable_checkpoint
 
 LENGTH = 200
 GRAM = 48
 #: Bytes of text a task works on at a time, but at least one document.
-BUFFER = 1 << 20
+BUFFER = 1 << 19
 #: Occurrences from which an anchor is dealt by document; contexts a shard has of one anchor; contexts a shard has in all.
 HOT = 50_000
 CELL = 4096
-SHARD = 6000
-BROADCAST_ROWS = 10_000
+SHARD = 3000
 # Odd 64-bit multipliers of the hash functions.
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xFF51AFD7ED558CCD)]
 _U = np.uint64
@@ -419,18 +418,13 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b["doc_id"], *(pa.array(c, k) for c, k in zip(rows, kinds))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
-def _with(df: DataFrame, small: DataFrame, on: str) -> DataFrame:
-    """df left-joined with a checkpointed table, which is broadcast only while it is small."""
-    return df.join(F.broadcast(small) if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else small, on, "left")
-
-
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """key (hash of doc_id and text), first, last: spans (overlapping ones included) whose strings of `length` bytes repeat."""
     spark = docs.sparkSession
     texts = docs.select(_key().alias("key"), F.col("text").cast("binary").alias("raw"))
     occ = texts.mapInArrow(_occurrences(length, gram), "key long, anchor long, context long, lo long, more int")
     hot = reliable_checkpoint(occ.groupBy("anchor").count().where(F.col("count") > HOT).select("anchor", F.ceil(F.col("count") / HOT).cast("int").alias("hot")))
-    dealt = _with(occ, hot, "anchor").withColumn("hot", F.coalesce("hot", F.lit(0)))
+    dealt = occ.join(small(hot), "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(0)))
     dealt = dealt.withColumn("share", F.when(F.col("hot") > 0, F.pmod(F.xxhash64("key"), F.greatest("hot", F.lit(1)))).otherwise(0).cast("int"))
     dealt = dealt.repartition(partitions(spark), "anchor", "share").sortWithinPartitions("anchor", "share", "context")
     dealt = dealt.select("anchor", "share", "context", "hot", "key", "lo", "more")
@@ -439,7 +433,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     sent = judged.where(F.col("kind") > 0)
     buckets = max(1, -(-sent.count() // SHARD))
     large = reliable_checkpoint(sent.groupBy("anchor").count().where(F.col("count") > CELL).select("anchor", F.ceil(F.col("count") / CELL).alias("cells")))
-    wanted = _with(sent, large, "anchor").select(
+    wanted = sent.join(small(large), "anchor", "left").select(
         "key",
         F.struct(
             F.when(F.col("cells").isNull(), F.pmod("anchor", F.lit(buckets))).otherwise(F.col("anchor")).alias("bucket"),
