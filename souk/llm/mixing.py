@@ -21,7 +21,8 @@ draws are disjoint, and orders its rows locally by a hash.
 All randomness is a hash of seed, node and source: reruns agree.  Everything is
 DataFrame and SQL functions.  One row per source, and one per source and unit
 (at most MAX_REPEAT * BLOCKS each), is what the tree handles; documents only
-meet it in joins on (source, unit).
+meet it in joins on (source, unit).  Tables of one row per source are broadcast
+while a count shows them small, so no source is gathered in one task.
 
 Defined results: a null text has no words; a document without words has no
 effect on targets and is taken with its block; a null source is a source of its
@@ -35,14 +36,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from souk.llm.common import WORD, partitions
+from souk.llm.common import WORD, partitions, small
 from souk.session import reliable_checkpoint
 
 MAX_REPEAT = 3
 DIGITS = 3  # hex digits of a block
 BLOCKS = 16**DIGITS
 FILLS = 3  # documents that may fill the gap left below a target
-SHARDS = 64  # output shards; more for more data, up to the units taken
+SHARD_WORDS = 2_000_000  # words of an output shard, about; their number grows with the corpus
+MIN_SHARDS = 16
 
 
 def _digest(seed: int, doc_id: Column) -> Column:
@@ -88,18 +90,18 @@ def _cut(rows: DataFrame, start: Column, block: Column, rest: str, name: str) ->
 
 def copies(sized: DataFrame, target: DataFrame) -> DataFrame:
     """sized and its target, with copies (how often the mix takes the document) and extra (if one of them is of the cut pass)."""
-    d = sized.withColumnRenamed("source", "__s").join(target, F.col("__s").eqNullSafe(F.col("source"))).drop("__s")
+    d = sized.withColumnRenamed("source", "__s").join(small(target), F.col("__s").eqNullSafe(F.col("source"))).drop("__s")
     b1, b2 = F.substring("m", 1, DIGITS), F.substring("m", DIGITS + 1, DIGITS)
     cut1 = reliable_checkpoint(_cut(d, F.lit(0).cast("long"), b1, "rest", "c1"))
-    in1 = d.join(cut1, "k").where(b1 == F.col("c1"))
+    in1 = d.join(small(cut1), "k").where(b1 == F.col("c1"))
     cut2 = reliable_checkpoint(_cut(in1, F.col("c1_start"), b2, "rest", "c2"))
-    in2 = in1.join(cut2, "k").where(b2 == F.col("c2"))
+    in2 = in1.join(small(cut2), "k").where(b2 == F.col("c2"))
     w = Window.partitionBy("k").orderBy("m", "doc_id", "th").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     at = F.struct("m", "doc_id", "th")
     run = in2.withColumn("upto", F.col("c2_start") + F.sum("size").over(w)).where(F.col("upto") <= F.col("rest"))
     last = run.groupBy("k").agg(F.max(at).alias("last"), F.max("upto").alias("done"))
     cuts = cut1.join(cut2, "k", "left").join(last, "k", "left").withColumn("done", F.coalesce("done", "c2_start", "c1_start"))
-    d = d.join(reliable_checkpoint(cuts.select("k", "c1", "c2", "last", "done")), "k", "left")
+    d = d.join(small(reliable_checkpoint(cuts.select("k", "c1", "c2", "last", "done"))), "k", "left")
     below = (
         F.when((F.col("rest") <= 0) | (F.col("passes") >= MAX_REPEAT), F.lit(False))
         .when(F.col("c1").isNull(), F.lit(True))
@@ -113,7 +115,7 @@ def copies(sized: DataFrame, target: DataFrame) -> DataFrame:
         near = F.abs(F.col("size") - F.col("gap"))
         open_ = d.where(~F.col("extra") & (F.col("rest") > 0) & (F.col("passes") < MAX_REPEAT) & (near < F.col("gap")))
         best = reliable_checkpoint(open_.groupBy("k").agg(F.min(F.struct(near.alias("off"), F.col("m"), F.col("doc_id"), F.col("th"), F.col("size"))).alias("fill")))
-        d = d.join(best, "k", "left")
+        d = d.join(small(best), "k", "left")
         chosen = (F.col("fill.m") == F.col("m")) & F.col("fill.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("fill.th") == F.col("th"))
         d = d.withColumn("extra", F.col("extra") | F.coalesce(chosen, F.lit(False))).withColumn("gap", F.col("gap") - F.coalesce("fill.size", F.lit(0))).drop("fill")
     return d.withColumn("copies", F.col("passes") + F.col("extra").cast("long")).drop("gap")
@@ -183,7 +185,7 @@ def units(drawn: DataFrame, shards: int, seed: int) -> DataFrame:
     by = by.select("k", F.explode(F.expr(f"transform(sequence(0L, passes - 1 + CAST(extra AS INT)), p -> p * {BLOCKS} + b)")).alias("unit"))
     ranked = by.withColumn("rank", F.row_number().over(Window.partitionBy("k").orderBy("unit")) - 1)
     ranked = reliable_checkpoint(ranked)
-    quota = ranked.groupBy("k").count().agg(F.sort_array(F.collect_list(F.struct("k", "count"))).alias("q"))
+    quota = ranked.groupBy("k").count().agg(F.sort_array(F.collect_list(F.struct("k", "count"))).alias("q")).where(F.size("q") > 0)
     tree = splitting_tree(quota.select(F.transform("q", lambda x: x["k"]).alias("ks"), F.transform("q", lambda x: x["count"]).alias("quota")), shards, seed)
     share = tree.select("shard", F.explode(F.arrays_zip("ks", "quota")).alias("z")).select("shard", F.col("z.ks").alias("k"), F.col("z.quota").alias("n"))
     w = Window.partitionBy("k").orderBy("shard").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -192,23 +194,27 @@ def units(drawn: DataFrame, shards: int, seed: int) -> DataFrame:
     return ranked.join(ranks, ["k", "rank"]).select("k", "unit", "shard")
 
 
-def mix(docs: DataFrame, seed: int = 1, shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
-    """(plan, rows): plan has every document's size, target and copies; rows one row per drawn copy.
+def mix(docs: DataFrame, seed: int = 1, shards: int | None = None) -> tuple[DataFrame, DataFrame, int]:
+    """(plan, rows, shards): plan has every document's size, target and copies; rows one row per drawn copy.
 
     rows: doc_id, th, k, size, epoch, shard, place (order within the shard).
     """
     sized = reliable_checkpoint(sizes(docs, seed))
-    plan = reliable_checkpoint(copies(sized, reliable_checkpoint(targets(sized))))
+    target = reliable_checkpoint(targets(sized))
+    if shards is None:
+        words = target.agg(F.sum("source_size")).first()[0] or 0  # one number
+        shards = max(MIN_SHARDS, -(-words // SHARD_WORDS))
+    plan = reliable_checkpoint(copies(sized, target))
     at = F.conv(F.substring("m", 1, DIGITS), 16, 10).cast("long")
     drawn = plan.where(F.col("copies") > 0).withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
     drawn = drawn.withColumn("unit", F.col("epoch") * BLOCKS + at).join(reliable_checkpoint(units(plan, shards, seed)), ["k", "unit"])
     place = F.xxhash64(F.lit(seed), "shard", "m", "epoch")
-    return plan, drawn.select("doc_id", "th", "k", "size", "epoch", "shard", place.alias("place"))
+    return plan, drawn.select("doc_id", "th", "k", "size", "epoch", "shard", place.alias("place")), shards
 
 
-def report(docs: DataFrame, seed: int = 1, shards: int = SHARDS) -> DataFrame:
+def report(docs: DataFrame, seed: int = 1, shards: int | None = None) -> DataFrame:
     """doc_id, size, source_size, target, taken of every document."""
-    plan, rows = mix(docs, seed, shards)
+    plan, rows, _ = mix(docs, seed, shards)
     # rows equal in id and text are drawn alike
     took = rows.groupBy("doc_id", "th").agg((F.max("size") * F.countDistinct("epoch")).alias("words"))
     p = plan.select(F.col("doc_id").alias("i"), F.col("th").alias("t"), "size", "source_size", "target")
@@ -216,9 +222,9 @@ def report(docs: DataFrame, seed: int = 1, shards: int = SHARDS) -> DataFrame:
     return j.select(F.col("i").alias("doc_id"), "size", "source_size", "target", F.coalesce("words", F.lit(0)).cast("long").alias("taken"))
 
 
-def mixed_documents(docs: DataFrame, seed: int = 1, shards: int = SHARDS) -> DataFrame:
+def mixed_documents(docs: DataFrame, seed: int = 1, shards: int | None = None) -> DataFrame:
     """The documents of the mix, repeats included, in shards that are shuffled locally; same columns."""
-    _, rows = mix(docs, seed, shards)
+    _, rows, shards = mix(docs, seed, shards)
     r = rows.groupBy("doc_id", "th", "epoch").agg(F.first("shard").alias("__mx_s"), F.first("place").alias("__mx_p"))
     r = r.select(F.col("doc_id").alias("__mx_i"), F.col("th").alias("__mx_t"), "__mx_s", "__mx_p")
     d = docs.withColumns({"__mx_id": F.col("doc_id"), "__mx_th": F.xxhash64("text")})

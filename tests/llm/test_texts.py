@@ -173,7 +173,7 @@ def test_mixing_awkward(spark):
     got = mixing.report(d).toPandas()
     assert len(got) == len(AWKWARD) and (got.taken <= 3 * got["size"]).all()
     again = mixing.report(d.repartition(5)).toPandas()
-    assert sorted_rows(got) == sorted_rows(again)
+    assert repr(sorted_rows(got)) == repr(sorted_rows(again))  # a null id is a NaN here
     assert mixing.mixed_documents(d).columns == d.columns
     assert mixing.report(empty_docs(spark)).count() == 0
 
@@ -192,7 +192,7 @@ def test_hypergeometric_draw_has_its_mean_and_spread(spark):
 
 
 def test_mix_rows_are_disjoint_and_complete(spark):
-    plan, rows = mixing.mix(spark.read.parquet(f"{SF}/documents.parquet"))
+    plan, rows, _ = mixing.mix(spark.read.parquet(f"{SF}/documents.parquet"))
     p, r = plan.toPandas(), rows.toPandas()
     assert len(r) == p.copies.sum() and not r.duplicated(["doc_id", "epoch"]).any()
 
