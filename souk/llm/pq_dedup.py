@@ -45,7 +45,7 @@ SLACK = 0.6
 CHUNK = 2048
 SAMPLE = 8192
 MAX_LISTS = 4096
-SUBSPACES = 16
+SUBSPACES = 8
 CODES = 256
 #: Queries that are looked up against a chunk at a time.
 QUERIES = 128
@@ -88,10 +88,11 @@ class Quantiser:
 
     def products(self, q: np.ndarray, centre: int, codes: np.ndarray) -> np.ndarray:
         """Asymmetric look-up: inner products of the queries with the members' quantised vectors."""
-        out = np.repeat((q @ self.centres[centre]).astype(np.float32)[:, None], len(codes), axis=1)
+        # a member's code picks a row of products with all queries
+        out = np.repeat((q @ self.centres[centre]).astype(np.float32)[None], len(codes), axis=0)
         for s, (a, b) in enumerate(zip(self.cuts, self.cuts[1:])):
-            out += (q[:, a:b] @ self.codebooks[s].T).astype(np.float32)[:, codes[:, s]]
-        return out
+            out += (self.codebooks[s] @ q[:, a:b].T).astype(np.float32)[codes[:, s]]
+        return out.T
 
 
 def _forest(linked: np.ndarray) -> np.ndarray:
