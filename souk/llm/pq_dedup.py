@@ -5,15 +5,16 @@ hash sample) assigns every class to the inverted list of its nearest centre;
 the residual to the centre is stored as one code per subspace.  A class probes
 its own list and every other list whose Voronoi cell can hold a vector within
 the threshold: with r the distance at the threshold, the boundary between its
-own centre and the other must be nearer than SLACK * r.  (At SLACK = 1 that is
-the triangle bound and no link can be missed; the difference of two near
-vectors has no preferred direction, so its part along one given direction is
-far below r.)  In a list, one table look-up per subspace gives the inner
+own centre and the other is at most SLACK * r away.  At SLACK = 1 that is the
+triangle bound and no link can be missed; below 1, links along the line between
+two centres would be.  In a list, one table look-up per subspace gives the inner
 product of a query with every member's quantised vector; the member's stored
 error terms turn the threshold into a bound per member, again with SLACK, and
 what passes is ranked by the exact cosine in double precision.
 
-Lists are dealt into chunks of about CHUNK members, so a list that holds a third
+The sound bound leaves out few lists, and a class is sent to every list it
+probes, so a table gets as many lists as hold half a CHUNK each, up to the root
+of its size.  Lists are dealt into chunks of about CHUNK members, so a list that holds a third
 of all rows is many tasks.  A comparison does not hand on pairs: it hands on,
 per vector, the number of vectors it links with, and links that span the
 components of the cell.
@@ -41,7 +42,8 @@ from souk.llm.vectors import doubles, k_means, matrix, nearest, sample, unit, us
 from souk.session import reliable_checkpoint
 
 THRESHOLD = 0.9
-SLACK = 0.6
+#: Share of the triangle bounds that is searched; links are lost below 1.
+SLACK = 1.0
 CHUNK = 2048
 SAMPLE = 8192
 MAX_LISTS = 4096
@@ -65,24 +67,23 @@ class Quantiser:
         books = [k_means(rest[: SAMPLE // 2, a:b], CODES, 6, 2) for a, b in zip(cuts, cuts[1:])]
         return cls(centres, cuts, books)
 
-    def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of unit rows: list, codes, length of the quantisation error, and the row's inner product with it."""
-        own = nearest(x, self.centres)
-        rest = x - self.centres[own]
+    def encode(self, x: np.ndarray, centre: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the unit rows of a list: codes, length of the quantisation error, and the row's inner product with it."""
+        rest = x - self.centres[centre]
         codes = np.empty((len(x), len(self.codebooks)), np.uint8)
-        back = self.centres[own].copy()
+        back = np.repeat(self.centres[centre][None], len(x), axis=0)
         for s, (a, b) in enumerate(zip(self.cuts, self.cuts[1:])):
             codes[:, s] = nearest(rest[:, a:b], self.codebooks[s])
             back[:, a:b] += self.codebooks[s][codes[:, s]]
         error = x - back
-        return own, codes, np.sqrt((error**2).sum(axis=1)), (x * error).sum(axis=1)
+        return codes, np.sqrt((error**2).sum(axis=1)), (x * error).sum(axis=1)
 
     def probes(self, x: np.ndarray, own: np.ndarray, reach: float) -> np.ndarray:
         """bool[rows, lists]: the other lists whose cell is within reach of the row."""
         d2 = (self.centres**2).sum(axis=1) - 2 * (x @ self.centres.T)
         c2 = (self.centres**2).sum(axis=1)
         apart = np.sqrt(np.maximum(c2[:, None] + c2 - 2 * (self.centres @ self.centres.T), 1e-30))
-        near = (d2 - d2[np.arange(len(x)), own][:, None]) / (2 * apart[own]) <= reach
+        near = (d2 - d2[np.arange(len(x)), own][:, None]) / (2 * apart[own]) <= reach + 1e-9
         near[np.arange(len(x)), own] = False
         return near
 
@@ -116,8 +117,8 @@ class _Cell:
     def __init__(self, quantiser: Quantiser, centre: int, node: np.ndarray, n: np.ndarray, x: np.ndarray, threshold: float):
         self.q, self.centre, self.node, self.n, self.x, self.threshold = quantiser, centre, node, n, x, threshold
         self.u = unit(x)
-        _, self.codes, error, along = quantiser.encode(self.u)
-        self.bound = (threshold - along - SLACK * np.sqrt(2 - 2 * threshold) * error - 1e-6).astype(np.float32)
+        self.codes, error, along = quantiser.encode(self.u, centre)
+        self.bound = (threshold - along - SLACK * np.sqrt(2 - 2 * threshold) * error - 1e-5).astype(np.float32)
         self.length = np.sqrt((x * x).sum(axis=1))
 
     def links(self, x: np.ndarray) -> np.ndarray:
@@ -264,7 +265,7 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
         x = sample(classes.where(F.col("dim") == dim), "v", SAMPLE, total, F.xxhash64(F.lit("quantiser"), "node"))[:SAMPLE]
         if not len(x):
             x = unit(np.array([classes.where(F.col("dim") == dim).orderBy("node").first()["v"]]))
-        quantisers[dim] = Quantiser.fit(x, int(np.clip(round(total**0.5), 1, MAX_LISTS)))
+        quantisers[dim] = Quantiser.fit(x, int(np.clip(round(min(total**0.5, 2 * total / CHUNK)), 1, MAX_LISTS)))
     if quantisers:
         per_list = classes.select("dim", "v").mapInArrow(_lists(quantisers), "dim int, list int, n long").groupBy("dim", "list").agg(F.sum("n").alias("n")).collect()
         chunks = {(r["dim"], r["list"]): -(-r["n"] // CHUNK) for r in per_list}

@@ -187,6 +187,28 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch, chunk):
     assert pq_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def between_centres(seed=5):
+    """Clusters 45 degrees apart, and vectors 24 to 25.5 degrees (cosine 0.902 to 0.914) from one towards another."""
+    rng = np.random.default_rng(seed)
+    k, dim = 12, 14
+    centres = np.c_[np.full((k, 1), 2**-0.25), np.eye(k, dim - 1) * np.sqrt(1 - 2**-0.5)]
+    tight = np.repeat(centres, 10, axis=0) + 1e-3 * rng.normal(size=(10 * k, dim))
+    planted = []
+    for i in range(k):
+        for j in rng.choice(np.delete(np.arange(k), i), 4, replace=False):
+            a, away = np.radians(rng.uniform(24, 25.5)), centres[j] - (centres[i] @ centres[j]) * centres[i]
+            planted.append(np.cos(a) * centres[i] + np.sin(a) * away / np.sqrt(away @ away))
+    return np.r_[tight, planted]
+
+
+def test_links_along_the_line_between_centres(spark, monkeypatch):
+    monkeypatch.setattr(pq_dedup, "CHUNK", 16)  # as many lists as clusters
+    x = between_centres()
+    got = {r.vec_id: r for r in pq_dedup.near_duplicates(frame(spark, x.astype(np.float32).astype(float))[0]).collect()}
+    n, comp = brute_links(x.astype(np.float32).astype(float), 0.9)
+    assert [(got[i].n_links, got[i].component_id) for i in range(len(x))] == list(zip(n, comp))
+
+
 def test_near_duplicate_recall_on_the_table(spark):
     e = table("embeddings", "/root/testdata/sf0.1").sort_values("vec_id")
     x = np.array(e.embedding.tolist(), dtype=float)
