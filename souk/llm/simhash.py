@@ -14,7 +14,8 @@ are one node of the index whatever their number.
 
 Defined results: a null or blank text has fingerprint zero and links like any
 other; a null doc_id is carried along, and a group's component_id is its
-smallest non-null doc_id; repeated rows share a group; an empty table gives an
+smallest non-null doc_id, which groups may share or lack, so one document is
+kept per group, not per component_id; repeated rows share a group; an empty table gives an
 empty result.
 """
 
@@ -166,7 +167,7 @@ def link_fingerprints(nodes: DataFrame, max_bits: int) -> DataFrame:
 
 
 def groups(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
-    """doc_id, text_hash, fp, component_id (smallest doc_id that links reach) of every document."""
+    """doc_id, text_hash, fp, root (a fingerprint that names the group), component_id (smallest doc_id that links reach) of every document."""
     if not 0 <= max_bits <= 5:
         raise ValueError("the index covers bit distances from 0 to 5")
     docs_fp = reliable_checkpoint(fingerprints(docs, shingle))
@@ -174,8 +175,8 @@ def groups(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
     reached = connected_components(link_fingerprints(nodes.select("fp"), max_bits))
     rooted = nodes.join(reached.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "low", F.coalesce("component", "fp").alias("root"))
     low = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = reliable_checkpoint(rooted.join(low, "root").select("fp", "component_id"))
-    return docs_fp.join(named, "fp").select("doc_id", "text_hash", "fp", "component_id")
+    named = reliable_checkpoint(rooted.join(low, "root").select("fp", "root", "component_id"))
+    return docs_fp.join(named, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 def report(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
@@ -187,7 +188,7 @@ def report(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """The documents, one of each group: that with the smallest doc_id, of repeated rows just one; same columns."""
     g = groups(docs, shingle, max_bits)
-    first = g.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("x"))
+    first = g.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("x"))
     key = lambda c: F.coalesce(c.cast("string"), F.lit("null"))
     chosen = first.select(key(F.col("x.doc_id")).alias("__sh_id"), F.col("x.text_hash").alias("__sh_th")).distinct()
     d = docs.withColumns({"__sh_id": key(F.col("doc_id")), "__sh_th": F.xxhash64("text")})

@@ -132,6 +132,16 @@ def test_simhash_awkward_and_keep_one(spark):
     assert simhash.report(empty_docs(spark)).count() == 0
 
 
+def test_keep_one_of_each_group_of_null_and_repeated_ids(spark):
+    rnd = random.Random(7)
+    texts = [" ".join(rnd.choice("abcdefgh") * rnd.randint(1, 9) for _ in range(40)) for _ in range(6)]
+    assert all(bin(brute_fingerprint(a, 3) ^ brute_fingerprint(b, 3)).count("1") > 3 for a, b in itertools.combinations(texts, 2))
+    a, b, c, d, e, f = texts
+    rows = [(None, a), (None, b), (None, b), (None, c), (4, c), (5, d), (5, e), (6, e), (5, f)]
+    kept = simhash.keep_one(docs(spark, [(i, t, "en", "x") for i, t in rows])).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=repr) == sorted([(None, a), (None, b), (4, c), (5, d), (5, e), (5, f)], key=repr)
+
+
 @pytest.mark.parametrize("bits", [1, 3, 5])
 def test_simhash_index_finds_every_link(spark, monkeypatch, bits):
     rnd = random.Random(bits)
