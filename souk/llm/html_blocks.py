@@ -7,6 +7,15 @@ menu, header, footer, sidebar, form, a class or id that speaks of adverts,
 notices or comments).  A decision tree, grown on the small labelled table below
 by Gini impurity, says which blocks are the article's.
 
+A hint is read from a name's own words, not from what it says of state or
+category (has-sidebar, category-reviews), nor beside a name that leads with a
+content word (content sidebar-left).  Hints of the elements that hold the
+article, or are it, do not count.  The article is the page's main element or
+first article element in no hinted box, else its first box named for content in
+none, else the first of both in boxes with only a part of a name as a hint (or
+before that the only article element outside hinted boxes, whatever its own
+name), else the first article element in any box.
+
 Defined results: a null or empty html, or one without article text, gives an
 empty text; unclosed tags, stray ends, markup that breaks off and very long pages
 are read to the end; white space inside a block (decoded spaces included) is one
@@ -40,6 +49,8 @@ HINTS = {
     "frame": "header masthead footer foot copyright colophon bottom legal contentinfo".split(),
 }
 HINT_OF = {word: kind for kind, words in HINTS.items() for word in words}
+#: Words that begin names of a state or category.
+ABOUT = frozenset("has have with without no not is category cat tag tagged topic format layout js".split())
 CONTENT_HINTS = frozenset("article content main post entry story body text articlebody".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
@@ -48,7 +59,7 @@ _HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=/]|$)|display\s*:\s*none|aria-hidden
 _SPLIT = re.compile(r"[^a-z0-9]+")
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "in_article", "page_has_article", "heading", "item", "set_apart")
 # What sets a block apart from the article, whatever else encloses it.
-APART = frozenset(("nav", "header", "footer", "aside", "form", *HINTS))
+APART = frozenset(("nav", "header", "footer", "aside", "form", "hidden", *HINTS))
 
 
 @dataclass
@@ -59,19 +70,37 @@ class Block:
     inside: frozenset
 
 
-def _kinds(name: str, attrs: str) -> frozenset:
-    """What an element says about the text in it."""
+@dataclass(eq=False)
+class _Box:
+    """An open element: what it says about the text in it by its kind and by its names."""
+
+    name: str
+    kinds: frozenset
+    hints: frozenset
+    whole: bool  # a name that leads is hint words only
+    content: bool  # named for content
+
+
+def _box(name: str, attrs: str) -> _Box:
     out = {name} & {"article", "main", "nav", "header", "footer", "aside", "form", "li", "figure"} | ({"heading"} if name in HEADINGS else set())
+    hints, whole, content = set(), False, False
     if attrs and name not in ("html", "body", "main"):  # their names speak of the whole page
         for m in _ATTRS.finditer(attrs):
-            for word in _SPLIT.split((m[1] or m[2] or m[3] or "").lower()):
-                if word in HINT_OF:
-                    out.add(HINT_OF[word])
-                elif word in CONTENT_HINTS:
-                    out.add("content")
+            named = [[w for w in _SPLIT.split(token) if w] for token in (m[1] or m[2] or m[3] or "").lower().split()]
+            named = [words for words in named if words and words[0] not in ABOUT]
+            words = {w for token in named for w in token}
+            if words & CONTENT_HINTS:
+                out.add("content")
+            if named and named[0][0] in CONTENT_HINTS and not any(w in HINT_OF for w in named[0]):
+                content = True
+                continue
+            hints |= {HINT_OF[w] for w in words if w in HINT_OF}
+            whole |= bool(named) and all(w in HINT_OF for w in named[0])
+        if content and not whole:
+            hints = set()
         if _HIDDEN.search(attrs):
-            out.add("notice")
-    return frozenset(out)
+            out.add("hidden")
+    return _Box(name, frozenset(out), frozenset(hints), whole, content)
 
 
 def blocks(page: str | None) -> list[Block]:
@@ -79,15 +108,19 @@ def blocks(page: str | None) -> list[Block]:
     out: list[Block] = []
     text: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, frozenset]] = []
-    inside: frozenset = frozenset()
+    stack: list[_Box] = []
+    inside: tuple[_Box, ...] = ()
+    found: list[tuple[str, int, int, tuple[_Box, ...]]] = []
+    tier, article = 9, ()  # how sure the article met is, and the boxes down to it
+    named: list[tuple[_Box, ...]] = []  # article elements with hints of their own, outside hinted boxes
+    early = False
     in_link, dropped, at = False, "", 0
     page = page or ""
 
     def close() -> None:
         words = _html.unescape("".join(text)).split()
         if words:
-            out.append(Block(" ".join(words), len(words), len(_html.unescape("".join(linked)).split()), inside))
+            found.append((" ".join(words), len(words), len(_html.unescape("".join(linked)).split()), inside))
         text.clear()
         linked.clear()
 
@@ -127,28 +160,44 @@ def blocks(page: str | None) -> list[Block]:
             close()
         if m[1]:
             for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    if name in INLINE and text and stack[k][1]:
+                if stack[k].name == name:
+                    if name in INLINE and text and (stack[k].kinds or stack[k].hints):
                         close()
                     del stack[k:]
                     break
             else:
                 continue
         elif name not in VOID and not m[3].endswith("/"):
-            kinds = _kinds(name, m[3])
+            box = _box(name, m[3])
             if name == "p" or name == "li" or name in HEADINGS:
                 # these end one another where the end tag was left out
-                while stack and stack[-1][0] in (("p", "span", *HEADINGS) if name != "li" else ("p", "span", "li")):
+                while stack and stack[-1].name in (("p", "span", *HEADINGS) if name != "li" else ("p", "span", "li")):
                     stack.pop()
-            if name in INLINE and kinds and text:
+            if name in INLINE and (box.kinds or box.hints) and text:
                 close()
-            stack.append((name, kinds))
+            if (name in ("article", "main") or box.content) and not any(b.kinds & APART for b in stack):
+                outer = 0 if not any(b.hints for b in stack) else 1 if not any(b.whole for b in stack) else 2
+                if name == "article" and box.hints:
+                    if not outer:
+                        early |= tier > 2
+                        named.append((*stack, box))
+                else:
+                    rank = 0 if name == "main" else (0, 2, 3)[outer] if name == "article" else (1, 2, 9)[outer]
+                    if rank < tier:
+                        tier, article = rank, (*stack, box)
+            stack.append(box)
         else:
             continue
-        inside = frozenset().union(*(k for _, k in stack)) if stack else frozenset()
+        inside = tuple(b for b in stack if b.kinds or b.hints)
     if not dropped and at < len(page):
         text.append(page[at:])
     close()
+    if len(named) == 1 and early and tier > 1:
+        article = named[0]
+    free = {id(b) for b in article}
+    for said, words, links, boxes in found:
+        kinds = frozenset().union(*(b.kinds if id(b) in free else b.kinds | b.hints for b in boxes))
+        out.append(Block(said, words, links, kinds))
     return out
 
 
@@ -185,6 +234,9 @@ def _labelled_pages() -> list[str]:
             out.append(f"<body><article><p>+{few} {link}{_LONG}</p><p>+{few}</p></article><footer>-{few}</footer>")
             out.append(f"<body><div><h1>+{few}</h1><p>+{_LONG}</p><p>+{few}</p><p>+{_LONG} {link}</p></div><div><a href=x>-{few}</a></div>")
             out.append(f"<body><div><a href=x>-{few}</a> <a href=y>{few}</a></div><div><h2>+{few}</h2><p>+{_LONG} {link}</p></div><div><p>-{few}</p></div><div><a href=x>-{few}</a></div>")
+    for wrapper in ("article class='post category-reviews tag-popular'", "div class='content has-sidebar'", "div class='page header-fixed'", "div id=content class='sidebar-left'", "article class=review"):
+        inner = ("<article>", "</article>") if "page" in wrapper else ("", "")
+        out.append(f"<body><nav><a href=x>-{_SHORT}</a></nav><{wrapper}>{inner[0]}<h1>+{_SHORT}</h1><p>+{_LONG}</p><div class=share-buttons>-{_SHORT}</div><p>+{_LONG}</p>{inner[1]}</{wrapper.split()[0]}><div class='related-posts'>-{_LONG}</div>")
     for element in ENCLOSING:
         name = element.split()[0]
         for text in (_LONG, f"{_LONG} {_LONG} {_LONG}", _SHORT, f"<a href=x>{_SHORT}</a>", f"<a href=x>{_SHORT}</a> and {_LONG}"):

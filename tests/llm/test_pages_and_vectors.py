@@ -121,6 +121,23 @@ def test_main_text(tree, page, want):
     assert html_blocks.main_text(page, tree) == want
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<article class='post category-reviews tag-popular'><h1>T</h1>{}<div class='ad box'>{}</div></article>",
+        "<div class='content has-sidebar'><h1>T</h1>{}<div class='share-bar'>{}</div></div>",
+        "<div class='page header-fixed'><article><h1>T</h1>{}<section class=comments>{}</section></article></div>",
+        "<div class='page header-fixed'><div class=entry><h1>T</h1>{}</div><div class=sidebar>{}</div></div>",
+        "<article class=review><h1>T</h1>{}</article><section class=reviews><article>{}</article></section>",
+        "<div class='search tabs'><main><h1>T</h1>{}</main><aside>{}</aside></div>",
+        "<div class=popular><article><h1>T</h1>{}</article></div><div class=comments>{}</div>",
+    ],
+)
+def test_names_of_what_holds_the_article(tree, page):
+    body = page.replace("{}", f"<p>{LONG}</p>", 1).replace("{}", f"<p>{LONG} {LONG}</p>")
+    assert html_blocks.main_text(f"<nav><a href=a>x</a></nav>{body}<div class=site-footer>{LONG}</div>", tree) == f"T\n{LONG}"
+
+
 def test_html_query(spark):
     got = queries.op2_html_extraction(spark, SF).toPandas()
     pages = table("pages")
