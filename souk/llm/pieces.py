@@ -7,7 +7,8 @@ first.  No piece of such a vocabulary holds a space mark after another
 character (checked when the vocabulary is read), so the lattice of a text is
 the chain of the lattices of its words: words are segmented once per task, and
 the n best of a text combine the n best of the words whose second-best loss is
-smallest.
+smallest: the A* paths of those words stand in the chain of the others' best
+paths.
 
 A space is the mark U+2581, one is put in front; a mark that is in the text
 itself, and a character without a piece of its own, are spelled in byte pieces
@@ -17,7 +18,8 @@ exactly, so decode(encode(text)) = text for every text.
 Defined results: a null or empty text has no pieces, one segmentation of score
 0 and decodes to the empty string; very long texts and words need memory in
 proportion to their own length; fewer than n segmentations give a shorter list;
-among equal scores the one with the longer last piece comes first.  Only doc_id
+among equal scores the best has the longer last piece, the order of the rest is
+that of the search.  Only doc_id
 and text are read; repeated rows get equal results.
 """
 
@@ -28,6 +30,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import islice
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -181,7 +184,7 @@ class _Words:
         self.number.default_factory = self.number.__len__
         self.start, self.count, self.score, self.loss = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), np.empty(0)
         self.ids = np.empty(0, np.int32)
-        self.ranked: dict[str, list[float]] = {}
+        self.ranked: dict[str, list[tuple[float, np.ndarray]]] = {}
 
     def numbers(self, words: list[str]) -> np.ndarray:
         """Numbers of the words; new ones are segmented."""
@@ -273,12 +276,16 @@ class _Words:
             path.append(ids)
         return [i for ids in reversed(path) for i in ids], best[-1], loss
 
-    def losses(self, word: str, n: int) -> list[float]:
-        """What the n best segmentations of the word lose against the best."""
+    def ways(self, word: str, n: int) -> list[tuple[float, np.ndarray]]:
+        """The n best segmentations of the word, the best of the chain first: what each loses against it, and its ids."""
         if word not in self.ranked:
             ending = self.vocabulary.edges(word)
             best, _ = forward(ending)
-            self.ranked[word] = [best[-1] - s for s, _ in n_best(ending, best, n)]
+            at = self.number[word]
+            first = self.ids[self.start[at] : self.start[at] + self.count[at]]
+            found = [(max(0.0, best[-1] - s), np.array(ids, np.int32)) for s, ids in n_best(ending, best, n)]
+            # where scores are equal, the search may meet the chain's path later or not at all
+            self.ranked[word] = [(0.0, first), *(x for x in found if not np.array_equal(x[1], first))][:n]
         return self.ranked[word]
 
 
@@ -310,6 +317,10 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[list[float]], list[bool]]:
         """For the texts together: ids of the best segmentations and where each text's begin; scores of the n best; round trips."""
+        return self.segmentations(texts)[:4]
+
+    def segmentations(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[list[float]], list[bool], list[list[np.ndarray]]]:
+        """As encode, and for each text the ids of its n best segmentations, best first."""
         if len(self.table.number) > WORDS_KEPT:
             self.table = _Words(self.vocabulary, self.lookup)
         t, words, ends = self.table, [], [0]
@@ -318,25 +329,37 @@ class Encoder:
             ends.append(len(words))
         rows = t.numbers(words)
         if not len(rows):
-            return np.empty(0, np.int32), np.zeros(len(ends), np.int64), [[0.0]] * len(texts), [not x for x in texts]
+            return np.empty(0, np.int32), np.zeros(len(ends), np.int64), [[0.0]] * len(texts), [not x for x in texts], [[np.empty(0, np.int32)]] * len(texts)
         count = t.count[rows]
         upto = np.r_[0, np.cumsum(count)]
         ids = t.ids[np.repeat(t.start[rows] - upto[:-1], count) + np.arange(upto[-1])]
         score, loss = t.score[rows], t.loss[rows]
-        scores = []
+        scores, ways = [], []
         for a, b in zip(ends, ends[1:]):
-            total, sums = float(score[a:b].sum()), [0.0]
+            # a segmentation: its loss, and the words that are not cut their best way, with the ids they get
+            total, sums = float(score[a:b].sum()), [(0.0, ())]
             few = np.argpartition(loss[a:b], self.n - 1)[: self.n - 1] if b - a >= self.n > 1 else range(b - a if self.n > 1 else 0)
             for at in few:
-                sums = heapq.nsmallest(self.n, (x + y for x in sums for y in t.losses(words[a + at], self.n)))
-            scores.append([total - x for x in sums])
+                of_word = t.ways(words[a + at], self.n)
+                sums = heapq.nsmallest(self.n, ((x + y, (*other, (int(a + at), of)) if k else other) for x, other in sums for k, (y, of) in enumerate(of_word)), key=itemgetter(0))
+            scores.append([total - x for x, _ in sums])
+            ways.append([self._splice(ids, upto, a, b, sorted(other, key=itemgetter(0))) for _, other in sums])
         starts = upto[np.array(ends)]
         said = self.spelled.take(pa.array(ids))
         data, offsets = memoryview(said.buffers()[2]), np.frombuffer(said.buffers()[1], np.int32)[said.offset : said.offset + len(ids) + 1]
         back = []
         for text, a, b in zip(texts, offsets[starts[:-1]].tolist(), offsets[starts[1:]].tolist()):
             back.append(bytes(data[a + 1 : b]) == (text or "").encode() and (b == a or data[a] == 32))
-        return ids, starts, scores, back
+        return ids, starts, scores, back, ways
+
+    @staticmethod
+    def _splice(ids: np.ndarray, upto: np.ndarray, a: int, b: int, other: list[tuple[int, np.ndarray]]) -> np.ndarray:
+        """The ids of the words from a to b, those of other words in the place of theirs."""
+        parts, at = [], upto[a]
+        for word, of in other:
+            parts += [ids[at : upto[word]], of]
+            at = upto[word + 1]
+        return np.concatenate([*parts, ids[at : upto[b]]]) if parts else ids[at : upto[b]]
 
 
 def decode(ids, spelled: list[bytes]) -> str:
@@ -345,8 +368,16 @@ def decode(ids, spelled: list[bytes]) -> str:
     return text[1:] if text.startswith(" ") else text
 
 
+def _nested(ways: list[list[np.ndarray]]) -> pa.ListArray:
+    """A column of lists of lists of ids."""
+    flat = [ids for of_text in ways for ids in of_text]
+    values = pa.array(np.concatenate([np.empty(0, np.int32), *flat]), pa.int32())
+    inner = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, flat)]).astype(np.int32)), values)
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, ways)]).astype(np.int32)), inner)
+
+
 def encode(docs: DataFrame, n: int = 3, vocabulary: str = VOCABULARY) -> DataFrame:
-    """doc_id, ids (best segmentation), n_pieces, scores (of the n best) and round_trip (the ids decode to the text) of every document."""
+    """doc_id, ids (best segmentation), n_pieces, scores (of the n best), round_trip (the ids decode to the text) and segmentations (ids of the n best) of every document."""
     vocab = Vocabulary.read(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -356,12 +387,12 @@ def encode(docs: DataFrame, n: int = 3, vocabulary: str = VOCABULARY) -> DataFra
             cuts = np.flatnonzero(np.diff(chars // BATCH_CHARS)) + 1
             for a, b in zip([0, *cuts], [*cuts, len(batch)]):
                 part = batch.slice(a, b - a)
-                ids, starts, scores, back = encoder.encode(part["text"].to_pylist())
+                ids, starts, scores, back, ways = encoder.segmentations(part["text"].to_pylist())
                 column = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(ids, pa.int32()))
-                cols = [part["doc_id"], column, pa.array(np.diff(starts)), pa.array(scores, pa.list_(pa.float64())), pa.array(back, pa.bool_())]
-                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "ids", "n_pieces", "scores", "round_trip"])
+                cols = [part["doc_id"], column, pa.array(np.diff(starts)), pa.array(scores, pa.list_(pa.float64())), pa.array(back, pa.bool_()), _nested(ways)]
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "ids", "n_pieces", "scores", "round_trip", "segmentations"])
 
-    out = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids array<int>, n_pieces long, scores array<double>, round_trip boolean"
+    out = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids array<int>, n_pieces long, scores array<double>, round_trip boolean, segmentations array<array<int>>"
     return docs.select("doc_id", "text").mapInArrow(run, out)
 
 

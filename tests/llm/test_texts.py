@@ -252,6 +252,38 @@ def test_n_best_is_exact(vocabulary):
         assert scores[0] == want and back == [True] and pieces.decode(ids.tolist(), vocabulary.spelled) == text
 
 
+def all_paths(vocabulary, text):
+    """Score and ids of every segmentation of a text."""
+    out = [(0.0, ())]
+    for word in pieces.words_of(text):
+        ending, ways = vocabulary.edges(word), []
+
+        def walk(at, score, ids):
+            if not at:
+                ways.append((score, ids))
+            for start, s, of in ending[at] if at else []:
+                walk(start, score + s, of + ids)
+
+        walk(len(word), 0.0, ())
+        out = [(x + y, i + j) for x, i in out for y, j in ways]
+    return out
+
+
+def test_n_best_ids_against_brute_force(vocabulary, spark):
+    texts = ["the", "of then", "the the", "ab cd ef", "H\u00e4us \u6f22", "a\nb c", "\u2581x y", "a", "", None]
+    for n in (1, 2, 4, 9):
+        got = pieces.Encoder(vocabulary, n).segmentations(texts)
+        for text, scores, ways, start, end in zip(texts, got[2], got[4], got[1], got[1][1:]):
+            every, ways = all_paths(vocabulary, text or ""), [tuple(w.tolist()) for w in ways]
+            score = {ids: s for s, ids in every}
+            assert len(set(ways)) == len(ways) and ways[0] == tuple(got[0][start:end].tolist())
+            assert [score[w] for w in ways] == scores == sorted(score.values(), reverse=True)[:n]
+            assert all(pieces.decode(w, vocabulary.spelled) == (text or "") for w in ways)
+    for r in pieces.encode(docs(spark, AWKWARD)).collect():
+        assert r.segmentations[0] == r.ids and len(r.segmentations) == len(r.scores)
+        assert len({pieces.decode(w, vocabulary.spelled) for w in r.segmentations}) == 1
+
+
 def test_words_together_and_alone_agree(vocabulary):
     rnd = random.Random(2)
     words = [pieces.MARK + "".join(rnd.choice("theandäß\n\tqzé漢") for _ in range(rnd.randint(0, 12))) for _ in range(800)]
