@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from souk.llm import html_blocks, langid, line_dedup, mixing, perm_index, pieces, pq_dedup, simhash, suffix_dedup, url_rules
+from souk.llm import alignment, divergence, html_blocks, langid, line_dedup, mixing, perm_index, pieces, pq_dedup, simhash, subword, suffix_dedup, url_rules
 from souk.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), min_docs=30, top=50)
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.report(table(spark, sf_dir, "documents"))
+
+
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subword.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filters": op1_url_filters,
     "op2_html_extraction": op2_html_extraction,
@@ -64,8 +76,12 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_language_id": op10_language_id,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
+    "op13_quality_classifier": op13_quality_classifier,
 }
 ORACLES: dict[str, str] = {
     "op3_source_mixing": mixing.ORACLE,
     "op8_line_dedup": line_dedup.ORACLE,
+    "op11_source_divergence": divergence.ORACLE,
 }
