@@ -7,7 +7,8 @@ the same bytes; an offset where tokens of both end is a shared cut.
 Divide and conquer at shared cuts: an interval looks for a common end from its
 middle token outwards, each candidate by bisection in the other side's ends,
 and goes on with both halves; an interval without a cut is a leaf group.  All
-tokens of a group are linked with each other.
+tokens of a group are linked with each other.  A task divides thousands of
+intervals side by side, each step one bisection for all of them.
 
 The first cuts of a text are known without its tokens: no token of either
 vocabulary crosses a space between two characters that are not white space (A
@@ -34,10 +35,9 @@ from __future__ import annotations
 
 import os
 import re
-from bisect import bisect_left
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -53,37 +53,42 @@ MARK = "▁"
 #: Where texts are cut first: a space between two characters that are not white space.
 SPACE = re.compile(r" (?<=\S )(?=\S)")
 #: Parts (and pairs of parts) a task remembers before it starts anew, parts encoded at a time, characters of a result batch.
-PARTS_KEPT, PAIRS_KEPT = 300_000, 3_000_000
+PARTS_KEPT, PAIRS_KEPT = 250_000, 3_000_000
 ENCODED = 8192
 BATCH_CHARS = 2_000_000
+#: Groups with more links than this are linked by their distinct ids.
+SMALL_GROUP = 64
 #: At most so many pairs are broadcast.
 FREQUENT = 100_000
 
 
-def cut_near_middle(a: list[int], b: list[int], a0: int, a1: int, b0: int, b1: int) -> tuple[int, int] | None:
-    """The common end nearest the middle inside tokens a0..a1 and b0..b1, as the first token behind it on both sides."""
-    last, stop = a1 - 1, b1 - 1  # the last tokens end with the interval
-    middle = (a0 + last - 1) // 2
-    for off in range(max(middle - a0 + 1, last - middle)):
-        for k in (middle - off, middle + off) if off else (middle,):
-            if a0 <= k < last:
-                i = bisect_left(b, a[k], b0, stop)
-                if i < stop and b[i] == a[k]:
-                    return k + 1, i + 1
-    return None
-
-
-def leaf_groups(a: list[int], b: list[int]) -> list[tuple[int, int, int, int]]:
-    """The finest groups of tokens whose byte ranges agree, from both sides' token ends (which have the same last): (a0, a1, b0, b1) in order."""
-    out, open_ = [], [(0, len(a), 0, len(b))]
-    while open_:
-        a0, a1, b0, b1 = open_.pop()
-        cut = cut_near_middle(a, b, a0, a1, b0, b1) if a1 - a0 > 1 and b1 - b0 > 1 else None
-        if cut is None:
-            out.append((a0, a1, b0, b1))
-        else:
-            open_ += [(cut[0], a1, cut[1], b1), (a0, cut[0], b0, cut[1])]
-    return out
+def leaf_groups(a: np.ndarray, b: np.ndarray, a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: np.ndarray) -> np.ndarray:
+    """The finest groups of tokens whose byte ranges agree: rows (a0, a1, b0, b1) in order.
+
+    a and b are all token ends, rising; the arguments behind them are the intervals to divide, each ending where a token
+    of both sides ends.  All open intervals try one candidate at a time, together: the middle token's end, then the next
+    ones on either side; a hit halves the interval, an interval without candidates left is a leaf.
+    """
+    done, open_ = [], np.stack([a0, a1, b0, b1], axis=1)
+    tried = np.zeros(len(open_), np.int64)  # candidates of an interval that were looked up
+    while len(open_):
+        a0, a1, b0, b1 = open_.T
+        last = a1 - a0 - 1  # the last token ends with the interval
+        leaf = (tried >= last) | (b1 - b0 <= 1)
+        done.append(open_[leaf])
+        open_, tried, last = open_[~leaf], tried[~leaf], last[~leaf]
+        a0, a1, b0, b1 = open_.T
+        # candidates in the order middle, middle + 1, middle - 1, ...; an even number of them has one more on the right
+        off = np.where(tried % 2 == 1, (tried + 1) // 2, -(tried // 2))
+        at = a0 + (last - 1) // 2 + off
+        i = np.searchsorted(b, a[at])
+        hit = (i < b1 - 1) & (b[np.minimum(i, len(b) - 1)] == a[at])
+        left = np.stack([a0, at + 1, b0, i + 1], axis=1)[hit]
+        right = np.stack([at + 1, a1, i + 1, b1], axis=1)[hit]
+        tried = np.concatenate([tried[~hit] + 1, np.zeros(2 * len(left), np.int64)])
+        open_ = np.concatenate([open_[~hit], left, right])
+    out = np.concatenate([np.empty((0, 4), np.int64), *done])
+    return out[np.argsort(out[:, 0], kind="stable")]
 
 
 @dataclass
@@ -113,13 +118,14 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(rest)}
 
 
-@dataclass
-class Part:
-    groups: str
-    n_a: int
-    n_b: int
-    n_groups: int
-    pairs: Counter  # of (a, b)
+def _spelled(tokens: list[bytes]) -> pa.Array:
+    return pa.array(tokens, pa.large_binary())
+
+
+def _taken(pool: pa.Array, at: np.ndarray) -> tuple[memoryview, np.ndarray]:
+    """The pool's entries at `at` in one buffer, and their ends."""
+    got = pool.take(pa.array(at))
+    return memoryview(got.buffers()[2] or b"").cast("B"), np.frombuffer(got.buffers()[1], np.int64)[1 : len(at) + 1] if len(at) else np.empty(0, np.int64)
 
 
 class Aligner:
@@ -134,11 +140,16 @@ class Aligner:
         self.a.encode_special_tokens = True  # their strings in a text are plain text
         self.b = sentencepiece.SentencePieceProcessor(model_proto=vocabularies.pieces)
         value = byte_alphabet()
-        self.bytes_a = {i: bytes(value[c] for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items() if all(c in value for c in t)}
-        self.bytes_b = []
-        for i in range(self.b.get_piece_size()):
-            p = self.b.id_to_piece(i)
-            self.bytes_b.append(bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode())
+        vocab = self.a.get_vocab(with_added_tokens=False)
+        said = [b""] * (max(vocab.values()) + 1)
+        for t, i in vocab.items():
+            said[i] = bytes(value[c] for c in t) if all(c in value for c in t) else b""
+        self.bytes_a = _spelled(said)
+        marked = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        self.bytes_b = _spelled([bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(marked)])
+        # what a token is in a list of groups: its id and a comma, or what stands behind the last one of its side
+        self.listed = _spelled([f"{i}{end}".encode() for end in ",|;" for i in range(max(len(said), len(marked)))])
+        self.ids = max(len(said), len(marked))
         self._clear()
 
     def _clear(self) -> None:
@@ -148,55 +159,85 @@ class Aligner:
         self.first = np.zeros(1, np.int64)  # where a part's pairs begin
         self.pair_a, self.pair_b, self.pair_n = np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, np.int64)
 
-    def align(self, raw: bytes, ids_a: list[int], ids_b: list[int]) -> Part | None:
-        """The groups of one part; None if the tokens do not spell it."""
-        said_a, said_b = [self.bytes_a.get(i, b"") for i in ids_a], [self.bytes_b[i] for i in ids_b]
-        if b"".join(said_a) != raw or b"".join(said_b) != raw:
-            return None
-        if len(ids_a) == 1 or len(ids_b) == 1:
-            leaves = [(0, len(ids_a), 0, len(ids_b))]
-        else:
-            leaves = leaf_groups(np.cumsum([*map(len, said_a)]).tolist(), np.cumsum([*map(len, said_b)]).tolist())
-        pairs, text = Counter(), []
-        for a0, a1, b0, b1 in leaves:
-            a, b = ids_a[a0:a1], ids_b[b0:b1]
-            text.append(f"{','.join(map(str, a))}|{','.join(map(str, b))}")
-            if a1 - a0 == b1 - b0 == 1:
-                pairs[a[0], b[0]] += 1
-            else:
-                in_b = Counter(b).items()
-                for x, m in Counter(a).items():
-                    for y, n in in_b:
-                        pairs[x, y] += m * n
-        return Part(";".join(text), len(ids_a), len(ids_b), len(leaves), pairs)
+    def _spell(self, parts: list[str], ids: np.ndarray, first: np.ndarray, pool: pa.Array, raw: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ends of the tokens, and for each part if they spell it (raw: all parts, ends: theirs in it)."""
+        data, upto = _taken(pool, ids)
+        cuts = np.r_[0, upto][first]
+        if np.array_equal(cuts[1:], ends) and data[: len(raw)] == raw:
+            return upto, np.ones(len(parts), bool)
+        starts = np.r_[0, ends[:-1]]
+        return upto, np.array([data[x:y] == raw[v:w] for x, y, v, w in zip(cuts[:-1], cuts[1:], starts, ends)])
+
+    def align(self, parts: list[str]) -> tuple[list[str | None], np.ndarray, np.ndarray, np.ndarray]:
+        """Groups, counts (n_a, n_b, n_groups, n_links), and pairs (a, b, n) with the part that each is of, sorted by part; no groups if the tokens do not spell a part."""
+        spaced = [" " + p for p in parts]
+        got_a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
+        got_b = self.b.encode(parts, num_threads=1)
+        codes = [p.encode() for p in spaced]
+        ends = np.cumsum([len(c) for c in codes])
+        side = []
+        for got, pool in ((got_a, self.bytes_a), (got_b, self.bytes_b)):
+            ids, first = np.fromiter(chain.from_iterable(got), np.int64), np.cumsum([0, *map(len, got)])
+            side.append((ids, first, *self._spell(parts, ids, first, pool, b"".join(codes), ends)))
+        good = side[0][3] & side[1][3]
+        if not good.all():  # go on with the others alone
+            rest = np.flatnonzero(good)
+            groups, counts, pairs, of = self.align([parts[i] for i in rest]) if len(rest) else ([], np.empty((0, 4), np.int64), np.empty((0, 3), np.int64), np.empty(0, np.int64))
+            all_groups, all_counts = [None] * len(parts), np.zeros((len(parts), 4), np.int64)
+            for i, g in zip(rest, groups):
+                all_groups[i] = g
+            all_counts[rest] = counts
+            return all_groups, all_counts, pairs, rest[of]
+        (a, first_a, end_a, _), (b, first_b, end_b, _) = side
+        leaves = leaf_groups(end_a, end_b, first_a[:-1], first_a[1:], first_b[:-1], first_b[1:])
+        a0, a1, b0, b1 = leaves.T
+        n_a, n_b = a1 - a0, b1 - b0
+        of = np.searchsorted(first_a, a0, side="right") - 1
+        counts = np.stack([np.diff(first_a), np.diff(first_b), np.bincount(of, minlength=len(parts)), np.bincount(of, weights=n_a * n_b, minlength=len(parts)).astype(np.int64)], axis=1)
+        # the list of groups: every token and what stands behind it
+        listed = np.empty(len(a) + len(b), np.int64)
+        of_a, of_b = np.repeat(np.arange(len(leaves)), n_a), np.repeat(np.arange(len(leaves)), n_b)
+        at_a, at_b = np.arange(len(a)) + b0[of_a], np.arange(len(b)) + a1[of_b]
+        listed[at_a], listed[at_b] = a, b
+        listed[at_a[a1 - 1]] += self.ids
+        listed[at_b[b1 - 1]] += 2 * self.ids
+        data, upto = _taken(self.listed, listed)
+        cuts = np.r_[0, upto][first_a + first_b].tolist()
+        text = bytes(data[: cuts[-1]]).decode()
+        groups = [text[x : y - 1] for x, y in zip(cuts, cuts[1:])]
+        # pairs: small groups all at once, large ones by their distinct ids
+        small = n_a * n_b <= SMALL_GROUP
+        times = np.where(small, n_a * n_b, 0)
+        leaf = np.repeat(np.arange(len(leaves)), times)
+        k = np.arange(len(leaf)) - np.repeat(np.cumsum(times) - times, times)
+        pairs = [np.stack([a[a0[leaf] + k // n_b[leaf]], b[b0[leaf] + k % n_b[leaf]], np.ones(len(leaf), np.int64)], axis=1)]
+        owner = [of[leaf]]
+        for g in np.flatnonzero(~small):
+            (x, n), (y, m) = np.unique(a[a0[g] : a1[g]], return_counts=True), np.unique(b[b0[g] : b1[g]], return_counts=True)
+            pairs.append(np.stack([np.repeat(x, len(y)), np.tile(y, len(x)), np.outer(n, m).ravel()], axis=1))
+            owner.append(np.full(len(x) * len(y), of[g]))
+        pairs, owner = np.concatenate(pairs), np.concatenate(owner)
+        order = np.argsort(owner, kind="stable")
+        return groups, counts, pairs[order], owner[order]
 
     def learn(self, parts: list[str]) -> None:
         """Encode and align parts that are not remembered yet."""
         if len(self.number) > PARTS_KEPT or len(self.pair_n) > PAIRS_KEPT:
             self._clear()
         new = [p for p in dict.fromkeys(parts) if p not in self.number]
-        counts, size, pair_a, pair_b, pair_n = [], [], [], [], []
+        got = []
         for at in range(0, len(new), ENCODED):
             some = new[at : at + ENCODED]
-            spaced = [" " + p for p in some]
-            all_a, all_b = self.a.encode_batch_fast(spaced, add_special_tokens=False), self.b.encode(some, num_threads=1)
-            for p, s, in_a, in_b in zip(some, spaced, all_a, all_b):
-                part = self.align(s.encode(), in_a.ids, in_b)
-                self.number[p] = len(self.groups)
-                self.groups.append(part and part.groups)
-                pairs = part.pairs if part else {}
-                counts.append((part.n_a, part.n_b, part.n_groups, sum(pairs.values())) if part else (0, 0, 0, 0))
-                size.append(len(pairs))
-                for (x, y), n in pairs.items():
-                    pair_a.append(x)
-                    pair_b.append(y)
-                    pair_n.append(n)
-        if new:
-            self.counts = np.concatenate([self.counts, np.array(counts, np.int64)])
-            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(size)])
-            self.pair_a = np.concatenate([self.pair_a, np.array(pair_a, np.int32)])
-            self.pair_b = np.concatenate([self.pair_b, np.array(pair_b, np.int32)])
-            self.pair_n = np.concatenate([self.pair_n, np.array(pair_n, np.int64)])
+            groups, counts, pairs, of = self.align(some)
+            self.number.update(zip(some, range(len(self.groups), len(self.groups) + len(some))))
+            self.groups += groups
+            got.append((counts, np.bincount(of, minlength=len(some)), pairs))
+        if got:
+            self.counts = np.concatenate([self.counts, *(x[0] for x in got)])
+            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.concatenate([x[1] for x in got]))])
+            for i, name in enumerate(("pair_a", "pair_b", "pair_n")):
+                held = getattr(self, name)
+                setattr(self, name, np.concatenate([held, *(x[2][:, i].astype(held.dtype) for x in got)]))
 
     def text(self, parts: list[str]) -> tuple[tuple, str, tuple[np.ndarray, np.ndarray, np.ndarray]] | None:
         """Counts, groups and distinct pairs of a text from its (remembered) parts; None if a part is not spelled by its tokens."""

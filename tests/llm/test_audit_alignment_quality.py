@@ -165,13 +165,35 @@ def test_leaf_groups_are_the_cuts_of_both_sides():
             to = (a.index(c) + 1, b.index(c) + 1)
             want.append((at[0], to[0], at[1], to[1]))
             at = to
-        assert alignment.leaf_groups(a, b) == want
+        assert one_interval(a, b) == want
+
+
+def one_interval(a, b):
+    whole = [np.array([x]) for x in (0, len(a), 0, len(b))]
+    return [tuple(g) for g in alignment.leaf_groups(np.array(a), np.array(b), *whole).tolist()]
+
+
+def test_leaf_groups_of_many_intervals():
+    """Intervals are divided side by side; none sees another's cuts."""
+    rng = random.Random(4)
+    a, b, ends, want = [], [], [[0], [0]], []
+    for _ in range(200):
+        total = rng.randint(1, 30)
+        mine = random_ends(rng, rng.randint(0, 20), total), random_ends(rng, rng.randint(0, 20), total)
+        base = a[-1] if a else 0
+        want += [(x + len(a), y + len(a), u + len(b), v + len(b)) for x, y, u, v in one_interval(*mine)]
+        a, b = a + [base + x for x in mine[0]], b + [base + x for x in mine[1]]
+        ends[0].append(len(a))
+        ends[1].append(len(b))
+    e, f = map(np.array, ends)
+    got = alignment.leaf_groups(np.array(a), np.array(b), e[:-1], e[1:], f[:-1], f[1:])
+    assert [tuple(g) for g in got.tolist()] == want
 
 
 def test_leaf_groups_without_a_cut_and_with_all():
-    n = 100_000
-    assert alignment.leaf_groups(list(range(2, 2 * n + 1, 2)), [*range(1, 2 * n, 2), 2 * n]) == [(0, n, 0, n + 1)]
-    assert alignment.leaf_groups(list(range(1, n + 1)), list(range(1, n + 1))) == [(k, k + 1, k, k + 1) for k in range(n)]
+    n = 50_000
+    assert one_interval(list(range(2, 2 * n + 1, 2)), [*range(1, 2 * n, 2), 2 * n]) == [(0, n, 0, n + 1)]
+    assert one_interval(list(range(1, n + 1)), list(range(1, n + 1))) == [(k, k + 1, k, k + 1) for k in range(n)]
 
 
 def test_alignment_query_against_brute_force(spark, tokenizers_):
@@ -207,7 +229,7 @@ def test_alignment_of_hard_texts(spark, tokenizers_):
 
 def test_alignment_without_memory_or_broadcast(spark, tokenizers_, monkeypatch):
     """The same result if tasks forget at once and hardly any pair counts as frequent."""
-    for name, value in (("PARTS_KEPT", 0), ("ENCODED", 3), ("BATCH_CHARS", 50), ("FREQUENT", 2)):
+    for name, value in (("PARTS_KEPT", 0), ("ENCODED", 3), ("BATCH_CHARS", 50), ("SMALL_GROUP", 1), ("FREQUENT", 2)):
         monkeypatch.setattr(alignment, name, value)
     rows = [(k, t, "en", "s") for k, t in enumerate(HARD)] + AWKWARD
     got = sorted((tuple(r) for r in alignment.report(docs(spark, rows)).collect()), key=repr)
