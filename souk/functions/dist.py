@@ -65,3 +65,31 @@ def two_sided_t(t: Column, df: Column) -> Column:
     front = 2 * gamma_ratio(v / 2) / F.sqrt(v * F.lit(math.pi))
     tail = front * _integral(lambda y: -(v + 1) / 2 * _log1p((a + y) * (a + y) / v))
     return F.when(a.isNotNull() & v.isNotNull(), F.least(F.lit(1.0), tail))
+
+
+#: The U distribution is counted if one sample has at most EXACT_SIZE values and there are at most EXACT_CELLS pairs.
+EXACT_SIZE = 8
+EXACT_CELLS = 4000
+
+
+def two_sided_u(n1: Column, n2: Column, u: Column) -> Column:
+    """Two-sided p of a Mann-Whitney U (of either sample) without ties, from the counts of all arrangements.
+
+    The arrangements with U = t are the coefficients of the product over i = 1..m of (1 - x^(n + i)) / (1 - x^i), m and n
+    the smaller and the larger sample.  Each factor is one step over the array of the coefficients up to the observed U:
+    the division adds every i-th coefficient below, the product takes off the one n + i below.
+    """
+    m, n = F.least(n1, n2).cast("int"), F.greatest(n1, n2).cast("int")
+    top = F.floor(F.least(u, n1 * n2 - u)).cast("int")
+    upto = F.sequence(F.lit(0), top)
+
+    def divided(a: Column, t: Column, i: Column) -> Column:
+        return F.aggregate(F.sequence(t % i, t, i), F.lit(0.0), lambda s, j: s + F.get(a, j))
+
+    def step(a: Column, i: Column) -> Column:
+        return F.transform(upto, lambda t: divided(a, t, i) - F.when(t >= n + i, divided(a, t - n - i, i)).otherwise(0.0))
+
+    one = F.transform(upto, lambda t: F.when(t == 0, 1.0).otherwise(0.0))
+    below = F.aggregate(F.aggregate(F.sequence(F.lit(1), m), one, step), F.lit(0.0), lambda s, c: s + c)
+    all_ = F.aggregate(F.sequence(F.lit(1), m), F.lit(1.0), lambda c, i: c * (n + i) / i)
+    return F.when(m >= 1, F.least(F.lit(1.0), 2 * below / all_))

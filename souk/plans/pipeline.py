@@ -9,6 +9,7 @@ are never collected.
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -50,29 +51,34 @@ def _counted(clean: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], dict[st
 def load_warehouse(raw: dict[str, DataFrame], out_dir: str, strict: bool = True, parallelism: int = 8) -> dict[str, DataFrame]:
     """S4/S5 + C10: clean the raw tables and (re)create every warehouse table.
 
-    The tables are written to ``out_dir/_staging`` and checked there; only
-    then do they replace the old ones, so a load that fails (strict: any
-    declared constraint violated) leaves the old tables as they were.
+    The tables are written to a new version folder of ``out_dir`` and checked
+    there; only then does one rename of the manifest put them, all nine at
+    once, in the place of the old ones.  A load that fails at any point before
+    (strict: also by a violated constraint) leaves the old tables as they were.
     """
     spark = raw[LOAD_ORDER[0]].sparkSession
     before = {t: Observation(f"raw-{t}") for t in LOAD_ORDER}
     counted = {t: raw[t].observe(before[t], F.count(F.lit(1)).alias("rows")) for t in LOAD_ORDER}
     clean, after = _counted(warehouse.conform_all(transform_all(counted)))
-    staging = f"{out_dir}/_staging"
-    warehouse.write_tables(clean, staging, parallelism)
-    for t in LOAD_ORDER:
-        found = after[t].get
-        removed = before[t].get["rows"] - found["rows"] if t != "product_category_translation" else None
-        more = {k: v for k, v in found.items() if k != "rows"}
-        log.info("cleaned %-30s %10d rows, removed duplicates: %s %s", t, found["rows"], "-" if removed is None else removed, more or "")
-    if strict:
-        quality.enforce_constraints(warehouse.read_tables(spark, staging))
-    warehouse.swap_in(spark, staging, out_dir)
-    return warehouse.read_tables(spark, out_dir)
+    version = warehouse.new_version()
+    try:
+        warehouse.write_tables(clean, f"{out_dir}/{version}", parallelism)
+        for t in LOAD_ORDER:
+            found = after[t].get
+            removed = before[t].get["rows"] - found["rows"] if t != "product_category_translation" else None
+            more = {k: v for k, v in found.items() if k != "rows"}
+            log.info("cleaned %-30s %10d rows, removed duplicates: %s %s", t, found["rows"], "-" if removed is None else removed, more or "")
+        if strict:
+            quality.enforce_constraints(warehouse.read_tables(spark, out_dir, version))
+        warehouse.publish(spark, out_dir, version)
+    except BaseException:
+        warehouse.discard(spark, out_dir, version)
+        raise
+    return warehouse.read_tables(spark, out_dir, version)
 
 
 def load_bucketed_warehouse(
-    raw: dict[str, DataFrame], database: str, buckets: int | None, strict: bool = False, parallelism: int = 8
+    raw: dict[str, DataFrame], database: str, buckets: int | None, strict: bool = True, parallelism: int = 8
 ) -> dict[str, DataFrame]:
     """Load job writing catalog tables; ``buckets`` lays the order-keyed tables out by order_id.
 
@@ -82,13 +88,23 @@ def load_bucketed_warehouse(
     order may hold a large share of all lines: the tables are then written
     unbucketed, scans split by size and partial aggregation absorbs a hot
     order.  The layout is the caller's choice and never changes with the data.
+
+    The tables are written to a database of their own and checked there; one
+    change of the named database's properties then makes them its current
+    version.  A load that fails before leaves the old version as it was.
     """
     clean = warehouse.conform_all(transform_all(raw, order_partitions=buckets))
-    warehouse.save_catalog_tables(clean, database, buckets, parallelism=parallelism, prepartitioned=bool(buckets))
-    wh = warehouse.read_catalog_tables(raw[LOAD_ORDER[0]].sparkSession, database)
-    if strict:
-        quality.enforce_constraints(wh)
-    return wh
+    spark = raw[LOAD_ORDER[0]].sparkSession
+    version = f"{database}_{uuid.uuid4().hex}"
+    try:
+        warehouse.save_catalog_tables(clean, version, buckets, parallelism=parallelism, prepartitioned=bool(buckets))
+        if strict:
+            quality.enforce_constraints(warehouse.read_catalog_tables(spark, version))
+        warehouse.publish_catalog(spark, database, version)
+    except BaseException:
+        spark.sql(f"DROP DATABASE IF EXISTS {version} CASCADE")
+        raise
+    return warehouse.read_catalog_tables(spark, version)
 
 
 def quality_report(wh) -> dict[str, DataFrame]:

@@ -123,6 +123,7 @@ CLEAN_BUILDERS: dict[str, Builder] = {
     "T11_score_histogram": stats.score_histogram,
     # the same tests with their p-values
     "T3p_mann_whitney_p": lambda wh: stats.rounded(stats.mann_whitney_p(wh)),
+    "T3x_weekday_means_exact_p": lambda wh: stats.rounded(stats.weekday_means_p(wh)),
     "T4p_welch_p": lambda wh: stats.rounded(stats.welch_p(wh)),
     "T9p_spearman_p": lambda wh: stats.rounded(stats.spearman_p(wh)),
 }

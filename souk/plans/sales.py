@@ -30,12 +30,34 @@ def monthly_revenue_trend(wh: Warehouse) -> DataFrame:
 
 
 SALTS = 16
+#: An order is hot if it has at least HOT_PRODUCTS distinct products and at least 1 / HOT_SHARE of all orders' products;
+#: there are at most HOT_SHARE hot orders.
+HOT_PRODUCTS = 256
+HOT_SHARE = 1000
 
 
-def salted_lines(wh: Warehouse) -> DataFrame:
-    """Item price and lines per (order, product), with the share an order's products are dealt to."""
-    lines = wh["order_items"].groupBy("order_id", "product_id").agg(F.sum("price").alias("price"), F.count(F.lit(1)).alias("lines"))
-    return lines.withColumn("_salt", F.pmod(F.hash("product_id"), F.lit(SALTS)))
+def order_lines(wh: Warehouse) -> DataFrame:
+    """Item price and lines per (order, product)."""
+    return wh["order_items"].groupBy("order_id", "product_id").agg(F.sum("price").alias("price"), F.count(F.lit(1)).alias("lines"))
+
+
+def order_totals(wh: Warehouse) -> DataFrame:
+    """Price and distinct products per order, counted over the grouped lines."""
+    return order_lines(wh).groupBy("order_id").agg(F.sum("price").alias("order_price"), F.count(F.lit(1)).alias("products"))
+
+
+def hot_orders(wh: Warehouse) -> DataFrame:
+    """order_id of the hot orders."""
+    many = order_totals(wh).where(F.col("products") >= HOT_PRODUCTS).select("order_id", "products")
+    total = order_lines(wh).agg(F.count(F.lit(1)).alias("total"))
+    return many.join(F.broadcast(total), F.col("products") * HOT_SHARE >= F.col("total")).select("order_id")
+
+
+def salted_lines(wh: Warehouse, hot: DataFrame | None = None) -> DataFrame:
+    """Item price and lines per (order, product), with the share a hot order's products are dealt to (others have one share)."""
+    hot = F.broadcast((hot_orders(wh) if hot is None else hot).select(F.col("order_id").alias("_hot")))
+    lines = order_lines(wh).join(hot, F.col("order_id") == F.col("_hot"), "left")
+    return lines.withColumn("_salt", F.when(F.col("_hot").isNull(), 0).otherwise(F.pmod(F.hash("product_id"), F.lit(SALTS)))).drop("_hot")
 
 
 def category_revenue_all(wh: Warehouse) -> DataFrame:
@@ -43,17 +65,20 @@ def category_revenue_all(wh: Warehouse) -> DataFrame:
     (all categories, before the top-k cut).
 
     Items are summed per (order, product) first, so an order is as many rows
-    as it has distinct products; an order with very many of them is dealt by
-    product over SALTS shares, each of which meets a copy of the order's one
-    ratio (revenue per unit of price).
+    as it has distinct products; a hot order is dealt by product over SALTS
+    shares, each of which meets a copy of the order's one ratio (revenue per
+    unit of price).  All other orders meet their ratio plainly.
     """
-    price_total = wh["order_items"].groupBy("order_id").agg(F.sum("price").alias("order_price"))
+    hot = hot_orders(wh)
     ratio = (
-        price_total.join(order_amounts(wh), "order_id")
+        order_totals(wh)
+        .join(order_amounts(wh), "order_id")
         .select("order_id", safe_div("order_revenue", "order_price").alias("ratio"))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        .join(F.broadcast(hot.select(F.col("order_id").alias("_hot"))), F.col("order_id") == F.col("_hot"), "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.when(F.col("_hot").isNull(), 0).otherwise(SALTS - 1))))
+        .drop("_hot")
     )
-    allocated = salted_lines(wh).join(ratio, ["order_id", "_salt"])
+    allocated = salted_lines(wh, hot).join(ratio, ["order_id", "_salt"])
     # pre-aggregate per product so the product lookup joins one row per product
     per_product = allocated.groupBy("product_id").agg(
         F.sum(F.col("price") * F.col("ratio")).alias("revenue"), F.sum("lines").alias("lines")

@@ -74,18 +74,22 @@ def review_score_ranks(wh: Warehouse) -> DataFrame:
 
 
 def _mann_whitney_row(wh: Warehouse) -> DataFrame:
-    """(n_late, n_on_time, u_statistic, tie_term, z): U of the late group, two-sided z.
+    """(n_late, n_on_time, u_statistic, tie_term, z) of the review scores: U of the late group, two-sided z."""
+    return mann_whitney_of(late_review_sample(wh), "review_score")
 
-    One pass over the sample makes the histogram of scores with the late
-    reviews of each; everything else happens on that.
+
+def mann_whitney_of(sample: DataFrame, value: str) -> DataFrame:
+    """(n_late, n_on_time, u_statistic, tie_term, z) of a column of a sample with delivery_group.
+
+    One pass over the sample makes the histogram of values with the late rows
+    of each; everything else happens on that.
     """
     hist = (
-        late_review_sample(wh)
-        .where(F.col("review_score").isNotNull())
-        .groupBy("review_score")
+        sample.where(F.col(value).isNotNull())
+        .groupBy(value)
         .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("delivery_group") == LATE).alias("n_late_v"))
     )
-    a = histogram_ranks(hist, "review_score").agg(
+    a = histogram_ranks(hist, value).agg(
         F.sum("n_late_v").cast("double").alias("n1"),
         (F.sum("n") - F.sum("n_late_v")).cast("double").alias("n2"),
         F.sum(F.col("n_late_v") * F.col("avg_rank")).alias("r1"),
@@ -234,9 +238,32 @@ def mean_score_by_installments(wh: Warehouse, max_installments: int = MAX_INSTAL
 # -- test results with p-values ----------------------------------------------
 
 
+def _with_p(test: DataFrame) -> DataFrame:
+    """The row of a Mann-Whitney test with its two-sided p.
+
+    Small samples without ties get the exact p (one sample of at most dist.EXACT_SIZE values, at most dist.EXACT_CELLS
+    pairs of values); all others the normal approximation, tie and continuity corrected.
+    """
+    n1, n2, u = F.col("n_late").cast("double"), F.col("n_on_time").cast("double"), F.col("u_statistic")
+    small = (F.col("tie_term") == 0) & (F.least(n1, n2) <= dist.EXACT_SIZE) & (n1 * n2 <= dist.EXACT_CELLS)
+    p = F.when(small, dist.two_sided_u(n1, n2, u)).otherwise(dist.two_sided_norm(F.col("z")))
+    return test.select("n_late", "n_on_time", "u_statistic", p.alias("p_value"))
+
+
 def mann_whitney_p(wh: Warehouse) -> DataFrame:
-    """T3 with its two-sided p (normal approximation, tie and continuity corrected)."""
-    return _mann_whitney_row(wh).select("n_late", "n_on_time", "u_statistic", dist.two_sided_norm(F.col("z")).alias("p_value"))
+    """T3 with its two-sided p."""
+    return _with_p(_mann_whitney_row(wh))
+
+
+def weekday_means(wh: Warehouse) -> DataFrame:
+    """Mean review score of late and of on-time orders per weekday of purchase: delivery_group, weekday, mean_score."""
+    bought = wh["orders"].select("order_id", F.dayofweek("order_purchase_timestamp").alias("weekday")).where("weekday IS NOT NULL")
+    return late_review_sample(wh).join(bought, "order_id").groupBy("delivery_group", "weekday").agg(F.avg("review_score").alias("mean_score"))
+
+
+def weekday_means_p(wh: Warehouse) -> DataFrame:
+    """Mann-Whitney test of the weekdays' mean scores, late against on-time: seven values a side, so p is exact without ties."""
+    return _with_p(mann_whitney_of(weekday_means(wh), "mean_score"))
 
 
 def welch_p(wh: Warehouse) -> DataFrame:

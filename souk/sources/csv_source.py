@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from souk.functions.exprs import na_to_null
+from souk.sources import quoted_csv
 from souk.sources.schemas import LOAD_ORDER, TABLES
 
 
@@ -33,9 +34,9 @@ def read_csv_table(spark: SparkSession, table: str, raw_dir: str, path: str | No
     """One raw table with its declared types.
 
     The table is the file ``raw_dir/<raw file>``, or a folder of that name
-    holding part files, or whatever ``path`` says (a glob, too).  Only tables
-    with free text are read with multi-line fields; the files of all others
-    are split like any text.
+    holding part files, or whatever ``path`` says (a glob, too).  All files
+    are split like any text; those of a table with free text, whose quoted
+    fields may hold line breaks, are cut into records by counting quotes.
     """
     spec = TABLES[table]
     path = path or f"{raw_dir.rstrip('/')}/{spec.raw_file}"
@@ -45,7 +46,6 @@ def read_csv_table(spark: SparkSession, table: str, raw_dir: str, path: str | No
     reader = (
         spark.read.option("header", True)
         .option("inferSchema", False)
-        .option("multiLine", spec.free_text)
         .option("quote", '"')
         .option("escape", '"')
         .option("mode", "FAILFAST")
@@ -61,6 +61,8 @@ def read_csv_table(spark: SparkSession, table: str, raw_dir: str, path: str | No
         if _is_missing(exc):
             raise MissingSourceError(f"missing raw data file for '{table}': {path}") from exc
         raise
+    if spec.free_text:
+        raw = quoted_csv.read(spark, path, raw.columns)
     missing = [c for c in cols if c not in raw.columns]
     if missing:
         raise ValueError(f"raw file for '{table}' lacks columns {missing}: {path}")

@@ -3,6 +3,9 @@ from parquet files written by the load step."""
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,22 +58,62 @@ def write_tables(tables: dict[str, DataFrame], root: str, parallelism: int = 4)
     run_concurrently([lambda n=n: write(n) for n in LOAD_ORDER], parallelism)
 
 
-def swap_in(spark: SparkSession, staging: str, root: str) -> None:
-    """Put every staged table in the place of root/<table> (the file system's rename)."""
+#: The file of a warehouse folder that names its current version, and behind it the one before.
+MANIFEST = "MANIFEST"
+
+
+def _file_system(spark: SparkSession, root: str):
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path
-    fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for name in LOAD_ORDER:
-        if fs.exists(path(f"{root}/{name}")):
-            fs.delete(path(f"{root}/{name}"), True)
-        if not fs.rename(path(f"{staging}/{name}"), path(f"{root}/{name}")):
-            raise OSError(f"cannot move {staging}/{name} to {root}/{name}")
-    fs.delete(path(staging), True)
+    return path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def versions(spark: SparkSession, root: str) -> list[str]:
+    """The current version of a warehouse folder and the one before it; empty without a manifest."""
+    fs, path = _file_system(spark, root)
+    if not fs.exists(path(f"{root}/{MANIFEST}")):
+        return []
+    return [r["value"] for r in spark.read.text(f"{root}/{MANIFEST}").limit(2).collect()]
 
 
-def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Open the warehouse written by ``write_tables``."""
-    return {name: spark.read.parquet(f"{root}/{name}") for name in LOAD_ORDER}
+def new_version() -> str:
+    return f"version-{uuid.uuid4().hex}"
+
+
+def publish(spark: SparkSession, root: str, version: str) -> None:
+    """Make root/<version> what readers see, in one rename of the manifest.
+
+    Whatever fails before the rename leaves the old version as it was; the version before it stays for readers that
+    opened it, the one before that goes.
+    """
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    fs, path = _file_system(spark, root)
+    old = versions(spark, root)
+    written = path(f"{root}/{version}.manifest")
+    out = fs.create(written, True)
+    try:
+        out.write(bytearray("".join(f"{v}\n" for v in [version, *old[:1]]).encode()))
+    finally:
+        out.close()
+    over = gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(written), fs.makeQualified(path(f"{root}/{MANIFEST}")), over)
+    for gone in old[1:]:
+        fs.delete(path(f"{root}/{gone}"), True)
+
+
+def discard(spark: SparkSession, root: str, version: str) -> None:
+    """Remove a version that was not published."""
+    fs, path = _file_system(spark, root)
+    fs.delete(path(f"{root}/{version}"), True)
+
+
+def read_tables(spark: SparkSession, root: str, version: str | None = None) -> dict[str, DataFrame]:
+    """Open a warehouse: its current version by the manifest, a given version, or plain tables without a manifest."""
+    version = version or next(iter(versions(spark, root)), None)
+    at = f"{root}/{version}" if version else root
+    return {name: spark.read.parquet(f"{at}/{name}") for name in LOAD_ORDER}
 
 
 def save_catalog_tables(
@@ -109,6 +152,33 @@ def save_catalog_tables(
     run_concurrently([lambda n=n: write(n) for n in LOAD_ORDER], parallelism)
 
 
+#: The properties of a database that name the databases of its current version and of the one before.
+CURRENT, PREVIOUS = "souk.current", "souk.previous"
+
+
+def _properties(spark: SparkSession, database: str) -> dict[str, str]:
+    rows = spark.sql(f"DESCRIBE DATABASE EXTENDED {database}").collect()
+    text = next((r[1] for r in rows if r[0] == "Properties"), "")
+    return dict(re.findall(r"\((souk\.\w+),\s*(\w+)\)", text))
+
+
+def publish_catalog(spark: SparkSession, database: str, version: str) -> None:
+    """Make the tables of the database `version` those of `database`, by one change of its properties; the last but one version goes."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    old = _properties(spark, database)
+    before = old.get(CURRENT, version)
+    spark.sql(f"ALTER DATABASE {database} SET DBPROPERTIES ('{CURRENT}' = '{version}', '{PREVIOUS}' = '{before}')")
+    gone = old.get(PREVIOUS)
+    if gone and gone not in (version, before):
+        spark.sql(f"DROP DATABASE IF EXISTS {gone} CASCADE")
+
+
+def current_database(spark: SparkSession, database: str) -> str:
+    """The database that holds the tables of the current version; the database itself if none was published."""
+    return _properties(spark, database).get(CURRENT, database)
+
+
 def read_catalog_tables(spark: SparkSession, database: str) -> dict[str, DataFrame]:
-    """The warehouse as catalog tables (bucketing metadata included)."""
-    return {name: spark.table(f"{database}.{name}") for name in LOAD_ORDER}
+    """The warehouse as catalog tables (bucketing metadata included), by the database's current version."""
+    current = current_database(spark, database)
+    return {name: spark.table(f"{current}.{name}") for name in LOAD_ORDER}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from souk.operators import clean, quality
 from souk.plans import pipeline
+from souk.sources import quoted_csv, warehouse
 from souk.sources.csv_source import MissingSourceError, extract_all, read_csv_table
 from souk.sources.schemas import TABLES
 from tests.fixture_tables import raw_fixture
@@ -133,7 +134,7 @@ def test_bucketed_warehouse_joins_without_order_shuffle(spark):
 
     from souk.plans import kpis
 
-    wh = pipeline.load_bucketed_warehouse(raw_fixture(spark), "souk_test_wh", buckets=4, parallelism=2)
+    wh = pipeline.load_bucketed_warehouse(raw_fixture(spark), "souk_test_wh", buckets=4, strict=False, parallelism=2)
     assert wh["customers"].count() == 8
     assert kpis.summary_kpis(wh).first().total_orders == 6
     buf = io.StringIO()
@@ -173,8 +174,6 @@ def test_run_pipeline_from_csv_files(spark):
         pdf.to_csv(os.path.join(raw_dir, TABLES[name].raw_file), index=False, date_format="%Y-%m-%d %H:%M:%S")
     out = tempfile.mkdtemp(prefix="souk-whcsv-")
     assert pipeline.run_pipeline(spark, raw_dir, out, strict=False) == 0
-    from souk.sources import warehouse
-
     wh = warehouse.read_tables(spark, out)
     counts = {t: wh[t].count() for t in LOAD_ORDER}
     assert counts["customers"] == 8 and counts["geolocation"] == 2 and counts["order_reviews"] == 8
@@ -188,8 +187,8 @@ def test_run_pipeline_from_csv_files(spark):
 
 def test_layout_is_the_callers_choice(spark):
     raw = raw_fixture(spark)
-    wh = pipeline.load_bucketed_warehouse(raw, "souk_flat_wh", buckets=None, parallelism=2)
-    meta = spark.sql("DESCRIBE TABLE EXTENDED souk_flat_wh.order_items").collect()
+    wh = pipeline.load_bucketed_warehouse(raw, "souk_flat_wh", buckets=None, strict=False, parallelism=2)
+    meta = spark.sql(f"DESCRIBE TABLE EXTENDED {warehouse.current_database(spark, 'souk_flat_wh')}.order_items").collect()
     assert not any(r.col_name == "Num Buckets" for r in meta)
     assert wh["order_items"].count() == 11
 
@@ -199,11 +198,11 @@ def test_failed_load_leaves_the_old_tables(spark):
     raw = raw_fixture(spark)
     valid = dict(raw, order_payments=raw["order_payments"], orders=raw["orders"])
     pipeline.load_warehouse(valid, out, strict=False)
-    before = {r.order_id for r in spark.read.parquet(f"{out}/orders").collect()}
+    before = {r.order_id for r in warehouse.read_tables(spark, out)["orders"].collect()}
     stray = raw["orders"].where(F.col("order_id") == "o1").withColumn("customer_id", F.lit("nobody")).withColumn("order_id", F.lit("zz"))
     with pytest.raises(quality.ConstraintViolation, match="customer_id"):
         pipeline.load_warehouse(dict(raw, orders=raw["orders"].unionByName(stray)), out)
-    assert {r.order_id for r in spark.read.parquet(f"{out}/orders").collect()} == before
+    assert {r.order_id for r in warehouse.read_tables(spark, out)["orders"].collect()} == before
 
 
 def test_load_reports_what_cleaning_found(spark, caplog):
@@ -301,3 +300,115 @@ def test_conform_selects_by_name_and_casts(spark):
     keep = spark.createDataFrame([(7, 1, "boleto", 1, 2.0)], "order_id bigint, payment_sequential int, "
                                  "payment_type string, payment_installments int, payment_value double")
     assert dict(conform(keep, "order_payments").dtypes)["order_id"] == "bigint"  # integer ids are kept
+
+
+REVIEW_ROWS = [
+    ("r1", 'plain', "5"),
+    ("r2", 'two\nlines, and a comma', "4"),
+    ("r3", 'a "quoted" word\n\n"" and blank line\n', "3"),
+    ("r4", "", "2"),
+    ("r5", "né à\r\nParis", "1"),
+    ("r6", '"', "5"),
+    ("r7", "x" * 90 + "\n" * 5 + "y" * 70, "5"),
+    ("r8", "last\n", "1"),
+]
+
+
+def _reviews_csv(folder, name="", ending="\n"):
+    os.makedirs(folder, exist_ok=True)
+    quoted = lambda x: '"' + x.replace('"', '""') + '"' if any(c in x for c in ',"\r\n') else x
+    out = ["review_id,order_id,review_score,review_comment_title,review_comment_message,review_creation_date,review_answer_timestamp"]
+    out += [f"{i}{name},o{k},{score},,{quoted(text)},2018-01-11 00:00:00," for k, (i, text, score) in enumerate(REVIEW_ROWS)]
+    with open(os.path.join(folder, f"part{name}.csv"), "w", encoding="utf-8", newline="") as f:
+        f.write(ending.join(out) + ending)
+
+
+@pytest.mark.parametrize("ending", ["\n", "\r\n"])
+def test_quoted_line_breaks_at_every_split(spark, ending):
+    """Whatever the size of the splits, the records are those of the read with multi-line fields."""
+    d = tempfile.mkdtemp(prefix="souk-csv-")
+    for name in ("", "b"):
+        _reviews_csv(f"{d}/reviews", name, ending)
+    options = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "emptyValue": ""}
+    want = sorted(map(tuple, spark.read.options(**options).csv(f"{d}/reviews").collect()), key=repr)
+    assert len(want) == 2 * len(REVIEW_ROWS)
+    columns = spark.read.option("header", True).csv(f"{d}/reviews").columns
+    for size in (7, 31, 64, 100, 173, 250, 400, 10_000):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", 0)
+        try:
+            text = quoted_csv.lines(spark, f"{d}/reviews")
+            tasks = text.rdd.getNumPartitions()
+            assert sorted(map(tuple, quoted_csv.read(spark, f"{d}/reviews", columns).collect()), key=repr) == want, size
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert tasks >= 4 or size > 400  # the files are read by several tasks
+    typed = read_csv_table(spark, "order_reviews", d, f"{d}/reviews")
+    by = {r.review_id: r for r in typed.collect()}
+    assert by["r3"].review_comment_message == 'a "quoted" word\n\n"" and blank line\n' and by["r4"].review_comment_message is None
+
+
+def _order_ids(wh):
+    return {t: sorted(map(repr, wh[t].collect())) for t in wh}
+
+
+@pytest.mark.parametrize("broken", ["product_category_translation", "orders", "order_reviews", "publish"])
+def test_fault_while_loading_leaves_the_old_version_whole(spark, monkeypatch, broken):
+    """Folders: a fault while any table is written, or just before the manifest is renamed."""
+    out = tempfile.mkdtemp(prefix="souk-wh-")
+    raw = raw_fixture(spark)
+    pipeline.load_warehouse(raw, out, strict=False)
+    before, old = _order_ids(warehouse.read_tables(spark, out)), warehouse.versions(spark, out)
+    fewer = dict(raw, customers=raw["customers"].limit(1), sellers=raw["sellers"].limit(1))
+
+    def fail(*_, **__):
+        raise OSError("injected")
+
+    with monkeypatch.context() as m:
+        if broken == "publish":
+            m.setattr(warehouse, "publish", fail)
+        else:
+            bad = F.udf(fail, "string")
+            column = raw[broken].columns[0]
+            fewer[broken] = raw[broken].withColumn(column, bad(F.col(column)))
+        with pytest.raises(Exception, match="injected"):
+            pipeline.load_warehouse(fewer, out, strict=False, parallelism=1)
+    assert warehouse.versions(spark, out) == old and _order_ids(warehouse.read_tables(spark, out)) == before
+    assert sum(x.startswith("version-") and not x.endswith(".manifest") for x in os.listdir(out)) == 1
+
+
+def test_versions_replace_each_other_at_once(spark):
+    out = tempfile.mkdtemp(prefix="souk-wh-")
+    raw = raw_fixture(spark)
+    first = pipeline.load_warehouse(raw, out, strict=False)
+    pipeline.load_warehouse(dict(raw, customers=raw["customers"].limit(1)), out, strict=False)
+    assert warehouse.read_tables(spark, out)["customers"].count() == 1
+    assert first["customers"].count() == 8  # a reader that opened the version before goes on
+    pipeline.load_warehouse(raw, out, strict=False)
+    assert warehouse.read_tables(spark, out)["customers"].count() == 8
+    assert sum(os.path.isdir(f"{out}/{x}") for x in os.listdir(out)) == 2  # the current one and the one before
+
+
+def test_bucketed_load_checks_before_it_replaces(spark, monkeypatch):
+    raw = raw_fixture(spark)
+    name = "souk_strict_wh"
+    pipeline.load_bucketed_warehouse(raw, name, buckets=2, strict=False, parallelism=4)
+    before, at = _order_ids(warehouse.read_catalog_tables(spark, name)), warehouse.current_database(spark, name)
+    stray = raw["orders"].where(F.col("order_id") == "o1").withColumn("customer_id", F.lit("nobody")).withColumn("order_id", F.lit("zz"))
+    with pytest.raises(quality.ConstraintViolation):
+        pipeline.load_bucketed_warehouse(dict(raw, orders=raw["orders"].unionByName(stray)), name, buckets=2)
+    assert warehouse.current_database(spark, name) == at and _order_ids(warehouse.read_catalog_tables(spark, name)) == before
+
+    def fail(*_, **__):
+        raise OSError("injected")
+
+    with monkeypatch.context() as m:
+        m.setattr(warehouse, "publish_catalog", fail)
+        with pytest.raises(OSError, match="injected"):
+            pipeline.load_bucketed_warehouse(dict(raw, customers=raw["customers"].limit(1)), name, buckets=2, strict=False)
+    assert _order_ids(warehouse.read_catalog_tables(spark, name)) == before
+    pipeline.load_bucketed_warehouse(dict(raw, customers=raw["customers"].limit(1)), name, buckets=2, strict=False)
+    assert warehouse.read_catalog_tables(spark, name)["customers"].count() == 1
+    left = [r[0] for r in spark.sql("SHOW DATABASES").collect() if r[0].startswith(f"{name}_")]
+    assert sorted(left) == sorted({at, warehouse.current_database(spark, name)})

@@ -99,3 +99,36 @@ def test_entry_contract(spark):
     from souk.catalog import all_oracles, all_queries
 
     assert set(all_oracles()) == set(all_queries())
+
+
+def test_exact_u_counts_all_arrangements(spark):
+    """Every U of small samples: the share of arrangements at least as far out, counted one by one."""
+    from itertools import combinations
+
+    from pyspark.sql import functions as F
+
+    from souk.functions import dist
+
+    rows, want = [], []
+    for n1, n2 in ((1, 1), (1, 9), (2, 3), (4, 4), (7, 5), (3, 12)):
+        us = [sum(c) - n1 * (n1 + 1) // 2 for c in combinations(range(1, n1 + n2 + 1), n1)]
+        for u in range(n1 * n2 + 1):
+            rows.append((float(n1), float(n2), float(u)))
+            want.append(min(1.0, 2 * sum(x >= max(u, n1 * n2 - u) for x in us) / len(us)))
+    df = spark.createDataFrame(rows, "n1 double, n2 double, u double")
+    got = df.select(dist.two_sided_u(F.col("n1"), F.col("n2"), F.col("u")).alias("p")).collect()
+    assert max(abs(r.p - w) for r, w in zip(got, want)) < 1e-12
+
+
+def test_exact_p_only_for_small_samples_without_ties(spark):
+    from souk.plans import stats
+
+    def p(late, on_time):
+        rows = [(stats.LATE, float(x)) for x in late] + [(stats.ON_TIME, float(x)) for x in on_time]
+        return stats._with_p(stats.mann_whitney_of(spark.createDataFrame(rows, "delivery_group string, x double"), "x")).first().p_value
+
+    assert abs(p([1, 2, 3], [4, 5, 6]) - 0.1) < 1e-12  # 2 of 20 arrangements
+    assert p([1, 2, 3], [3, 5, 6]) != p([1, 2, 3], [4, 5, 6])  # ties: approximated
+    assert p([], [1, 2]) is None
+    many = p(range(0, 40, 2), range(1, 41, 2))
+    assert 0.7 < many <= 1
