@@ -53,9 +53,11 @@ MARK = "▁"
 #: Where texts are cut first: a space between two characters that are not white space.
 SPACE = re.compile(r" (?<=\S )(?=\S)")
 #: Parts (and pairs of parts) a task remembers before it starts anew, parts encoded at a time, characters of a result batch.
-PARTS_KEPT, PAIRS_KEPT = 250_000, 3_000_000
+PARTS_KEPT, PAIRS_KEPT = 200_000, 2_000_000
 ENCODED = 8192
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 1_000_000
+#: Parts that the encoders get in one string.
+LINE = 64
 #: Groups with more links than this are linked by their distinct ids.
 SMALL_GROUP = 64
 #: At most so many pairs are broadcast.
@@ -159,36 +161,55 @@ class Aligner:
         self.first = np.zeros(1, np.int64)  # where a part's pairs begin
         self.pair_a, self.pair_b, self.pair_n = np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, np.int64)
 
-    def _spell(self, parts: list[str], ids: np.ndarray, first: np.ndarray, pool: pa.Array, raw: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ends of the tokens, and for each part if they spell it (raw: all parts, ends: theirs in it)."""
-        data, upto = _taken(pool, ids)
-        cuts = np.r_[0, upto][first]
-        if np.array_equal(cuts[1:], ends) and data[: len(raw)] == raw:
-            return upto, np.ones(len(parts), bool)
-        starts = np.r_[0, ends[:-1]]
-        return upto, np.array([data[x:y] == raw[v:w] for x, y, v, w in zip(cuts[:-1], cuts[1:], starts, ends)])
+    @staticmethod
+    def _lines(parts: list[str]) -> list[str]:
+        """Parts joined by spaces, LINE at a time: there the encoders cut them again.  Parts with white space at an end stand alone."""
+        lines, held = [], []
+        for p in parts:
+            plain = not (p[0].isspace() or p[-1].isspace())
+            if held and (not plain or len(held) == LINE):
+                lines.append(" ".join(held))
+                held = []
+            if plain:
+                held.append(p)
+            else:
+                lines.append(p)
+        return [*lines, " ".join(held)] if held else lines
+
+    def _encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, bytes, np.ndarray]]:
+        """For A and B the ids, where each text's begin, what they spell and the tokens' ends in that."""
+        out = []
+        for got, pool in (([e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)], self.bytes_a), (self.b.encode(texts, num_threads=1), self.bytes_b)):
+            ids = np.fromiter(chain.from_iterable(got), np.int64)
+            data, upto = _taken(pool, ids)
+            out.append((ids, np.cumsum([0, *map(len, got)]), bytes(data[: upto[-1] if len(upto) else 0]), upto))
+        return out
 
     def align(self, parts: list[str]) -> tuple[list[str | None], np.ndarray, np.ndarray, np.ndarray]:
         """Groups, counts (n_a, n_b, n_groups, n_links), and pairs (a, b, n) with the part that each is of, sorted by part; no groups if the tokens do not spell a part."""
-        spaced = [" " + p for p in parts]
-        got_a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
-        got_b = self.b.encode(parts, num_threads=1)
-        codes = [p.encode() for p in spaced]
-        ends = np.cumsum([len(c) for c in codes])
+        codes = [(" " + p).encode() for p in parts]
+        raw, ends = b"".join(codes), np.cumsum([len(c) for c in codes])
         side = []
-        for got, pool in ((got_a, self.bytes_a), (got_b, self.bytes_b)):
-            ids, first = np.fromiter(chain.from_iterable(got), np.int64), np.cumsum([0, *map(len, got)])
-            side.append((ids, first, *self._spell(parts, ids, first, pool, b"".join(codes), ends)))
-        good = side[0][3] & side[1][3]
-        if not good.all():  # go on with the others alone
+        for ids, _, said, upto in self._encode(self._lines(parts)):
+            behind = np.searchsorted(upto, ends)  # the last token of each part
+            if said == raw and np.array_equal(upto[behind], ends):
+                side.append((ids, np.r_[0, behind + 1], upto))
+        if len(side) < 2:  # a part is not spelled by its tokens: each alone, and go on with the others
+            cuts, good = np.r_[0, ends].tolist(), np.ones(len(parts), bool)
+            for ids, first, said, upto in self._encode(parts):
+                at = np.r_[0, upto][first].tolist()
+                good &= [said[x:y] == raw[v:w] for x, y, v, w in zip(at, at[1:], cuts, cuts[1:])]
             rest = np.flatnonzero(good)
-            groups, counts, pairs, of = self.align([parts[i] for i in rest]) if len(rest) else ([], np.empty((0, 4), np.int64), np.empty((0, 3), np.int64), np.empty(0, np.int64))
-            all_groups, all_counts = [None] * len(parts), np.zeros((len(parts), 4), np.int64)
-            for i, g in zip(rest, groups):
-                all_groups[i] = g
-            all_counts[rest] = counts
-            return all_groups, all_counts, pairs, rest[of]
-        (a, first_a, end_a, _), (b, first_b, end_b, _) = side
+            if len(rest) == len(parts):
+                side = [(ids, first, upto) for ids, first, _, upto in self._encode(parts)]
+            else:
+                groups, counts, pairs, of = self.align([parts[i] for i in rest]) if len(rest) else ([], 0, np.empty((0, 3), np.int64), np.empty(0, np.int64))
+                all_groups, all_counts = [None] * len(parts), np.zeros((len(parts), 4), np.int64)
+                for i, g in zip(rest, groups):
+                    all_groups[i] = g
+                all_counts[rest] = counts
+                return all_groups, all_counts, pairs, rest[of]
+        (a, first_a, end_a), (b, first_b, end_b) = side
         leaves = leaf_groups(end_a, end_b, first_a[:-1], first_a[1:], first_b[:-1], first_b[1:])
         a0, a1, b0, b1 = leaves.T
         n_a, n_b = a1 - a0, b1 - b0

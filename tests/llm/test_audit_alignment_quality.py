@@ -62,7 +62,7 @@ def many_sources(n=3000, seed=5):
     return rows + [(0, "only here", "xx", "one"), (0, "hot " * 900, "en", "s1"), (1, None, None, None), (1, "12 -- !", "en", "bare")]
 
 
-@pytest.mark.parametrize(("group_block", "term_block"), [(4, 16), (64, 4096), (1, 7)])
+@pytest.mark.parametrize(("group_block", "term_block"), [(9, 64), (64, 4096)])
 def test_divergence_cells_against_brute_force(spark, group_block, term_block):
     rows = many_sources(400)
     got = divergence.audit(docs(spark, rows), 3, 5, group_block, term_block).collect()
