@@ -41,6 +41,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,9 +54,9 @@ MARK = "▁"
 #: Where texts are cut first: a space between two characters that are not white space.
 SPACE = re.compile(r" (?<=\S )(?=\S)")
 #: Parts (and pairs of parts) a task remembers before it starts anew, parts encoded at a time, characters of a result batch.
-PARTS_KEPT, PAIRS_KEPT = 200_000, 2_000_000
-ENCODED = 8192
-BATCH_CHARS = 1_000_000
+PARTS_KEPT, PAIRS_KEPT = 100_000, 1_000_000
+ENCODED = 4096
+BATCH_CHARS = 250_000
 #: Parts that the encoders get in one string.
 LINE = 64
 #: Groups with more links than this are linked by their distinct ids.
@@ -300,11 +301,10 @@ def align(docs: DataFrame, byte_bpe: str = BYTE_BPE, pieces: str = PIECES) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(vocabularies)
         for batch in batches:
-            texts = batch["text"].to_pylist()
-            upto = np.cumsum([len(t or "") for t in texts])
+            upto = np.cumsum(pc.fill_null(pc.utf8_length(batch["text"]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
             cuts = (np.flatnonzero(np.diff(upto // BATCH_CHARS)) + 1).tolist()
             for lo, hi in zip([0, *cuts], [*cuts, len(batch)]):
-                parts = [SPACE.split(t) if t else None for t in texts[lo:hi]]
+                parts = [SPACE.split(t) if t else None for t in batch["text"].slice(lo, hi - lo).to_pylist()]
                 aligner.learn([p for of in parts if of for p in of])
                 got = [(aligner.text(p) if p else None) or nothing for p in parts]
                 counts = np.array([x[0] for x in got], np.int64).reshape(-1, 4)
