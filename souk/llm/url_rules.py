@@ -1,10 +1,11 @@
 """URL filters: fixed prefix rules, and token-combination rules mined by FP-growth from labelled urls.
 
 A url becomes the set of its tokens (scheme, host labels, path segments, file
-ending, query names; numbers become one token).  FP-growth over the labelled
-urls, each with its label as one more item, gives the token combinations that
-imply the label; rules below MIN_SUPPORT or MIN_CONFIDENCE are pruned, and so
-is a rule when a more general one is at least as confident.  What is left is an
+ending, query names; numbers become one token).  FP-growth over the urls that
+have the label gives the frequent combinations of up to MAX_TOKENS tokens; their
+exact counts over all labelled urls give confidence and support.  Rules below
+MIN_SUPPORT, MIN_COUNT or MIN_CONFIDENCE are pruned, and so is a rule when a more
+general one (any part of its tokens) is at least as confident.  What is left is an
 inverted index: every rule is posted under its rarest token.  Distinct token
 sets (not urls) look up their tokens, keep the postings whose whole combination
 they contain, and take the most confident rule.
@@ -12,17 +13,21 @@ they contain, and take the most confident rule.
 Defined results: a null url, or one without ``://``, has an empty host and
 path and no tokens, so no rule fits and it is allowed; labels that are null are
 not learned from; without labelled rows nothing is mined and all verdicts but
-those of the fixed rules are allow; repeated rows get equal results; ties between
+those of the fixed rules are allow; a url may have any number of tokens: only those
+frequent among the urls with the label are combined, at most MAX_TOKENS at a time, from
+chunks of bounded size; repeated rows get equal results; ties between
 mined rules go to the one that is first by code point.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from souk.llm.common import UPPER, partitions
+from souk.llm.common import UPPER, partitions, small
 from souk.session import reliable_checkpoint
 
 # The rules of the contract as host/path and verdict.
@@ -36,7 +41,11 @@ RULES = (
 #: Share of the labelled urls that a mined rule covers at least, and of those the share with the label.
 MIN_SUPPORT = 0.002
 MIN_CONFIDENCE = 0.6
-BAD = "=block"
+#: Urls with the label that a mined rule rests on at least: two or three may agree by chance.
+MIN_COUNT = 5
+#: Tokens of a rule at most, and of a block of the chunks that FP-growth is given.
+MAX_TOKENS = 3
+BLOCK = 2
 
 
 def host(url: Column) -> Column:
@@ -81,28 +90,64 @@ def tokens(url: Column) -> Column:
     return F.when(h != "", F.array_sort(F.array_distinct(all_tokens))).otherwise(F.array().cast("array<string>"))
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """Rules (rule, tokens, rarest, confidence, support) from labelled (url, bad); all labelled rows are used."""
+def _chunks(sets: DataFrame) -> DataFrame:
+    """items: small sets that together hold every combination of up to MAX_TOKENS tokens of each of the given sets.
+
+    The tokens of a set are cut into blocks of BLOCK; every choice of MAX_TOKENS blocks is a chunk (all of a set that
+    has no more blocks than that).  FP-growth below a chunk cannot go beyond 2 ** (BLOCK * MAX_TOKENS) combinations.
+    """
+    d = sets.select("items", F.ceil(F.size("items") / BLOCK).cast("int").alias("n"))
+    narrow = d.where(F.col("n") <= MAX_TOKENS).select("items")
+    wide = d.where(F.col("n") > MAX_TOKENS).withColumns({"at": F.lit(-1), "chunk": F.array().cast("array<string>")})
+    for left in range(MAX_TOKENS - 1, -1, -1):  # left: blocks still to choose after this one
+        wide = wide.withColumn("at", F.explode(F.sequence(F.col("at") + 1, F.col("n") - 1 - left)))
+        wide = wide.withColumn("chunk", F.concat("chunk", F.slice("items", F.col("at") * BLOCK + 1, F.lit(BLOCK))))
+    return narrow.unionByName(wide.select(F.col("chunk").alias("items")))
+
+
+def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_count: int = MIN_COUNT) -> DataFrame:
+    """Rules (rule, tokens, rarest, confidence, support) of up to MAX_TOKENS tokens from labelled (url, bad); all labelled rows are used."""
     spark = labelled.sparkSession
-    rows = labelled.where(F.col("bad").isNotNull()).select(tokens(F.col("url")).alias("items"), "bad").where(F.size("items") > 0)
-    marked = F.when(F.col("bad"), F.array_append("items", BAD)).otherwise(F.col("items"))
-    baskets = reliable_checkpoint(rows.select(marked.alias("items")))
-    none = spark.createDataFrame([], "rule string, tokens array<string>, rarest string, confidence double, support double")
-    if baskets.isEmpty():
-        return none
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence, numPartitions=partitions(spark)).fit(baskets)
-    rules = model.associationRules.where((F.size("consequent") == 1) & (F.get("consequent", F.lit(0)) == BAD))
-    rules = reliable_checkpoint(rules.select(F.array_sort("antecedent").alias("tokens"), "confidence", "support"))
-    # a rule goes if dropping one of its tokens leaves a rule that is at least as confident
-    shorter = rules.select(F.col("tokens").alias("whole"), "confidence", F.explode("tokens").alias("t")).select("whole", "confidence", F.array_remove("whole", F.col("t")).alias("part"))
+    rows = labelled.where(F.col("bad").isNotNull()).select(tokens(F.col("url")).alias("items"), F.col("bad").cast("long").alias("bad")).where(F.size("items") > 0)
+    baskets = reliable_checkpoint(rows.groupBy("items").agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad")))
+    total = baskets.agg(F.sum("n")).first()[0] or 0  # one number
+    least = max(min_count, math.ceil(min_support * total))
+    single = baskets.select(F.explode("items").alias("t"), "n", "bad").groupBy("t").agg(F.sum("n").alias("freq"), F.sum("bad").alias("hits"))
+    single = reliable_checkpoint(single.where(F.col("hits") >= least))  # a combination is no more frequent than its tokens
+    # a token that always has the label is a rule, and no combination with it can be more confident
+    sure = single.where(F.col("hits") == F.col("freq")).select(F.array("t").alias("tokens"), "freq", "hits")
+    open_ = small(single.where(F.col("hits") < F.col("freq")).select("t"))
+    numbered = baskets.withColumn("k", F.xxhash64("items")).withColumn("k2", F.xxhash64(F.lit("set"), "items"))
+    kept = numbered.select("k", "k2", "n", "bad", F.explode("items").alias("t")).join(open_, "t")
+    kept = kept.groupBy("k", "k2").agg(F.first("n").alias("n"), F.first("bad").alias("bad"), F.array_sort(F.collect_list("t")).alias("items"))
+    kept = reliable_checkpoint(kept.groupBy("items").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")))
+    # FP-growth over the urls with the label; a combination within a few blocks is in several chunks, so the counts it
+    # gives are at least the true ones: what it finds is counted once more below
+    urls = kept.where(F.col("bad") > 0).withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), "bad"))).select("items")
+    chunks = reliable_checkpoint(_chunks(urls))
+    number = chunks.count()
+    found = spark.createDataFrame([], "tokens array<string>")
+    if number:
+        model = FPGrowth(itemsCol="items", minSupport=max(0.0, least - 0.5) / number, numPartitions=partitions(spark)).fit(chunks)
+        found = model.freqItemsets.where(F.size("items") <= MAX_TOKENS).select(F.array_sort("items").alias("tokens"))
+    found = reliable_checkpoint(_posted(found, single))
+    hit = kept.select("items", "n", "bad", F.explode("items").alias("rarest")).join(found, "rarest").where(F.forall("tokens", lambda t: F.array_contains("items", t)))
+    counted = hit.groupBy("tokens").agg(F.sum("n").alias("freq"), F.sum("bad").alias("hits")).unionByName(sure)
+    rules = counted.where(F.col("hits") >= least).select("tokens", (F.col("hits") / F.col("freq")).alias("confidence"), (F.col("hits") / F.lit(max(total, 1))).alias("support"))
+    rules = reliable_checkpoint(rules.where(F.col("confidence") >= min_confidence))
+    # a rule goes if some of its tokens alone make a rule that is at least as confident (that one is as frequent, too)
+    parts = F.expr("transform(sequence(1, shiftleft(1, size(tokens)) - 2), m -> filter(tokens, (x, i) -> shiftright(m, i) & 1 = 1))")
+    shorter = rules.where(F.size("tokens") > 1).select(F.col("tokens").alias("whole"), "confidence", F.explode(parts).alias("part"))
     general = rules.select(F.col("tokens").alias("part"), F.col("confidence").alias("c"))
     worse = shorter.join(general, "part").where(F.col("c") >= F.col("confidence")).select(F.col("whole").alias("tokens")).distinct()
-    kept = rules.join(worse, "tokens", "left_anti")
-    # the index: each rule under its rarest token
-    single = model.freqItemsets.where(F.size("items") == 1).select(F.get("items", F.lit(0)).alias("t"), "freq")
-    rare = kept.select("tokens", F.explode("tokens").alias("t")).join(single, "t").groupBy("tokens").agg(F.min(F.struct("freq", "t")).alias("x"))
-    out = kept.join(rare, "tokens").select(F.array_join("tokens", " ").alias("rule"), "tokens", F.col("x.t").alias("rarest"), "confidence", "support")
-    return reliable_checkpoint(out)
+    left = _posted(rules.join(worse, "tokens", "left_anti"), single)
+    return reliable_checkpoint(left.select(F.array_join("tokens", " ").alias("rule"), "tokens", "rarest", "confidence", "support"))
+
+
+def _posted(combinations: DataFrame, single: DataFrame) -> DataFrame:
+    """The inverted index: every combination under its rarest token (single: t and its freq)."""
+    rare = combinations.select("tokens", F.explode("tokens").alias("t")).join(single, "t").groupBy("tokens").agg(F.min(F.struct("freq", "t")).alias("x"))
+    return combinations.join(rare, "tokens").withColumn("rarest", F.col("x.t")).drop("x")
 
 
 def match(sets: DataFrame, rules: DataFrame) -> DataFrame:
