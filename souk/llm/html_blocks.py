@@ -53,9 +53,14 @@ HINT_OF = {word: kind for kind, words in HINTS.items() for word in words}
 ABOUT = frozenset("has have with without no not is category cat tag tagged topic format layout js".split())
 CONTENT_HINTS = frozenset("article content main post entry story body text articlebody".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
-_ATTRS = re.compile(r"(?:^|[\s\"'])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+# A quoted value begins after an equals sign only; elsewhere a quote is a character like any other.
+_TOKEN = re.compile(
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]+|=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>\"'][^\s>]*)?)*)(?:>|\Z)",
+    re.S,
+)
+_ATTRS = re.compile(r"([^\s/>=]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
+_NONE = re.compile(r"display\s*:\s*none", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "in_article", "page_has_article", "heading", "item", "set_apart")
 # What sets a block apart from the article, whatever else encloses it.
@@ -81,12 +86,18 @@ class _Box:
     content: bool  # named for content
 
 
+def _hides(name: str, value: str) -> bool:
+    return name == "hidden" or (name == "style" and bool(_NONE.search(value))) or (name == "aria-hidden" and value.strip().lower() == "true")
+
+
 def _box(name: str, attrs: str) -> _Box:
     out = {name} & {"article", "main", "nav", "header", "footer", "aside", "form", "li", "figure"} | ({"heading"} if name in HEADINGS else set())
     hints, whole, content = set(), False, False
     if attrs and name not in ("html", "body", "main"):  # their names speak of the whole page
         for m in _ATTRS.finditer(attrs):
-            named = [[w for w in _SPLIT.split(token) if w] for token in (m[1] or m[2] or m[3] or "").lower().split()]
+            if m[1].lower() not in ("class", "id", "role"):
+                continue
+            named = [[w for w in _SPLIT.split(token) if w] for token in (m[2] or m[3] or m[4] or "").lower().split()]
             named = [words for words in named if words and words[0] not in ABOUT]
             words = {w for token in named for w in token}
             if words & CONTENT_HINTS:
@@ -98,7 +109,7 @@ def _box(name: str, attrs: str) -> _Box:
             whole |= bool(named) and all(w in HINT_OF for w in named[0])
         if content and not whole:
             hints = set()
-        if _HIDDEN.search(attrs):
+        if any(_hides(m[1].lower(), m[2] or m[3] or m[4] or "") for m in _ATTRS.finditer(attrs)):
             out.add("hidden")
     return _Box(name, frozenset(out), frozenset(hints), whole, content)
 
@@ -124,9 +135,7 @@ def blocks(page: str | None) -> list[Block]:
         text.clear()
         linked.clear()
 
-    for m in _TOKEN.finditer(page):
-        if m.start() < at:
-            continue
+    while m := _TOKEN.search(page, at):  # from the end of what was read last: a script may hold what looks like markup
         if not dropped and m.start() > at:
             text.append(page[at : m.start()])
             if in_link:

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import random
+import re
+from collections import Counter
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -53,37 +57,79 @@ def test_url_parts_and_rules(spark):
     assert sorted(((r.page_id, r.host, r.path, r.rule, r.verdict) for r in got), key=repr) == sorted(want, key=repr)
 
 
-def test_mined_rules_by_brute_force(spark):
-    rnd = random.Random(4)
+def brute_rules(sets, min_support=url_rules.MIN_SUPPORT, min_confidence=url_rules.MIN_CONFIDENCE, min_count=url_rules.MIN_COUNT):
+    """tokens -> (confidence, support) from (token set, bad)."""
+    least = max(min_count, math.ceil(min_support * len(sets)))
+    hits = Counter(c for s, bad in sets if bad for k in (1, 2, 3) for c in itertools.combinations(sorted(s), k))
+    hits = {frozenset(c): n for c, n in hits.items() if n >= least}
+    rules = {c: (n / sum(c <= s for s, _ in sets), n / len(sets)) for c, n in hits.items()}
+    rules = {c: x for c, x in rules.items() if x[0] >= min_confidence}
+    return {c: x for c, x in rules.items() if not any(o < c and rules[o][0] >= x[0] for o in rules)}
+
+
+def token_sets(spark, urls):
+    rows = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "i long, url string").select("i", url_rules.tokens(url_rules.F.col("url")).alias("items"))
+    return [set(r["items"]) for r in sorted(rows.collect(), key=lambda r: r.i)]
+
+
+def casino(rnd, n):
     rows = []
-    for i in range(400):
+    for i in range(n):
         bad_host, promo = rnd.random() < 0.2, rnd.random() < 0.3
         url = f"http://{'casino' if bad_host else rnd.choice(['a', 'b', 'c'])}.site.org/{'promo' if promo else 'page'}/{i}"
         rows.append((url, (bad_host and promo) or rnd.random() < 0.05))
+    return rows
+
+
+def mined_rules(labelled, *args):
+    return {frozenset(r.tokens): (r.confidence, r.support) for r in url_rules.mine(labelled, *args).collect()}
+
+
+def test_mined_rules_by_brute_force(spark):
+    rows = casino(random.Random(4), 400)
     labelled = spark.createDataFrame([*rows, ("http://q.org/", None)], "url string, bad boolean")
-    rules = url_rules.mine(labelled, 0.02, 0.8).collect()
-    sets = [(set(r.items), bad) for r, (_, bad) in zip(spark.createDataFrame(rows, "url string, bad boolean").select(url_rules.tokens(url_rules.F.col("url")).alias("items")).collect(), rows)]
-    assert any(set(r.tokens) == {"h:casino", "p:promo"} for r in rules)
-    for r in rules:
-        hits = [bad for s, bad in sets if set(r.tokens) <= s]
-        assert math.isclose(sum(hits) / len(hits), r.confidence) and math.isclose(sum(hits) / len(sets), r.support) and r.confidence >= 0.8
-        assert not any(set(o.tokens) < set(r.tokens) and o.confidence >= r.confidence for o in rules)
+    sets = list(zip(token_sets(spark, [u for u, _ in rows]), [bad for _, bad in rows]))
+    got = mined_rules(labelled, 0.02, 0.8)
+    assert frozenset({"h:casino", "p:promo"}) in got and got == brute_rules(sets, 0.02, 0.8)
     pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(rows)], "page_id long, url string")
-    got = {r.page_id: r.verdict for r in url_rules.judge(pages, labelled).collect()}
-    mined = url_rules.mine(labelled).collect()
+    verdicts = {r.page_id: r.verdict for r in url_rules.judge(pages, labelled).collect()}
+    mined = brute_rules(sets)
     for i, (s, _) in enumerate(sets):
-        assert got[i] == ("block" if any(set(r.tokens) <= s for r in mined) else "allow")
+        assert verdicts[i] == ("block" if any(c <= s for c in mined) else "allow")
+
+
+@pytest.mark.parametrize("copies", [1, 6])
+def test_mining_of_urls_with_many_tokens(spark, copies):
+    """One labelled url of 200 tokens, or several that share some of 24 frequent ones beside cleaner urls."""
+    rnd = random.Random(copies)
+    rows = casino(rnd, 50)
+    rows += [(f"http://long.org/{'/'.join(f'w{j}' for j in range(200))}", True)]
+    if copies > 1:
+        words = [f"v{j}" for j in range(24)]
+        rows += [(f"http://wide.org/{'/'.join(w for w in words if rnd.random() < 0.9)}", i % 4 > 0) for i in range(3 * copies)]
+    labelled = spark.createDataFrame(rows, "url string, bad boolean")
+    sets = list(zip(token_sets(spark, [u for u, _ in rows]), [bad for _, bad in rows]))
+    assert max(len(s) for s, _ in sets) > 200
+    sets = [({t for t in s if sum(t in o for o, _ in sets) >= url_rules.MIN_COUNT}, bad) for s, bad in sets]
+    got = mined_rules(labelled)
+    assert got == brute_rules(sets) and bool(got) == (copies > 1)
 
 
 def test_url_query_covers_every_page(spark):
     got = queries.op1_url_filters(spark, SF).toPandas()
-    pages = table("pages")
+    pages, labels = table("pages"), table("labels")
     parts = {i: (*brute_parts(u), brute_rule(*brute_parts(u))) for i, u in pages[["page_id", "url"]].itertuples(index=False)}
     assert len(got) == len(pages)
+    bad = {}
+    for i, quality, toxic in labels[["doc_id", "quality", "toxic"]].itertuples(index=False):
+        bad[i] = bad.get(i, False) or toxic == 1 or quality == 0
+    sets = dict(zip(pages.page_id, token_sets(spark, pages.url)))
+    numbers = {i: re.search(r"/([0-9]{1,18})(?:\.[A-Za-z0-9]+)?/?$", parts[i][1]) for i in pages.page_id}
+    mined = brute_rules([(sets[i], bad[int(m[1])]) for i, m in numbers.items() if m and int(m[1]) in bad])
     for r in got.itertuples():
         h, p, (rule, verdict) = parts[r.page_id]
-        assert (r.host, r.path) == (h, p) and (r.rule == rule or rule is None) and r.verdict in (verdict, "allow", "block")
-        assert verdict is None or r.verdict == verdict
+        assert (r.host, r.path) == (h, p) and (r.rule == rule or rule is None)
+        assert r.verdict == (verdict or ("block" if any(c <= sets[r.page_id] for c in mined) else "allow"))
 
 
 # --- html -------------------------------------------------------------------
@@ -121,6 +167,69 @@ def test_main_text(tree, page, want):
     assert html_blocks.main_text(page, tree) == want
 
 
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        (f"<script>a<b; // it's</script><article><p>It's {LONG}</p></article>", f"It's {LONG}"),
+        (f"<style>a>b{{content:'<x'}} /* it's */</style><article><p>It's {LONG}</p></article>", f"It's {LONG}"),
+        (f"<article><p title=it's>It's {LONG}</p><p>{LONG}</p></article>", f"It's {LONG}\n{LONG}"),
+        (f"<article><p title='a > b' data-x=\"it's > this\">{LONG}</p><p a=b='c'>x</p></article>", f"{LONG}\nx"),
+        (f"<article><p title='see class=comments id=ad'>{LONG}</p><p data-class=advert>x</p></article>", f"{LONG}\nx"),
+        (f"<title>a <b it's</title><textarea>it's <p></textarea><article><p>{LONG}</article>", LONG),
+        (f"<!-- it's <p> --><article><!--><p>{LONG}</p><!-- a > b --!></article>", LONG),
+        (f"<body><article><p>{LONG}</p><p CLASS = 'advert'>no</p><p class=\n\"advert\">no</p><p hidden>no</p><p style='display: none'>no</p></article>", LONG),
+    ],
+)
+def test_markup_is_read_to_its_end(tree, page, want):
+    assert html_blocks.main_text(page, tree) == want
+
+
+class _Reader(HTMLParser):
+    """Start tags with their attributes, and text outside scripts and styles."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.text = []
+
+    def handle_data(self, data):
+        if self.lasttag not in ("script", "style") or self.closed:
+            self.text.append(data)
+
+    def handle_starttag(self, tag, attrs):
+        self.closed = False
+        self.text.append(" ")
+
+    def handle_endtag(self, tag):
+        self.closed = True
+        self.text.append(" ")
+
+
+def test_words_agree_with_another_parser():
+    """Random markup of text, attributes, scripts, styles and comments: the same words as the standard library's parser."""
+    rnd = random.Random(7)
+    inner = ["it's ", 'say "x" ', "a > b ", "word ", "one two ", "&amp; &eacute;t&#233; "]
+    values = ["x", "it's", '"a > b"', "'c > d'", "\"it's\"", "'say \"x\"'", "a=b", "x/y"]
+    for _ in range(300):
+        page = []
+        for _ in range(rnd.randrange(1, 12)):
+            attrs = "".join(f" {rnd.choice(['title', 'data-x', 'alt'])}={rnd.choice(values)}" for _ in range(rnd.randrange(3)))
+            said = "".join(rnd.choice(inner) for _ in range(rnd.randrange(3)))
+            kind = rnd.choice(["p", "div", "b", "script", "style", "comment", "text"])
+            if kind == "comment":
+                page.append(f"<!-- {said}<p> -->")
+            elif kind == "text":
+                page.append(said)
+            elif kind in ("script", "style"):
+                page.append(f"<{kind}{attrs}>if (a<b) {{ '{said}<x' }}</{kind}>")
+            else:
+                page.append(f"<{kind}{attrs}>{said}</{kind} >")
+        page = "".join(page)
+        reader = _Reader()
+        reader.feed(page)
+        reader.close()
+        assert " ".join(b.text for b in html_blocks.blocks(page)).split() == "".join(reader.text).split(), page
+
+
 @pytest.mark.parametrize(
     "page",
     [
