@@ -9,9 +9,9 @@ occurrence and carries its number of documents.  What comes back to a document
 is not text but a compressed keep bitmap: the runs of dropped line numbers.
 
 Defined results: a null or empty text is one empty line; empty keys (blank
-lines) are never dropped; rows equal in doc_id and text are one document, rows
-that share a doc_id but differ in text are different ones, a null doc_id is an
-id like any other; every input row has its row in the result; an empty table gives an empty result; other columns are carried along untouched
+lines) are never dropped; every row is a document of its own, also one that
+equals another (equal rows are told apart by their number alone and get equal
+results), a null doc_id is an id like any other; every input row has its row in the result; an empty table gives an empty result; other columns are carried along untouched
 by ``drop_lines`` whatever their names (names starting ``__ld_`` are reserved).
 """
 
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from souk.llm.common import WHITE, ascii_lower, partitions
+from souk.llm.common import WHITE, ascii_lower, partitions, small
 from souk.session import reliable_checkpoint
 
 SALTS = 32
@@ -44,15 +44,23 @@ def line_hashes(docs: DataFrame) -> DataFrame:
     )
 
 
-def shared_keys(hashes: DataFrame, min_docs: int) -> DataFrame:
-    """Keys found in at least min_docs documents, with their first occurrence.
+def repeated_rows(docs: DataFrame) -> DataFrame:
+    """__ld_rid, __ld_rth, __ld_n: of rows equal in doc_id and text, where there are several, their number."""
+    rows = docs.select(F.col("doc_id").alias("__ld_rid"), F.xxhash64("text").alias("__ld_rth"))
+    return rows.groupBy("__ld_rid", "__ld_rth").agg(F.count(F.lit(1)).alias("__ld_n")).where(F.col("__ld_n") > 1)
+
+
+def shared_keys(hashes: DataFrame, repeated: DataFrame, min_docs: int) -> DataFrame:
+    """Keys found in at least min_docs documents, with their first occurrence; repeated as in repeated_rows().
 
     The salted partial counts are what is range-partitioned: a key has at most
     SALTS rows there, so the window's groups are bounded.
     """
     rows = hashes.groupBy("h1", "h2", "__ld_id", "__ld_th").agg(F.min("__ld_pos").alias("pos"))
+    same = F.col("__ld_id").eqNullSafe(F.col("__ld_rid")) & (F.col("__ld_th") == F.col("__ld_rth"))
+    rows = rows.join(small(reliable_checkpoint(repeated)), same, "left")
     salted = rows.groupBy("h1", "h2", F.pmod(F.xxhash64("__ld_id"), F.lit(SALTS)).alias("salt")).agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("__ld_id", "__ld_th", "pos")).alias("first")
+        F.sum(F.coalesce("__ld_n", F.lit(1))).alias("n"), F.min(F.struct("__ld_id", "__ld_th", "pos")).alias("first")
     )
     ranged = salted.repartitionByRange(partitions(hashes.sparkSession), "h1", "h2").sortWithinPartitions("h1", "h2", "first")
     key = Window.partitionBy("h1", "h2").orderBy("first")
@@ -70,7 +78,7 @@ def drop_bitmaps(docs: DataFrame, min_docs: int = 10, keep_first: bool = False)
     keep_first leaves the first occurrence of a key (smallest doc_id, then position) in place.
     """
     hashes = line_hashes(docs)
-    keys = reliable_checkpoint(shared_keys(hashes, min_docs))
+    keys = reliable_checkpoint(shared_keys(hashes, repeated_rows(docs), min_docs))
     hit = hashes.join(keys, ["h1", "h2"])
     if keep_first:
         at = F.struct(F.col("__ld_id"), F.col("__ld_th"), F.col("__ld_pos").alias("pos"))
