@@ -22,6 +22,10 @@ with a neighbour.  Shards of a dealt anchor are merged: each hands on the hashes
 of its distinct LENGTH-byte strings, which are range-partitioned, and binary search
 finds those that are in more than one shard.
 
+Equal rows: of a row that the table holds more than once every string repeats, so
+its whole text goes by a count of rows; in the search it is one place, however
+many copies there are (each batch of rows sends one of them).
+
 Hot anchors: occurrences of an anchor with more than HOT of them are dealt by a
 hash of the document; a context that is alone in its share is treated as an
 edge, which is compared exactly later, so dealing cannot lose or add a match.
@@ -135,9 +139,22 @@ def _key():
     return F.xxhash64("doc_id", "text")
 
 
+def _once(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The first row of each key: rows equal in id and text are searched once (about: once per batch), see copies()."""
+    _, first = np.unique(batch["key"].to_numpy(zero_copy_only=False), return_index=True)
+    return batch if len(first) == len(batch) else batch.take(pa.array(np.sort(first)))
+
+
+def copies(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """key, first, last: the whole text of documents of which there are several equal rows, if it has `length` bytes."""
+    rows = docs.select(_key().alias("key"), F.xxhash64(F.lit("row"), "doc_id", "text").alias("key2"), F.octet_length("text").cast("long").alias("last"))
+    several = rows.where(F.col("last") >= length).groupBy("key", "key2", "last").count().where(F.col("count") > 1)
+    return several.select("key", F.lit(0).cast("long").alias("first"), "last")
+
+
 def _occurrences(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in map(_once, batches):
             raw, keys = batch["raw"], batch["key"].to_numpy(zero_copy_only=False)
             sizes = pc.fill_null(pc.binary_length(raw), 0).to_numpy(zero_copy_only=False).astype(np.int64)
             bin_of = np.cumsum(sizes) // BUFFER
@@ -158,7 +175,7 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by anchor, share, context: full repeats (kind 0), edge contexts (1) and representatives of repeats beside edges (2)."""
 
     def decide(cols: list[np.ndarray]) -> pa.RecordBatch:
-        anchor, share, context, hot, key, lo, more = cols
+        anchor, share, context, hot, key, lo, more = once(cols)
         new = np.r_[True, (anchor[1:] != anchor[:-1]) | (share[1:] != share[:-1])]
         first = new | np.r_[True, context[1:] != context[:-1]]
         run = np.cumsum(first) - 1
@@ -173,6 +190,17 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         named = np.where(kind > 0, anchor[at], 0)
         return pa.RecordBatch.from_arrays([pa.array(kind), pa.array(named), *(pa.array(c[at]) for c in (key, lo, more))], ["kind", "anchor", "key", "lo", "more"])
 
+    def once(cols: list[np.ndarray]) -> list[np.ndarray]:
+        """Rows sorted to the end, each place once: equal rows of the table are one place."""
+        anchor, share, context, _, key, lo, _ = cols
+        order = np.lexsort((lo, key, context, share, anchor))
+        cols = [c[order] for c in cols]
+        new = np.zeros(len(order), bool)
+        new[:1] = True
+        for c in (cols[0], cols[1], cols[2], cols[4], cols[5]):
+            new[1:] |= c[1:] != c[:-1]
+        return [c[new] for c in cols]
+
     names, held = ("anchor", "share", "context", "hot", "key", "lo", "more"), None
     for batch in batches:
         cols = [batch[c].to_numpy(zero_copy_only=False) for c in names]
@@ -369,10 +397,10 @@ def _common(cols: list[np.ndarray]) -> pa.RecordBatch:
 # --- texts -----------------------------------------------------------------
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts compressed for their way through a shuffle."""
+def _pack(batches: Iterator[pa.RecordBatch], every: bool = True) -> Iterator[pa.RecordBatch]:
+    """Texts compressed for their way through a shuffle: of every row, or of rows with one key only one in a batch."""
     z = zstandard.ZstdCompressor(level=1)
-    for b in batches:
+    for b in batches if every else map(_once, batches):
         for lo in range(0, len(b), 500):
             part = b.slice(lo, 500)
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array([z.compress(x.as_py() or b"") for x in part["raw"]], pa.binary())], [*part.schema.names[:-1], "packed"])
@@ -444,13 +472,13 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
         ).alias("w"),
     )
     wanted = wanted.groupBy("key").agg(F.collect_list("w").alias("wanted"))
-    packed = texts.mapInArrow(_pack, "key long, packed binary")
+    packed = texts.mapInArrow(lambda batches: _pack(batches, every=False), "key long, packed binary")
     parts = packed.join(wanted, "key").mapInArrow(_cut, "bucket long, cell long, dealt int, key long, lo long, part binary")
     parts = parts.repartition(max(partitions(spark), buckets // 4), "bucket", "cell").sortWithinPartitions("bucket", "cell", "dealt")
     found = stored(parts.mapInArrow(_search(length), _OUT))
     strings = found.where(F.col("h").isNotNull()).repartitionByRange(partitions(spark), "h").sortWithinPartitions("h")
     merged = strings.mapInArrow(_merge, "key long, first long, last long")
-    return full.unionByName(found.where(F.col("h").isNull()).select("key", "first", "last")).unionByName(merged)
+    return full.unionByName(found.where(F.col("h").isNull()).select("key", "first", "last")).unionByName(merged).unionByName(copies(docs, length))
 
 
 def report(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
