@@ -193,8 +193,15 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The documents whose language can be told (not ``und``), by a model fitted on the same table; same columns."""
+    """The documents whose language can be told, by a model fitted on the same table; same columns.
+
+    A document goes if it has no letter (``und``), or if the filters know none of its trigrams beyond what their false
+    positives explain (score 0).  Where nothing could be learned the filters reject nothing: texts with a letter stay.
+    """
+    model = fit(docs)
+    if not model.langs:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     named = [f"__li_{c}" for c in docs.columns]  # so that no column clashes with the result's
     text = named[docs.columns.index("text")]
-    p = predict(docs.toDF(*named), fit(docs), text).where(F.col("lang_pred") != "und")
+    p = predict(docs.toDF(*named), model, text).where((F.col("lang_pred") != "und") & (F.col("score") > 0))
     return p.select(*(F.col(n).alias(c) for n, c in zip(named, docs.columns)))

@@ -23,7 +23,7 @@ def brute_lines(rows, min_docs):
     def key(line):
         return re.sub("[A-Z]", lambda m: m[0].lower(), line.strip(" \t\n\x0b\x0c\r"))
 
-    seen = Counter(k for i, t in {(i, t) for i, t in rows} for k in {key(x) for x in (t or "").split("\n")})
+    seen = Counter(k for _, t in rows for k in {key(x) for x in (t or "").split("\n")})
     out = []
     for i, t in rows:
         lines = (t or "").split("\n")
@@ -50,6 +50,15 @@ def test_line_dedup_awkward(spark, min_docs):
     assert texts.columns == d.columns and texts.count() == len(AWKWARD)
 
 
+def test_line_dedup_counts_equal_rows(spark):
+    rows = [(1, "shared\nown")] * 12 + [(None, "Shared \nx")] * 2 + [(2, "rare\nrare")] * 9 + [(3, "rare"), (4, "few"), (4, "few")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = line_dedup.dedup_report(d).toPandas()
+    ids = [None if x != x else int(x) for x in got.doc_id.astype(float)]
+    assert sorted(zip(ids, got.n_lines, got.n_dropped, got.kept_sha256), key=repr) == sorted(brute_lines(rows, 10), key=repr)
+    assert repr(sorted_rows(got)) == repr(sorted_rows(oracle(line_dedup.ORACLE, documents=d.toPandas())[got.columns]))  # a null id is a NaN here
+
+
 def test_line_dedup_keeps_first(spark):
     d = docs(spark, [(2, "b\na\nb", None, None), (1, "a\nc", None, None), (3, "A\nc", None, None)])
     got = {r.doc_id: r.text for r in line_dedup.drop_lines(d, 2, keep_first=True).collect()}
@@ -68,13 +77,26 @@ def test_language_held_out_accuracy(spark):
     assert r.score.between(0, 1).all()
 
 
+def test_stage_keeps_what_the_filters_know(spark):
+    """The reference text of each language stays; unknown scripts and texts without a letter go; nothing learned: letters stay."""
+    english = [(i, f"the {w} of the house and the garden", "en", "a") for i, w in enumerate(["walls", "roof", "trees", "doors"] * 5)]
+    odd = [(100, "\u0395\u03bb\u03bb\u03ac\u03b4\u03b1", None, None), (101, "12 34 !", None, None), (102, None, "en", None), (103, "the house", None, None), (103, "the house", None, None)]
+    kept = langid.keep_identified(docs(spark, english + odd))
+    assert sorted(r.doc_id for r in kept.collect()) == [*range(20), 103, 103] and kept.columns == docs(spark, odd).columns
+    unlabelled = docs(spark, [(i, t, None, s) for i, t, _, s in english[:2] + odd])
+    assert sorted(r.doc_id for r in langid.keep_identified(unlabelled).collect()) == [0, 1, 100, 103, 103]
+
+
 def test_language_awkward(spark):
     r = {(x.doc_id, x.lang_pred) for x in langid.identify(docs(spark, AWKWARD)).collect()}
     und = {i for i, p in r if p == "und"}
     assert {2, 3, 4, 5} <= und and not und & {1, 6, 7, 8, 9}
     assert langid.identify(empty_docs(spark)).count() == 0
     kept = langid.keep_identified(docs(spark, AWKWARD))
-    assert kept.columns == docs(spark, AWKWARD).columns and kept.count() == len(AWKWARD) - 4
+    # without a letter: 2, 3, 4, 5; held out, and no filter knows any of its trigrams: 6
+    unknown = {x.doc_id for x in langid.identify(docs(spark, AWKWARD)).collect() if x.lang_pred != "und" and x.score == 0}
+    assert kept.columns == docs(spark, AWKWARD).columns and unknown == {6}
+    assert sorted(repr(x.doc_id) for x in kept.collect()) == sorted(repr(r[0]) for r in AWKWARD if r[0] not in {2, 3, 4, 5, 6})
 
 
 def test_language_filter_counts_and_correction():
@@ -341,6 +363,16 @@ def test_suffix_dedup_awkward(spark):
     assert suffix_dedup.report(empty_docs(spark)).count() == 0
 
 
+def test_suffix_dedup_many_equal_rows(spark):
+    """Equal rows are one place in the search; what others share with them goes, and their own text as a whole."""
+    rnd = random.Random(8)
+    word = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    text, short = word(700), word(90)
+    rows = [(1, text)] * 1500 + [(None, text[:300] + word(60))] * 2 + [(2, word(50) + text[200:450] + word(30)), (3, word(400)), (4, short), (4, short)]
+    got = suffix_dedup.report(spark.createDataFrame(rows, "doc_id long, text string").repartition(6))
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute_spans(rows, 200)
+
+
 def test_suffix_array_and_prefixes_by_brute_force():
     rnd = random.Random(5)
     texts = ["".join(rnd.choice("ab") for _ in range(rnd.randint(1, 60))).encode() for _ in range(30)] + [b"\0\0\0\0", b"\0\0"]
