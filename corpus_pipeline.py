@@ -18,7 +18,7 @@ from souk.session import ensure_checkpoint_dir
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language cannot be told (no letter) go."""
+    """Documents whose language cannot be told (no letter, or no trigram of a language that was learned) go."""
     return langid.keep_identified(docs)
 
 
