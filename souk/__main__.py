@@ -42,9 +42,10 @@ def main(argv: list[str] | None = None) -> int:
     try:
         if args.cmd == "load":
             return pipeline.run_pipeline(spark, args.raw_dir, args.warehouse_dir, strict=not args.lenient)
-        wh = warehouse.read_tables(spark, args.warehouse_dir)
+        version = next(iter(warehouse.versions(spark, args.warehouse_dir)), None)
+        wh = warehouse.read_tables(spark, args.warehouse_dir, version)
         if args.cmd == "export":
-            pipeline.export_marts(wh, args.marts_dir, args.mart)
+            pipeline.export_marts(wh, args.marts_dir, args.mart, version=version)
         elif args.cmd == "stats":
             from souk.plans import stats
 

@@ -115,20 +115,36 @@ def ntile_bucket(rn: Column, n: Column, k: int) -> Column:
     return F.when(rn <= big, first).otherwise(rest).cast("long")
 
 
-def average_ranks(df: DataFrame, value_col: str) -> DataFrame:
+def average_ranks(df: DataFrame, value_col: str, closed: bool = False, num_partitions: int | None = None) -> DataFrame:
     """Average rank (1-based, ties get the mean of their ranks) per distinct value.
 
     Returns (value_col, n, rank_before, avg_rank) where rank_before is the
     number of rows with a smaller value.  Works on the value histogram: one
-    aggregation of the rows, then a window over one row per distinct value (the
-    ranked values are scores and instalment counts, a few dozen values).
+    aggregation of the rows, then prefix sums (``histogram_ranks``).
     """
     hist = df.where(F.col(value_col).isNotNull()).groupBy(value_col).agg(F.count(F.lit(1)).alias("n"))
-    return histogram_ranks(hist, value_col)
+    return histogram_ranks(hist, value_col, closed, num_partitions)
 
 
-def histogram_ranks(hist: DataFrame, value_col: str) -> DataFrame:
-    """average_ranks from (value_col, n, ...): adds rank_before and avg_rank."""
-    before = F.sum("n").over(Window.orderBy(value_col).rowsBetween(Window.unboundedPreceding, -1))
-    ranked = hist.withColumn("rank_before", F.coalesce(before, F.lit(0)).cast("long"))
+def histogram_ranks(hist: DataFrame, value_col: str, closed: bool = False, num_partitions: int | None = None) -> DataFrame:
+    """average_ranks from (value_col, n, ...): adds rank_before and avg_rank.
+
+    The histogram of a wide column (any number of distinct values) is
+    range-partitioned by value; every range sums up its own rows, and the sums
+    of the ranges before it (one row per range) are added.  For a column whose
+    values are a closed domain (``closed``: review scores, instalment counts) a
+    single window over the few dozen values does without the materialisation.
+    """
+    before = Window.orderBy(value_col).rowsBetween(Window.unboundedPreceding, -1)
+    if closed:
+        ranked = hist.withColumn("rank_before", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long"))
+    else:
+        num_partitions = num_partitions or shuffle_partitions(hist.sparkSession)
+        pos = _numbered(hist, [value_col], num_partitions)
+        ranges = pos.groupBy("_pid").agg(F.sum("n").alias("_in"))  # at most num_partitions rows
+        earlier = F.sum("_in").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
+        ranges = ranges.select("_pid", F.coalesce(earlier, F.lit(0)).alias("_off"))
+        inside = F.sum("n").over(Window.partitionBy("_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1))
+        ranked = pos.withColumn("_run", F.coalesce(inside, F.lit(0))).join(F.broadcast(ranges), "_pid")
+        ranked = ranked.withColumn("rank_before", (F.col("_off") + F.col("_run")).cast("long")).drop("_pid", "_pos", "_run", "_off")
     return ranked.withColumn("avg_rank", F.col("rank_before") + (F.col("n") + 1) / F.lit(2.0))

@@ -133,33 +133,65 @@ def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str, strict: bool =
     return 0
 
 
+#: The folder of an export that notes finished marts: a file per mart with warehouse version, rows and columns.
+#: Its name starts with a full stop, which Spark's readers take for no data.
+JOURNAL = ".journal"
+
+
+def _note(out_dir: str, name: str) -> str:
+    return f"{out_dir}/{JOURNAL}/{name.strip('_')}.txt"
+
+
+def _noted(spark: SparkSession, out_dir: str, name: str, version: str | None) -> tuple[str, int, int] | None:
+    """(name, rows, columns) of a mart that was written whole from this version of the warehouse."""
+    if version is None:
+        return None
+    lines = warehouse.read_lines(spark, _note(out_dir, name), 3)
+    return (name, int(lines[1]), int(lines[2])) if len(lines) == 3 and lines[0] == version else None
+
+
+def _write_noted(spark: SparkSession, df: DataFrame, out_dir: str, name: str, version: str | None) -> tuple[str, int, int]:
+    """Write a mart; its note goes before the old data does, and comes back once the new is whole."""
+    note = _note(out_dir, name)
+    warehouse.remove(spark, note)
+    written = write_counted(df, f"{out_dir}/{name}", name)
+    if version is not None:
+        warehouse.write_text(spark, note, "".join(f"{x}\n" for x in (version, *written[1:])))
+    return written
+
+
 def export_marts(
-    wh, out_dir: str, names: Iterable[str] | None = None, parallelism: int = 8
+    wh, out_dir: str, names: Iterable[str] | None = None, parallelism: int = 8, version: str | None = None
 ) -> list[tuple[str, int, int]]:
     """Write each named mart to ``out_dir/<name>`` and report (name, rows, columns).
 
     The per-order facts that most marts read, and the RFM scoring shared by the
-    two RFM marts, are computed once per export.
+    two RFM marts, are computed once per export.  With the ``version`` of the
+    warehouse given, every finished mart is noted, and an export that starts
+    again after a fault writes only the marts not yet noted for that version.
     """
     spark = next(iter(wh.values())).sparkSession
     names = list(names or [n for suite in sorted(SUITES) for n in SUITES[suite]])
     unknown = [n for n in names if n not in MARTS]
     if unknown:
         raise KeyError(f"unknown marts: {unknown}")
+    done = {n: noted for n in names if (noted := _noted(spark, out_dir, n, version))}
+    todo = [n for n in names if n not in done]
     wh = dict(wh)
-    if FACTS not in wh and len(names) > 1:
+    if FACTS not in wh and len(todo) > 1:
         # one row per delivered order, aggregated once for all marts
-        order_facts(wh).write.mode("overwrite").parquet(f"{out_dir}/_{FACTS}")
+        if not _noted(spark, out_dir, f"_{FACTS}", version):
+            _write_noted(spark, order_facts(wh), out_dir, f"_{FACTS}", version)
         wh[FACTS] = spark.read.parquet(f"{out_dir}/_{FACTS}")
-    if {"rfm_customers", "rfm_segment_summary"} <= set(names):
+    if {"rfm_customers", "rfm_segment_summary"} <= set(todo):
         wh[rfm.SCORED_KEY] = rfm.scored_customers(wh)
-    results = run_concurrently(
-        [lambda n=n: write_counted(MARTS[n][1](wh), f"{out_dir}/{n}", n) for n in names], parallelism
-    )
+    written = run_concurrently([lambda n=n: _write_noted(spark, MARTS[n][1](wh), out_dir, n, version) for n in todo], parallelism)
+    done |= {x[0]: x for x in written}
+    results = [done[n] for n in names]
     for name, rows, cols in results:
-        log.info("mart %-40s %8d rows, %2d cols", name, rows, cols)
-        written = preview(spark.read.parquet(f"{out_dir}/{name}"))
-        log.info("first rows:\n%s", written.to_string(index=False))
+        log.info("mart %-40s %8d rows, %2d cols%s", name, rows, cols, "" if name in todo else " (as noted)")
+        first = preview(spark.read.parquet(f"{out_dir}/{name}"))
+        log.info("first rows:\n%s", first.to_string(index=False))
     return results
 
 

@@ -70,26 +70,26 @@ def score_histogram(wh: Warehouse) -> DataFrame:
 
 def review_score_ranks(wh: Warehouse) -> DataFrame:
     """Average rank of each review score within sample 1."""
-    return average_ranks(late_review_sample(wh), "review_score").orderBy("review_score")
+    return average_ranks(late_review_sample(wh), "review_score", closed=True).orderBy("review_score")
 
 
 def _mann_whitney_row(wh: Warehouse) -> DataFrame:
     """(n_late, n_on_time, u_statistic, tie_term, z) of the review scores: U of the late group, two-sided z."""
-    return mann_whitney_of(late_review_sample(wh), "review_score")
+    return mann_whitney_of(late_review_sample(wh), "review_score", closed=True)
 
 
-def mann_whitney_of(sample: DataFrame, value: str) -> DataFrame:
+def mann_whitney_of(sample: DataFrame, value: str, closed: bool = False) -> DataFrame:
     """(n_late, n_on_time, u_statistic, tie_term, z) of a column of a sample with delivery_group.
 
     One pass over the sample makes the histogram of values with the late rows
-    of each; everything else happens on that.
+    of each; everything else happens on that (closed: see ``histogram_ranks``).
     """
     hist = (
         sample.where(F.col(value).isNotNull())
         .groupBy(value)
         .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("delivery_group") == LATE).alias("n_late_v"))
     )
-    a = histogram_ranks(hist, value).agg(
+    a = histogram_ranks(hist, value, closed).agg(
         F.sum("n_late_v").cast("double").alias("n1"),
         (F.sum("n") - F.sum("n_late_v")).cast("double").alias("n2"),
         F.sum(F.col("n_late_v") * F.col("avg_rank")).alias("r1"),
@@ -204,7 +204,7 @@ def _spearman_row(wh: Warehouse) -> DataFrame:
     joint = installment_review_sample(wh).groupBy("installments", "review_score").agg(F.count(F.lit(1)).alias("c"))
 
     def ranks(c: str, name: str) -> DataFrame:
-        return histogram_ranks(joint.groupBy(c).agg(F.sum("c").alias("n")), c).select(c, F.col("avg_rank").alias(name))
+        return histogram_ranks(joint.groupBy(c).agg(F.sum("c").alias("n")), c, closed=True).select(c, F.col("avg_rank").alias(name))
 
     cells = joint.join(ranks("installments", "rx"), "installments").join(ranks("review_score", "ry"), "review_score")
     sums = cells.agg(

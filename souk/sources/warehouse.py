@@ -68,12 +68,30 @@ def _file_system(spark: SparkSession, root: str):
     return path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
+def write_text(spark: SparkSession, file: str, text: str) -> None:
+    """Write a small file, replacing an older one."""
+    fs, path = _file_system(spark, file)
+    out = fs.create(path(file), True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_lines(spark: SparkSession, file: str, most: int) -> list[str]:
+    """The first lines of a small file; none if there is no such file."""
+    fs, path = _file_system(spark, file)
+    return [r["value"] for r in spark.read.text(file).limit(most).collect()] if fs.exists(path(file)) else []
+
+
+def remove(spark: SparkSession, file: str) -> None:
+    fs, path = _file_system(spark, file)
+    fs.delete(path(file), False)
+
+
 def versions(spark: SparkSession, root: str) -> list[str]:
     """The current version of a warehouse folder and the one before it; empty without a manifest."""
-    fs, path = _file_system(spark, root)
-    if not fs.exists(path(f"{root}/{MANIFEST}")):
-        return []
-    return [r["value"] for r in spark.read.text(f"{root}/{MANIFEST}").limit(2).collect()]
+    return read_lines(spark, f"{root}/{MANIFEST}", 2)
 
 
 def new_version() -> str:
@@ -90,11 +108,7 @@ def publish(spark: SparkSession, root: str, version: str) -> None:
     fs, path = _file_system(spark, root)
     old = versions(spark, root)
     written = path(f"{root}/{version}.manifest")
-    out = fs.create(written, True)
-    try:
-        out.write(bytearray("".join(f"{v}\n" for v in [version, *old[:1]]).encode()))
-    finally:
-        out.close()
+    write_text(spark, f"{root}/{version}.manifest", "".join(f"{v}\n" for v in [version, *old[:1]]))
     over = gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
     over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())

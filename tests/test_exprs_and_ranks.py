@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from souk.functions.exprs import day_diff, floor_days, money, money_avg, money_value, month_diff, r2, strip, year_month
-from souk.operators.ranks import average_ranks, ntile_many
+from souk.operators.ranks import _numbered, average_ranks, ntile_many
 
 
 def test_floor_days_sub_day_deltas(spark):
@@ -98,6 +98,24 @@ def test_average_ranks_match_pandas(spark):
     assert got == want
 
 
+def test_wide_column_is_ranked_in_many_tasks(spark):
+    """A million distinct values, a third of all rows at one of them: prefix sums over ranges, no window over all values."""
+    n = 1_000_000
+    df = spark.range(n).select((F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / 7.0).alias("v"))
+    df = df.unionByName(spark.range(n // 2).select(F.lit(12.5).alias("v"))).unionByName(spark.createDataFrame([(None,)], "v double"))
+    hist = df.where("v IS NOT NULL").groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    sizes = [r["count"] for r in _numbered(hist, ["v"], 8).groupBy("_pid").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * n / 8
+    got = average_ranks(df, "v", num_partitions=8).toPandas().sort_values("v", ignore_index=True)
+    s = df.toPandas().v.dropna()
+    want = s.rank(method="average").groupby(s).first()
+    assert got.v.tolist() == want.index.tolist() and got.avg_rank.tolist() == want.tolist()
+    assert got.n.sum() == len(s) and got.rank_before.tolist() == [0, *got.n.cumsum()[:-1]]
+    few = spark.createDataFrame([(float(x % 7),) for x in range(50)], "v double")
+    assert sorted(average_ranks(few, "v").collect()) == sorted(average_ranks(few, "v", closed=True).collect())
+    assert average_ranks(few.limit(0), "v").count() == 0
+
+
 @settings(max_examples=5, deadline=None)
 @given(
     st.lists(

@@ -128,6 +128,42 @@ def test_load_and_export_roundtrip(spark):
     assert "orders" in pipeline.register_views(wh)
 
 
+def test_export_goes_on_after_a_fault(spark, monkeypatch):
+    """Only marts that are not noted as finished for the warehouse's version are written again."""
+    from tests.helpers import same_rows
+
+    out = tempfile.mkdtemp(prefix="souk-restart-")
+    wh = pipeline.load_warehouse(raw_fixture(spark), f"{out}/warehouse", strict=False)
+    version = warehouse.versions(spark, f"{out}/warehouse")[0]
+    names = ["monthly_revenue_trend", "cohort_sizes", "summary_kpis", "rfm_customers"]
+    write, calls, broken = pipeline.write_counted, [], {"summary_kpis"}
+
+    def faulty(df, path, name):
+        calls.append(name)
+        if name in broken:
+            df.limit(1).write.mode("overwrite").parquet(path)  # half written
+            raise OSError("lost")
+        return write(df, path, name)
+
+    monkeypatch.setattr(pipeline, "write_counted", faulty)
+    with pytest.raises(OSError):
+        pipeline.export_marts(wh, f"{out}/marts", names, parallelism=1, version=version)
+    assert calls == ["_order_facts", *names[:3]]
+    calls.clear(), broken.clear()
+    got = pipeline.export_marts(wh, f"{out}/marts", names, parallelism=1, version=version)
+    assert calls == names[2:] and [n for n, _, _ in got] == names and got == pipeline.export_marts(wh, f"{out}/marts", names, version=version)
+    for name, rows, cols in got:
+        mart, want = pipeline.load_mart(spark, f"{out}/marts", name).toPandas(), pipeline.MARTS[name][1](wh).toPandas()
+        assert same_rows(mart, want) and (len(mart), len(mart.columns)) == (rows, cols)
+    # another version of the warehouse, or none named: everything anew
+    calls.clear()
+    pipeline.export_marts(wh, f"{out}/marts", names[:1], version="version-x")
+    pipeline.export_marts(wh, f"{out}/marts", names[:2], parallelism=1, version=version)
+    pipeline.export_marts(wh, f"{out}/marts", names[1:2])
+    pipeline.export_marts(wh, f"{out}/marts", names[1:2], version=version)
+    assert calls == [names[0], names[0], names[1], names[1]]
+
+
 def test_bucketed_warehouse_joins_without_order_shuffle(spark):
     import contextlib
     import io
