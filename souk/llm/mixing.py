@@ -5,12 +5,20 @@ share all words; a target stops at MAX_REPEAT times its source's words and the
 excess is shared again by weight until none is above.
 
 Blocks: a document belongs to one of BLOCKS blocks of its source by the first
-digits of md5(seed, doc_id), so blocks in digit order are a random permutation
-of the source.  A source takes whole passes over its blocks, then blocks of one
-more pass in order, documents of the last, cut block in md5 order below the
-target, and up to FILLS further documents that fit the gap left best.  The cut is found in two levels of BLOCKS blocks and then among the
+digits of md5(seed, doc_id, text), so blocks in digit order are a random permutation
+of the source.  A source takes whole passes over its blocks, then goes through one
+more pass in md5 order and takes every document that still fits below the target,
+so in the end no open document fits; the smallest open one comes on top if that
+ends nearer.  The pass is made in rounds: a round takes what fits up to the first
+document that goes beyond the target, sets that and all longer than what is left
+aside, and the next goes on behind it.  What is left shrinks below a document met at
+random, so rounds grow with the logarithm of a source's documents; they end when
+nothing fits.  A round finds its cut in two levels of BLOCKS blocks and then among the
 documents of one block of the second level, so no task orders a whole source.
 
+Rows equal in doc_id, text and source are one entry with their number; the target
+may cut between them.
+
 Splitting tree: the units (pass, block) a source takes are its exact quota.
 The root holds all quotas; each node splits its units evenly between two
 children by a multivariate-hypergeometric draw (one hypergeometric draw per
@@ -25,9 +33,10 @@ meet it in joins on (source, unit).  Tables of one row per source are broadcast
 while a count shows them small, so no source is gathered in one task.
 
 Defined results: a null text has no words; a document without words has no
-effect on targets and is taken with its block; a null source is a source of its
-own, a null doc_id an id like any other, and rows equal in doc_id and text are
-drawn alike; no words at all give targets of zero; an empty table gives an
+effect on targets and fits every pass that is cut; a null source is a source of its
+own, a null doc_id an id like any other; of rows equal in doc_id, text and source
+that are drawn in part, mixed_documents repeats the one that is first by a hash of
+all its columns; no words at all give targets of zero; an empty table gives an
 empty result.
 """
 
@@ -42,19 +51,19 @@ from souk.session import reliable_checkpoint
 MAX_REPEAT = 3
 DIGITS = 3  # hex digits of a block
 BLOCKS = 16**DIGITS
-FILLS = 3  # documents that may fill the gap left below a target
 SHARD_WORDS = 2_000_000  # words of an output shard, about; their number grows with the corpus
 MIN_SHARDS = 16
 
 
-def _digest(seed: int, doc_id: Column) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null"))).cast("binary"))
+def _digest(seed: int) -> Column:
+    said = F.when(F.col("text").isNull(), "n").otherwise(F.concat(F.lit("t"), "text"))
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), said).cast("binary"))
 
 
 def sizes(docs: DataFrame, seed: int) -> DataFrame:
-    """doc_id, th (text hash), source, size (words) and m (the permutation's digest) of every document."""
+    """doc_id, source, size (words), m (the permutation's digest) and n of every n documents equal in them."""
     words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    return docs.select("doc_id", F.xxhash64("text").alias("th"), "source", words.alias("size"), _digest(seed, F.col("doc_id")).alias("m"))
+    return docs.select("doc_id", "source", words.alias("size"), _digest(seed).alias("m")).groupBy("doc_id", "source", "size", "m").agg(F.count(F.lit(1)).alias("n"))
 
 
 def targets(sized: DataFrame) -> DataFrame:
@@ -62,7 +71,7 @@ def targets(sized: DataFrame) -> DataFrame:
 
     The windows run over one row per source.
     """
-    s = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    s = sized.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     s = s.withColumn("weight", (F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % 3 + 1)
     s = s.withColumn("cap", F.col("source_size") * MAX_REPEAT)
     # sources fill up in the order of cap / weight: below the water level all others share
@@ -79,46 +88,56 @@ def targets(sized: DataFrame) -> DataFrame:
     return s.select("source", "source_size", "target", "passes", rest.alias("rest"), F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())).alias("k"))
 
 
-def _cut(rows: DataFrame, start: Column, block: Column, rest: str, name: str) -> DataFrame:
-    """Per source, the block in which the running sum of size passes rest, and the sum before it."""
-    by = rows.groupBy("k", F.col(rest).alias("rest"), start.alias("start"), block.alias("b")).agg(F.sum("size").alias("size"))
-    w = Window.partitionBy("k").orderBy("b")
-    run = by.withColumn("upto", F.col("start") + F.sum("size").over(w))
-    run = run.withColumn("prev", F.col("upto") - F.col("size")).where((F.col("upto") > F.col("rest")) & (F.col("prev") <= F.col("rest")))
-    return run.groupBy("k").agg(F.min(F.struct("b", "prev")).alias("x")).select("k", F.col("x.b").alias(name), F.col("x.prev").alias(f"{name}_start"))
+def _block(level: int) -> Column:
+    return F.substring("m", level * DIGITS + 1, DIGITS)
+
+
+def _cut(rows: DataFrame, start: Column, block: Column, name: str) -> DataFrame:
+    """Per source, the block in which the running sum of words passes gap, and the sum before it."""
+    by = rows.groupBy("k", "gap", start.alias("start"), block.alias("b")).agg(F.sum("words").alias("words"))
+    run = by.withColumn("upto", F.col("start") + F.sum("words").over(Window.partitionBy("k").orderBy("b")))
+    run = run.withColumn("prev", F.col("upto") - F.col("words")).where((F.col("upto") > F.col("gap")) & (F.col("prev") <= F.col("gap")))
+    return run.select("k", F.col("b").alias(name), F.col("prev").alias(f"{name}_start"))
+
+
+def _round(d: DataFrame, state: DataFrame) -> DataFrame:
+    """k, gap, pos of every source with a document behind pos that fits the gap; cut, part, left.
+
+    All that fit are taken up to cut (null: to the end); of the documents at cut, part; left is the gap after that.
+    """
+    fit = d.select("k", "m", "size", (F.col("size") * F.col("n")).alias("words")).join(small(state), "k").where((F.col("m") > F.col("pos")) & (F.col("size") <= F.col("gap")))
+    in1 = fit.join(_cut(fit, F.lit(0).cast("long"), _block(0), "c1"), "k").where(_block(0) == F.col("c1"))
+    in2 = in1.join(_cut(in1, F.col("c1_start"), _block(1), "c2"), "k").where(_block(1) == F.col("c2"))
+    run = in2.withColumn("upto", F.col("c2_start") + F.sum("words").over(Window.partitionBy("k").orderBy("m")))
+    run = run.withColumn("prev", F.col("upto") - F.col("words")).where((F.col("upto") > F.col("gap")) & (F.col("prev") <= F.col("gap")))
+    part = F.floor((F.col("gap") - F.col("prev")) / F.col("size")).cast("long")
+    at = run.select("k", F.col("m").alias("cut"), part.alias("part"), (F.col("prev") + part * F.col("size")).alias("used"))
+    every = fit.groupBy("k", "gap", "pos").agg(F.sum("words").alias("words"))
+    return every.join(at, "k", "left").select("k", "gap", "pos", "cut", "part", (F.col("gap") - F.coalesce("used", "words")).alias("left"))
 
 
 def copies(sized: DataFrame, target: DataFrame) -> DataFrame:
-    """sized and its target, with copies (how often the mix takes the document) and extra (if one of them is of the cut pass)."""
+    """sized and its target, with extra: how many of the n equal documents are in the cut pass."""
     d = sized.withColumnRenamed("source", "__s").join(small(target), F.col("__s").eqNullSafe(F.col("source"))).drop("__s")
-    b1, b2 = F.substring("m", 1, DIGITS), F.substring("m", DIGITS + 1, DIGITS)
-    cut1 = reliable_checkpoint(_cut(d, F.lit(0).cast("long"), b1, "rest", "c1"))
-    in1 = d.join(small(cut1), "k").where(b1 == F.col("c1"))
-    cut2 = reliable_checkpoint(_cut(in1, F.col("c1_start"), b2, "rest", "c2"))
-    in2 = in1.join(small(cut2), "k").where(b2 == F.col("c2"))
-    w = Window.partitionBy("k").orderBy("m", "doc_id", "th").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    at = F.struct("m", "doc_id", "th")
-    run = in2.withColumn("upto", F.col("c2_start") + F.sum("size").over(w)).where(F.col("upto") <= F.col("rest"))
-    last = run.groupBy("k").agg(F.max(at).alias("last"), F.max("upto").alias("done"))
-    cuts = cut1.join(cut2, "k", "left").join(last, "k", "left").withColumn("done", F.coalesce("done", "c2_start", "c1_start"))
-    d = d.join(small(reliable_checkpoint(cuts.select("k", "c1", "c2", "last", "done"))), "k", "left")
-    below = (
-        F.when((F.col("rest") <= 0) | (F.col("passes") >= MAX_REPEAT), F.lit(False))
-        .when(F.col("c1").isNull(), F.lit(True))
-        .when(b1 != F.col("c1"), b1 < F.col("c1"))
-        .when(b2 != F.col("c2"), b2 < F.col("c2"))
-        .otherwise(F.coalesce(at <= F.col("last"), F.lit(False)))
-    )
-    d = d.withColumn("extra", below).withColumn("gap", F.col("rest") - F.col("done")).drop("c1", "c2", "last", "done")
-    # the gap that the cut leaves: the one further document that fits it best, if that comes nearer; and again
-    for _ in range(FILLS):
-        near = F.abs(F.col("size") - F.col("gap"))
-        open_ = d.where(~F.col("extra") & (F.col("rest") > 0) & (F.col("passes") < MAX_REPEAT) & (near < F.col("gap")))
-        best = reliable_checkpoint(open_.groupBy("k").agg(F.min(F.struct(near.alias("off"), F.col("m"), F.col("doc_id"), F.col("th"), F.col("size"))).alias("fill")))
-        d = d.join(small(best), "k", "left")
-        chosen = (F.col("fill.m") == F.col("m")) & F.col("fill.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("fill.th") == F.col("th"))
-        d = d.withColumn("extra", F.col("extra") | F.coalesce(chosen, F.lit(False))).withColumn("gap", F.col("gap") - F.coalesce("fill.size", F.lit(0))).drop("fill")
-    return d.withColumn("copies", F.col("passes") + F.col("extra").cast("long")).drop("gap")
+    state = reliable_checkpoint(target.where((F.col("rest") > 0) & (F.col("passes") < MAX_REPEAT)).select("k", F.col("rest").alias("gap"), F.lit("").alias("pos")))
+    rounds = None
+    while not state.isEmpty():
+        made = reliable_checkpoint(_round(d, state))
+        rounds = made if rounds is None else rounds.unionByName(made)
+        state = made.where(F.col("cut").isNotNull()).select("k", F.col("left").alias("gap"), F.col("cut").alias("pos"))
+    if rounds is None:
+        return d.withColumn("extra", F.lit(0).cast("long"))
+    # one row per source, with its rounds
+    rounds = rounds.groupBy("k").agg(F.collect_list(F.struct("pos", "gap", "cut", "part")).alias("rounds"), F.min("left").alias("left"))
+    d = d.join(small(reliable_checkpoint(rounds)), "k", "left").withColumn("left", F.coalesce("left", "rest"))
+    hit = "filter(rounds, r -> m > r.pos AND size <= r.gap AND m <= coalesce(r.cut, m))"
+    d = d.withColumn("hit", F.expr(f"get({hit}, 0)"))
+    d = d.withColumn("extra", F.when(F.col("hit").isNull(), 0).when(F.col("hit.cut") == F.col("m"), F.col("hit.part")).otherwise(F.col("n")).cast("long")).drop("rounds", "hit")
+    # nothing open fits any more: the smallest open document goes beyond the target, if that comes nearer
+    open_ = d.where((F.col("extra") < F.col("n")) & (F.col("rest") > 0) & (F.col("passes") < MAX_REPEAT) & (F.col("size") - F.col("left") < F.col("left")))
+    best = reliable_checkpoint(open_.groupBy("k").agg(F.min(F.struct("size", "m")).alias("fill")))
+    chosen = F.coalesce(F.col("fill.m") == F.col("m"), F.lit(False)).cast("long")
+    return d.join(small(best), "k", "left").withColumn("extra", F.col("extra") + chosen).drop("left", "fill")
 
 
 # --- the splitting tree ---------------------------------------------------
@@ -180,7 +199,7 @@ def splitting_tree(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
 def units(drawn: DataFrame, shards: int, seed: int) -> DataFrame:
     """k (source number), unit, shard: the tree's draw of every unit (pass * BLOCKS + block) that the sources take."""
     at = F.conv(F.substring("m", 1, DIGITS), 16, 10).cast("long")
-    taken = drawn.where(F.col("copies") > 0).select("k", at.alias("b"), "passes", "extra")
+    taken = drawn.where((F.col("passes") > 0) | (F.col("extra") > 0)).select("k", at.alias("b"), "passes", (F.col("extra") > 0).alias("extra"))
     by = taken.groupBy("k", "b").agg(F.max("passes").alias("passes"), F.max("extra").alias("extra"))
     by = by.select("k", F.explode(F.expr(f"transform(sequence(0L, passes - 1 + CAST(extra AS INT)), p -> p * {BLOCKS} + b)")).alias("unit"))
     ranked = by.withColumn("rank", F.row_number().over(Window.partitionBy("k").orderBy("unit")) - 1)
@@ -195,9 +214,10 @@ def units(drawn: DataFrame, shards: int, seed: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, seed: int = 1, shards: int | None = None) -> tuple[DataFrame, DataFrame, int]:
-    """(plan, rows, shards): plan has every document's size, target and copies; rows one row per drawn copy.
+    """(plan, rows, shards): plan has size, target, n, passes and extra of all entries; rows one row per entry and pass it is drawn in.
 
-    rows: doc_id, th, k, size, epoch, shard, place (order within the shard).
+    An entry is all n documents equal in doc_id, text and source.
+    rows: doc_id, m, source, k, size, epoch, n, copies (how many of the n), shard, place (order within the shard).
     """
     sized = reliable_checkpoint(sizes(docs, seed))
     target = reliable_checkpoint(targets(sized))
@@ -206,55 +226,62 @@ def mix(docs: DataFrame, seed: int = 1, shards: int | None = None) -> tuple[Data
         shards = max(MIN_SHARDS, -(-words // SHARD_WORDS))
     plan = reliable_checkpoint(copies(sized, target))
     at = F.conv(F.substring("m", 1, DIGITS), 16, 10).cast("long")
-    drawn = plan.where(F.col("copies") > 0).withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    drawn = plan.where((F.col("passes") > 0) | (F.col("extra") > 0))
+    drawn = drawn.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("passes") - 1 + (F.col("extra") > 0).cast("long"))))
+    drawn = drawn.withColumn("copies", F.when(F.col("epoch") < F.col("passes"), F.col("n")).otherwise(F.col("extra")))
     drawn = drawn.withColumn("unit", F.col("epoch") * BLOCKS + at).join(reliable_checkpoint(units(plan, shards, seed)), ["k", "unit"])
     place = F.xxhash64(F.lit(seed), "shard", "m", "epoch")
-    return plan, drawn.select("doc_id", "th", "k", "size", "epoch", "shard", place.alias("place")), shards
+    return plan, drawn.select("doc_id", "m", "source", "k", "size", "epoch", "n", "copies", "shard", place.alias("place")), shards
 
 
 def report(docs: DataFrame, seed: int = 1, shards: int | None = None) -> DataFrame:
     """doc_id, size, source_size, target, taken of every document."""
     plan, rows, _ = mix(docs, seed, shards)
-    # rows equal in id and text are drawn alike
-    took = rows.groupBy("doc_id", "th").agg((F.max("size") * F.countDistinct("epoch")).alias("words"))
-    p = plan.select(F.col("doc_id").alias("i"), F.col("th").alias("t"), "size", "source_size", "target")
-    j = p.join(took, F.col("i").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("th")), "left").drop("doc_id")
-    return j.select(F.col("i").alias("doc_id"), "size", "source_size", "target", F.coalesce("words", F.lit(0)).cast("long").alias("taken"))
+    took = rows.groupBy("k", "m").agg(F.sum("copies").alias("copies"))
+    p = plan.select("k", "m", "doc_id", "size", "source_size", "target", "n").join(took, ["k", "m"], "left").withColumn("copies", F.coalesce("copies", F.lit(0)))
+    p = p.withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    often = F.floor(F.col("copies") / F.col("n")) + (F.col("i") <= F.col("copies") % F.col("n")).cast("long")
+    return p.select("doc_id", "size", "source_size", "target", (F.col("size") * often).cast("long").alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, seed: int = 1, shards: int | None = None) -> DataFrame:
     """The documents of the mix, repeats included, in shards that are shuffled locally; same columns."""
     _, rows, shards = mix(docs, seed, shards)
-    r = rows.groupBy("doc_id", "th", "epoch").agg(F.first("shard").alias("__mx_s"), F.first("place").alias("__mx_p"))
-    r = r.select(F.col("doc_id").alias("__mx_i"), F.col("th").alias("__mx_t"), "__mx_s", "__mx_p")
-    d = docs.withColumns({"__mx_id": F.col("doc_id"), "__mx_th": F.xxhash64("text")})
-    d = d.join(r, F.col("__mx_id").eqNullSafe(F.col("__mx_i")) & (F.col("__mx_th") == F.col("__mx_t")))
-    return d.repartition(max(shards, partitions(docs.sparkSession)), "__mx_s").sortWithinPartitions("__mx_s", "__mx_p").select(*docs.columns)
+    rows = reliable_checkpoint(rows.select(F.col("m").alias("__mx_m"), F.col("source").alias("__mx_src"), "n", F.col("copies").alias("__mx_c"), F.col("shard").alias("__mx_s"), F.col("place").alias("__mx_p")))
+    whole, part = (rows.where(c).drop("n") for c in (F.col("__mx_c") == F.col("n"), F.col("__mx_c") < F.col("n")))
+    d = docs.withColumn("__mx_d", _digest(seed))
+    same = (F.col("__mx_d") == F.col("__mx_m")) & docs["source"].eqNullSafe(F.col("__mx_src"))
+    out = d.join(whole, same).select(*docs.columns, "__mx_s", "__mx_p")
+    if not part.isEmpty():  # at most one entry per source and round
+        row = F.struct(*docs.columns)
+        one = d.join(small(part), same).groupBy("__mx_m", "__mx_src", "__mx_c", "__mx_s", "__mx_p").agg(F.min_by(row, F.xxhash64(*docs.columns)).alias("__mx_row"))
+        out = out.unionByName(one.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__mx_c")))).select("__mx_row.*", "__mx_s", "__mx_p"))
+    return out.repartition(max(shards, partitions(docs.sparkSession)), "__mx_s").sortWithinPartitions("__mx_s", "__mx_p").select(*docs.columns)
 
 
 ORACLE = r"""
-WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
-                  md5('1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS m FROM documents),
+WITH RECURSIVE d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+                  md5('1:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || CASE WHEN text IS NULL THEN 'n' ELSE 't' || text END) AS m FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w FROM d GROUP BY source),
 o AS (SELECT *, 3 * source_size AS cap, row_number() OVER (ORDER BY 3 * source_size / w, source NULLS LAST) AS r FROM s),
 l AS (SELECT a.*, ((SELECT sum(source_size) FROM o) - coalesce((SELECT sum(b.cap) FROM o b WHERE b.r < a.r), 0))
              / ((SELECT sum(w) FROM o) - coalesce((SELECT sum(b.w) FROM o b WHERE b.r < a.r), 0)) AS level FROM o a),
 t AS (SELECT *, least(CAST(cap AS DOUBLE), coalesce((SELECT arg_min(x.level, x.r) FROM l x WHERE x.level * x.w <= x.cap) * w, CAST(cap AS DOUBLE))) AS target FROM l),
 p AS (SELECT *, CASE WHEN source_size > 0 THEN least(3, CAST(floor(target / source_size) AS BIGINT)) ELSE 0 END AS passes FROM t),
-q AS (SELECT *, CASE WHEN passes < 3 THEN target - passes * source_size ELSE 0 END AS rest FROM p),
-c AS (SELECT d.*, q.source_size, q.target, q.passes, q.rest,
-             sum(size) OVER (PARTITION BY d.source ORDER BY m, doc_id ROWS UNBOUNDED PRECEDING) <= q.rest AND q.rest > 0 AS below
+q AS MATERIALIZED (SELECT *, CASE WHEN passes < 3 THEN target - passes * source_size ELSE 0 END AS rest, row_number() OVER () AS k FROM p),
+c AS MATERIALIZED (SELECT d.*, q.k, q.source_size, q.target, q.passes, q.rest, row_number() OVER (PARTITION BY q.k ORDER BY m) AS n
       FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source),
-g0 AS (SELECT * EXCLUDE below, below AS extra, rest - coalesce(sum(size) FILTER (below) OVER (PARTITION BY source), 0) AS gap FROM c),
-"""
-for _i in range(FILLS):
-    ORACLE += rf"""
-h{_i} AS (SELECT *, NOT extra AND rest > 0 AND abs(size - gap) < gap AS open FROM g{_i}),
-f{_i} AS (SELECT *, open AND row_number() OVER (PARTITION BY source, open ORDER BY abs(size - gap), m, doc_id) = 1 AS fill FROM h{_i}),
-g{_i + 1} AS (SELECT * EXCLUDE (extra, fill, open, gap), extra OR fill AS extra,
-              gap - coalesce(max(size) FILTER (fill) OVER (PARTITION BY source), 0) AS gap FROM f{_i}),"""
-ORACLE += rf"""
-z AS (SELECT * FROM g{FILLS})
+r(k, i, pos, gap) AS (
+  SELECT k, 0, CAST(0 AS BIGINT), CAST(rest AS DOUBLE) FROM q WHERE rest > 0
+  UNION ALL
+  SELECT k, i + 1, min(n) FILTER (upto > gap), gap - coalesce(max(upto) FILTER (upto <= gap), 0)
+  FROM (SELECT r.k, r.i, r.gap, c.n, sum(c.size) OVER (PARTITION BY r.k ORDER BY c.n) AS upto
+        FROM r JOIN c ON c.k = r.k AND c.n > r.pos AND c.size <= r.gap) GROUP BY k, i, gap),
+e AS (SELECT *, lead(pos) OVER (PARTITION BY k ORDER BY i) AS cut FROM r),
+x AS (SELECT c.*, EXISTS (SELECT 1 FROM e WHERE e.k = c.k AND c.n > e.pos AND c.n < coalesce(e.cut, c.n + 1) AND c.size <= e.gap) AS below,
+             (SELECT min(gap) FROM r WHERE r.k = c.k) AS gap FROM c),
+y AS (SELECT *, NOT below AND coalesce(size - gap < gap, false) AS open FROM x),
+z AS (SELECT *, below OR (open AND row_number() OVER (PARTITION BY k, open ORDER BY size, m) = 1) AS extra FROM y)
 SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS source_size, target,
        CAST(size * (passes + CASE WHEN extra THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM z
 """

@@ -226,7 +226,75 @@ def test_hypergeometric_draw_has_its_mean_and_spread(spark):
 def test_mix_rows_are_disjoint_and_complete(spark):
     plan, rows, _ = mixing.mix(spark.read.parquet(f"{SF}/documents.parquet"))
     p, r = plan.toPandas(), rows.toPandas()
-    assert len(r) == p.copies.sum() and not r.duplicated(["doc_id", "epoch"]).any()
+    assert r.copies.sum() == (p.n * p.passes + p.extra).sum() and not r.duplicated(["k", "m", "epoch"]).any()
+
+
+def brute_mix(rows):
+    """Sorted (doc_id, size, taken) by going through each source's cut pass document by document; the gap left per source too."""
+    by = {}
+    for i, t, s in rows:
+        m = hashlib.md5(f"1:{'null' if i is None else i}:{'n' if t is None else 't' + t}".encode()).hexdigest()
+        by.setdefault(s, []).append((m, len(re.findall(r"[^\x20\x09-\x0D]+", t or "")), i))
+    order = sorted(by, key=lambda s: (s is None, s or ""))
+    size = {s: sum(x[1] for x in by[s]) for s in order}
+    weight, capped = {s: j % 3 + 1 for j, s in enumerate(order)}, set()
+    while True:
+        free = [s for s in order if s not in capped]
+        level = (sum(size.values()) - sum(3 * size[s] for s in capped)) / max(1, sum(weight[s] for s in free))
+        more = {s for s in free if level * weight[s] > 3 * size[s]}
+        if not more:
+            break
+        capped |= more
+    out, ends = [], {}
+    for s in order:
+        target = 3.0 * size[s] if s in capped else min(3.0 * size[s], level * weight[s])
+        passes = min(3, int(target // size[s])) if size[s] else 0
+        gap = target - passes * size[s] if passes < 3 else 0.0
+        cut, docs_, took = gap > 0, sorted(by[s], key=lambda x: x[:2]), []
+        for m, n, i in docs_:
+            took.append(cut and n <= gap)
+            gap -= n * took[-1]
+        over = [(n, m, j) for j, (m, n, i) in enumerate(docs_) if cut and not took[j] and n - gap < gap]
+        if over:
+            took[min(over)[2]] = True
+            gap -= min(over)[0]
+        left = [n for j, (m, n, i) in enumerate(docs_) if cut and not took[j]]
+        ends[s] = (abs(gap), min(left, default=None))
+        out += [(i, n, n * (passes + e)) for (m, n, i), e in zip(docs_, took)]
+    return sorted(out, key=repr), ends
+
+
+def mix_rows():
+    """Sources with one long document among short ones, a hot source, a third of ids null, repeated rows, an empty and a null text."""
+    rnd = random.Random(4)
+    text = lambda n: " ".join(rnd.choice("abcdefghij") for _ in range(n))
+    rows = [(1000 * s + j, text(330 if j == 50 else 10), f"s{s:02d}") for s in range(12) for j in range(68)]
+    rows += [(None if j % 3 else 50_000 + j, text(rnd.choice([1, 3, 40, 200])), "hot") for j in range(400)]
+    rows += [(-7, "one two three four five", "copies")] * 301 + [(-8, text(60), "copies")] * 5
+    return rows + [(None, None, None), (9, "", None), (9, "x y", None), (9, "x y", "s01")]
+
+
+def test_mixing_ends_near_every_target(spark):
+    rows = mix_rows()
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.report(d).collect()
+    want, ends = brute_mix(rows)
+    assert sorted(((r.doc_id, r["size"], r.taken) for r in got), key=repr) == want
+    assert all(left is None or off < left for off, left in ends.values())
+    assert max(off for s, (off, _) in ends.items() if s and s.startswith("s")) < 10
+    sql = oracle(mixing.ORACLE, documents=d.toPandas().astype({"doc_id": "Int64"}))
+    assert sorted(zip(sql["size"], sql.target, sql.taken)) == sorted((r["size"], r.target, r.taken) for r in got)
+    mixed = Counter(r.text for r in mixing.mixed_documents(d).collect())
+    fives = sum(r.taken for r in got if r.doc_id == -7)
+    assert 5 * mixed["one two three four five"] == fives > 0
+    assert sum(len(t.split()) * n for t, n in mixed.items() if t) == sum(r.taken for r in got)
+
+
+def test_mixing_many_sources(spark):
+    rows = [(i, "a b c d e"[: 1 + 2 * (i % 5)], f"host{i % 10_000:05d}") for i in range(30_000)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.report(d).collect()
+    assert sorted(((r.doc_id, r["size"], r.taken) for r in got), key=repr) == brute_mix(rows)[0]
 
 
 # --- pieces -----------------------------------------------------------------
