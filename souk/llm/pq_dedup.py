@@ -20,10 +20,11 @@ per vector, the number of vectors it links with, and links that span the
 components of the cell.
 
 Defined results: vectors that are null, zero or hold null or non-finite
-components link with nothing (n_links 0, a component of their own); so do rows
-without vec_id (component null, not kept); vectors of different lengths
+components link with nothing (n_links 0, a component of their own); rows without
+vec_id link and count like others, have the smallest vec_id they reach as their
+component (null if there is none) and are not kept; vectors of different lengths
 (dimensions) do not link; rows equal in vector are linked, and count, as often
-as they occur; other columns do not matter; an empty table gives an empty result.
+as they occur, also under one vec_id; other columns do not matter; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -255,7 +256,7 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
     v = doubles("embedding")
     all_rows = embeddings.select(F.col("vec_id"), v.alias("v"))
     # a class is a distinct vector, named by its hash; zero has one sign
-    all_rows = all_rows.withColumn("v", F.when(usable(F.col("v")) & F.col("vec_id").isNotNull(), F.transform("v", lambda x: x + 0.0)))
+    all_rows = all_rows.withColumn("v", F.when(usable(F.col("v")), F.transform("v", lambda x: x + 0.0)))
     rows = reliable_checkpoint(all_rows.select("vec_id", F.when(F.col("v").isNotNull(), F.xxhash64("v")).alias("node"), F.when(F.col("v").isNotNull(), F.xxhash64(F.lit(1), "v")).alias("check"), "v"))
     classes = rows.where(F.col("node").isNotNull()).groupBy("node", "check").agg(F.min("vec_id").alias("low"), F.count(F.lit(1)).alias("n"), F.first("v").alias("v"))
     classes = reliable_checkpoint(classes.select("node", "check", "low", "n", "v", F.size("v").alias("dim"), F.pmod(F.xxhash64(F.lit("deal"), "node"), F.lit(1 << 30)).alias("deal")))

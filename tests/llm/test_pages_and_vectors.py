@@ -304,12 +304,12 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch, chunk):
     x = made_vectors()
     df, _ = frame(spark, x)
     got = {r.vec_id: r for r in pq_dedup.near_duplicates(df).collect()}
-    n, comp = brute_links(x, 0.9)
+    n, comp = brute_links(np.r_[x, x[:1]], 0.9)  # the row without vec_id is the last
     for i in range(len(x)):
         assert (got[i].n_links, got[i].component_id, got[i].kept) == (n[i], comp[i], comp[i] == i)
     for i in (9001, 9002, 9003, 9004, 9005, 9006, 9020):
         assert (got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True)
-    assert (got[None].n_links, got[None].component_id, got[None].kept) == (0, None, False)
+    assert (got[None].n_links, got[None].component_id, got[None].kept) == (n[-1], 0, False)
     assert pq_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
@@ -331,8 +331,8 @@ def test_links_along_the_line_between_centres(spark, monkeypatch):
     monkeypatch.setattr(pq_dedup, "CHUNK", 16)  # as many lists as clusters
     x = between_centres()
     got = {r.vec_id: r for r in pq_dedup.near_duplicates(frame(spark, x.astype(np.float32).astype(float))[0]).collect()}
-    n, comp = brute_links(x.astype(np.float32).astype(float), 0.9)
-    assert [(got[i].n_links, got[i].component_id) for i in range(len(x))] == list(zip(n, comp))
+    n, comp = brute_links(np.r_[x, x[:1]].astype(np.float32).astype(float), 0.9)  # the row without vec_id is the last
+    assert [(got[i].n_links, got[i].component_id) for i in range(len(x))] == list(zip(n, comp))[:-1]
 
 
 def test_near_duplicate_recall_on_the_table(spark):
@@ -343,9 +343,11 @@ def test_near_duplicate_recall_on_the_table(spark):
     assert (got.n_links.to_numpy() <= n).all() and got.n_links.sum() >= 0.99 * n.sum()
 
 
-def brute_nearest(rows, q, k):
-    scored = sorted((-sum(a * b for a, b in zip(v, q[1])), i) for i, v, *_ in rows if i != q[0])
-    return [i for _, i in scored[:k]]
+def brute_nearest(rows, at, k):
+    """(score, vec_id) of the k rows nearest to row `at` of rows."""
+    q = rows[at][1]
+    scored = [(-float(np.dot(np.array(r[1]), np.array(q))), r[0] is None, r[0]) for i, r in enumerate(rows) if i != at and len(r[1]) == len(q)]
+    return [(s, i) for s, _, i in sorted(scored, key=lambda x: (x[0], x[1], x[2] or 0))[:k]]
 
 
 def test_nearest_neighbours(spark, monkeypatch):
@@ -354,23 +356,47 @@ def test_nearest_neighbours(spark, monkeypatch):
     x = made_vectors()
     df, rows = frame(spark, x)
     got = perm_index.search(df, 20, 20).collect()
+    rows = [*rows, (None, rows[0][1])]
+    order = lambda r: (-r.score, r.vec_id is None, r.vec_id or 0)
     hits = total = 0
-    for q in rows[::20]:
-        mine = sorted((r for r in got if r.query_id == q[0]), key=lambda r: r["rank"])
-        assert [r["rank"] for r in mine] == list(range(1, 21)) and q[0] not in [r.vec_id for r in mine]
-        assert [(-r.score, r.vec_id) for r in mine] == sorted((-r.score, r.vec_id) for r in mine)
+    for q in range(0, len(x), 20):
+        mine = sorted((r for r in got if r.query_id == q), key=lambda r: r["rank"])
+        assert [r["rank"] for r in mine] == list(range(1, 21)) and q not in [r.vec_id for r in mine]
+        assert mine == sorted(mine, key=order)
         for r in mine:
-            assert math.isclose(r.score, float(np.dot(x[r.vec_id], x[q[0]])), rel_tol=1e-12)
+            assert math.isclose(r.score, float(np.dot(x[r.vec_id or 0], x[q])), rel_tol=1e-12)
         want = brute_nearest(rows, q, 20)
-        hits, total = hits + len(set(want) & {r.vec_id for r in mine}), total + 20
+        hits, total = hits + len({i for _, i in want} & {r.vec_id for r in mine}), total + 20
     assert hits / total >= 0.9
+    assert None in [r.vec_id for r in got if r.query_id == 0]
     assert perm_index.search(df.limit(0)).count() == 0
 
 
 def test_fewer_candidates_than_k(spark):
     d = spark.createDataFrame([(0, [1.0, 0.0]), (20, [0.0, 1.0]), (3, [1.0, 1.0]), (3, [1.0, 1.0])], "vec_id long, embedding array<double>")
     got = sorted((r.query_id, r["rank"], r.vec_id) for r in perm_index.search(d).collect())
-    assert got == [(0, 1, 3), (0, 2, 20), (20, 1, 3), (20, 2, 0)]
+    assert got == [(0, 1, 3), (0, 2, 3), (0, 3, 20), (20, 1, 3), (20, 2, 3), (20, 3, 0)]
+
+
+@pytest.mark.parametrize("block", [8, 8192])
+def test_repeated_and_null_ids(spark, monkeypatch, block):
+    """Rows that share vec_id, or have none, take part in both searches as rows of their own."""
+    monkeypatch.setattr(perm_index, "BLOCK", block)
+    monkeypatch.setattr(perm_index, "WIDTH", 1.0)
+    rng = np.random.default_rng(8)
+    v = [[float(c) for c in rng.integers(-3, 4, 6)] for _ in range(30)]
+    v = [x if any(x) else [1.0] * 6 for x in v]
+    ids = [20] * 25 + [None] * 30 + [7] * 6 + list(range(30, 60))
+    rows = [(i, v[rng.integers(30)]) for i in ids] + [(20, v[0])] * 5 + [(None, v[1])] * 30 + [(40, v[1])] * 3
+    d = spark.createDataFrame([(*r, "a") for r in rows], "vec_id long, embedding array<double>, n string").repartition(3)
+    got = sorted(((r.query_id, r["rank"], r.vec_id, r.score) for r in perm_index.search(d, 20, 5).collect()), key=repr)
+    want = [(r[0], k, i, -s) for at, r in enumerate(rows) if r[0] in (20, 40) for k, (s, i) in enumerate(brute_nearest(rows, at, 5), 1)]
+    assert got == sorted(want, key=repr)
+    n, comp = brute_links(np.array([r[1] for r in rows]), 0.9)
+    low = {c: min((r[0] for r, k in zip(rows, comp) if k == c and r[0] is not None), default=None) for c in set(comp)}
+    want = [(r[0], int(m), low[c], r[0] is not None and r[0] == low[c]) for r, m, c in zip(rows, n, comp)]
+    got = [(r.vec_id, r.n_links, r.component_id, r.kept) for r in pq_dedup.near_duplicates(d).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
 def test_nearest_neighbour_recall_on_the_table(spark):
