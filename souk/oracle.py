@@ -700,20 +700,26 @@ def _t_tail(t: str, v: str) -> str:
 
 _P = stats.P_DIGITS
 T3P = _U + f"SELECT CAST(n1 AS BIGINT) AS n_late, CAST(n2 AS BIGINT) AS n_on_time, ROUND(u1, 6) AS u_statistic, ROUND({_norm_tail('z')}, {_P}) AS p_value FROM z"
-# the exact p: every arrangement of the ranks is a number whose set bits are the ranks of the late values
+# the exact p: every arrangement of the ranks is a number whose set bits are the ranks of the late values; with ties as T3P
 T3X = _S1 + f""",
 day AS (SELECT is_late, dayofweek(order_purchase_timestamp) AS weekday, AVG(review_score) AS mean_score
         FROM sample JOIN w_orders USING (order_id) WHERE order_purchase_timestamp IS NOT NULL GROUP BY ALL),
-placed AS (SELECT is_late, row_number() OVER (ORDER BY mean_score) AS place FROM day WHERE mean_score IS NOT NULL),
-figures AS (SELECT count(*) FILTER (is_late) AS n1, count(*) FILTER (NOT is_late) AS n2, sum(place) FILTER (is_late) AS r1 FROM placed),
-observed AS (SELECT n1, n2, r1 - n1 * (n1 + 1) // 2 AS u FROM figures),
+placed AS (SELECT is_late, count(*) OVER (PARTITION BY mean_score) AS same, rank() OVER (ORDER BY mean_score) AS low FROM day WHERE mean_score IS NOT NULL),
+figures AS (SELECT count(*) FILTER (is_late) AS n1, count(*) FILTER (NOT is_late) AS n2, sum(low + (same - 1) / 2) FILTER (is_late) AS r1,
+                   sum(same * same - 1) AS ties FROM placed),
+observed AS (SELECT n1, n2, ties, r1 - n1 * (n1 + 1) / 2 AS u FROM figures),
 arranged AS (
     SELECT list_sum([i for i in range(1, n1 + n2 + 1) if (x >> (i - 1)) & 1 = 1]) - n1 * (n1 + 1) // 2 AS v
     FROM observed, range(0, 1 << 14) bits(x) WHERE x < (1 << (n1 + n2)) AND bit_count(x) = n1
+),
+z AS (
+    SELECT *, (greatest(u, n1 * n2 - u) - n1 * n2 / 2 - 0.5)
+              / NULLIF(sqrt(n1 * n2 / 12 * (n1 + n2 + 1 - ties / ((n1 + n2) * (n1 + n2 - 1)))), 0) AS z FROM observed
 )
 SELECT CAST(n1 AS BIGINT) AS n_late, CAST(n2 AS BIGINT) AS n_on_time, ROUND(CAST(u AS DOUBLE), 6) AS u_statistic,
-       ROUND(least(1.0, 2.0 * (SELECT count(*) FROM arranged WHERE v >= greatest(u, n1 * n2 - u)) / (SELECT count(*) FROM arranged)), {_P}) AS p_value
-FROM observed
+       ROUND(CASE WHEN ties > 0 THEN {_norm_tail('z')}
+             ELSE least(1.0, 2.0 * (SELECT count(*) FROM arranged WHERE v >= greatest(u, n1 * n2 - u)) / (SELECT count(*) FROM arranged)) END, {_P}) AS p_value
+FROM z
 """
 T4P = _WELCH + f"SELECT ROUND(t, 6) AS t_statistic, ROUND(df, 6) AS df, ROUND({_t_tail('t', 'df')}, {_P}) AS p_value FROM w"
 T9P = _RHO + f""",

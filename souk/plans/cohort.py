@@ -1,45 +1,60 @@
 """Acquisition cohorts (M06 retention matrix, M07 cohort sizes).
 
-Distinct (person, month) pairs are formed first with a map-side combined
-aggregate; a person then has at most one row per calendar month, so the
-window that finds the first month of each person holds a bounded group
-even for a person with a huge number of orders.
+The months in which a customer id, then a person, ordered are the set bits of a
+bitmap put together by ``bit_or`` (map-side combined): one small row per person
+however many orders there are.  The first month is the lowest bit, and the
+person's cells are the set bits, so no distinct pairs and no window are shuffled.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from souk.functions.exprs import month_diff, month_trunc, pct, r2
+from souk.functions.exprs import month_trunc, pct, r2
 from souk.plans.base import Warehouse, delivered_orders
 
+#: Months in a word of a bitmap.
+BITS = 62
+
+
+def _month_of(index: Column) -> Column:
+    """First instant of a month given as year * 12 + month - 1."""
+    zero = F.lit(0)
+    return F.make_timestamp_ntz(F.floor(index / 12).cast("int"), (F.pmod(index, F.lit(12)) + 1).cast("int"), F.lit(1), zero, zero, zero)
 
-def person_months(wh: Warehouse) -> DataFrame:
-    """Distinct (customer_unique_id, order_month) of delivered orders.
 
-    Orders are first reduced to distinct (customer_id, month) — at most one
-    row per calendar month for any customer id — before the person lookup.
+def month_bitmaps(wh: Warehouse) -> DataFrame:
+    """customer_unique_id, months (ascending month numbers of delivered orders), undated (if an order has no date).
+
+    The words of the bitmaps span the months between the first and the last order (one row, read first).
     """
+    ts = "order_purchase_timestamp"
+    orders = delivered_orders(wh, "customer_id", ts).select("customer_id", (F.year(ts) * 12 + F.month(ts) - 1).alias("month"))
+    low, high = orders.agg(F.min("month"), F.max("month")).first()
+    low, words = low or 0, 0 if low is None else (high - low) // BITS + 1
+    at = F.col("month") - low
+    word = lambda w: F.when(F.floor(at / BITS) == w, F.expr(f"shiftleft(1L, CAST((month - {low}) % {BITS} AS INT))"))
+    joined = lambda: [F.bit_or(f"w{w}").alias(f"w{w}") for w in range(words)]
+    months = orders.select("customer_id", F.isnull("month").alias("undated"), *[word(w).alias(f"w{w}") for w in range(words)])
     people = wh["customers"].select("customer_id", "customer_unique_id")
-    return (
-        delivered_orders(wh, "customer_id", "order_purchase_timestamp")
-        .select("customer_id", month_trunc("order_purchase_timestamp").alias("order_month"))
-        .distinct()
-        .join(people, "customer_id")
-        .select("customer_unique_id", "order_month")
-        .distinct()
-    )
+    person = months.groupBy("customer_id").agg(F.max("undated").alias("undated"), *joined()).join(people, "customer_id")
+    person = person.groupBy("customer_unique_id").agg(F.max("undated").alias("undated"), *joined())
+    bits = [f"transform(filter(sequence(0, {BITS - 1}), b -> getbit(coalesce(w{w}, 0L), b) = 1), b -> b + {low + w * BITS})" for w in range(words)]
+    return person.select("customer_unique_id", F.expr(f"concat({', '.join(bits)})" if bits else "CAST(array() AS array<int>)").alias("months"), "undated")
+
+
+def person_months(wh: Warehouse) -> DataFrame:
+    """Distinct (customer_unique_id, order_month) of delivered orders that have a date."""
+    return month_bitmaps(wh).select("customer_unique_id", F.explode("months").alias("month")).select("customer_unique_id", _month_of(F.col("month")).alias("order_month"))
 
 
 def cohort_activity(wh: Warehouse) -> DataFrame:
-    pm = person_months(wh)
-    first = F.min("order_month").over(Window.partitionBy("customer_unique_id"))
-    return pm.withColumn("cohort_month", first).select(
-        "customer_unique_id",
-        "cohort_month",
-        month_diff("cohort_month", "order_month").alias("months_since_first"),
-    )
+    """customer_unique_id, cohort_month, months_since_first (NULL: orders without a date), one row per cell of a person."""
+    first = F.get("months", F.lit(0))
+    since = F.transform("months", lambda m: (m - first).cast("long"))
+    since = F.when(F.col("undated"), F.concat(since, F.array(F.lit(None).cast("long")))).otherwise(since)
+    return month_bitmaps(wh).select("customer_unique_id", _month_of(first).alias("cohort_month"), F.explode(since).alias("months_since_first"))
 
 
 def cohort_retention_matrix(wh: Warehouse) -> DataFrame:
