@@ -13,8 +13,8 @@ ends nearer.  The pass is made in rounds: a round takes what fits up to the firs
 document that goes beyond the target, sets that and all longer than what is left
 aside, and the next goes on behind it.  What is left shrinks below a document met at
 random, so rounds grow with the logarithm of a source's documents; they end when
-nothing fits.  A round finds its cut in two levels of BLOCKS blocks and then among the
-documents of one block of the second level, so no task orders a whole source.
+nothing fits.  A round finds its cut among 16**CUT_DIGITS blocks and then among the
+documents of one of them, so no task orders a whole source.
 
 Rows equal in doc_id, text and source are one entry with their number; the target
 may cut between them.
@@ -51,6 +51,7 @@ from souk.session import reliable_checkpoint
 MAX_REPEAT = 3
 DIGITS = 3  # hex digits of a block
 BLOCKS = 16**DIGITS
+CUT_DIGITS = 4  # hex digits of the blocks among which a round finds its cut
 SHARD_WORDS = 2_000_000  # words of an output shard, about; their number grows with the corpus
 MIN_SHARDS = 16
 
@@ -88,16 +89,11 @@ def targets(sized: DataFrame) -> DataFrame:
     return s.select("source", "source_size", "target", "passes", rest.alias("rest"), F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())).alias("k"))
 
 
-def _block(level: int) -> Column:
-    return F.substring("m", level * DIGITS + 1, DIGITS)
-
-
-def _cut(rows: DataFrame, start: Column, block: Column, name: str) -> DataFrame:
-    """Per source, the block in which the running sum of words passes gap, and the sum before it."""
-    by = rows.groupBy("k", "gap", start.alias("start"), block.alias("b")).agg(F.sum("words").alias("words"))
-    run = by.withColumn("upto", F.col("start") + F.sum("words").over(Window.partitionBy("k").orderBy("b")))
-    run = run.withColumn("prev", F.col("upto") - F.col("words")).where((F.col("upto") > F.col("gap")) & (F.col("prev") <= F.col("gap")))
-    return run.select("k", F.col("b").alias(name), F.col("prev").alias(f"{name}_start"))
+def _fit(d: DataFrame, state: DataFrame) -> DataFrame:
+    """What is behind pos and fits the gap, of the sources of state."""
+    words = F.col("size") * F.col("n")
+    fit = d.select("k", "m", "size", words.alias("words")).join(small(state), "k")
+    return fit.where((F.col("m") > F.col("pos")) & (F.col("size") <= F.col("gap")))
 
 
 def _round(d: DataFrame, state: DataFrame) -> DataFrame:
@@ -105,20 +101,24 @@ def _round(d: DataFrame, state: DataFrame) -> DataFrame:
 
     All that fit are taken up to cut (null: to the end); of the documents at cut, part; left is the gap after that.
     """
-    fit = d.select("k", "m", "size", (F.col("size") * F.col("n")).alias("words")).join(small(state), "k").where((F.col("m") > F.col("pos")) & (F.col("size") <= F.col("gap")))
-    in1 = fit.join(_cut(fit, F.lit(0).cast("long"), _block(0), "c1"), "k").where(_block(0) == F.col("c1"))
-    in2 = in1.join(_cut(in1, F.col("c1_start"), _block(1), "c2"), "k").where(_block(1) == F.col("c2"))
-    run = in2.withColumn("upto", F.col("c2_start") + F.sum("words").over(Window.partitionBy("k").orderBy("m")))
-    run = run.withColumn("prev", F.col("upto") - F.col("words")).where((F.col("upto") > F.col("gap")) & (F.col("prev") <= F.col("gap")))
-    part = F.floor((F.col("gap") - F.col("prev")) / F.col("size")).cast("long")
-    at = run.select("k", F.col("m").alias("cut"), part.alias("part"), (F.col("prev") + part * F.col("size")).alias("used"))
-    every = fit.groupBy("k", "gap", "pos").agg(F.sum("words").alias("words"))
-    return every.join(at, "k", "left").select("k", "gap", "pos", "cut", "part", (F.col("gap") - F.coalesce("used", "words")).alias("left"))
+    block = F.substring("m", 1, CUT_DIGITS)
+    passes = (F.col("upto") > F.col("gap")) & (F.col("upto") - F.col("words") <= F.col("gap"))
+    by = _fit(d, state).groupBy("k", "gap", "pos", block.alias("b")).agg(F.sum("words").alias("words"))
+    by = by.withColumn("upto", F.sum("words").over(Window.partitionBy("k").orderBy("b")))
+    at = F.min(F.when(passes, F.struct("b", (F.col("upto") - F.col("words")).alias("start"))))
+    cuts = reliable_checkpoint(by.groupBy("k", "gap", "pos").agg(F.max("upto").alias("all"), at.alias("at")).select("k", "gap", "pos", "all", "at.b", "at.start"))
+    run = _fit(d, cuts).where(block == F.col("b"))
+    run = run.withColumn("upto", F.col("start") + F.sum("words").over(Window.partitionBy("k").orderBy("m"))).where(passes)
+    before = F.col("upto") - F.col("words")
+    part = F.floor((F.col("gap") - before) / F.col("size")).cast("long")
+    run = run.select("k", F.col("m").alias("cut"), part.alias("part"), (before + part * F.col("size")).alias("used"))
+    return cuts.join(run, "k", "left").select("k", "gap", "pos", "cut", "part", (F.col("gap") - F.coalesce("used", "all")).alias("left"))
 
 
 def copies(sized: DataFrame, target: DataFrame) -> DataFrame:
     """sized and its target, with extra: how many of the n equal documents are in the cut pass."""
     d = sized.withColumnRenamed("source", "__s").join(small(target), F.col("__s").eqNullSafe(F.col("source"))).drop("__s")
+    d = reliable_checkpoint(d)
     state = reliable_checkpoint(target.where((F.col("rest") > 0) & (F.col("passes") < MAX_REPEAT)).select("k", F.col("rest").alias("gap"), F.lit("").alias("pos")))
     rounds = None
     while not state.isEmpty():
