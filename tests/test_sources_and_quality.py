@@ -111,6 +111,62 @@ def test_quality_checks_find_planted_problems(spark):
     assert nulls[("products", "product_category_name")] == round(100 / 6, 1)
 
 
+def test_declared_constraints_read_every_table_once(spark):
+    """Violations of every kind in several tables, equal to the oracle's, from one scan per table."""
+    import contextlib
+    import io
+
+    from souk.oracle import ORACLES
+    from tests.helpers import duck_on_tables, oracle_body
+
+    wh = _broken_wh(spark)
+    items, reviews = wh["order_items"], wh["order_reviews"]
+    null = lambda df, c: F.lit(None).cast(df.schema[c].dataType)
+    wh["order_items"] = (
+        items.unionByName(items)  # every key twice, no reference lost
+        .unionByName(items.withColumn("order_item_id", null(items, "order_item_id")).withColumn("seller_id", F.lit("s_missing")))
+        .unionByName(items.limit(1).select(*[null(items, c).alias(c) for c in items.columns]))
+        .unionByName(items.limit(2).withColumn("product_id", F.lit("p_missing")).withColumn("order_id", F.lit("o_missing")))
+    )
+    wh["order_reviews"] = reviews.unionByName(reviews.withColumn("order_id", F.lit("o_missing")))
+    wh["sellers"] = wh["sellers"].unionByName(wh["sellers"].withColumn("seller_id", null(wh["sellers"], "seller_id")))
+    out = tempfile.mkdtemp(prefix="souk-once-")
+    for t, df in wh.items():
+        df.write.parquet(f"{out}/{t}")
+    wh = {t: spark.read.parquet(f"{out}/{t}") for t in wh}
+
+    got = sorted(tuple(r) for r in quality.declared_constraints(wh).collect())
+    con = duck_on_tables(wh)
+    want = sorted(con.execute(f"SELECT table_name, check_type, columns, violations FROM ({oracle_body(ORACLES['Q6_declared_constraints'])}) q").fetchall())
+    assert got == want
+    assert {(t, kind) for t, kind, _, n in got if n} >= {
+        ("orders", "PRIMARY KEY"), ("orders", "FOREIGN KEY"), ("order_items", "PRIMARY KEY"), ("order_items", "NOT NULL"),
+        ("order_items", "FOREIGN KEY"), ("order_reviews", "FOREIGN KEY"), ("sellers", "PRIMARY KEY"), ("sellers", "NOT NULL"),
+    }
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        quality.declared_constraints(wh).explain()
+    assert len(re.findall("FileScan", text.getvalue())) == len(wh)
+
+
+def test_declared_constraints_compare_references_in_a_common_type(spark):
+    """A reference of another type than its target is found as a join finds it; the target's own key keeps its type."""
+    wh = clean.transform_all(raw_fixture(spark))
+    for t, c in (("sellers", "seller_id"), ("order_items", "seller_id")):
+        wh[t] = wh[t].withColumn(c, F.regexp_replace(c, "[^0-9]", "").cast("int" if t == "sellers" else "bigint"))
+    sellers = wh["sellers"].limit(1).withColumn("seller_id", F.lit(77))
+    wh["sellers"] = wh["sellers"].unionByName(sellers)
+    item = wh["order_items"].limit(1)
+    for n, seller in enumerate((77, 2**40), 900):
+        wh["order_items"] = wh["order_items"].unionByName(item.withColumn("order_item_id", F.lit(n)).withColumn("seller_id", F.lit(seller)))
+    rep = {(r.table_name, r.check_type, r.columns): r.violations for r in quality.declared_constraints(wh).collect()}
+    known = [r.seller_id for r in wh["sellers"].collect()]
+    assert rep[("order_items", "FOREIGN KEY", "seller_id -> sellers(seller_id)")] == sum(
+        r.seller_id not in known for r in wh["order_items"].collect()
+    ) >= 1
+    assert rep[("sellers", "PRIMARY KEY", "seller_id")] == 0
+
+
 def test_empty_table_skipped_in_null_report(spark):
     wh = clean.transform_all(raw_fixture(spark))
     wh["sellers"] = wh["sellers"].limit(0).withColumn("seller_city", F.lit(None).cast("string"))
